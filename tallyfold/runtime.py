@@ -8,9 +8,11 @@ import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.util import inheritable_thread_target
 
 # A lookup side above this many rows is joined by shuffle instead of broadcast.
@@ -75,7 +77,9 @@ def release_staged(spark: SparkSession) -> int:
 
 def bounded_rows(df: DataFrame, limit: int = MAX_LOOKUP_ROWS) -> list[Row] | None:
     """The rows of ``df`` if there are at most ``limit`` of them, else ``None``."""
-    rows = df.limit(limit + 1).collect()
+    rows = getattr(df, "_local_rows", None)
+    if rows is None:
+        rows = df.limit(limit + 1).collect()
     return rows if len(rows) <= limit else None
 
 
@@ -93,6 +97,8 @@ def lookup_join(
     The small side is evaluated once. Within ``limit`` rows it is broadcast as a local relation;
     beyond that the join is left to a shuffle join, where adaptive execution splits skewed keys.
     """
+    if hasattr(small, "_local_rows") and len(small._local_rows) <= limit:
+        return big.join(F.broadcast(small), on, how)
     rows = bounded_rows(small, limit)
     if rows is None:
         return big.join(small, on, how)
@@ -102,7 +108,11 @@ def lookup_join(
 def local_frame(spark: SparkSession, rows: list, schema: T.StructType) -> DataFrame:
     # Relax nullability: outer joins and driver-side rows make the original flags meaningless.
     relaxed = T.StructType([T.StructField(f.name, f.dataType, True) for f in schema])
-    return spark.createDataFrame(rows, relaxed)
+    records = [r.asDict() if isinstance(r, Row) else dict(zip(relaxed.names, r)) for r in rows]
+    # An Arrow table becomes a local relation: joins see its exact size and reading it needs no job.
+    frame = spark.createDataFrame(pa.Table.from_pylist(records, schema=to_arrow_schema(relaxed)), relaxed)
+    frame._local_rows = rows
+    return frame
 
 
 def run_jobs(tasks: Iterable[Callable], width: int = 4) -> list:
