@@ -15,6 +15,7 @@ from pyspark.ml.param import Param, Params
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyfold.functions.scalars import clip, probit
 from tallyfold.operators.clean import mode_values
@@ -27,6 +28,9 @@ TAIL = 1e-7
 # Fixed value: the normal quantile at TAIL.
 TAIL_QUANTILE = 5.199337582605575
 MAX_QUANTILES = 1000
+_BREAKS = T.StructType(
+    [T.StructField(n, T.DoubleType()) for n in ("bucket", "at", "low", "high", "next_at", "next_low")]
+)
 
 
 class _ColumnStage(Params, DefaultParamsReadable, DefaultParamsWritable):
@@ -167,10 +171,11 @@ def even_quantiles(df: DataFrame, cols: list[str], n_quantiles: int = MAX_QUANTI
     return out
 
 
-def quantile_position(x: Column, bucket: Column, points: list[float]) -> Column:
-    """Empirical CDF of ``x`` between sorted break points; the mean of both sides on a tie.
+def break_points(points: list[float]) -> list[tuple]:
+    """Rows (bucket, at, low, high, next_at, next_low) per distinct break point.
 
-    ``bucket`` is the number of distinct break points at or below ``x``.
+    ``bucket`` counts the distinct points at or below a value; tied points keep their first and last
+    reference probability.
     """
     last = len(points) - 1
     values, low, high = [], [], []
@@ -180,15 +185,20 @@ def quantile_position(x: Column, bucket: Column, points: list[float]) -> Column:
             high[-1] = ref
         else:
             values.append(p), low.append(ref), high.append(ref)
-    v, lo, hi = F.lit(values), F.lit(low), F.lit(high)
-    at = bucket.cast("int") - 1
-    nxt = F.least(at + 1, F.lit(len(values) - 1))
-    share = (x - v[at]) / (v[nxt] - v[at])
-    inner = F.when(x == v[at], (lo[at] + hi[at]) / 2).otherwise(hi[at] + (lo[nxt] - hi[at]) * share)
+    following = [*range(1, len(values)), len(values) - 1]
+    return [(float(i + 1), values[i], low[i], high[i], values[j], low[j]) for i, j in enumerate(following)]
+
+
+def quantile_position(x: Column, first: float, final: float) -> Column:
+    """Empirical CDF of ``x`` from its break-point row; the mean of both sides on a tie."""
+    share = (x - F.col("at")) / (F.col("next_at") - F.col("at"))
+    inner = F.when(x == F.col("at"), (F.col("low") + F.col("high")) / 2).otherwise(
+        F.col("high") + (F.col("next_low") - F.col("high")) * share
+    )
     return (
         F.when(x.isNull() | F.isnan(x), F.lit(None).cast("double"))
-        .when(x - TAIL < values[0], 0.0)
-        .when(x + TAIL > values[-1], 1.0)
+        .when(x - TAIL < first, 0.0)
+        .when(x + TAIL > final, 1.0)
         .otherwise(inner)
     )
 
@@ -204,16 +214,21 @@ def normal_score(p: Column) -> Column:
 class QuantileNormalModel(_ColumnModel):
     def _transform(self, dataset):
         fitted = self.getOrDefault("state")
-        out = dataset
-        for i, c in enumerate(self._columns()):
-            x, bucket = f"__x{i}", f"__b{i}"
-            splits = [float("-inf"), *sorted(set(fitted[c])), float("inf")]
-            out = out.withColumn(x, q(c).cast("double"))
-            if len(splits) < 3:
+        out, names = dataset, dataset.columns
+        for c in self._columns():
+            points = fitted.get(c)
+            if not points:
                 continue
-            # Bucketizer is a binary search over the break points inside the JVM.
-            out = Bucketizer(splits=splits, inputCol=x, outputCol=bucket, handleInvalid="keep").transform(out)
-            out = out.withColumn(c, normal_score(quantile_position(F.col(x), F.col(bucket), fitted[c]))).drop(x, bucket)
+            rows = break_points(points)
+            splits = [float("-inf"), *[r[1] for r in rows], float("inf")]
+            table = local_frame(dataset.sparkSession, rows, _BREAKS)
+            # Bucketizer searches the break points inside the JVM; their rows, at most
+            # MAX_QUANTILES of them, come in by a broadcast join.
+            out = Bucketizer(splits=splits, inputCol="__x", outputCol="bucket", handleInvalid="keep").transform(
+                out.withColumn("__x", q(c).cast("double"))
+            )
+            position = quantile_position(F.col("__x"), points[0], points[-1])
+            out = lookup_join(out, table, ["bucket"], "left").withColumn(c, normal_score(position)).select(*[q(n) for n in names])
         return out
 
 
@@ -315,15 +330,13 @@ def onehot_long(df: DataFrame, key: str, cats: list[str], fitted_on: DataFrame)
     """(key, feature) for every slot that is 1."""
     model = Pipeline(stages=onehot_stages(cats)).fit(fitted_on)
     names = [[f"{c}_{v}" for v in values] for c, values in zip(cats, model.stages[0].labelsArray)]
-    slots = [
-        F.filter(
-            F.transform(
-                vector_to_array(q(onehot_name(c))), lambda hot, i, n=n: F.when(hot == 1.0, F.get(F.lit(n), i.cast("int")))
-            ),
-            lambda name: name.isNotNull(),
-        )
-        for c, n in zip(cats, names)
-    ]
+
+    def present(col: str, labels: list[str]) -> Column:
+        hot = vector_to_array(q(onehot_name(col)))
+        marked = F.transform(hot, lambda x, i: F.when(x == 1.0, F.get(F.lit(labels), i.cast("int"))))
+        return F.filter(marked, lambda name: name.isNotNull())
+
+    slots = [present(c, n) for c, n in zip(cats, names)]
     return model.transform(df).select(key, F.explode(F.concat(*slots)).alias("feature"))
 
 

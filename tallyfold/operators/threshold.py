@@ -16,27 +16,30 @@ from tallyfold.runtime import lookup_join
 TUNABLE = ("mcc", "f1", "balanced_accuracy", "cost_benefit")
 
 
-def even_grid(points: int = 101) -> list[float]:
-    """Evenly spaced thresholds over [0, 1], built as i * step like the usual linspace."""
-    step = 1.0 / (points - 1)
-    return [*[i * step for i in range(points - 1)], 1.0]
+def grid_value(i: Column, points: int) -> Column:
+    """The i-th of evenly spaced thresholds over [0, 1], as i * step like the usual linspace."""
+    last = points - 1
+    return F.when(i == last, 1.0).otherwise(i * F.lit(1.0 / last))
 
 
-def grid_slot(p: Column, grid: list[float]) -> Column:
+def grid_slot(p: Column, points: int) -> Column:
     """Index of the highest grid point <= p; -1 below the grid or for null.
 
     ``floor`` gives a first guess, which comparing with the neighbouring grid values corrects.
     """
-    last = len(grid) - 1
-    values = F.lit(grid)
+    last = points - 1
     guess = F.least(F.greatest(F.floor(p * last), F.lit(0)), F.lit(last)).cast("int")
     up = F.least(guess + 1, F.lit(last))
-    slot = F.when((up > guess) & (values[up] <= p), up).when(values[guess] <= p, guess).otherwise(guess - 1)
+    slot = (
+        F.when((up > guess) & (grid_value(up, points) <= p), up)
+        .when(grid_value(guess, points) <= p, guess)
+        .otherwise(guess - 1)
+    )
     return F.when(p.isNull() | F.isnan(p), -1).otherwise(slot)
 
 
 def threshold_sweep(
-    scores: DataFrame, grid: list[float] | None = None, by: list[str] | None = None, costs=DEFAULT_COSTS,
+    scores: DataFrame, points: int = 101, by: list[str] | None = None, costs=DEFAULT_COSTS,
     only: tuple[str, ...] = LABEL_METRICS, y: str = "y", p: str = "p",
 ) -> DataFrame:
     """Label metrics of ``p >= t`` at every grid point, from one scan.
@@ -44,17 +47,18 @@ def threshold_sweep(
     Rows are binned to grid slots and summed (at most one row per slot and group leaves the scan);
     running sums over the slots give the counts at every threshold.
     """
-    grid, by = grid or even_grid(), list(by or [])
-    slots = scores.groupBy(*by, grid_slot(F.col(p), grid).alias("slot")).agg(
+    by = list(by or [])
+    slots = scores.groupBy(*by, grid_slot(F.col(p), points).alias("slot")).agg(
         F.sum((F.col(y) == 1).cast("long")).alias("pos"), F.sum((F.col(y) == 0).cast("long")).alias("neg")
     )
-    # Per group: sum the slots into arrays of grid length, so empty thresholds exist too.
+    # One map of at most ``points`` slots per group, so that empty thresholds exist too.
     packed = slots.groupBy(*by).agg(
         F.map_from_entries(F.collect_list(F.struct("slot", F.struct("pos", "neg")))).alias("m"),
         F.sum("pos").alias("p_all"),
         F.sum("neg").alias("n_all"),
     )
-    spread = packed.select(*by, "m", "p_all", "n_all", F.posexplode(F.lit(grid)).alias("slot", "threshold"))
+    every = F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("slot")
+    spread = packed.select(*by, "m", "p_all", "n_all", every).withColumn("threshold", grid_value(F.col("slot"), points))
     at = F.element_at("m", F.col("slot"))
     w = Window.partitionBy(*by).orderBy(F.desc("slot")).rowsBetween(Window.unboundedPreceding, 0)
     cells = spread.select(

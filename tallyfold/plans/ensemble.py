@@ -1,3 +1,66 @@
+"""Voting and stacking over score frames."""
+
+from __future__ import annotations
+
+from functools import partial, reduce
+
+from pyspark.ml.feature import VectorAssembler
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-def soft_vote(scores, keys):
-    return scores.groupBy(*keys).agg(F.avg("p").alias("p")).withColumn("label", (F.col("p")>0.5).cast("int"))
+
+from tallyfold.operators.clean import top_k
+from tallyfold.plans.evaluate import Candidate, TableSpec, encode, fit_candidate, fold_frames, score_candidates
+from tallyfold.plans.models import fit_model, score_rows
+from tallyfold.runtime import run_jobs, stage
+
+
+def soft_vote(scores: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys..., y, p, label): mean probability of the models; exactly one half stays class 0."""
+    votes = scores.groupBy(*keys).agg(F.max("y").alias("y"), F.avg("p").alias("p"))
+    return votes.withColumn("label", (F.col("p") > 0.5).cast("int"))
+
+
+def top_bases(comparison: DataFrame, n: int, objective: str = "mcc") -> list[str]:
+    return [r["model"] for r in top_k(comparison, f"mean_{objective}", n, "model").collect()]
+
+
+def _wide(scores: DataFrame, names: list[str]) -> DataFrame:
+    """One probability column per base model, assembled as ``features``."""
+    wide = scores.groupBy("key").pivot("model", names).agg(F.max("p"))
+    ys = scores.groupBy("key").agg(F.max("y").alias("y"))
+    return VectorAssembler(inputCols=names, outputCol="features").transform(wide.join(ys, "key")).select("key", "y", "features")
+
+
+def base_scores(train: DataFrame, test: DataFrame, spec: TableSpec, bases: list[Candidate], seed: int = 42) -> DataFrame:
+    """Score frame of the test rows from bases refitted on all training rows."""
+    columns = [c for c in train.columns if c in test.columns]
+    both = train.select(*columns, F.lit("train").alias("part")).unionByName(test.select(*columns, F.lit("test").alias("part")))
+    encoded, _ = encode(train, both, spec)
+
+    def one(c: Candidate) -> DataFrame:
+        model = fit_candidate(encoded.where("part = 'train'").select("key", "y", "features"), c, seed)
+        scored = score_rows(model, encoded.where("part = 'test'")).select("key", "y", "p", "label")
+        return scored.withColumn("model", F.lit(c.name))
+
+    return stage(reduce(lambda a, b: a.unionByName(b), run_jobs([partial(one, c) for c in bases])), "base_scores")
+
+
+def stacking(
+    train: DataFrame, test: DataFrame, spec: TableSpec, bases: list[Candidate], k: int = 5, seed: int = 42,
+    meta: Candidate | None = None,
+) -> DataFrame:
+    """(key, y, p, label) of the test rows from a boosted meta-model.
+
+    The meta-model learns from out-of-fold probabilities; for prediction the bases are refitted on
+    all training rows.
+    """
+    meta = meta or Candidate("GradientBoosting")
+    names = [c.name for c in bases]
+    held_out = score_candidates(fold_frames(train, spec, k, 1, seed), bases, seed=seed)
+    top = fit_model(meta.model, stage(_wide(held_out, names), "stacked"), meta.params, seed)
+    rows = _wide(base_scores(train, test, spec, bases, seed), names)
+    return score_rows(top, rows).select("key", "y", "p", "label")
+
+
+def voting(train: DataFrame, test: DataFrame, spec: TableSpec, bases: list[Candidate], seed: int = 42) -> DataFrame:
+    return soft_vote(base_scores(train, test, spec, bases, seed), ["key"])

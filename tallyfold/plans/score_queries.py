@@ -289,7 +289,7 @@ def threshold_sweep(spark, sf_dir):
     f"WITH {TIED_SCORES_SQL}, {SWEEP_CELLS_SQL.format(last=99)} {metrics_sql('cells', 'model, threshold')}",
 )
 def threshold_sweep_100(spark, sf_dir):
-    sweep = threshold.threshold_sweep(_tied(spark, sf_dir), threshold.even_grid(100), ["model"])
+    sweep = threshold.threshold_sweep(_tied(spark, sf_dir), 100, ["model"])
     return rounded(sweep, 9, ("threshold",))
 
 

@@ -105,3 +105,25 @@ SELECT {lead}tp, fp, tn, fn,
   round(((tn*5.0 - fp*2.0 - fn*10.0 + tp*5.0) - (-2.0*(tn+fp) - 10.0*(tp+fn)))
         / (5.0*(tp+fp+tn+fn) - (-2.0*(tn+fp) - 10.0*(tp+fn))), 9) AS cost_benefit
 FROM {cells}"""
+
+
+def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled documents with plain shape features; target: the quality label."""
+    labels = table(spark, sf_dir, "labels")
+    documents = table(spark, sf_dir, "documents")
+    spaces = F.length("text") - F.length(F.replace(F.col("text"), F.lit(" "), F.lit("")))
+    lines = F.length("text") - F.length(F.replace(F.col("text"), F.lit("\n"), F.lit("")))
+    return documents.join(labels, "doc_id").select(
+        "doc_id",
+        F.col("quality").alias("y"),
+        F.col("n_chars").cast("double").alias("n_chars"),
+        spaces.cast("double").alias("n_spaces"),
+        (F.length("text") / (spaces + 1)).alias("chars_per_space"),
+        lines.cast("double").alias("n_lines"),
+        "lang",
+        "source",
+    )
+
+
+QUALITY_NUMS = ("n_chars", "n_spaces", "chars_per_space", "n_lines")
+QUALITY_CATS = ("lang", "source")
