@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyfold.operators.order import SINGLE_WINDOW_ROWS, ordered_cumsum
-from tallyfold.runtime import lookup_join, settle
+from tallyfold.runtime import lookup_join, settle, stage
 
 
 def score_steps(
@@ -18,11 +18,11 @@ def score_steps(
     Rows collapse to distinct scores before any ordering, with partial sums on the map side.
     """
     by = list(by or [])
-    one = scores.where(F.col(p).isNotNull()).groupBy(*by, F.col(p).alias("score")).agg(
+    one = stage(scores.where(F.col(p).isNotNull()).groupBy(*by, F.col(p).alias("score")).agg(
         F.sum(F.col(y).cast("long")).alias("pos"), F.sum((1 - F.col(y)).cast("long")).alias("neg")
-    )
+    ), "steps")
     steps = ordered_cumsum(one, "score", ["pos", "neg"], by, True, leads, single_window_rows)
-    totals = settle(steps.groupBy(*by).agg(F.sum("pos").alias("p_all"), F.sum("neg").alias("n_all")))
+    totals = settle(one.groupBy(*by).agg(F.sum("pos").alias("p_all"), F.sum("neg").alias("n_all")))
     if by:
         return lookup_join(steps, totals, by, "inner")
     row = totals.first()

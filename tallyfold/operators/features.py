@@ -228,7 +228,9 @@ class QuantileNormalModel(_ColumnModel):
                 out.withColumn("__x", q(c).cast("double"))
             )
             position = quantile_position(F.col("__x"), points[0], points[-1])
-            out = lookup_join(out, table, ["bucket"], "left").withColumn(c, normal_score(position)).select(*[q(n) for n in names])
+            # The position is its own column: the normal map refers to it many times.
+            out = lookup_join(out, table, ["bucket"], "left").withColumn("__p", position)
+            out = out.withColumn(c, normal_score(F.col("__p"))).select(*[q(n) for n in names])
         return out
 
 

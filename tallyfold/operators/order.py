@@ -16,11 +16,12 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyfold.runtime import bounded_rows, lookup_join, settle, stage
+from tallyfold.runtime import bounded_rows, lookup_join, settle, stage, staged_once
 
 # Up to this many rows one window per group is cheaper than bucketing.
 SINGLE_WINDOW_ROWS = 200_000
 SKETCH_ACCURACY = 10_000
+MOMENTS = {"mean": F.avg, "std": F.stddev, "min": F.min, "max": F.max}
 # 16**5 hash prefixes: at 10**12 rows the rows sharing a prefix still fit one task.
 PREFIX_DIGITS = 5
 
@@ -42,7 +43,7 @@ def ordered_cumsum(
     inside a bucket needs a sort. ``leads`` adds ``next_<c>``: the value in the following row.
     """
     by, leads = list(by or []), list(leads or [])
-    staged = stage(df, "ordered")
+    staged = staged_once(df, "ordered")
     rows = staged.count()
     key = F.desc if descending else F.asc
     if rows <= single_window_rows:
@@ -87,20 +88,23 @@ def ordered_cumsum(
 def average_rank(df: DataFrame, score: str, by: list[str] | None = None, out: str = "avg_rank") -> DataFrame:
     """Average rank of ``score`` (ties share it) divided by the largest rank."""
     by = list(by or [])
-    counts = df.where(F.col(score).isNotNull()).groupBy(*by, score).agg(F.count("*").alias("__n"))
+    counts = stage(df.where(F.col(score).isNotNull()).groupBy(*by, score).agg(F.count("*").alias("__n")), "ranks")
     cum = ordered_cumsum(counts, score, ["__n"], by)
     rank = F.col("cum___n") - F.col("__n") + (F.col("__n") + 1) / 2
-    ranks = cum.select(*by, score, rank.alias("__rank"))
-    top = ranks.groupBy(*by).agg(F.max("__rank").alias("__max"))
-    scaled = _attach_totals(ranks, top, by).select(*by, score, (F.col("__rank") / F.col("__max")).alias(out))
-    return lookup_join(df, scaled, [*by, score], "left")
+    # The largest rank follows from the group size and the count of its largest score.
+    top = counts.groupBy(*by).agg((F.sum("__n") - (F.max_by("__n", score) - 1) / 2).alias("__max"))
+    scaled = _attach_totals(cum, top, by).select(*by, score, (rank / F.col("__max")).alias(out))
+    return lookup_join(df, scaled, [*by, score], "left", rows=counts.count())
 
 
 def exact_percentiles(
-    df: DataFrame, cols: list[str], probs: list[float], by: list[str] | None = None, accuracy: int = SKETCH_ACCURACY
-) -> DataFrame:
+    df: DataFrame, cols: list[str], probs: list[float], by: list[str] | None = None, accuracy: int = SKETCH_ACCURACY,
+    moments: bool = False,
+) -> DataFrame:
     """Exact linear-interpolated percentiles: rows ``(by..., column, n, q)`` with ``q`` one value per prob.
 
+    ``moments`` adds mean, std, min and max, measured in the sketch's own pass.
+
     A quantile sketch narrows each percentile to a bracket about ``6 / accuracy`` of the rows wide.
     One pass then counts rows outside the brackets into a handful of groups and keeps distinct values
     inside them, so neither the whole column nor a heavy tie reaches a single task. Nulls and NaN are
@@ -116,7 +120,9 @@ def exact_percentiles(
     slack = 3.0 / accuracy
     probes = [max(0.0, p - slack) for p in probs] + [min(1.0, p + slack) for p in probs]
     sketch = long.groupBy(*groups).agg(
-        F.count("*").alias("n"), F.percentile_approx("value", probes, accuracy).alias("probe")
+        F.count("*").alias("n"),
+        F.percentile_approx("value", probes, accuracy).alias("probe"),
+        *[fn("value").alias(name) for name, fn in (MOMENTS.items() if moments else ())],
     )
     m = len(probs)
     whole = F.col("n") <= 5 * accuracy
@@ -125,17 +131,19 @@ def exact_percentiles(
         sketch.select(
             *groups,
             "n",
+            *(MOMENTS if moments else ()),
             *[F.when(whole | F.lit(p <= slack), -inf).otherwise(F.col("probe")[i]).alias(f"lo{i}") for i, p in enumerate(probs)],
             *[F.when(whole | F.lit(p >= 1 - slack), inf).otherwise(F.col("probe")[m + i]).alias(f"hi{i}") for i, p in enumerate(probs)],
         ),
         "brackets",
     )
-    picked = _pick(long, brackets, groups, probs)
-    if picked.where(F.exists("q", lambda v: v.isNull())).isEmpty():
-        return picked
-    # A bracket missed its rank (the sketch bound is probabilistic in practice): count every value.
-    opened = brackets.withColumns({f"lo{i}": -inf for i in range(m)} | {f"hi{i}": inf for i in range(m)})
-    return _pick(long, opened, groups, probs)
+    extra = list(MOMENTS) if moments else []
+    picked = _pick(long, brackets.drop(*extra), groups, probs)
+    if not picked.where(F.exists("q", lambda v: v.isNull())).isEmpty():
+        # A bracket missed its rank (the sketch bound is probabilistic in practice): count every value.
+        opened = brackets.withColumns({f"lo{i}": -inf for i in range(m)} | {f"hi{i}": inf for i in range(m)})
+        picked = _pick(long, opened.drop(*extra), groups, probs)
+    return lookup_join(picked, brackets.select(*groups, *extra), groups, "inner") if moments else picked
 
 
 def _pick(long: DataFrame, brackets: DataFrame, groups: list[str], probs: list[float]) -> DataFrame:

@@ -76,51 +76,49 @@ def frequency_table(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def top_values(freq: DataFrame) -> DataFrame:
-    """(column, unique, top, freq) from a frequency table; the smallest value wins a tie."""
-    best = freq.groupBy("column").agg(F.max("cnt").alias("freq"), F.count("*").alias("unique"))
+    """(column, count, unique, top, freq) from a frequency table; the smallest value wins a tie."""
     return (
-        lookup_join(freq, best, ["column"], "inner")
-        .where("cnt = freq")
-        .groupBy("column", "unique", "freq")
-        .agg(F.min("value").alias("top"))
-        .select("column", "unique", "top", "freq")
+        freq.groupBy("column")
+        .agg(
+            F.sum("cnt").alias("count"),
+            F.count("*").alias("unique"),
+            F.min(F.struct((-F.col("cnt")).alias("less"), F.col("value").alias("top"))).alias("best"),
+        )
+        .select("column", "count", "unique", "best.top", (-F.col("best.less")).alias("freq"))
     )
 
 
 def describe_mixed(df: DataFrame) -> DataFrame:
-    """One row per column: count, unique, top, freq, mean, std, min, quartiles, max."""
+    """One row per column: count, unique, top, freq, mean, std, min, quartiles, max.
+
+    Three scans: value frequencies of the categorical columns, moments and quantile sketch of the
+    numeric ones, and the pass that makes the quartiles exact.
+    """
     cats, nums = columns_by_type(df)
-    order = {c: i for i, c in enumerate(df.columns)}
+    position = {c: i for i, c in enumerate(df.columns)}
     parts = []
     if cats:
-        freq = frequency_table(df, cats)
-        tops = settle(top_values(freq))
-        counts = _per_column(df, cats, F.count, "count")
-        parts.append(counts.join(tops, "column", "left"))
+        parts.append(top_values(frequency_table(df, cats)))
     if nums:
-        names = {"count": F.count, "mean": F.avg, "std": F.stddev, "min": F.min, "max": F.max}
-        one = df.agg(*[fn(q(c).cast("double")).alias(f"{k}{i}") for i, c in enumerate(nums) for k, fn in names.items()])
-        rows = F.array(
-            *[
-                F.struct(F.lit(c).alias("column"), *[F.col(f"{k}{i}").alias(k) for k in names])
-                for i, c in enumerate(nums)
-            ]
-        )
-        quart = exact_percentiles(df, nums, [0.25, 0.5, 0.75]).select(
-            "column", *[F.col("q")[i].alias(n) for i, n in enumerate(("p25", "p50", "p75"))]
-        )
-        parts.append(one.select(F.inline(rows)).join(quart, "column", "left"))
+        quart = [F.col("q")[i].alias(n) for i, n in enumerate(("p25", "p50", "p75"))]
+        table = exact_percentiles(df, nums, [0.25, 0.5, 0.75], moments=True)
+        parts.append(table.select("column", F.col("n").alias("count"), "mean", "std", "min", *quart, "max"))
     out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    listed = df.sparkSession.createDataFrame(
+        [(i, c) for c, i in position.items() if c in cats + nums], "position int, column string"
+    )
     wanted = {
         "count": "long", "unique": "long", "top": "string", "freq": "long", "mean": "double", "std": "double",
         "min": "double", "p25": "double", "p50": "double", "p75": "double", "max": "double",
     }
-    position = F.create_map(*[F.lit(x) for kv in order.items() for x in kv])
-    return out.select(
-        position[F.col("column")].alias("position"),
-        "column",
-        *[(F.col(c) if c in out.columns else F.lit(None)).cast(t).alias(c) for c, t in wanted.items()],
-    )
+    # A column without any value keeps its row, with count 0.
+    return (
+        listed.join(out, "column", "left").fillna({"count": 0})
+        .select(
+            "position", "column",
+            *[(F.col(c) if c in out.columns else F.lit(None)).cast(t).alias(c) for c, t in wanted.items()],
+        )
+    )
 
 
 def value_counts(df: DataFrame, col: str, by_count: bool = True) -> DataFrame:

@@ -8,6 +8,7 @@ from tallyfold.functions.rounding import rounded
 from tallyfold.operators import clean, features, split
 from tallyfold.plans.registry import query
 from tallyfold.plans.split_queries import SPLIT_SQL
+from tallyfold.runtime import stage
 from tallyfold.sources.tables import census
 
 NUMS = ["total", "balance", "gain"]
@@ -18,7 +19,7 @@ TRAIN_SQL = f"{SPLIT_SQL}, parts AS (SELECT c.*, h.split FROM census c JOIN halv
 def halves(spark, sf_dir):
     """(train, all rows with split): the census-like frame, half of it for fitting."""
     frame = clean.encode_binary(clean.sentinel_to_null(census(spark, sf_dir)), "income").drop("income")
-    parts = split.stratified_split(frame, ["id"], "y")
+    parts = split.stratified_split(stage(frame, "census"), ["id"], "y")
     return parts.where("split = 'train'"), parts
 
 

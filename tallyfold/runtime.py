@@ -61,7 +61,14 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = new_stage_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    staged = spark.read.schema(df.schema).parquet(path)
+    staged._is_staged = True
+    return staged
+
+
+def staged_once(df: DataFrame, name: str = "stage") -> DataFrame:
+    """``df`` itself if it is a staged table already."""
+    return df if getattr(df, "_is_staged", False) else stage(df, name)
 
 
 def release_staged(spark: SparkSession) -> int:
@@ -90,19 +97,23 @@ def settle(df: DataFrame, name: str = "settled", limit: int = MAX_LOOKUP_ROWS) -
 
 
 def lookup_join(
-    big: DataFrame, small: DataFrame, on: list[str], how: str = "left", limit: int = MAX_LOOKUP_ROWS
-) -> DataFrame:
+    big: DataFrame, small: DataFrame, on: list[str], how: str = "left", limit: int = MAX_LOOKUP_ROWS,
+    rows: int | None = None,
+) -> DataFrame:
     """Join a per-group table onto a large frame.
 
     The small side is evaluated once. Within ``limit`` rows it is broadcast as a local relation;
     beyond that the join is left to a shuffle join, where adaptive execution splits skewed keys.
+    ``rows`` is its row count if the caller knows it, which saves a probe of a side that is too large.
     """
+    if rows is not None and rows > limit:
+        return big.join(small, on, how)
     if hasattr(small, "_local_rows") and len(small._local_rows) <= limit:
         return big.join(F.broadcast(small), on, how)
-    rows = bounded_rows(small, limit)
-    if rows is None:
+    found = bounded_rows(small, limit)
+    if found is None:
         return big.join(small, on, how)
-    return big.join(F.broadcast(local_frame(big.sparkSession, rows, small.schema)), on, how)
+    return big.join(F.broadcast(local_frame(big.sparkSession, found, small.schema)), on, how)
 
 
 def local_frame(spark: SparkSession, rows: list, schema: T.StructType) -> DataFrame:

@@ -8,8 +8,23 @@ from pyspark.sql import functions as F
 from tallyfold.functions.scalars import hash_key, hash_uniform
 
 
+SPREAD_BYTES = 1 << 20
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Use all cores for a file that Spark would read as fewer splits than there are cores.
+
+    Only a scan of one or a few row groups is affected; a table of many files is left as it is.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() >= cores:
+        return scan
+    size = int(str(scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return scan.repartition(cores) if size > SPREAD_BYTES else scan
 
 
 def census(spark: SparkSession, sf_dir: str) -> DataFrame:
