@@ -3,7 +3,8 @@
 Plan, following the pivot-based kNN join of the literature:
 
 1. Equal vectors collapse to one, keeping the k+1 smallest keys: no other copy can be a neighbour.
-2. Vectors go to the cell of their nearest pivot (a bounded, hash-chosen set of vectors).
+2. Vectors go to the cell of their nearest pivot. Pivots are a bounded, hash-chosen set of the
+   vectors, so dense regions get as many more pivots as they have more vectors.
 3. Each query searches its own cell, which gives it an upper bound on its k-th distance.
 4. It then visits exactly those other cells that the triangle inequality cannot rule out.
 
@@ -26,6 +27,8 @@ from tallyfold.runtime import lookup_join, settle, stage
 
 BLOCK_ROWS = 4096
 MAX_PIVOTS = 8192
+# Pivot distances held at once per task.
+CHUNK_CELLS = 4_000_000
 # Distances are compared after rounding, so that equal ones tie and the key decides.
 DIGITS = 9
 
@@ -93,15 +96,22 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
+def _chunks(batches: Iterator[pd.DataFrame], width: int) -> Iterator[pd.DataFrame]:
+    """Non-empty pieces of the batches, few enough rows that ``rows * width`` stays bounded."""
+    step = max(1, CHUNK_CELLS // width)
+    for pdf in batches:
+        for start in range(0, len(pdf), step):
+            yield pdf.iloc[start : start + step].reset_index(drop=True)
+
+
 def _assign(df: DataFrame, pivots: np.ndarray, schema: str) -> DataFrame:
     """Add the nearest pivot (``cell``) and the distance to it."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            if len(pdf):
-                d = _distances(_matrix(pdf["vec"]), pivots)
-                cell = d.argmin(axis=1)
-                yield pdf.assign(cell=cell, to_pivot=d[np.arange(len(pdf)), cell])
+        for pdf in _chunks(batches, len(pivots)):
+            d = _distances(_matrix(pdf["vec"]), pivots)
+            cell = d.argmin(axis=1)
+            yield pdf.assign(cell=cell, to_pivot=d[np.arange(len(pdf)), cell])
 
     names = [part.split()[0] for part in schema.split(", ")]
     return df.select(*names).mapInPandas(run, f"{schema}, cell int, to_pivot double")
@@ -116,9 +126,7 @@ def _probes(radius: DataFrame, cells: DataFrame, pivots: np.ndarray, key_type: s
     far = np.array([extent.get(c, (0.0, 0.0))[1] for c in range(len(pivots))])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            if not len(pdf):
-                continue
+        for pdf in _chunks(batches, len(pivots)):
             vec, home = _matrix(pdf["vec"]), pdf["cell"].to_numpy()
             reach = pdf["radius"].to_numpy()[:, None] * (1 + 1e-9) + 2 * 10.0**-DIGITS
             d = _distances(vec, pivots)

@@ -22,8 +22,9 @@ from tallyfold.runtime import bounded_rows, lookup_join, settle, stage, staged_o
 SINGLE_WINDOW_ROWS = 200_000
 SKETCH_ACCURACY = 10_000
 MOMENTS = {"mean": F.avg, "std": F.stddev, "min": F.min, "max": F.max}
-# 16**5 hash prefixes: at 10**12 rows the rows sharing a prefix still fit one task.
-PREFIX_DIGITS = 5
+# 16**4 hash prefixes: few enough to combine well on the map side, and at 10**12 rows the rows that
+# share a prefix (the only ones ranked) still fit one task.
+PREFIX_DIGITS = 4
 
 
 def ordered_cumsum(

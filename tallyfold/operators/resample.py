@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyfold.functions.scalars import hash_key, hash_uniform
@@ -24,6 +24,7 @@ STRATEGIES = (
 SMOTE_K = 5  # fixed values: neighbours per method
 BORDER_K = 10
 ENN_K = 3
+COPY_RANGE = 100_000
 
 
 def class_sizes(df: DataFrame, y: str = "y") -> tuple[int, int, int]:
@@ -44,15 +45,26 @@ def _spread(df: DataFrame, total: int, rows: int, seed, key: str = "key") -> Dat
     return attach_cuts(df.withColumn("__h", h), cuts.drop("n"), []).withColumn("copies", F.lit(whole) + extra).drop("__h", "cuts")
 
 
-def _copy_numbers() -> Column:
-    return F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")
+def _numbered_copies(df: DataFrame, total: int, key: str = "key") -> DataFrame:
+    """One row per copy with its number ``copy``, 1 to ``copies``.
+
+    A few seed rows may stand for a very large number of copies. They are first cut into ranges of
+    COPY_RANGE and dealt out to enough tasks; a range is then expanded inside its task.
+    """
+    last = F.least(F.col("copies"), (F.col("range") + 1) * COPY_RANGE)
+    ranged = df.where("copies > 0").withColumn("range", F.explode(F.expr(f"sequence(0, (copies - 1) div {COPY_RANGE})")))
+    tasks = total // (10 * COPY_RANGE)
+    if tasks > 1:
+        ranged = ranged.repartition(min(tasks, 100_000), key, "range")
+    numbers = F.sequence(F.col("range") * COPY_RANGE + 1, last).cast("array<int>")
+    return ranged.withColumn("copy", F.explode(numbers)).drop("range", "copies")
 
 
 def oversample_copies(df: DataFrame, key: str = "key", y: str = "y", seed=42) -> DataFrame:
     """(key, y, copy): the duplicates that lift the minority class to parity."""
     label, small, large = class_sizes(df, y)
     spread = _spread(df.where(F.col(y) == label), large - small, small, seed, key)
-    return spread.where("copies > 0").select(*df.columns, _copy_numbers())
+    return _numbered_copies(spread, large - small, key)
 
 
 def undersample(df: DataFrame, key: str = "key", y: str = "y", seed=42) -> DataFrame:
@@ -73,10 +85,10 @@ def majority_share(df: DataFrame, label: int, k: int) -> DataFrame:
     return near.join(classes, "neighbour").groupBy("key").agg(F.sum((F.col("y") != label).cast("long")).alias("others"))
 
 
-def interpolated(minority: DataFrame, seeds: DataFrame, seed, k: int = SMOTE_K) -> DataFrame:
+def interpolated(minority: DataFrame, seeds: DataFrame, total: int, seed, k: int = SMOTE_K) -> DataFrame:
     """(key, seed_key, copy, neighbour, u, vec): points between a seed row and one of its neighbours.
 
-    ``seeds`` has ``(key, vec, copies)``. Neighbour lists are built once per seed row; the copies are
+    ``seeds`` has ``(key, vec, copies)``, ``total`` copies in all. Neighbour lists are built once per seed row; the copies are
     exploded afterwards, so the join does not grow with the number of synthetic rows.
     """
     near = knn(seeds, minority, k, "key", "vec")
@@ -85,8 +97,7 @@ def interpolated(minority: DataFrame, seeds: DataFrame, seed, k: int = SMOTE_K)
         F.sort_array(F.collect_list(F.struct("rank", "neighbour", "nvec"))).alias("near")
     )
     drawn = (
-        seeds.where("copies > 0").join(lists, "key")
-        .select("key", "vec", "near", _copy_numbers())
+        _numbered_copies(seeds.select("key", "vec", "copies").join(lists, "key"), total)
         .withColumn("u", hash_uniform(hash_key(f"{seed}|step", "key", "copy")))
         .withColumn(
             "pick", F.floor(hash_uniform(hash_key(f"{seed}|neighbour", "key", "copy")) * F.size("near")).cast("int")
@@ -118,7 +129,7 @@ def smote_rows(df: DataFrame, seed=42, k: int = SMOTE_K) -> DataFrame:
     label, small, large = class_sizes(df)
     _check_rows(small, k)
     minority = df.where(F.col("y") == label)
-    return interpolated(minority, _spread(minority, large - small, small, seed), seed, k)
+    return interpolated(minority, _spread(minority, large - small, small, seed), large - small, seed, k)
 
 
 def adasyn_counts(df: DataFrame, k: int = SMOTE_K) -> DataFrame:
@@ -134,8 +145,8 @@ def adasyn_counts(df: DataFrame, k: int = SMOTE_K) -> DataFrame:
 
 
 def adasyn_rows(df: DataFrame, seed=42, k: int = SMOTE_K) -> DataFrame:
-    label = class_sizes(df)[0]
-    return interpolated(df.where(F.col("y") == label), stage(adasyn_counts(df, k), "adasyn"), seed, k)
+    label, small, large = class_sizes(df)
+    return interpolated(df.where(F.col("y") == label), stage(adasyn_counts(df, k), "adasyn"), large - small, seed, k)
 
 
 def danger_rows(df: DataFrame, k: int = BORDER_K) -> DataFrame:
@@ -153,7 +164,7 @@ def borderline_rows(df: DataFrame, seed=42, k: int = SMOTE_K, border_k: int = BO
     n = danger.count()
     minority = df.where(F.col("y") == label)
     seeds = _spread(danger, large - small, n, seed) if n else danger.withColumn("copies", F.lit(0))
-    return interpolated(minority, seeds, seed, k)
+    return interpolated(minority, seeds, large - small, seed, k)
 
 
 def tomek_links(df: DataFrame) -> DataFrame:

@@ -17,6 +17,8 @@ from pyspark.util import inheritable_thread_target
 
 # A lookup side above this many rows is joined by shuffle instead of broadcast.
 MAX_LOOKUP_ROWS = 100_000
+# The same for its size: rows may be wide.
+MAX_LOOKUP_BYTES = 64 << 20
 
 _local_stage: dict[str, str] = {}
 _staged: dict[str, list[str]] = {}
@@ -102,18 +104,19 @@ def lookup_join(
 ) -> DataFrame:
     """Join a per-group table onto a large frame.
 
-    The small side is evaluated once. Within ``limit`` rows it is broadcast as a local relation;
+    The small side is evaluated once. Within ``limit`` rows and MAX_LOOKUP_BYTES it is broadcast as a local relation;
     beyond that the join is left to a shuffle join, where adaptive execution splits skewed keys.
     ``rows`` is its row count if the caller knows it, which saves a probe of a side that is too large.
     """
     if rows is not None and rows > limit:
         return big.join(small, on, how)
-    if hasattr(small, "_local_rows") and len(small._local_rows) <= limit:
-        return big.join(F.broadcast(small), on, how)
-    found = bounded_rows(small, limit)
-    if found is None:
-        return big.join(small, on, how)
-    return big.join(F.broadcast(local_frame(big.sparkSession, found, small.schema)), on, how)
+    if not hasattr(small, "_local_rows"):
+        found = bounded_rows(small, limit)
+        if found is None:
+            return big.join(small, on, how)
+        small = local_frame(big.sparkSession, found, small.schema)
+    fits = len(small._local_rows) <= limit and small._local_bytes <= MAX_LOOKUP_BYTES
+    return big.join(F.broadcast(small) if fits else small, on, how)
 
 
 def local_frame(spark: SparkSession, rows: list, schema: T.StructType) -> DataFrame:
@@ -121,8 +124,9 @@ def local_frame(spark: SparkSession, rows: list, schema: T.StructType) -> DataFr
     relaxed = T.StructType([T.StructField(f.name, f.dataType, True) for f in schema])
     records = [r.asDict() if isinstance(r, Row) else dict(zip(relaxed.names, r)) for r in rows]
     # An Arrow table becomes a local relation: joins see its exact size and reading it needs no job.
-    frame = spark.createDataFrame(pa.Table.from_pylist(records, schema=to_arrow_schema(relaxed)), relaxed)
-    frame._local_rows = rows
+    table = pa.Table.from_pylist(records, schema=to_arrow_schema(relaxed))
+    frame = spark.createDataFrame(table, relaxed)
+    frame._local_rows, frame._local_bytes = rows, table.nbytes
     return frame
 
 

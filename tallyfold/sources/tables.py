@@ -128,9 +128,9 @@ def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     spaces = F.length("text") - F.length(F.replace(F.col("text"), F.lit(" "), F.lit("")))
     lines = F.length("text") - F.length(F.replace(F.col("text"), F.lit("\n"), F.lit("")))
-    return documents.join(labels, "doc_id").select(
+    # Measured before the join, so that texts are never exchanged.
+    shapes = documents.select(
         "doc_id",
-        F.col("quality").alias("y"),
         F.col("n_chars").cast("double").alias("n_chars"),
         spaces.cast("double").alias("n_spaces"),
         (F.length("text") / (spaces + 1)).alias("chars_per_space"),
@@ -138,6 +138,7 @@ def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "lang",
         "source",
     )
+    return shapes.join(labels.select("doc_id", F.col("quality").alias("y")), "doc_id")
 
 
 QUALITY_NUMS = ("n_chars", "n_spaces", "chars_per_space", "n_lines")

@@ -52,6 +52,15 @@ def test_parity_strategies(spark):
         assert counts[0] == counts[1], s
 
 
+def test_many_copies_of_few_seeds(spark, monkeypatch):
+    """Ranges of copies expand to the same rows however small a range is."""
+    monkeypatch.setattr(resample, "COPY_RANGE", 3)
+    _, _, df = points(spark)
+    copies = resample.oversample_copies(df.withColumnRenamed("key", "id"), "id").select("id", "copy").collect()
+    assert len(copies) == len(set(copies)) == 160
+    assert min(c["copy"] for c in copies) == 1 and max(c["copy"] for c in copies) == 4
+
+
 def test_tomek_removal_leaves_pairs_unlinked(spark):
     _, _, df = points(spark, copies=1)
     links = resample.tomek_links(df).collect()
