@@ -230,7 +230,8 @@ def passed_cuts(h="h", cuts="cuts") -> Column:
 
 
 def attach_cuts(df: DataFrame, cuts: DataFrame, strata: list[str]) -> DataFrame:
-    return _attach_totals(df, cuts, strata)
+    """Add the cuts of each row's stratum; rows of a null stratum stay, without cuts."""
+    return lookup_join(df, cuts, strata, "left") if strata else _attach_totals(df, cuts, strata)
 
 
 def _attach_totals(df: DataFrame, totals: DataFrame, by: list[str]) -> DataFrame:

@@ -32,7 +32,7 @@ def train_counts(sizes: DataFrame, strata: list[str], test_size: float) -> DataF
 
 
 def stratified_split(df: DataFrame, keys: list[str], y: str, test_size: float = 0.5, seed=42) -> DataFrame:
-    """Add ``split`` = 'train' or 'test', class shares kept."""
+    """Add ``split`` = 'train' or 'test', class shares kept; rows without a class go to 'test'."""
     h = hash_key(seed, *keys)
     cuts = hash_cuts(
         df.select(y, h.alias("h")),

@@ -51,6 +51,12 @@ def test_split_keeps_shares_and_repeats(rows):
         assert abs(((a["y"] == y) & (a["split"] == "test")).sum() - 0.3 * n) <= 1
 
 
+def test_split_keeps_rows_without_class(rows):
+    gaps = rows.withColumn("y", F.when(F.col("id") % 50 != 0, F.col("y")))
+    out = split.stratified_split(gaps, ["id"], "y")
+    assert out.count() == 4000 and out.where("y is null and split = 'test'").count() == 80
+
+
 def test_folds_cover_and_balance(rows):
     pdf = split.repeated_folds(rows, ["id"], "y", 4, 2).toPandas()
     assert len(pdf) == 8000 and pdf.groupby(["id", "repeat"]).size().max() == 1
