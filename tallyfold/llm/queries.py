@@ -6,10 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyfold.llm import queries_native
+from tallyfold.llm import queries_models, queries_native
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_nb_svm_quality": queries_models.op1_nb_svm_quality,
     "op5_hash_ring": queries_native.op5_hash_ring,
+    "op6_conv_toxicity": queries_models.op6_conv_toxicity,
     "op7_source_mix": queries_native.op7_source_mix,
+    "op8_warc_transactions": queries_models.op8_warc_transactions,
+    "op9_ngram_bayes_language": queries_models.op9_ngram_bayes_language,
+    "op10_template_decontamination": queries_models.op10_template_decontamination,
 }
 SQL: dict[str, str] = {}

@@ -90,6 +90,17 @@ def text_slices(column: pa.Array | pa.ChunkedArray, limit: int = SLICE_BYTES) ->
         row = end
 
 
+def range_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hash of each ``data[start:end]``, from one running sum of weighted bytes."""
+    n = len(data)
+    power, inverse = _power_table(n + 1)
+    with np.errstate(over="ignore"):
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:n], out=sums[1:])
+        h = (sums[end] - sums[start]) * inverse[start]
+        return mix(h ^ ((end - start).astype(np.uint64) * _Q))
+
+
 def split_words(data: np.ndarray, offsets: np.ndarray, fold: bool = True, separators: np.ndarray = SPACE) -> Words:
     n, docs = len(data), len(offsets) - 1
     if fold:
@@ -106,12 +117,7 @@ def split_words(data: np.ndarray, offsets: np.ndarray, fold: bool = True, separa
     ends[:-1] &= ~inside[1:] | cut[1:n]
     start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
     first = np.searchsorted(start, offsets)
-    power, inverse = _power_table(n + 1)
-    with np.errstate(over="ignore"):
-        sums = np.zeros(n + 1, np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:n], out=sums[1:])
-        h = (sums[end] - sums[start]) * inverse[start]
-        h = mix(h ^ ((end - start).astype(np.uint64) * _Q))
+    h = range_hashes(data, start, end)
     return Words(data, start, end, first, h)
 
 
