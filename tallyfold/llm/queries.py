@@ -10,6 +10,7 @@ from tallyfold.llm import queries_models, queries_native, queries_similar
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_nb_svm_quality": queries_models.op1_nb_svm_quality,
+    "op2_gru_language_model": queries_models.op2_gru_language_model,
     "op3_partenum_join": queries_similar.op3_partenum_join,
     "op4_hnsw_near_duplicates": queries_similar.op4_hnsw_near_duplicates,
     "op5_hash_ring": queries_native.op5_hash_ring,

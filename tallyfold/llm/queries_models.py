@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.llm import langid, quality, templates, toxicity, warc
+from tallyfold.llm import gru, langid, quality, templates, toxicity, warc
 from tallyfold.llm.parts import fold, read
 
 QUALITY_THRESHOLD = 0.3
@@ -50,3 +50,11 @@ def op8_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("response.type").alias("record_type"),
         F.col("response.refers_to").cast("long").alias("refers_to"),
     )
+
+
+def op2_gru_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    scored = gru.score_documents(docs, fold("doc_id", 5) != 1)
+    return scored.select(
+        "doc_id", (fold("doc_id", 5) == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
