@@ -332,7 +332,7 @@ def verify(pairs: DataFrame, docs: DataFrame, keys: DataFrame, text_col: str, n:
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5) -> DataFrame:
-    """(doc_id, n_shingles, component_id, text_key) of every document.
+    """(doc_id, n_shingles, component_id, text_key, first) of every document; ``first`` marks the one that stands for its component.
 
     Documents are sets of ``n``-word shingles (words of a null or empty text: none, and it links with nothing; fewer
     than ``n`` words are one shingle). Two documents link when their Jaccard similarity is at least 0.75. component_id is
@@ -371,9 +371,15 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     )
     # A set that nothing else links with is its own root; a document without a set is its own component.
     root = F.when(F.col("sid") != 0, F.coalesce("root", "sid"))
-    smallest = owners.withColumn("root", root).groupBy("root").agg(F.min("doc_id").alias("least"))
+    # Null ids come last; of rows that share the smallest id, the first by text hash stands for the component.
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")
+    smallest = owners.withColumn("root", root).groupBy("root").agg(F.min(order).alias("least"))
     out = owners.withColumn("root", root).join(smallest, "root", "left")
-    return out.select("doc_id", "n_shingles", F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"), "text_key")
+    alone = F.col("root").isNull()
+    return out.select(
+        "doc_id", "n_shingles", F.when(alone, F.col("doc_id")).otherwise(F.col("least.doc_id")).alias("component_id"), "text_key",
+        (alone | F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("text_key") == F.col("least.text_key"))).alias("first"),
+    )
 
 
 def _rest_of_long_runs(longer, pivots, judged, links, sketches, docs, keys, text_col, n) -> DataFrame:

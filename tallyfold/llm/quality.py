@@ -169,19 +169,19 @@ def train(docs: DataFrame, labels: DataFrame, use: Column, label: str = "quality
     return Model((w * ratio).astype(np.float32), bias, slope, offset)
 
 
-def score(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text", bits: int = BITS) -> DataFrame:
-    """``keep`` columns and ``score``, the chance of label 1. A null text is scored as the empty text, as are texts without words."""
+def score(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text", bits: int = BITS, out: str = "score") -> DataFrame:
+    """``keep`` columns and ``out``, the chance of label 1. A null text is scored as the empty text, as are texts without words."""
     shared = docs.sparkSession.sparkContext.broadcast(vars(model))
-    inner = docs.select(*keep, F.col(text_col).alias("_text"))
-    schema = inner.drop("_text").schema.add("score", "double")
+    columns = [*keep, *([] if text_col in keep else [text_col])]
+    inner, at = docs.select(*[F.col(f"`{c}`") for c in columns]), columns.index(text_col)
+    schema = docs.select(*[F.col(f"`{c}`") for c in keep]).schema.add(out, "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = Model(**shared.value)
         for batch in batches:
-            out = np.zeros(batch.num_rows)
-            for row, end, data, offsets in text_slices(batch.column(batch.num_columns - 1)):
-                out[row:end] = _score(net, data, offsets, bits)
-            columns = [batch.column(i) for i in range(batch.num_columns - 1)]
-            yield pa.record_batch([*columns, pa.array(out)], schema.names)
+            scores = np.zeros(batch.num_rows)
+            for row, end, data, offsets in text_slices(batch.column(at)):
+                scores[row:end] = _score(net, data, offsets, bits)
+            yield pa.record_batch([*batch.columns[: len(keep)], pa.array(scores)], schema.names)
 
     return inner.mapInArrow(run, schema)
