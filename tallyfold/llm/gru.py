@@ -89,12 +89,14 @@ def new_model(head: np.ndarray, counts: np.ndarray, tail: np.ndarray, seed: int
     per = max(1, math.ceil(k / CLASSES))
     cls = np.arange(k) // per
     total = np.concatenate([np.bincount(cls, counts, CLASSES), tail]) + 0.5
+    offset = np.log(total / total.sum())
+    offset[:CLASSES][np.arange(CLASSES) * per >= k] = -30.0  # a class without words has no chance
     order = np.argsort(head)
     return {
         "sorted": head[order], "rank": order.astype(np.int32), "per": per,
         "wx": rng.normal(0, 0.1, (k + TAIL_CLASSES + 1, 3 * HIDDEN)).astype(np.float32),
         "u": rng.normal(0, 1 / math.sqrt(HIDDEN), (HIDDEN, 3 * HIDDEN)).astype(np.float32),
-        "wc": np.zeros((HIDDEN, CLASSES + TAIL_CLASSES), np.float32), "bc": np.log(total / total.sum()).astype(np.float32),
+        "wc": np.zeros((HIDDEN, CLASSES + TAIL_CLASSES), np.float32), "bc": offset.astype(np.float32),
         "ww": np.zeros((k, HIDDEN), np.float32), "bw": np.log((counts + 0.5)).astype(np.float32),
     }
 
@@ -112,6 +114,8 @@ def lookup(table: np.ndarray, h: np.ndarray) -> np.ndarray:
 
 def symbols(model: dict, h: np.ndarray, cls: np.ndarray) -> np.ndarray:
     """Input and target numbers: head words by rank, then tail classes."""
+    if not len(model["rank"]):
+        return cls.astype(np.int32)
     at = lookup(model["sorted"], h)
     return np.where(at >= 0, model["rank"][at], len(model["rank"]) + cls.astype(np.int32)).astype(np.int32)
 

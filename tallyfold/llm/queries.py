@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyfold.llm import queries_models, queries_native, queries_similar
+from tallyfold.llm import queries_models, queries_native, queries_similar, queries_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_nb_svm_quality": queries_models.op1_nb_svm_quality,
@@ -20,4 +20,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_ngram_bayes_language": queries_models.op9_ngram_bayes_language,
     "op10_template_decontamination": queries_models.op10_template_decontamination,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op3_partenum_join": queries_sql.JACCARD,
+    "op4_hnsw_near_duplicates": queries_sql.VECTORS,
+    "op5_hash_ring": queries_sql.RING,
+    "op7_source_mix": queries_sql.MIX,
+    "op8_warc_transactions": queries_sql.WARC,
+}

@@ -22,19 +22,3 @@ def op5_hash_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(read(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken")
-
-
-# crc32 is not a function of the SQL engine; a table of 256 words over the bytes gives it.
-_CRC = """
-crc_table AS (
-  SELECT list(c ORDER BY i) AS t FROM (
-    SELECT i, list_reduce([i] || range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS c
-    FROM (SELECT unnest(range(256)) AS i)))"""
-
-
-def crc_of(bytes_list: str) -> str:
-    step = "xor(c // 256, t[1 + xor(c % 256, b)])"
-    return f"xor(list_reduce([4294967295] || {bytes_list}, lambda c, b: {step}), 4294967295)"
-
-
-BYTES = "list_transform(range(1, strlen(x) + 1), lambda i: ('0x' || substr(hex(encode(x)), 2 * i - 1, 2))::BIGINT)"
