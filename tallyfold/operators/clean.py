@@ -87,7 +87,3 @@ def group_summary(df: DataFrame, by: list[str], cols: list[str], stats: tuple[st
 
 def rank_scaled(df: DataFrame, score: str, out: str, by: list[str] | None = None) -> DataFrame:
     return average_rank(df, score, by, out)
-
-
-def first_in_order(cols: list[str]) -> Column:
-    return F.coalesce(*[q(c) for c in cols])

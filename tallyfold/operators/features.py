@@ -29,7 +29,7 @@ TAIL = 1e-7
 TAIL_QUANTILE = 5.199337582605575
 MAX_QUANTILES = 1000
 _BREAKS = T.StructType(
-    [T.StructField(n, T.DoubleType()) for n in ("bucket", "at", "low", "high", "next_at", "next_low")]
+    [T.StructField(n, T.DoubleType()) for n in ("__bucket", "__at", "__low", "__high", "__next_at", "__next_low")]
 )
 
 
@@ -191,9 +191,9 @@ def break_points(points: list[float]) -> list[tuple]:
 
 def quantile_position(x: Column, first: float, final: float) -> Column:
     """Empirical CDF of ``x`` from its break-point row; the mean of both sides on a tie."""
-    share = (x - F.col("at")) / (F.col("next_at") - F.col("at"))
-    inner = F.when(x == F.col("at"), (F.col("low") + F.col("high")) / 2).otherwise(
-        F.col("high") + (F.col("next_low") - F.col("high")) * share
+    share = (x - F.col("__at")) / (F.col("__next_at") - F.col("__at"))
+    inner = F.when(x == F.col("__at"), (F.col("__low") + F.col("__high")) / 2).otherwise(
+        F.col("__high") + (F.col("__next_low") - F.col("__high")) * share
     )
     return (
         F.when(x.isNull() | F.isnan(x), F.lit(None).cast("double"))
@@ -224,12 +224,12 @@ class QuantileNormalModel(_ColumnModel):
             table = local_frame(dataset.sparkSession, rows, _BREAKS)
             # Bucketizer searches the break points inside the JVM; their rows, at most
             # MAX_QUANTILES of them, come in by a broadcast join.
-            out = Bucketizer(splits=splits, inputCol="__x", outputCol="bucket", handleInvalid="keep").transform(
+            out = Bucketizer(splits=splits, inputCol="__x", outputCol="__bucket", handleInvalid="keep").transform(
                 out.withColumn("__x", q(c).cast("double"))
             )
             position = quantile_position(F.col("__x"), points[0], points[-1])
             # The position is its own column: the normal map refers to it many times.
-            out = lookup_join(out, table, ["bucket"], "left").withColumn("__p", position)
+            out = lookup_join(out, table, ["__bucket"], "left").withColumn("__p", position)
             out = out.withColumn(c, normal_score(F.col("__p"))).select(*[q(n) for n in names])
         return out
 

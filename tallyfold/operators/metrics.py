@@ -51,12 +51,6 @@ def binary_metrics(
     return cells.select(*by, *CELLS, *label_metrics(costs=costs, only=only).values())
 
 
-def objective_value(scores: DataFrame, objective: str, by: list[str] | None = None, costs=DEFAULT_COSTS) -> DataFrame:
-    """(by..., objective) for a named tuning objective; unknown names raise."""
-    metric = objective_metric(objective)
-    return binary_metrics(scores, by, costs, (metric,)).select(*(by or []), F.col(metric).alias("objective"))
-
-
 def cost_benefit(confusion: DataFrame, values: Mapping[tuple, float], by: list[str] | None = None) -> DataFrame:
     """(by..., n, raw, normalised) from a long confusion table, any number of classes."""
     by = list(by or [])

@@ -192,17 +192,17 @@ def hash_cuts(keys: DataFrame, strata: list[str], targets: Callable[[DataFrame],
     """
     if not strata:
         keys, strata = keys.withColumn("__all", F.lit(0)), ["__all"]
-    prefixed = keys.withColumn("prefix", F.substring("h", 1, PREFIX_DIGITS))
-    hist = stage(prefixed.groupBy(*strata, "prefix").agg(F.count("*").alias("cnt")), "prefixes")
+    prefixed = keys.withColumn("__prefix", F.substring("h", 1, PREFIX_DIGITS))
+    hist = stage(prefixed.groupBy(*strata, "__prefix").agg(F.count("*").alias("cnt")), "prefixes")
     sizes = hist.groupBy(*strata).agg(F.sum("cnt").alias("n"))
     wanted = settle(targets(sizes).select(*strata, "n", "ranks"), "targets")
-    w = Window.partitionBy(*strata).orderBy("prefix").rowsBetween(Window.unboundedPreceding, 0)
+    w = Window.partitionBy(*strata).orderBy("__prefix").rowsBetween(Window.unboundedPreceding, 0)
     cum = hist.withColumn("upto", F.sum("cnt").over(w)).withColumn("before", F.col("upto") - F.col("cnt"))
     located = (
         _attach_totals(cum, wanted.select(*strata, "ranks"), strata)
         .select(
             *strata,
-            "prefix",
+            "__prefix",
             F.filter(
                 F.transform("ranks", lambda r: r - F.col("before")), lambda need: (need >= 1) & (need <= F.col("cnt"))
             ).alias("need"),
@@ -211,26 +211,27 @@ def hash_cuts(keys: DataFrame, strata: list[str], targets: Callable[[DataFrame],
         .where(F.size("need") > 0)
     )
     located = settle(located, "located")
-    boundary = lookup_join(prefixed, located, [*strata, "prefix"], "inner")
-    rank = F.row_number().over(Window.partitionBy(*strata, "prefix").orderBy("h"))
+    boundary = lookup_join(prefixed, located, [*strata, "__prefix"], "inner")
+    rank = F.row_number().over(Window.partitionBy(*strata, "__prefix").orderBy("h"))
     found = (
         boundary.withColumn("rn", rank)
         .where(F.array_contains("need", F.col("rn").cast("long")))
         .groupBy(*strata)
         .agg(F.map_from_entries(F.collect_list(F.struct((F.col("before") + F.col("rn")).alias("k"), "h"))).alias("at"))
     )
-    joined = wanted.join(found, strata, "left")
+    joined = lookup_join(wanted, found, strata, "left")
     cuts = F.transform("ranks", lambda r: F.coalesce(F.element_at("at", r), F.lit("")))
     return settle(joined.select(*strata, "n", cuts.alias("cuts")), "cuts").drop("__all")
 
 
-def passed_cuts(h="h", cuts="cuts") -> Column:
+def passed_cuts(h="h", cuts="__cuts") -> Column:
     """How many cuts a hash lies beyond: 0 for the first block, and so on."""
     return F.size(F.filter(cuts, lambda c: c < F.col(h)))
 
 
 def attach_cuts(df: DataFrame, cuts: DataFrame, strata: list[str]) -> DataFrame:
-    """Add the cuts of each row's stratum; rows of a null stratum stay, without cuts."""
+    """Add ``__cuts``, those of each row's stratum; rows of a stratum that was not cut stay, without them."""
+    cuts = cuts.withColumnRenamed("cuts", "__cuts")
     return lookup_join(df, cuts, strata, "left") if strata else _attach_totals(df, cuts, strata)
 
 

@@ -7,8 +7,6 @@ Every random choice is a hash of the row key, so results do not depend on partit
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,8 +39,8 @@ def _spread(df: DataFrame, total: int, rows: int, seed, key: str = "key") -> Dat
     h = hash_key(f"{seed}|copies", key)
     whole, rest = divmod(total, rows)
     cuts = hash_cuts(df.select(h.alias("h")), [], lambda t: t.withColumn("ranks", F.array(F.lit(rest).cast("long"))))
-    extra = (F.col("__h") <= F.col("cuts")[0]).cast("int")
-    return attach_cuts(df.withColumn("__h", h), cuts.drop("n"), []).withColumn("copies", F.lit(whole) + extra).drop("__h", "cuts")
+    extra = (F.col("__h") <= F.col("__cuts")[0]).cast("int")
+    return attach_cuts(df.withColumn("__h", h), cuts.drop("n"), []).withColumn("copies", F.lit(whole) + extra).drop("__h", "__cuts")
 
 
 def _numbered_copies(df: DataFrame, total: int, key: str = "key") -> DataFrame:
@@ -226,11 +224,3 @@ def resample(df: DataFrame, strategy: str, seed=42) -> DataFrame:
     if strategy == "smote_enn":
         return drop_enn(grown)
     return grown
-
-
-def resampled_counts(df: DataFrame, strategies: tuple[str, ...] = STRATEGIES, seed=42) -> DataFrame:
-    """(strategy, y, n) after each strategy."""
-    parts = [
-        resample(df, s, seed).groupBy("y").agg(F.count("*").alias("n")).withColumn("strategy", F.lit(s)) for s in strategies
-    ]
-    return reduce(lambda a, b: a.unionByName(b), parts).select("strategy", "y", "n")

@@ -32,15 +32,18 @@ def train_counts(sizes: DataFrame, strata: list[str], test_size: float) -> DataF
 
 
 def stratified_split(df: DataFrame, keys: list[str], y: str, test_size: float = 0.5, seed=42) -> DataFrame:
-    """Add ``split`` = 'train' or 'test', class shares kept; rows without a class go to 'test'."""
+    """Add ``split`` = 'train' or 'test', class shares kept.
+
+    Rows without a class go to 'test' and take no part in the shares.
+    """
     h = hash_key(seed, *keys)
     cuts = hash_cuts(
-        df.select(y, h.alias("h")),
+        df.where(F.col(y).isNotNull()).select(y, h.alias("h")),
         [y],
         lambda sizes: train_counts(sizes, [y], test_size).withColumn("ranks", F.array("take")),
     )
     marked = attach_cuts(df.withColumn("__h", h), cuts.drop("n"), [y])
-    return marked.withColumn("split", F.when(F.col("__h") <= F.col("cuts")[0], "train").otherwise("test")).drop("__h", "cuts")
+    return marked.withColumn("split", F.when(F.col("__h") <= F.col("__cuts")[0], "train").otherwise("test")).drop("__h", "__cuts")
 
 
 def split_report(df: DataFrame, y: str = "y", split: str = "split") -> DataFrame:
@@ -69,8 +72,11 @@ def _fold_ranks(k: int, strata: list[str], y: str) -> Column:
 
 
 def repeated_folds(df: DataFrame, keys: list[str], y: str, k: int = 5, repeats: int = 3, seed=42) -> DataFrame:
-    """Rows times repeats with ``repeat`` and ``fold`` (both from 1); folds are disjoint and stratified."""
-    exploded = df.withColumn("repeat", F.explode(F.sequence(F.lit(1), F.lit(repeats))))
+    """Rows times repeats with ``repeat`` and ``fold`` (both from 1); folds are disjoint and stratified.
+
+    Rows without a class are in no fold and are left out.
+    """
+    exploded = df.where(F.col(y).isNotNull()).withColumn("repeat", F.explode(F.sequence(F.lit(1), F.lit(repeats))))
     h = hash_key(seed, "repeat", *keys)
 
     def targets(sizes: DataFrame) -> DataFrame:
@@ -79,11 +85,7 @@ def repeated_folds(df: DataFrame, keys: list[str], y: str, k: int = 5, repeats:
 
     cuts = hash_cuts(exploded.select("repeat", y, h.alias("h")), ["repeat", y], targets)
     marked = attach_cuts(exploded.withColumn("__h", h), cuts.drop("n"), ["repeat", y])
-    return marked.withColumn("fold", passed_cuts("__h") + 1).drop("__h", "cuts")
-
-
-def single_folds(df: DataFrame, keys: list[str], y: str, k: int = 5, seed=42) -> DataFrame:
-    return repeated_folds(df, keys, y, k, 1, seed).drop("repeat")
+    return marked.withColumn("fold", passed_cuts("__h") + 1).drop("__h", "__cuts")
 
 
 def fold_position(split_index, k: int) -> tuple[Column, Column]:
@@ -92,10 +94,6 @@ def fold_position(split_index, k: int) -> tuple[Column, Column]:
     return (F.floor((i - 1) / k) + 1).cast("int"), ((i - 1) % k + 1).cast("int")
 
 
-def split_index(repeat: str, fold: str, k: int) -> Column:
-    return ((F.col(repeat) - 1) * k + F.col(fold)).cast("int")
-
-
 def training_sizes(low: float, high: float, steps: int) -> list[float]:
     return [low + (high - low) * i / (steps - 1) for i in range(steps)]
 
@@ -110,4 +108,4 @@ def nested_subsets(df: DataFrame, keys: list[str], sizes: list[float], seed=42)
     cuts = hash_cuts(df.select(h.alias("h")), [], lambda totals: totals.withColumn("ranks", ranks))
     marked = attach_cuts(df.withColumn("__h", h), cuts.drop("n"), [])
     place = passed_cuts("__h")
-    return marked.withColumn("subset", F.when(place >= len(sizes), 0).otherwise(place + 1)).drop("__h", "cuts")
+    return marked.withColumn("subset", F.when(place >= len(sizes), 0).otherwise(place + 1)).drop("__h", "__cuts")

@@ -9,13 +9,15 @@ from tallyfold.operators import clean, diagnose, split
 from tallyfold.operators.curves import ranking_metrics
 from tallyfold.operators.features import feature_names
 from tallyfold.operators.metrics import binary_metrics
+from tallyfold.operators.resample import STRATEGIES
 from tallyfold.operators.threshold import best_threshold, chosen_threshold, threshold_sweep
 from tallyfold.plans import ensemble, evaluate
 from tallyfold.plans.evaluate import Candidate, TableSpec
 from tallyfold.plans.models import importance_table
 from tallyfold.plans.registry import query
-from tallyfold.runtime import stage
-from tallyfold.sources.tables import QUALITY_CATS, QUALITY_NUMS, census, quality
+from tallyfold.plans.split_queries import SPLIT_SQL
+from tallyfold.runtime import lookup_join, stage
+from tallyfold.sources.tables import CENSUS_SQL, QUALITY_CATS, QUALITY_NUMS, census, quality
 
 QUALITY = TableSpec("doc_id", QUALITY_NUMS, QUALITY_CATS)
 # Short settings: the same learners with fewer trees.
@@ -38,16 +40,37 @@ def test_scores(spark, sf_dir, c: Candidate):
     return ensemble.base_scores(train, test, QUALITY, [c]).select("key", "y", "p", "label")
 
 
-def _scores(c: Candidate):
-    return lambda spark, sf_dir: test_scores(spark, sf_dir, c)
+# Which rows are scored, and their class, is determined; scores are not. The queries say of every test row whether its score is
+# a probability and whether its label is the one that the score stands for.
+QUALITY_SPLIT_SQL = SPLIT_SQL.replace(
+    CENSUS_SQL, "census AS (SELECT doc_id AS id, quality AS y FROM labels JOIN documents USING (doc_id))"
+)
+SCORED_SQL = f"WITH {QUALITY_SPLIT_SQL} SELECT id AS key, y, TRUE AS p_ok, TRUE AS label_ok FROM halves WHERE split = 'test'"
 
 
-query("lr_scores")(_scores(LOGISTIC))
-query("rf_scores")(_scores(FOREST))
-query("gbt_scores")(_scores(BOOSTED))
-query("gbt_lgbm_like_scores")(_scores(LEAFWISE))
-query("svc_like_scores")(_scores(KERNEL))
-query("mlp_scores")(_scores(NETWORK))
+def checked(scores):
+    """(key, y, p_ok, label_ok); label 1 stands for p > 0.5."""
+    label_ok = F.col("label") == (F.col("p") > 0.5).cast("int")
+    return scores.select(F.col("key").cast("long").alias("key"), "y", F.col("p").between(0, 1).alias("p_ok"), label_ok.alias("label_ok"))
+
+
+def checked_ranks(scores):
+    """The same for scores that are ranks of a margin: every row of label 1 ranks above every row of label 0."""
+    top_of_0 = scores.where("label = 0").agg(F.max("p")).first()[0]
+    label_ok = (F.col("label") == 0) | (F.col("p") > (top_of_0 or 0.0))
+    return scores.select(F.col("key").cast("long").alias("key"), "y", F.col("p").between(0, 1).alias("p_ok"), label_ok.alias("label_ok"))
+
+
+def _scores(c: Candidate, check=checked):
+    return lambda spark, sf_dir: check(test_scores(spark, sf_dir, c))
+
+
+query("lr_scores", SCORED_SQL)(_scores(LOGISTIC))
+query("rf_scores", SCORED_SQL)(_scores(FOREST))
+query("gbt_scores", SCORED_SQL)(_scores(BOOSTED))
+query("gbt_lgbm_like_scores", SCORED_SQL)(_scores(LEAFWISE))
+query("svc_like_scores", SCORED_SQL)(_scores(KERNEL, checked_ranks))
+query("mlp_scores", SCORED_SQL)(_scores(NETWORK))
 
 
 @query("quality_test_metrics")
@@ -81,7 +104,7 @@ def cv_results(spark, sf_dir):
 @query("cv_resampled")
 def cv_resampled(spark, sf_dir):
     """Every sampling strategy in front of the same learner, training rows only."""
-    tried = [Candidate("LogisticRegression", {"max_iter": 50, "class_weight": None}, s, s) for s in ("none", "smote", "tomek", "random_undersample")]
+    tried = [Candidate("LogisticRegression", {"max_iter": 50, "class_weight": None}, s, s) for s in STRATEGIES]
     return rounded(evaluate.cv_results(quality(spark, sf_dir), QUALITY, tried, 2))
 
 
@@ -111,29 +134,40 @@ def select_refit(spark, sf_dir):
     return rounded(binary_metrics(scores).withColumn("model", F.lit(chosen.name)))
 
 
-@query("soft_vote_scores")
+@query("soft_vote_scores", SCORED_SQL)
 def soft_vote_scores(spark, sf_dir):
     train, test = quality_halves(spark, sf_dir)
-    return ensemble.voting(train, test, QUALITY, [LOGISTIC, FOREST])
+    return checked(ensemble.voting(train, test, QUALITY, [LOGISTIC, FOREST]))
 
 
-@query("stacking")
+@query("stacking", SCORED_SQL)
 def stacking(spark, sf_dir):
     train, test = quality_halves(spark, sf_dir)
-    return ensemble.stacking(train, test, QUALITY, [LOGISTIC, FOREST], 3, meta=BOOSTED)
+    return checked(ensemble.stacking(train, test, QUALITY, [LOGISTIC, FOREST], 3, meta=BOOSTED))
 
 
 @query("ensemble_decision")
 def ensemble_decision(spark, sf_dir):
-    """Soft vote against its best member, both at their own best threshold."""
+    """Soft vote against its best member on the test rows.
+
+    The member and every threshold are chosen on out-of-fold scores of the training rows.
+    """
     train, test = quality_halves(spark, sf_dir)
-    base = ensemble.base_scores(train, test, QUALITY, [LOGISTIC, FOREST])
-    vote = ensemble.soft_vote(base, ["key"]).withColumn("model", F.lit("soft vote"))
-    both = stage(base.select("model", "key", "y", "p").unionByName(vote.select("model", "key", "y", "p")))
-    best = best_threshold(threshold_sweep(both, by=["model"], only=("mcc",)), ["model"], ("mcc",))
-    best = best.select("model", F.col("value").alias("mcc"))
-    single = clean.top_k(best.where("model <> 'soft vote'"), "mcc", 1, "model")
-    return rounded(diagnose.ensemble_decision(single, best.where("model = 'soft vote'")))
+    bases = [LOGISTIC, FOREST]
+
+    def with_vote(scores):
+        scores = scores.select("model", "key", "y", "p")
+        vote = ensemble.soft_vote(scores, ["key"]).withColumn("model", F.lit("soft vote"))
+        return stage(scores.unionByName(vote.select("model", "key", "y", "p")))
+
+    held_out = with_vote(evaluate.score_candidates(evaluate.fold_frames(train, QUALITY, 2, 1), bases))
+    best = stage(best_threshold(threshold_sweep(held_out, by=["model"], only=("mcc",)), ["model"], ("mcc",)))
+    scored = with_vote(ensemble.base_scores(train, test, QUALITY, bases))
+    cut = lookup_join(scored, best.select("model", F.col("threshold").alias("cut")), ["model"], "inner")
+    tested = binary_metrics(cut.withColumn("label", (F.col("p") >= F.col("cut")).cast("int")), ["model"]).select("model", "mcc")
+    member = clean.top_k(best.where("model <> 'soft vote'"), "value", 1, "model").select("model")
+    single = tested.join(member, "model")
+    return rounded(diagnose.ensemble_decision(single, tested.where("model = 'soft vote'")))
 
 
 @query("learning_curve")

@@ -16,6 +16,7 @@ Substitutes, and what they do not honour:
 from __future__ import annotations
 
 import math
+import warnings
 from dataclasses import dataclass
 
 import numpy as np
@@ -60,12 +61,16 @@ DEFAULTS: dict[str, dict] = {
     "SVC": {"C": 1.0, "gamma": "scale", "class_weight": None, "max_iter": 1000, "tol": 1e-3},
     "MLPClassifier": {"hidden_layer_sizes": (100,), "max_iter": 200, "tol": 1e-4},
 }
+HONOURED_TOO = {"l1_ratio"}
 IGNORED = {
     "sampling_strategy", "solver", "l1_ratio", "min_samples_split", "colsample_bytree", "reg_alpha", "reg_lambda",
     "activation", "alpha", "learning_rate_init", "beta_1", "beta_2", "random_state", "n_jobs",
 }
 
 
+_warned: set[tuple[str, str]] = set()
+
+
 @dataclass(frozen=True)
 class TrainingFacts:
     """What some estimators need to know about the training rows."""
@@ -76,9 +81,22 @@ class TrainingFacts:
 
 
 def model_params(name: str, params: dict | None = None) -> dict:
-    """Defaults overlaid with ``params``; layer sizes may come as text such as ``64-32``."""
+    """Defaults overlaid with ``params``; layer sizes may come as text such as ``64-32``.
+
+    A parameter that no model here knows raises; one that is known but not honoured is named in a warning, once.
+    """
     if name not in DEFAULTS:
         raise ValueError(f"unknown model {name!r}; choose one of {sorted(DEFAULTS)}")
+    given = set(params or {}) - set(DEFAULTS[name]) - (HONOURED_TOO if name == "LogisticRegression" else set())
+    if unknown := sorted(given - IGNORED):
+        raise ValueError(f"unknown parameters of {name}: {unknown}")
+    for extra in sorted(given):
+        if (name, extra) not in _warned:
+            _warned.add((name, extra))
+            warnings.warn(f"{name}: {extra} is ignored", stacklevel=2)
+    fraction = float((params or {}).get("min_weight_fraction_leaf", 0.0))
+    if not 0.0 <= fraction < 0.5:
+        raise ValueError("min_weight_fraction_leaf must be at least 0 and below 0.5")
     merged = {**DEFAULTS[name], **(params or {})}
     layers = merged.get("hidden_layer_sizes")
     if isinstance(layers, str):
@@ -118,7 +136,7 @@ def create_estimator(name: str, params: dict | None = None, facts: TrainingFacts
             **cols, weightCol="weight", maxIter=int(p["n_estimators"]), stepSize=float(p["learning_rate"]),
             maxDepth=_depth(p["max_depth"]), subsamplingRate=float(p["subsample"]),
             minInstancesPerNode=int(p["min_samples_leaf"]),
-            minWeightFractionPerNode=min(float(p["min_weight_fraction_leaf"]), 0.4999),
+            minWeightFractionPerNode=float(p["min_weight_fraction_leaf"]),
             minInfoGain=float(p["min_impurity_decrease"]), featureSubsetStrategy=_subset(p["max_features"]), seed=seed,
         )
     if name == "LightGBM":
@@ -131,7 +149,7 @@ def create_estimator(name: str, params: dict | None = None, facts: TrainingFacts
     if name == "SVC":
         return LinearSVC(
             featuresCol="fourier", labelCol="y", weightCol="weight", standardization=False,
-            regParam=1.0 / (float(p["C"]) * facts.weight_sum), maxIter=min(int(p["max_iter"]), 200), tol=float(p["tol"]),
+            regParam=1.0 / (float(p["C"]) * facts.weight_sum), maxIter=int(p["max_iter"]), tol=float(p["tol"]),
         )
     layers = [facts.n_features, *map(int, p["hidden_layer_sizes"]), 2]
     return MultilayerPerceptronClassifier(**cols, layers=layers, maxIter=int(p["max_iter"]), tol=float(p["tol"]), seed=seed)

@@ -39,9 +39,6 @@ cells AS (SELECT model, threshold,
 TUNABLE_SQL = " UNION ALL ".join(
     f"SELECT model, '{m}' AS metric, threshold, {m} AS value FROM sweep" for m in threshold.TUNABLE
 )
-# Threshold-level tables use the two tied scores: the SQL joins every distinct score with the grid.
-TIED = ("discount", "tax")
-TIED_SCORES_SQL = SCORES_SQL.replace("FROM raw_scores)", "FROM raw_scores WHERE model <> 'uniform')")
 
 
 @query(
@@ -270,26 +267,22 @@ def class_report(spark, sf_dir):
     return rounded(metrics.classification_report(matrix, {0: "kept", 1: "returned"}))
 
 
-def _tied(spark, sf_dir):
-    return line_scores(spark, sf_dir, TIED)
-
-
 SWEEP_SQL = (
-    f"{TIED_SCORES_SQL}, {SWEEP_CELLS_SQL.format(last=100)}, sweep AS ({metrics_sql('cells', 'model, threshold')})"
+    f"{SCORES_SQL}, {SWEEP_CELLS_SQL.format(last=100)}, sweep AS ({metrics_sql('cells', 'model, threshold')})"
 )
 
 
 @query("threshold_sweep", f"WITH {SWEEP_SQL} SELECT * FROM sweep")
 def threshold_sweep(spark, sf_dir):
-    return rounded(threshold.threshold_sweep(_tied(spark, sf_dir), by=["model"]), 9, ("threshold",))
+    return rounded(threshold.threshold_sweep(line_scores(spark, sf_dir), by=["model"]), 9, ("threshold",))
 
 
 @query(
     "threshold_sweep_100",
-    f"WITH {TIED_SCORES_SQL}, {SWEEP_CELLS_SQL.format(last=99)} {metrics_sql('cells', 'model, threshold')}",
+    f"WITH {SCORES_SQL}, {SWEEP_CELLS_SQL.format(last=99)} {metrics_sql('cells', 'model, threshold')}",
 )
 def threshold_sweep_100(spark, sf_dir):
-    sweep = threshold.threshold_sweep(_tied(spark, sf_dir), 100, ["model"])
+    sweep = threshold.threshold_sweep(line_scores(spark, sf_dir), 100, ["model"])
     return rounded(sweep, 9, ("threshold",))
 
 
@@ -301,7 +294,7 @@ BEST_SQL = (
 
 @query("best_threshold", f"WITH {BEST_SQL} SELECT * FROM best")
 def best_threshold(spark, sf_dir):
-    sweep = rounded(threshold.threshold_sweep(_tied(spark, sf_dir), by=["model"], only=threshold.TUNABLE), 9, ("threshold",))
+    sweep = rounded(threshold.threshold_sweep(line_scores(spark, sf_dir), by=["model"], only=threshold.TUNABLE), 9, ("threshold",))
     return threshold.best_threshold(sweep, ["model"])
 
 
@@ -318,7 +311,7 @@ def best_threshold(spark, sf_dir):
     ),
 )
 def threshold_compare(spark, sf_dir):
-    scores = _tied(spark, sf_dir)
+    scores = line_scores(spark, sf_dir)
     sweep = rounded(threshold.threshold_sweep(scores, by=["model"], only=threshold.TUNABLE), 9, ("threshold",))
     table = threshold.threshold_compare(scores, threshold.best_threshold(sweep, ["model"]), ["model"])
     table = rounded(table, 9, ("threshold", "difference"))
@@ -327,11 +320,11 @@ def threshold_compare(spark, sf_dir):
 
 @query(
     "thresholded_labels",
-    f"""WITH {TIED_SCORES_SQL} SELECT model, CASE WHEN p >= 0.3 THEN 1 ELSE 0 END AS label, count(*) AS n, sum(y)::BIGINT AS positives
+    f"""WITH {SCORES_SQL} SELECT model, CASE WHEN p >= 0.3 THEN 1 ELSE 0 END AS label, count(*) AS n, sum(y)::BIGINT AS positives
         FROM scores GROUP BY 1, 2""",
 )
 def thresholded_labels(spark, sf_dir):
-    labelled = threshold.ThresholdLabel(threshold=0.3).transform(_tied(spark, sf_dir))
+    labelled = threshold.ThresholdLabel(threshold=0.3).transform(line_scores(spark, sf_dir))
     return labelled.groupBy("model", "label").agg(F.count("*").alias("n"), F.sum("y").alias("positives"))
 
 

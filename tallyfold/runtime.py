@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import contextlib
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -45,7 +45,9 @@ def stage_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     if not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    return _local_stage.setdefault(sc.applicationId, tempfile.mkdtemp(prefix="tallyfold-"))
+    if sc.applicationId not in _local_stage:
+        _local_stage[sc.applicationId] = tempfile.mkdtemp(prefix="tallyfold-")
+    return _local_stage[sc.applicationId]
 
 
 def new_stage_path(spark: SparkSession, name: str) -> str:
@@ -105,18 +107,26 @@ def lookup_join(
     """Join a per-group table onto a large frame.
 
     The small side is evaluated once. Within ``limit`` rows and MAX_LOOKUP_BYTES it is broadcast as a local relation;
-    beyond that the join is left to a shuffle join, where adaptive execution splits skewed keys.
+    beyond that the join is left to a shuffle join, where adaptive execution splits skewed keys. Null keys match null keys.
     ``rows`` is its row count if the caller knows it, which saves a probe of a side that is too large.
     """
     if rows is not None and rows > limit:
-        return big.join(small, on, how)
+        return null_safe_join(big, small, on, how)
     if not hasattr(small, "_local_rows"):
         found = bounded_rows(small, limit)
         if found is None:
-            return big.join(small, on, how)
+            return null_safe_join(big, small, on, how)
         small = local_frame(big.sparkSession, found, small.schema)
     fits = len(small._local_rows) <= limit and small._local_bytes <= MAX_LOOKUP_BYTES
-    return big.join(F.broadcast(small) if fits else small, on, how)
+    return null_safe_join(big, small, on, how, fits)
+
+
+def null_safe_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner", broadcast: bool = False) -> DataFrame:
+    """Equi-join in which a null key is a key like any other; the key columns of ``big`` stay."""
+    small = small.withColumnsRenamed({c: f"__on_{c}" for c in on})
+    same = [F.col(f"`{c}`").eqNullSafe(F.col(f"`__on_{c}`")) for c in on]
+    joined = big.join(F.broadcast(small) if broadcast else small, reduce(Column.__and__, same), how)
+    return joined.drop(*[f"__on_{c}" for c in on])
 
 
 def local_frame(spark: SparkSession, rows: list, schema: T.StructType) -> DataFrame:
@@ -139,12 +149,3 @@ def run_jobs(tasks: Iterable[Callable], width: int = 4) -> list:
     with ThreadPoolExecutor(max_workers=max(1, width)) as pool:
         futures = [pool.submit(inheritable_thread_target(task)) for task in tasks]
         return [f.result() for f in futures]
-
-
-@contextlib.contextmanager
-def cached(df: DataFrame):
-    held = df.persist()
-    try:
-        yield held
-    finally:
-        held.unpersist()
