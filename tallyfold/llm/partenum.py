@@ -22,7 +22,9 @@ LEVELS = (1.3, 2.0, 4.0)
 SHORT_RUN = 12
 # Signatures that one exchange partition should hold, and that a task holds before it passes them on.
 PARTITION_SIGNATURES = 1_500_000
-FLUSH = 1_500_000
+FLUSH = 1_000_000
+# Packed arrays per exchange partition: several small ones each, so that partitions are of near equal size.
+PIECES = 8
 LONG_ROW = 10_000
 # Sets of a family that one task compares with as many others.
 BLOCK = 2_000
@@ -181,6 +183,8 @@ def signature_runs(docs: DataFrame, text_col: str, n: int, parts: int) -> DataFr
     no row. Copies have the same set id and count once.
     """
 
+    buckets = parts * PIECES
+
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
         count = 0
@@ -188,9 +192,9 @@ def signature_runs(docs: DataFrame, text_col: str, n: int, parts: int) -> DataFr
         def flush() -> pa.RecordBatch:
             s, d = (np.concatenate(v) for v in zip(*held))
             held.clear()
-            bucket = (mix(s) % np.uint64(parts)).astype(np.int64)
-            order = np.argsort(bucket.astype(np.uint16) if parts < 65536 else bucket, kind="stable")
-            ends = np.searchsorted(bucket[order], np.arange(parts + 1))
+            bucket = (mix(s) % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(bucket.astype(np.uint16) if buckets < 65536 else bucket, kind="stable")
+            ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
             full = np.flatnonzero(np.diff(ends))
             at = pa.py_buffer((np.append(ends[full], ends[-1]) * 8).astype(np.int32))
             blobs = [pa.Array.from_buffers(pa.binary(), len(full), [None, at, pa.py_buffer(v[order])]) for v in (s, d)]
