@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -23,13 +24,13 @@ WINDOW = 32  # steps of backpropagation; states are carried from one window to t
 SCORE_WINDOW = 128  # the same in scoring
 KNOWN = 1 << 18  # words whose counts every task holds; rarer ones are looked up by a join
 FLUSH = 4_000_000
-# The network starts on a bounded sample of training documents, in one task, and then goes on at every partition of one in
-# FIT_SHARE training documents; the partitions' weights are averaged. Counts and scores cover all documents.
+# The network starts on a bounded sample of training documents, in one task, and then goes on in every partition over all
+# training documents; the partitions' weights are averaged, MERGE of them at a time.
 WARM_TOKENS = 1_500_000
 WARM_DOCS = 4_000
-FIT_SHARE = 12
-MAX_LEARNERS = 64
+MERGE = 64
 TRAIN_LANES = 128
+WIDE_LANES, WIDE_WINDOW = 256, 64  # where there are more tokens than in the sample
 TRAIN_PIECE = 512  # tokens
 RATE = 0.1
 END = 0x5EED0FE4D0C5A11E  # stands for the end of a text among word hashes
@@ -212,10 +213,10 @@ def score_tokens(model: dict, ids: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 class Learner:
-    """Truncated backpropagation through WINDOW steps, Adagrad on every weight."""
+    """Truncated backpropagation through ``window`` steps of ``lanes`` texts, Adagrad on every weight."""
 
-    def __init__(self, model: dict, rate: float = RATE):
-        self.m, self.rate = model, rate
+    def __init__(self, model: dict, rate: float = RATE, lanes: int = TRAIN_LANES, window: int = WINDOW):
+        self.m, self.rate, self.lanes, self.window = model, rate, lanes, window
         self.past = {k: np.full(model[k].shape, 1e-2, np.float32) for k in TRAINED}
 
     def _move(self, key: str, grad: np.ndarray, rows: np.ndarray | None = None) -> None:
@@ -227,7 +228,7 @@ class Learner:
             self.m[key][rows] -= self.rate * grad / np.sqrt(self.past[key][rows])
 
     def _output(self, states: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, float]:
-        m, scale = self.m, np.float32(1 / TRAIN_LANES)
+        m, scale = self.m, np.float32(1 / self.lanes)
         k, per = len(m["rank"]), m["per"]
         head = target < k
         cls = np.where(head, target // per, CLASSES + target - k)
@@ -264,7 +265,7 @@ class Learner:
         size = np.diff(first)  # long texts are cut for training, so that lanes are of near equal length
         cuts = np.maximum(1, -(-size // TRAIN_PIECE))
         at = np.repeat(first[:-1], cuts) + (np.arange(cuts.sum()) - np.repeat(np.cumsum(cuts) - cuts, cuts)) * TRAIN_PIECE
-        target, begins, _, offset, length = _laid_out(ids, np.append(at, first[-1]), TRAIN_LANES)
+        target, begins, _, offset, length = _laid_out(ids, np.append(at, first[-1]), self.lanes)
         if not len(target):
             return 0.0
         source = np.empty_like(target)
@@ -272,9 +273,9 @@ class Learner:
         source[begins] = len(m["wx"]) - 1
         h = np.zeros((len(length), HIDDEN), np.float32)
         loss = 0.0
-        for t0 in range(0, int(length[0]), WINDOW):
+        for t0 in range(0, int(length[0]), self.window):
             tape, states, places = [], [], []
-            for t in range(t0, min(t0 + WINDOW, int(length[0]))):
+            for t in range(t0, min(t0 + self.window, int(length[0]))):
                 live = int(np.searchsorted(-length, -t))
                 at = offset[:live] + t
                 keep = ~begins[at]
@@ -314,9 +315,14 @@ def _ids(model: dict, column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray
         yield symbols(model, h, c), first
 
 
+def _blob(model: dict) -> bytes:
+    return b"".join(np.ascontiguousarray(model[k], np.float32).tobytes() for k in TRAINED)
+
+
 def _pack(model: dict, weight: int) -> pa.RecordBatch:
-    blob = b"".join(np.ascontiguousarray(model[k], np.float32).tobytes() for k in TRAINED)
-    return pa.record_batch([pa.array([weight], pa.int64()), pa.array([blob], pa.binary())], ["weight", "weights"])
+    learner = TaskContext.get().partitionId()
+    columns = [pa.array([learner], pa.int64()), pa.array([weight], pa.int64()), pa.array([_blob(model)], pa.binary())]
+    return pa.record_batch(columns, ["learner", "weight", "weights"])
 
 
 def _unpack(model: dict, blob: bytes) -> dict:
@@ -329,9 +335,10 @@ def _unpack(model: dict, blob: bytes) -> dict:
 
 
 def train(docs: DataFrame, use: Column, model: dict, id_col: str = "doc_id", text_col: str = "text") -> dict:
-    """The model fitted on documents where ``use`` holds: first on a bounded sample, then on one in FIT_SHARE of them by partition.
+    """The model fitted on documents where ``use`` holds: first on a bounded sample, then on all of them, by partition.
 
-    Learners are at most MAX_LEARNERS, so what is averaged on the driver has a fixed bound; each streams its documents.
+    Each partition streams its documents through a copy of the network; the copies are averaged by their tokens, in groups
+    of MERGE, so that neither a task nor the driver holds more than MERGE of them (about a megabyte each).
     """
     spark = docs.sparkSession
     base = {k: v for k, v in model.items()}
@@ -353,13 +360,13 @@ def train(docs: DataFrame, use: Column, model: dict, id_col: str = "doc_id", tex
     cut = ids.agg(F.max("h")).first()[0]
     if cut is None:
         return model
-    first = rows.where(h <= cut).select(text_col).repartition(1).mapInArrow(warm, "weight long, weights binary").first()
+    first = rows.where(h <= cut).select(text_col).repartition(1).mapInArrow(warm, "learner long, weight long, weights binary").first()
     base = _unpack(model, first["weights"])
     shared = spark.sparkContext.broadcast(base)
 
     def go_on(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         start = shared.value
-        learner = Learner({k: v.copy() if isinstance(v, np.ndarray) else v for k, v in start.items()}, RATE / 4)
+        learner = Learner({k: v.copy() if isinstance(v, np.ndarray) else v for k, v in start.items()}, RATE / 4, WIDE_LANES, WIDE_WINDOW)
         seen, held, size = 0, [], 0
         for batch in batches:
             for part in _ids(start, batch.column(0)):
@@ -374,14 +381,25 @@ def train(docs: DataFrame, use: Column, model: dict, id_col: str = "doc_id", tex
         if seen:
             yield _pack(learner.m, seen)
 
-    share = rows.where(F.pmod(h, F.lit(FIT_SHARE)) == 0).select(text_col)
-    found = share.coalesce(MAX_LEARNERS).mapInArrow(go_on, "weight long, weights binary").collect()
+    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
+        mean = _mean(base, zip(pdf["weight"], pdf["weights"]))
+        return pd.DataFrame({"learner": pdf["learner"].iloc[:1] // MERGE, "weight": [int(pdf["weight"].sum())], "weights": [_blob(mean)]})
+
+    schema = "learner long, weight long, weights binary"
+    found = stage(rows.select(text_col).mapInArrow(go_on, schema), "lm")
+    while (found.agg(F.max("learner")).first()[0] or 0) >= MERGE:
+        found = stage(found.groupBy(F.expr(f"learner div {MERGE}")).applyInPandas(merge, schema), "lm")
+    return _mean(base, ((r["weight"], r["weights"]) for r in found.collect()))
+
+
+def _mean(base: dict, weighted: Iterable[tuple[int, bytes]]) -> dict:
+    """The average of packed weights by their number of tokens; ``base`` if there are none."""
     total, sums = 0, {k: np.zeros(base[k].shape) for k in TRAINED}
-    for r in found:  # about a megabyte each
-        one = _unpack(model, r["weights"])
-        total += r["weight"]
+    for weight, blob in weighted:
+        one = _unpack(base, blob)
+        total += weight
         for k in TRAINED:
-            sums[k] += r["weight"] * one[k].astype(np.float64)
+            sums[k] += weight * one[k].astype(np.float64)
     return base if not total else base | {k: (sums[k] / total).astype(np.float32) for k in TRAINED}
 
 

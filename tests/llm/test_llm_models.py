@@ -203,3 +203,18 @@ def test_language_model_without_training(spark):
     docs = odd_docs(spark).where("doc_id <> 9004")
     got = gru.score_documents(docs, F.lit(False)).toPandas()
     assert len(got) == len(ODD) - 1 and set(got["n_known"]) == {0} and np.isfinite(got["score"]).all()
+
+
+def test_learners_are_averaged_in_groups(spark, monkeypatch):
+    """The average does not depend on how many weights are merged at a time, and no document is left out."""
+    docs = read(spark, "/root/testdata/sf0.001", "documents").select("doc_id", "text").repartition(5, "doc_id")
+    head = np.sort(np.random.default_rng(0).integers(1, 2**63, 8).astype(np.uint64))
+    model = gru.new_model(head, np.arange(8, 0, -1).astype(float), np.full(gru.TAIL_CLASSES, 9.0))
+    monkeypatch.setattr(gru, "WARM_TOKENS", 3_000)
+    found = []
+    for most in (2, 64):
+        monkeypatch.setattr(gru, "MERGE", most)
+        found.append(gru.train(docs, F.lit(True), model))
+    for k in gru.TRAINED:
+        assert found[0][k] == pytest.approx(found[1][k], abs=1e-5)
+        assert np.isfinite(found[0][k]).all()
