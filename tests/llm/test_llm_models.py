@@ -200,7 +200,7 @@ def test_language_model_base_and_held_out(spark, monkeypatch):
 
 
 def test_language_model_without_training(spark):
-    docs = odd_docs(spark).where("doc_id <> 9004")
+    docs = odd_docs(spark).where("doc_id IS NULL OR doc_id <> 9004")
     got = gru.score_documents(docs, F.lit(False)).toPandas()
     assert len(got) == len(ODD) - 1 and set(got["n_known"]) == {0} and np.isfinite(got["score"]).all()
 
