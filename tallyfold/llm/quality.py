@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tallyfold.llm.fitting import bounded_sample, fit_logistic
 from tallyfold.llm.parts import with_small
-from tallyfold.llm.words import Words, mix, split_words, text_slices
+from tallyfold.llm.words import Words, mix, release, split_words, text_slices
 
 BITS = 18
 # Rows the support vectors are fitted on; class counts of the indicators come from all labelled rows.
@@ -166,6 +166,8 @@ def train(docs: DataFrame, labels: DataFrame, use: Column, label: str = "quality
     apart = np.flatnonzero(hold)
     margin = np.array([(w * ratio)[buckets[i]].sum() / np.sqrt(max(1, len(buckets[i]))) + bias for i in apart])
     slope, offset = fit_logistic(margin, y[apart], np.array([share[c] for c in y[apart]]))
+    del fit, lists, flat, buckets
+    release()
     return Model((w * ratio).astype(np.float32), bias, slope, offset)
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tallyfold.llm.fitting import bounded_sample
 from tallyfold.llm.parts import with_small
-from tallyfold.llm.words import NOT_ALNUM, segment_sum, split_words, text_slices
+from tallyfold.llm.words import NOT_ALNUM, release, segment_sum, split_words, text_slices
 
 BITS = 16  # embedding rows; every word uses two of them
 DIM = 8
@@ -244,6 +244,8 @@ def train(docs: DataFrame, labels: DataFrame, use: Column, label: str = "toxic",
             mine = of == k
             if (y[held][mine] == 1).sum() >= MIN_TOXIC:
                 model.threshold[k] = best_threshold(score[mine], y[held][mine], weight[mine])
+    del fit, pairs, docs_in, lists, flat
+    release()
     return model
 
 

@@ -6,13 +6,14 @@ so no Python object is made per word. Texts are processed in slices of bounded s
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
 _P = np.uint64(0x9E3779B97F4A7C15)
 _P_INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _Q = np.uint64(0xD1B54A32D192ED03)
@@ -28,6 +29,14 @@ LOWER[0x41:0x5B] += 0x20
 _powers: dict[str, np.ndarray] = {}
 
 
+def release() -> None:
+    """Hand memory that is free back to the system: workers and drivers live on, and the next stage needs it elsewhere."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def _power_table(n: int) -> tuple[np.ndarray, np.ndarray]:
     if "p" not in _powers or len(_powers["p"]) < n:
         size = max(n, SLICE_BYTES + 1)
@@ -88,6 +97,7 @@ def text_slices(column: pa.Array | pa.ChunkedArray, limit: int = SLICE_BYTES) ->
         end = min(n, max(row + 1, end))
         yield row, end, data[offsets[row] : offsets[end]], offsets[row : end + 1] - offsets[row]
         row = end
+    release()
 
 
 def range_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
