@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,10 +24,14 @@ BATCH = 32
 RATE = 0.05
 # One labelled row in so many is kept for the thresholds alone: neither counted nor trained on.
 CALIBRATION = 5
-# Rows the network and the thresholds are fitted on; the embeddings start from class counts over all labelled rows.
+# Rows the network is fitted on; class counts, language words and thresholds come from all labelled rows.
 MAX_FIT_ROWS = 8_000
-# A language with fewer toxic rows than this in the calibration part shares the threshold of all languages.
+# A language with fewer toxic rows than this among all rows set apart shares the threshold of all languages.
 MIN_TOXIC = 12
+# Bins of the logits' inverse hyperbolic sine, per unit: 1/2048 of a logit near 0, a constant share of large ones.
+BINS = 2_048
+# Languages a counting task holds before it hands its counts on.
+LANGS_HELD = 32
 
 
 def word_buckets(data: np.ndarray, offsets: np.ndarray, bits: int = BITS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -141,26 +146,72 @@ def fit_network(docs: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, ratio:
     return model
 
 
-def best_threshold(score: np.ndarray, y: np.ndarray, weight: np.ndarray) -> float:
-    """The cut with the highest F1, in the middle of the gap below it; without toxic rows above all scores."""
+def best_threshold(score: np.ndarray, y: np.ndarray, weight: np.ndarray, high: np.ndarray | None = None) -> float:
+    """The cut with the highest F1, in the middle of the gap below it; without toxic rows above all scores.
+
+    A row can stand for ``weight`` rows with scores from ``score`` to ``high``; such ranges are equal or do not overlap.
+    """
     order = np.argsort(-score, kind="stable")
     s, hit, w = score[order], y[order] == 1, weight[order]
+    top = s if high is None else high[order]
     tp, fp = np.cumsum(w * hit), np.cumsum(w * ~hit)
     if not len(s) or tp[-1] == 0:
-        return float(s[0]) + 1.0 if len(s) else 0.0
+        return float(top[0]) + 1.0 if len(s) else 0.0
     f1 = 2 * tp / (tp + fp + tp[-1])
     f1[:-1][s[1:] == s[:-1]] = -1  # not between equal scores
     k = int(f1.argmax())
-    return float((s[k] + s[k + 1]) / 2) if k + 1 < len(s) else float(s[k]) - 1e-6
+    return float((s[k] + top[k + 1]) / 2) if k + 1 < len(s) else float(s[k]) - 1e-6
+
+
+def logit_bins(rows: DataFrame, model: Model, bits: int = BITS) -> pa.Table:
+    """(k, y, n, low, high) per language predicted from the words, class and bin of logits, of rows of (text, class).
+
+    One row per bin that is not empty reaches the driver, whatever the number of rows; low and high are the bin's for both classes.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast(vars(model))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        net = Model(**shared.value)
+        for batch in batches:
+            y = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
+            for row, end, data, offsets in text_slices(batch.column(0)):
+                a, b, first = word_buckets(data, offsets, bits)
+                raw = logits(net, a, b, first).astype(np.float64)
+                k = language(net, a, first) if net.langs else np.zeros(len(raw), np.int64)
+                bin_ = np.floor(np.arcsinh(raw) * BINS).astype(np.int64)
+                columns = [pa.array(c) for c in (k, bin_, (y[row:end] == 0).astype(np.int64), (y[row:end] == 1).astype(np.int64), raw)]
+                part = pa.table(columns, ["k", "bin", "n0", "n1", "raw"]).group_by(["k", "bin"])
+                part = part.aggregate([("n0", "sum"), ("n1", "sum"), ("raw", "min"), ("raw", "max")])
+                yield from part.select(["k", "bin", "n0_sum", "n1_sum", "raw_min", "raw_max"]).rename_columns(["k", "bin", "n0", "n1", "low", "high"]).to_batches()
+
+    bins = rows.mapInArrow(run, "k long, bin long, n0 long, n1 long, low double, high double").groupBy("k", "bin")
+    return bins.agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.min("low").alias("low"), F.max("high").alias("high")).toArrow()
+
+
+def fit_thresholds(model: Model, bins: pa.Table) -> np.ndarray:
+    """The best cut of each language with MIN_TOXIC toxic rows at least, for the others that of all languages together."""
+    k, bin_, n0, n1, low, high = (bins[c].to_numpy() for c in ("k", "bin", "n0", "n1", "low", "high"))
+    _, at = np.unique(bin_, return_inverse=True)
+    least, most = np.full(at.max(initial=-1) + 1, np.inf), np.full(at.max(initial=-1) + 1, -np.inf)
+    np.minimum.at(least, at, low)
+    np.maximum.at(most, at, high)
+    y, weight = np.repeat([0, 1], len(k)), np.concatenate([n0, n1])
+    out = np.full(max(1, len(model.langs)), best_threshold(np.tile(least[at], 2), y, weight, np.tile(most[at], 2)))
+    for j in range(len(model.langs)):
+        if n1[k == j].sum() >= MIN_TOXIC:
+            mine = np.tile(k == j, 2)
+            out[j] = best_threshold(np.tile(low, 2)[mine], y[mine], weight[mine], np.tile(high, 2)[mine])
+    return out
 
 
 def train(docs: DataFrame, labels: DataFrame, use: Column, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text",
           lang_col: str = "lang", max_fit_rows: int = MAX_FIT_ROWS, bits: int = BITS) -> Model:
     """Fit on the labelled rows where ``use`` holds; the language column only tells which words belong to which language.
 
-    One row in CALIBRATION is set apart. Class counts of every embedding row come from all the others; the network is
-    fitted on at most ``max_fit_rows`` rows, and the thresholds on those of them that are set apart: one per language
-    predicted from the words, so that no column but the text takes part in a score. Rows without a label are left out; without both classes, scores are constant.
+    One row in CALIBRATION is set apart. Class counts of every embedding row come from all the others, the words of each
+    language from all labelled rows; the network is fitted on at most ``max_fit_rows`` rows, and the thresholds on all rows
+    that are set apart: one per language predicted from the words, so that no column but the text takes part in a score.
+    Rows without a label are left out; without both classes, scores are constant.
     """
     known = labels.where(F.col(label).isin(0, 1)).groupBy(id_col).agg(F.max(label).cast("int").alias("_y"))
     rows = with_small(docs.where(use).select(id_col, text_col, lang_col), known, [id_col])
@@ -169,9 +220,19 @@ def train(docs: DataFrame, labels: DataFrame, use: Column, label: str = "toxic",
     size = 1 << bits
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((2, size), np.int64)
+        """Class counts (of rows not apart) and words per language (all rows; bucket ``size`` counts documents)."""
+        names = ["spoken", "lang", "bucket", "n0", "n1"]
+        sums, words = np.zeros((2, size), np.int64), {}
+
+        def spoken() -> Iterator[pa.RecordBatch]:
+            for name, n in words.items():
+                at = np.flatnonzero(n)
+                yield pa.record_batch([pa.array(np.ones(len(at), bool)), pa.array([name] * len(at), pa.string()), pa.array(at), pa.array(n[at]), pa.array(np.zeros(len(at), np.int64))], names)
+            words.clear()
+
         for batch in batches:
             y = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
+            y[batch.column(3).to_numpy(zero_copy_only=False).astype(bool)] = -1
             for row, end, data, offsets in text_slices(batch.column(0)):
                 a, b, first = word_buckets(data, offsets, bits)
                 doc = np.repeat(np.arange(end - row), np.diff(first))
@@ -179,8 +240,17 @@ def train(docs: DataFrame, labels: DataFrame, use: Column, label: str = "toxic",
                 of = y[row:end][seen >> bits]
                 for c in (0, 1):
                     sums[c] += np.bincount(seen[of == c] & (size - 1), minlength=size)
+                coded = batch.column(2).slice(row, end - row).dictionary_encode()
+                which = coded.indices.fill_null(-1).to_numpy(zero_copy_only=False)
+                for k, name in enumerate(coded.dictionary.to_pylist()):
+                    if len(words) >= LANGS_HELD and name not in words:
+                        yield from spoken()
+                    n = words.setdefault(name, np.zeros(size + 1, np.int64))
+                    n[:size] += np.bincount(a[which[doc] == k], minlength=size)
+                    n[size] += int((which == k).sum())
+        yield from spoken()
         at = np.flatnonzero(sums.any(0))
-        yield pa.record_batch([pa.array(at), pa.array(sums[0][at]), pa.array(sums[1][at])], ["bucket", "n0", "n1"])
+        yield pa.record_batch([pa.array(np.zeros(len(at), bool)), pa.nulls(len(at), pa.string()), pa.array(at), pa.array(sums[0][at]), pa.array(sums[1][at])], names)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -188,13 +258,14 @@ def train(docs: DataFrame, labels: DataFrame, use: Column, label: str = "toxic",
                 a, b, first = word_buckets(data, offsets, bits)
                 lists = [pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(v, pa.int32())) for v in (a, b)]
                 part = batch.slice(row, end - row)
-                yield pa.record_batch([*part.columns[1:], *lists], ["y", "h", "lang", "apart", "a", "b"])
+                yield pa.record_batch([*part.columns[1:], *lists], ["y", "h", "a", "b"])
 
-    table = rows.where("NOT apart").select(text_col, "_y").mapInArrow(count, "bucket long, n0 long, n1 long")
-    table = table.groupBy("bucket").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toPandas()
+    table = rows.select(text_col, "_y", F.col(lang_col).cast("string"), "apart").mapInArrow(count, "spoken boolean, lang string, bucket long, n0 long, n1 long")
+    table = table.groupBy("spoken", "lang", "bucket").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toArrow().combine_chunks()
+    spoken = table["spoken"].to_numpy(zero_copy_only=False).astype(bool)
+    at, n0, n1 = (table[c].to_numpy() for c in ("bucket", "n0", "n1"))
     n = np.zeros((2, size))
-    at = table["bucket"].to_numpy(np.int64)
-    n[0, at], n[1, at] = table["n0"], table["n1"]
+    n[0, at[~spoken]], n[1, at[~spoken]] = n0[~spoken], n1[~spoken]
     sample, sizes = bounded_sample(rows, "_y", id_col, max_fit_rows)
     if len(sizes) < 2:
         flat = -10.0 if sizes.get(0) else 10.0 if sizes else 0.0
@@ -202,9 +273,7 @@ def train(docs: DataFrame, labels: DataFrame, use: Column, label: str = "toxic",
         return Model(np.zeros((size, DIM), np.float32), zero, [np.zeros(FILTERS, np.float32) for _ in WIDTHS], np.zeros(FILTERS * len(WIDTHS), np.float32), flat, threshold=np.zeros(1))
     ratio = np.log((n[1] + 0.5) / (sizes[1] + 1)) - np.log((n[0] + 0.5) / (sizes[0] + 1))
     h = F.xxhash64(F.lit(5), F.col(id_col).cast("string"))
-    fit = sample.select(text_col, "_y", h.alias("h"), lang_col, "apart").mapInArrow(
-        features, "y int, h long, lang string, apart boolean, a array<int>, b array<int>"
-    )
+    fit = sample.where("NOT apart").select(text_col, "_y", h.alias("h")).mapInArrow(features, "y int, h long, a array<int>, b array<int>")
     fit = fit.toArrow().sort_by("h").combine_chunks()
     y = fit["y"].to_numpy()
     pairs = []
@@ -214,36 +283,20 @@ def train(docs: DataFrame, labels: DataFrame, use: Column, label: str = "toxic",
         flat, ends = lists.values.to_numpy(), lists.offsets.to_numpy()
         pairs.append([flat[p:q] for p, q in zip(ends[:-1], ends[1:])])
     docs_in = list(zip(*pairs))
-    hold = fit["apart"].to_numpy(zero_copy_only=False).astype(bool)
-    net = np.flatnonzero(~hold)
-    model = fit_network([docs_in[i] for i in net], y[net].astype(np.float32), ratio)
+    model = fit_network(docs_in, y.astype(np.float32), ratio)
 
-    named = fit["lang"].to_pylist()
-    model.langs = sorted({x for x in named if x is not None})
+    named = table["lang"].combine_chunks()
+    model.langs = sorted(x for x in named.unique().to_pylist() if x is not None)
     words = np.zeros((size + 1, max(1, len(model.langs))))
-    for (a, _), name in zip(docs_in, named):
-        if name is not None:
-            k = model.langs.index(name)
-            words[:size, k] += np.bincount(a, minlength=size)
-            words[size, k] += 1
+    if model.langs:
+        words[at[spoken], pc.index_in(named, pa.array(model.langs)).to_numpy(zero_copy_only=False)[spoken].astype(np.int64)] = n0[spoken]
     model.lang_logp = np.log((words + 0.1) / (words[:size].sum(0) + 0.1 * size))
     model.lang_logp[size] = np.log((words[size] + 1) / (words[size] + 1).sum())
     model.lang_logp = model.lang_logp.astype(np.float32)
-    held = np.flatnonzero(hold)
-    if not len(held):
-        held = net
-    a, b = (np.concatenate([docs_in[i][k] for i in held]) for k in (0, 1))
-    first = np.cumsum([0, *(len(docs_in[i][0]) for i in held)])
-    score = logits(model, a, b, first)
-    weight = np.array([sizes[c] / max(1, (y == c).sum()) for c in y[held]])
-    overall = best_threshold(score, y[held], weight)
-    model.threshold = np.full(max(1, len(model.langs)), overall)
-    if model.langs:
-        of = language(model, a, first)
-        for k in range(len(model.langs)):
-            mine = of == k
-            if (y[held][mine] == 1).sum() >= MIN_TOXIC:
-                model.threshold[k] = best_threshold(score[mine], y[held][mine], weight[mine])
+    bins = logit_bins(rows.where("apart").select(text_col, "_y"), model, bits)
+    if not bins.num_rows:
+        bins = logit_bins(rows.select(text_col, "_y"), model, bits)
+    model.threshold = fit_thresholds(model, bins)
     del fit, pairs, docs_in, lists, flat
     release()
     return model

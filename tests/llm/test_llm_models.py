@@ -120,6 +120,27 @@ def test_toxicity_held_out(spark):
     assert len(model.threshold) == 2
 
 
+def test_thresholds_come_from_all_rows_apart(spark):
+    """A rare language gets its own cut, and languages their words, from labelled rows far beyond the fit sample."""
+    docs = toxic_docs(spark, 3000).withColumn("lang", F.when(F.col("lang") == "de", F.when(F.col("doc_id") % 20 == 1, "de")).otherwise("en"))
+    labels = docs.select("doc_id", "toxic")
+    model = toxicity.train(docs, labels, F.lit(True), max_fit_rows=40)
+    seen = docs.where("lang IS NOT NULL").groupBy("lang").count().toPandas().set_index("lang")["count"] + 1
+    assert np.allclose(np.exp(model.lang_logp[-1]), (seen / seen.sum()).sort_index(), atol=1e-5)
+    apart = docs.where(F.pmod(F.xxhash64(F.lit(9), F.col("doc_id").cast("string")), F.lit(toxicity.CALIBRATION)) == 0)
+    bins = toxicity.logit_bins(apart.select("text", "toxic"), model)
+    assert sum(bins["n0"].to_pylist()) + sum(bins["n1"].to_pylist()) == apart.count()
+    assert all(sum(n for k, n in zip(bins["k"].to_pylist(), bins["n1"].to_pylist()) if k == j) >= toxicity.MIN_TOXIC for j in (0, 1))
+    assert model.threshold[0] != model.threshold[1]
+
+
+def test_thresholds_of_bins():
+    low, high, n0, n1 = [0.0, 1.0, 2.0], [0.5, 1.5, 2.5], [5, 4, 0], [0, 1, 9]
+    bins = toxicity.pa.table([[0, 0, 0], [0, 1, 2], n0, n1, low, high], ["k", "bin", "n0", "n1", "low", "high"])
+    model = toxicity.Model(None, [], [], None, 0.0, ["en", "de"])
+    assert toxicity.fit_thresholds(model, bins).tolist() == [1.75, 1.75]
+
+
 def test_best_threshold():
     score, y = np.array([3.0, 2.0, 1.0, 0.0]), np.array([1, 1, 0, 0])
     assert 1.0 < toxicity.best_threshold(score, y, np.ones(4)) < 2.0
