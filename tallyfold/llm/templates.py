@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -15,10 +15,12 @@ from tallyfold.llm.words import LOWER, NOT_ALNUM, mix, range_hashes, split_words
 from tallyfold.runtime import stage
 
 WINDOW = 8
-# A window with fewer words that are no placeholders says too little.
+# A window with fewer words that are no placeholders says too little as a template: it must be found word by word. A character of
+# a script without spaces is a token and counts as half a word.
 LITERALS = 4
 # So many windows of one item, or half of its windows, must be found: six windows of eight words are a run of 13 words.
 ENOUGH = 6
+ENOUGH_CHARACTERS = 19  # the same of 26 characters, for items most of whose tokens are characters
 SHARE = 0.5
 FILTER_BITS = 24
 UNITS = (
@@ -28,6 +30,12 @@ UNITS = (
     "cents", "degree", "degrees", "mph", "kmh", "hz", "kb", "mb", "gb",
 )
 _NUMBER, _UNIT, _NAME = (np.uint64(k) for k in (0xA11CE, 0xB0B, 0xCAFE))
+# Code points of scripts without spaces (Thai to Tibetan, Burmese, Khmer, kana and Chinese, full-width forms), and of their punctuation.
+_UNSPACED = np.array([
+    (0xE00, 0xFFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3005, 0x3007), (0x3021, 0x302F), (0x3031, 0x30FA), (0x30FC, 0x312F), (0x31A0, 0x31FF),
+    (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0xFF10, 0xFF19), (0xFF21, 0xFF3A), (0xFF41, 0xFF5A), (0xFF66, 0xFF9F), (0x20000, 0x3FFFF),
+])
+_MARKS = np.array([(0x3000, 0x3004), (0x3008, 0x3020), (0x3030, 0x3030), (0x30FB, 0x30FB), (0xFF01, 0xFF0F), (0xFF1A, 0xFF20), (0xFF3B, 0xFF40), (0xFF5B, 0xFF65)])
 _END_MARK = np.zeros(256, bool)
 _END_MARK[list(b".!?:;|")] = True
 
@@ -44,6 +52,25 @@ class Tokens:
     value: np.ndarray  # hash of the word itself
     slot: np.ndarray  # whether it is a placeholder
     first: np.ndarray  # first token of each document
+    named: np.ndarray  # whether it is a name, or would be one if it did not begin a sentence
+    character: np.ndarray  # whether it is a character of a script without spaces
+
+
+def _within(points: np.ndarray, ranges: np.ndarray) -> np.ndarray:
+    at = np.searchsorted(ranges[:, 0], points, "right") - 1
+    return (at >= 0) & (points <= ranges[np.maximum(at, 0), 1])
+
+
+def _unspaced(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the characters of scripts without spaces, and the bytes of their punctuation."""
+    lead = np.flatnonzero(data >= 0xE0)
+    wide = data[lead] >= 0xF0
+    lead, wide = (x[lead + np.where(wide, 4, 3) <= len(data)] for x in (lead, wide))
+    b = [data[np.minimum(lead + k, len(data) - 1)].astype(np.int64) & 0x3F for k in range(4)]
+    points = np.where(wide, (b[0] & 7) << 18 | b[1] << 12 | b[2] << 6 | b[3], (b[0] & 15) << 12 | b[1] << 6 | b[2])
+    is_char = _within(points, _UNSPACED)
+    marks = lead[_within(points, _MARKS)]
+    return lead[is_char], lead[is_char] + np.where(wide[is_char], 4, 3), (marks[:, None] + np.arange(3)).ravel()
 
 
 def canonical(data: np.ndarray, offsets: np.ndarray) -> Tokens:
@@ -51,9 +78,16 @@ def canonical(data: np.ndarray, offsets: np.ndarray) -> Tokens:
 
     A number is a word with digits and no letters, or one that starts with a digit ('5kg'). A unit is a unit's word after
     a number. A name is a word with one capital, its first letter, that begins no sentence or line. Words of
-    punctuation alone are left out.
+    punctuation alone are left out. In scripts without spaces every character is a word.
     """
-    words = split_words(data, offsets, fold=False)
+    begins, ends, marks = _unspaced(data)
+    if len(begins) or len(marks):
+        data = data.copy()
+        data[marks] = 0x20
+        words = split_words(data, np.unique(np.concatenate([offsets, begins, ends])), fold=False)
+        words.first = np.searchsorted(words.start, offsets)
+    else:
+        words = split_words(data, offsets, fold=False)
     alnum = np.flatnonzero(~NOT_ALNUM[data])
     lo, hi = np.searchsorted(alnum, words.start), np.searchsorted(alnum, words.end)
     keep = hi > lo
@@ -61,7 +95,7 @@ def canonical(data: np.ndarray, offsets: np.ndarray) -> Tokens:
     first = np.searchsorted(doc, np.arange(len(offsets)))
     if not keep.any():
         none = np.zeros(0, np.uint64)
-        return Tokens(none, none, np.zeros(0, bool), first)
+        return Tokens(none, none, np.zeros(0, bool), first, np.zeros(0, bool), np.zeros(0, bool))
     start, end = alnum[lo[keep]], alnum[hi[keep] - 1] + 1
     value = range_hashes(LOWER[data], start, end)
 
@@ -84,31 +118,34 @@ def canonical(data: np.ndarray, offsets: np.ndarray) -> Tokens:
     before = words.end[keep][:-1]
     opens[1:] = _END_MARK[data[before - 1]] | (lines[start[1:]] > lines[before])
     opens[first[:-1][first[:-1] < len(opens)]] = True
-    name = capital[start] & (capitals[end] - capitals[start] == 1) & ~opens & ~number
+    named = capital[start] & (capitals[end] - capitals[start] == 1) & ~number
     unit = np.zeros(len(start), bool)
     known = np.isin(value[1:], _hash_text(UNITS))
     unit[1:] = known & number[:-1] & (doc[1:] == doc[:-1]) & ~number[1:]
-    name &= ~unit
+    named &= ~unit
+    name = named & ~opens
     code = value.copy()
     code[number], code[unit], code[name] = _NUMBER, _UNIT, _NAME
-    return Tokens(code, value, number | unit | name, first)
+    return Tokens(code, value, number | unit | name, first, named, np.isin(start, begins))
 
 
-def windows(tokens: Tokens, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, first token, document) of each window of ``size`` tokens with enough words that are no placeholders."""
+def windows(tokens: Tokens, size: int, raw: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, first token, document) of each window of ``size`` tokens with enough words that are no placeholders; with ``raw``
+    placeholders are taken as the words they stand for."""
     total = len(tokens.code)
     none = np.zeros(0, np.int64)
     if total < size:
         return np.zeros(0, np.uint64), none, none
-    h = np.full(total - size + 1, size, np.uint64)
+    code, solid = (tokens.value, np.ones(total, bool)) if raw else (tokens.code, ~tokens.slot)
+    h = np.full(total - size + 1, size + 64 * raw, np.uint64)
     with np.errstate(over="ignore"):
         for k in range(size):
-            h = h * np.uint64(0xD1B54A32D192ED03) + tokens.code[k : k + total - size + 1]
+            h = h * np.uint64(0xD1B54A32D192ED03) + code[k : k + total - size + 1]
         h = mix(h)
     doc = np.repeat(np.arange(len(tokens.first) - 1), np.diff(tokens.first))
-    words = np.zeros(total + 1, np.int32)
-    np.cumsum(~tokens.slot, out=words[1:])
-    ok = (doc[: total - size + 1] == doc[size - 1 :]) & (words[size:] - words[: total - size + 1] >= LITERALS)
+    halves = np.zeros(total + 1, np.int32)
+    np.cumsum(np.where(solid, np.where(tokens.character, 1, 2), 0), out=halves[1:])
+    ok = (doc[: total - size + 1] == doc[size - 1 :]) & (halves[size:] - halves[: total - size + 1] >= 2 * LITERALS)
     at = np.flatnonzero(ok)
     return h[at], at, doc[at]
 
@@ -118,10 +155,10 @@ def _bits(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (h & mask).astype(np.int64), ((h >> np.uint64(32)) & mask).astype(np.int64)
 
 
-def _rows(tokens: Tokens, at: np.ndarray, doc: np.ndarray, h: np.ndarray, size: int) -> dict[str, pa.Array]:
-    """Window hashes, places and slots: the values of the placeholders in each window, with their place in it."""
+def _rows(tokens: Tokens, at: np.ndarray, doc: np.ndarray, h: np.ndarray, size: int, raw: bool = False) -> dict[str, pa.Array]:
+    """Window hashes, places and slots: the values of the placeholders in each window, with their place in it; raw windows have none."""
     span = at[:, None] + np.arange(size)
-    marked = tokens.slot[span]
+    marked = tokens.slot[span] & (not raw)
     ends = np.zeros(len(at) + 1, np.int32)
     np.cumsum(marked.sum(1), out=ends[1:])
     slots = pa.ListArray.from_arrays(pa.array(ends), pa.array(tokens.value[span][marked].view(np.int64)))
@@ -129,32 +166,49 @@ def _rows(tokens: Tokens, at: np.ndarray, doc: np.ndarray, h: np.ndarray, size:
 
 
 def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """(item_id, n_windows, w, at, slots, size) of the items' windows.
+    """(item_id, n_windows, n_templates, enough, w, item_at, item_slots, size, raw, low) of the items' windows.
 
-    An item of fewer than WINDOW tokens is one window as it stands, if it has LITERALS words at least; shorter ones have none.
+    A window with too few words that are no placeholders is ``low`` and hashed as it stands (``raw``). An item's first word
+    may begin no sentence in a document: its first window is there twice if that makes the word a name, raw if the
+    second is low. An item of fewer than WINDOW tokens is one window; those of less than LITERALS words have none.
     """
     kind = items.schema[id_col].dataType.simpleString()
+    schema = f"item_id {kind}, n_windows long, n_templates long, enough long, w long, item_at long, item_slots array<long>, size long, raw boolean, low boolean"
+    names = [part.split()[0] for part in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, end, data, offsets in text_slices(batch.column(1)):
                 tokens = canonical(data, offsets)
                 counts = np.diff(tokens.first)
+                opening = np.zeros(len(tokens.code), bool)
+                opening[tokens.first[:-1][counts > 0]] = True
+                opening &= tokens.named
+                inside = replace(tokens, code=np.where(opening, _NAME, tokens.code), slot=tokens.slot | opening)
+                letters = np.bincount(np.repeat(np.arange(len(counts)), counts)[tokens.character], minlength=len(counts))
+                enough = np.where(2 * letters > counts, ENOUGH_CHARACTERS, ENOUGH)
+                ids = batch.column(0).slice(row, end - row)
                 for size in range(LITERALS, WINDOW + 1):
-                    h, at, doc = windows(tokens, size)
-                    mine = counts[doc] >= WINDOW if size == WINDOW else counts[doc] == size
-                    h, at, doc = h[mine], at[mine], doc[mine]
-                    if not len(h):
-                        continue
-                    n = np.bincount(doc, minlength=len(counts))[doc]
-                    out = _rows(tokens, at, doc, h, size)
-                    ids = batch.column(0).slice(row, end - row).take(pa.array(doc))
-                    yield pa.record_batch(
-                        [ids, pa.array(n), out["w"], out["at"], out["slots"], pa.array(np.full(len(h), size))],
-                        ["item_id", "n_windows", "w", "item_at", "item_slots", "size"],
-                    )
 
-    schema = f"item_id {kind}, n_windows long, w long, item_at long, item_slots array<long>, size long"
+                    def whole(t: Tokens, raw: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+                        h, at, doc = windows(t, size, raw)
+                        mine = counts[doc] >= WINDOW if size == WINDOW else counts[doc] == size
+                        return h[mine], at[mine], doc[mine]
+
+                    plain, again, raws = whole(tokens, False), whole(inside, False), whole(tokens, True)
+                    again = [x[opening[again[1]]] for x in again]
+                    low = ~np.isin(raws[1], plain[1])
+                    stands = low | opening[raws[1]] & ~np.isin(raws[1], again[1])
+                    low, raws = low[stands], [x[stands] for x in raws]
+                    n_templates = np.bincount(plain[2], minlength=len(counts))
+                    n_windows = n_templates + np.bincount(raws[2][low], minlength=len(counts))
+                    for t, (h, at, doc), raw in ((tokens, plain, False), (inside, again, False), (tokens, raws, True)):
+                        if len(h):
+                            out = _rows(t, at, doc, h, size, raw)
+                            flags = [pa.array(np.full(len(h), size)), pa.array(np.full(len(h), raw)), pa.array(low if raw else np.zeros(len(h), bool))]
+                            of = [pa.array(x[doc]) for x in (n_windows, n_templates, enough)]
+                            yield pa.record_batch([ids.take(pa.array(doc)), *of, out["w"], out["at"], out["slots"], *flags], names)
+
     return items.select(id_col, text_col).mapInArrow(run, schema)
 
 
@@ -162,7 +216,8 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     """Documents that hold an item, word by word or with other numbers, names and units: one row per document and item.
 
     Columns: doc_id, text_hash (xxhash64 of the text), item_id, n_found (distinct windows of the item found), n_windows
-    (those it has), n_changed (slots whose value differs). A stretch of windows that follow each other in both texts
+    (those it has), n_changed (slots whose value differs). An item is found by enough of all its windows, or of those that
+    are templates. A stretch of windows that follow each other in both texts
     counts if its slots are consistent: equal values stand where equal values stood, and different ones where
     different ones did. Null or empty texts and items match nothing; ids may be null or repeated; extra columns are
     not read. Windows of documents first meet a bit table of fixed size, which lets through those of the items and a few
@@ -178,7 +233,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     bits = folded.distinct().toArrow()  # at most two times 2 ** FILTER_BITS numbers
     b, k = bits["b"].to_numpy(), bits["k"].to_numpy()
     np.bitwise_or.at(table, (k, b >> 3), (1 << (b & 7)).astype(np.uint8))
-    sizes = sorted(r["size"] for r in index.select("size").distinct().collect())  # some of LITERALS to WINDOW
+    kinds = sorted((r["size"], r["raw"]) for r in index.select("size", "raw").distinct().collect())  # sizes from LITERALS to WINDOW
     shared = spark.sparkContext.broadcast(table)
     kind = docs.schema[id_col].dataType.simpleString()
 
@@ -187,14 +242,14 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
         for batch in batches:
             for row, end, data, offsets in text_slices(batch.column(2)):
                 tokens = canonical(data, offsets)
-                for size in sizes:
-                    h, at, doc = windows(tokens, size)
+                for size, raw in kinds:
+                    h, at, doc = windows(tokens, size, raw)
                     x, y = _bits(h)
                     hit = (known[0][x >> 3] >> (x & 7) & 1).astype(bool) & (known[1][y >> 3] >> (y & 7) & 1).astype(bool)
                     if not hit.any():
                         continue
                     h, at, doc = h[hit], at[hit], doc[hit]
-                    out = _rows(tokens, at, doc, h, size)
+                    out = _rows(tokens, at, doc, h, size, raw)
                     part = batch.slice(row, end - row).take(pa.array(doc))
                     yield pa.record_batch(
                         [part.column(0), part.column(1), out["w"], out["at"], out["slots"]], ["doc_id", "text_hash", "w", "doc_at", "doc_slots"]
@@ -206,16 +261,17 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     hits = found.join(F.broadcast(index) if n_index <= BROADCAST_ROWS else index, "w")
     hits = hits.where("size(doc_slots) = size(item_slots)").withColumn("shift", F.col("doc_at") - F.col("item_at"))
     pairs = F.arrays_zip(F.col("item_slots").alias("i"), F.col("doc_slots").alias("d"))
-    stretches = hits.groupBy("doc_id", "text_hash", "item_id", "n_windows", "shift").agg(
-        F.collect_set("item_at").alias("ats"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs")
+    of = ["doc_id", "text_hash", "item_id", "n_windows", "n_templates", "enough"]
+    stretches = hits.groupBy(*of, "shift").agg(
+        F.collect_set("item_at").alias("ats"), F.collect_set(F.when(~F.col("low"), F.col("item_at"))).alias("sure"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs")
     )  # an alignment has as many windows as the item at most
     one_to_one = (F.size(F.array_distinct(F.transform("pairs", lambda p: p["i"]))) == F.size("pairs")) & (
         F.size(F.array_distinct(F.transform("pairs", lambda p: p["d"]))) == F.size("pairs")
     )
     changed = F.size(F.filter("pairs", lambda p: p["i"] != p["d"]))
     good = stretches.where(one_to_one).withColumn("changed", changed)
-    per_item = good.groupBy("doc_id", "text_hash", "item_id", "n_windows").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_set("ats")))).cast("long").alias("n_found"), F.min("changed").alias("n_changed")
-    )
-    need = F.least(F.lit(ENOUGH), F.ceil(F.col("n_windows") * SHARE))
-    return per_item.where(F.col("n_found") >= need)
+    distinct = lambda name: F.size(F.array_distinct(F.flatten(F.collect_set(name)))).cast("long")
+    per_item = good.groupBy(*of).agg(distinct("ats").alias("n_found"), distinct("sure").alias("n_sure"), F.min("changed").alias("n_changed"))
+    need = lambda n: F.least("enough", F.ceil(F.col(n) * SHARE))
+    found = (F.col("n_found") >= need("n_windows")) | (F.col("n_templates") > 0) & (F.col("n_sure") >= need("n_templates"))
+    return per_item.where(found).drop("n_templates", "enough", "n_sure")

@@ -79,6 +79,32 @@ def test_templates_by_case(spark, text, changed):
         assert (rows[0]["n_changed"] == 0) == (changed == 0)
 
 
+@pytest.mark.parametrize(
+    ("item", "doc"),
+    [
+        ("12 + 7 = 19, 30 + 5 = 35, 8 + 9 = 17", None),
+        ("3 4 5 6", None),
+        ("Names: Anna Bela Carla Dora Emma Fritz Gustav Hanna", None),
+        ("小明有5个苹果，他又买了3个，现在一共有几个苹果？", None),
+        ("小明有5个苹果，他又买了3个，现在一共有几个苹果？", "小明有6个苹果，他又买了4个，现在一共有几个苹果？"),
+        ("ประเทศไทยมีกี่จังหวัด", None),
+        ("リンゴが好きな人は何人いますか。", None),
+        ("Boston has how many people", None),
+        ("Boston is very old", None),
+        ("Boston is how old if Anna is 5 years", None),
+    ],
+)
+@pytest.mark.parametrize("around", ["so he said {} and then left", "{}", "他说{}然后"])
+def test_items_of_every_kind_are_found(spark, item, doc, around):
+    if around.startswith("他") and item.isascii():
+        around = "他说 {} 然后"
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    other = "there were 3 4 cats and Anna sat with 小明 in the city of Boston which is very old"
+    docs = spark.createDataFrame([(1, around.format(doc or item)), (2, other), (3, "他又去买了很多苹果和香蕉")], "doc_id long, text string")
+    got = templates.find_leaks(docs, items).collect()
+    assert [r["doc_id"] for r in got] == [1] and (doc is not None or got[0]["n_found"] == got[0]["n_windows"])
+
+
 def test_leaks_agree_with_brute_force(spark):
     """Items that stand in a document word by word, and only they, are found; repeated and empty rows do no harm."""
     docs, items = read(spark, SF, "documents"), read(spark, SF, "benchmark")
