@@ -212,6 +212,38 @@ def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "tex
     return items.select(id_col, text_col).mapInArrow(run, schema)
 
 
+def consistent_windows(spans: list) -> tuple[list[int], list[int], int] | None:
+    """(places, those of templates, changed slots) of an alignment's windows that lie in stretches with consistent slots.
+
+    ``spans`` has (item_at, low, [(item's value, document's value), ...]) per window. A stretch ends where the next window is
+    missing, and before the first window that contradicts it; a window that contradicts itself is in none.
+    """
+    if spans is None:
+        return None
+    ats, sure, changed = set(), set(), set()
+    there, back, last = {}, {}, None
+
+    def fits(pairs: list) -> bool:
+        x, y = dict(there), dict(back)
+        return all(x.setdefault(i, d) == d and y.setdefault(d, i) == i for i, d in pairs)
+
+    for at, low, pairs in sorted((at, low, sorted(tuple(p) for p in pairs)) for at, low, pairs in spans):
+        if last is not None and at > last + 1:
+            there, back = {}, {}
+        last = at
+        if not fits(pairs):
+            there, back = {}, {}
+            if not fits(pairs):
+                continue
+        there.update(pairs)
+        back.update((d, i) for i, d in pairs)
+        ats.add(at)
+        if not low:
+            sure.add(at)
+        changed.update(p for p in pairs if p[0] != p[1])
+    return sorted(ats), sorted(sure), len(changed)
+
+
 def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id") -> DataFrame:
     """Documents that hold an item, word by word or with other numbers, names and units: one row per document and item.
 
@@ -219,7 +251,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     (those it has), n_changed (slots whose value differs). An item is found by enough of all its windows, or of those that
     are templates. A stretch of windows that follow each other in both texts
     counts if its slots are consistent: equal values stand where equal values stood, and different ones where
-    different ones did. Null or empty texts and items match nothing; ids may be null or repeated; extra columns are
+    different ones did; a contradiction ends a stretch, and the windows before and after it still count. Null or empty texts and items match nothing; ids may be null or repeated; extra columns are
     not read. Windows of documents first meet a bit table of fixed size, which lets through those of the items and a few
     more; the rest is an equi-join, broadcast while the items are few and by shuffle beyond BROADCAST_ROWS.
     """
@@ -262,14 +294,21 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     hits = hits.where("size(doc_slots) = size(item_slots)").withColumn("shift", F.col("doc_at") - F.col("item_at"))
     pairs = F.arrays_zip(F.col("item_slots").alias("i"), F.col("doc_slots").alias("d"))
     of = ["doc_id", "text_hash", "item_id", "n_windows", "n_templates", "enough"]
-    stretches = hits.groupBy(*of, "shift").agg(
-        F.collect_set("item_at").alias("ats"), F.collect_set(F.when(~F.col("low"), F.col("item_at"))).alias("sure"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs")
-    )  # an alignment has as many windows as the item at most
+    kept = "struct<ats: array<long>, sure: array<long>, changed: int>"
+    spans = hits.groupBy(*of, "shift").agg(F.collect_set(F.struct("item_at", "low", pairs.alias("pairs"))).alias("spans"))
+    # An alignment has as many windows as the item at most.
+    spans = spans.withColumn("pairs", F.array_distinct(F.flatten(F.transform("spans", lambda w: w["pairs"]))))
     one_to_one = (F.size(F.array_distinct(F.transform("pairs", lambda p: p["i"]))) == F.size("pairs")) & (
         F.size(F.array_distinct(F.transform("pairs", lambda p: p["d"]))) == F.size("pairs")
     )
-    changed = F.size(F.filter("pairs", lambda p: p["i"] != p["d"]))
-    good = stretches.where(one_to_one).withColumn("changed", changed)
+    every = F.struct(
+        F.transform("spans", lambda w: w["item_at"]).alias("ats"),
+        F.transform(F.filter("spans", lambda w: ~w["low"]), lambda w: w["item_at"]).alias("sure"),
+        F.size(F.filter("pairs", lambda p: p["i"] != p["d"])).alias("changed"),
+    ).cast(kept)
+    # Most alignments are consistent as a whole; only the others are cut into stretches, window by window.
+    cut = F.udf(consistent_windows, kept)(F.when(~one_to_one, F.col("spans")))
+    good = spans.select(*of, F.coalesce(cut, every).alias("kept")).select(*of, "kept.*").where(F.size("ats") > 0)
     distinct = lambda name: F.size(F.array_distinct(F.flatten(F.collect_set(name)))).cast("long")
     per_item = good.groupBy(*of).agg(distinct("ats").alias("n_found"), distinct("sure").alias("n_sure"), F.min("changed").alias("n_changed"))
     need = lambda n: F.least("enough", F.ceil(F.col(n) * SHARE))

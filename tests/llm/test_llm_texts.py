@@ -105,6 +105,25 @@ def test_items_of_every_kind_are_found(spark, item, doc, around):
     assert [r["doc_id"] for r in got] == [1] and (doc is not None or got[0]["n_found"] == got[0]["n_windows"])
 
 
+LONG = ("the farmer had 40 sheep on the large green field behind the old house and then the dog chased them all around "
+        "the barn until the cook who was very tired at last counted just 3 hens with 5 eggs and again 40 sheep by the gate")
+
+
+@pytest.mark.parametrize(("old", "new"), [("again 40", "again 50"), ("3 hens with 5", "4 hens with 4"), ("40 sheep on", "9 sheep on")])
+def test_one_contradiction_does_not_lose_an_alignment(spark, old, new):
+    assert old in LONG
+    items = spark.createDataFrame([(1, LONG)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, LONG.replace(old, new)), (2, "9 sheep and 4 hens with 4 eggs by the gate")], "doc_id long, text string")
+    rows = templates.find_leaks(docs, items).collect()
+    assert [r["doc_id"] for r in rows] == [1] and rows[0]["n_found"] >= rows[0]["n_windows"] - 8 and rows[0]["n_changed"] > 0
+
+
+def test_stretches_end_at_contradictions():
+    cut = templates.consistent_windows
+    assert cut(None) is None
+    assert cut([(0, False, [(1, 1)]), (1, True, [(1, 2)]), (2, False, [(1, 1), (1, 2)]), (5, False, [(3, 4), (5, 4)]), (6, False, [(3, 4)])]) == ([0, 1, 6], [0, 6], 2)
+
+
 def test_leaks_agree_with_brute_force(spark):
     """Items that stand in a document word by word, and only they, are found; repeated and empty rows do no harm."""
     docs, items = read(spark, SF, "documents"), read(spark, SF, "benchmark")
