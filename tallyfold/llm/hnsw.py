@@ -20,8 +20,13 @@ FIRST_BEAM = 32
 SHARD_ROWS = 8_192
 MIN_SHARDS = 6
 QUERY_BLOCK = 4_096
-# Audit: so many vectors, taken by hash, are compared with all others; beams are doubled until this share of their links is found.
+# Audit: so many vectors, taken by hash, are compared with all others, and four times as many until AUDIT_LINKED of them have a link.
+# AUDIT_OTHERS of those shall not have the commonest number of links, or one vector in AUDIT_PART is compared. Beams are doubled
+# until this share of the links of a vector is found, on average over all and over those with about as many links.
 AUDIT_VECTORS = 256
+AUDIT_LINKED = 256
+AUDIT_OTHERS = 64
+AUDIT_PART = 16
 AUDIT_RECALL = 0.98
 MAX_WIDENINGS = 8
 
@@ -222,25 +227,53 @@ def search_graphs(graphs: DataFrame, queries: DataFrame, shards: int, blocks: in
     return grouped.applyInPandas(find, "a long, b long").distinct()
 
 
-def audit_pairs(nodes: DataFrame, sample: list, least: float) -> DataFrame:
-    """Links (a, b) between a bounded list of (dim, node, v) and all nodes, by blocks of matrix products in double precision."""
+def block_pairs(nodes: DataFrame, asked: DataFrame, blocks: int, asked_blocks: int, least: float) -> DataFrame:
+    """Links (q, other) from ``asked`` to all nodes, by blocks of matrix products in double precision."""
+    block = lambda n, seed: F.pmod(F.xxhash64("node", F.lit(seed)), F.lit(n)).cast("int")
+    left = nodes.select("dim", "node", "v", block(blocks, 4).alias("block"), F.explode(F.sequence(F.lit(0), F.lit(asked_blocks - 1))).alias("part"))
+    right = asked.select(
+        F.col("dim").alias("d"), F.col("node").alias("q"), F.col("v").alias("w"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("bl"), block(asked_blocks, 5).alias("p")
+    )
 
-    def compare(batches):
-        by_dim = {d: [r for r in sample if r[0] == d] for d in {r[0] for r in sample}}
-        sets = {d: (np.array([r[1] for r in rows]), _unit(pd.Series([r[2] for r in rows]))[0]) for d, rows in by_dim.items()}
-        for pdf in batches:
-            out = [np.zeros((0, 2), np.int64)]
-            for d, g in pdf.groupby("dim"):
-                if d not in sets:
-                    continue
-                names, base = sets[d]
-                r, c = np.nonzero(_unit(g["v"])[0] @ base.T >= least)
-                out.append(np.stack([g["node"].to_numpy()[r], names[c]], 1))
-            both = np.sort(np.concatenate(out), axis=1)
-            both = both[both[:, 0] != both[:, 1]]
-            yield pd.DataFrame({"a": both[:, 0], "b": both[:, 1]})
-
-    return nodes.select("dim", "node", "v").mapInPandas(compare, "a long, b long").distinct()
+    def compare(g: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
+        out = [np.zeros((0, 2), np.int64)]
+        if len(g) and len(q):
+            names, asking = g["node"].to_numpy(), q["q"].to_numpy()
+            base, single = _unit(g["v"])
+            exact_q, single_q = _unit(q["w"])
+            for lo in range(0, len(q), 512):
+                r, c = np.nonzero(single_q[lo : lo + 512] @ single.T >= least - 1e-4)
+                good = np.einsum("ed,ed->e", exact_q[lo + r], base[c]) >= least
+                out.append(np.stack([asking[lo + r[good]], names[c[good]]], 1))
+        pairs = np.concatenate(out)
+        pairs = pairs[pairs[:, 0] != pairs[:, 1]]
+        return pd.DataFrame({"q": pairs[:, 0], "other": pairs[:, 1]})
+
+    grouped = left.groupBy("dim", "block", "part").cogroup(right.groupBy("d", "bl", "p"))
+    return grouped.applyInPandas(compare, "q long, other long")
+
+
+def audit_links(nodes: DataFrame, total: int, least: float) -> tuple[DataFrame, DataFrame, int]:
+    """(links (q, other) of a sample of nodes, the sample, its size at most): grown until enough of it has a link, to all nodes if need be."""
+    size = min(AUDIT_VECTORS, total)
+    while True:
+        share = F.pmod(F.xxhash64("node", F.lit(3)), F.lit(1 << 40)) < (size << 40) // max(1, total)
+        asked = nodes.where(share) if size < total else nodes
+        truth = stage(block_pairs(nodes, asked, max(MIN_SHARDS, math.ceil(total / QUERY_BLOCK)), math.ceil(max(1, size) / QUERY_BLOCK), least), "hnsw")
+        counts = truth.groupBy("q").count().groupBy(F.floor(F.log2("count")).alias("size")).count().toPandas()["count"]
+        linked, others = counts.sum(), counts.sum() - counts.max() if len(counts) else 0
+        if size >= total or linked >= AUDIT_LINKED and (others >= AUDIT_OTHERS or size * AUDIT_PART >= total):
+            return truth, asked, size
+        size = min(4 * size, total)
+
+
+def audit_passes(truth: DataFrame, found: DataFrame) -> bool:
+    """Whether ``found`` (a, b) has AUDIT_RECALL of the links of a vector on average, over all vectors in ``truth`` and over those of
+    each number of links up to a factor of two. So neither many links of few vectors nor one large group hide what others miss."""
+    named = truth.select("q", F.least("q", "other").alias("a"), F.greatest("q", "other").alias("b"))
+    per_vector = named.join(found.select("a", "b", F.lit(1).alias("hit")), ["a", "b"], "left").groupBy("q").agg(F.count("*").alias("n"), F.avg(F.coalesce("hit", F.lit(0))).alias("recall"))
+    sizes = per_vector.groupBy(F.floor(F.log2("n")).alias("size")).agg(F.count("*").alias("n"), F.avg("recall").alias("recall")).toPandas()
+    return not len(sizes) or bool(min((sizes["n"] * sizes["recall"]).sum() / sizes["n"].sum(), sizes["recall"].min()) >= AUDIT_RECALL)
 
 
 def near_duplicates(
@@ -251,8 +284,8 @@ def near_duplicates(
     Vectors link when their cosine in double precision is at least ``least``; those that are null, zero, or hold null
     or non-finite numbers link with nothing, nor do vectors of different length. Equal vectors are one node of the graphs
     and count as links of each other, so one vector that fills a third of the table costs one node. Every node is asked
-    in every shard; the beam is widened until an audit against all vectors finds AUDIT_RECALL of the links of
-    AUDIT_VECTORS nodes. component_id is the smallest id that links reach; kept marks the row that has it.
+    in every shard; the beam is widened until an audit of a sample against all vectors finds AUDIT_RECALL of a vector's
+    links, and if no beam does, all vectors are compared by blocks. Links of the audit are kept. component_id is the smallest id that links reach; kept marks the row that has it.
     """
     v = F.transform(F.col(vector_col), lambda x: x.cast("double"))
     ok = F.col("v").isNotNull() & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
@@ -268,16 +301,17 @@ def near_duplicates(
     blocks = max(1, math.ceil(total / QUERY_BLOCK))
     nodes = nodes.withColumn("shard", F.pmod(F.xxhash64("node", F.lit(2)), F.lit(shards)).cast("int"))
     graphs = stage(build_graphs(nodes), "hnsw")
-    sample = [(r["dim"], r["node"], r["v"]) for r in nodes.orderBy(F.xxhash64("node", F.lit(3))).limit(AUDIT_VECTORS).select("dim", "node", "v").collect()]
-    truth = stage(audit_pairs(nodes, sample, least), "hnsw")
-    n_truth = truth.count()
-    asked = nodes.join(F.broadcast(nodes.sparkSession.createDataFrame([(r[1],) for r in sample], "node long")), "node", "left_semi") if sample else nodes
-    for _ in range(MAX_WIDENINGS if n_truth else 0):
-        hits = search_graphs(graphs, asked, shards, 1, beam, least).join(truth, ["a", "b"], "left_semi").count()
-        if hits >= AUDIT_RECALL * n_truth:
+    truth, asked, n_asked = audit_links(nodes, total, least)
+    audited = truth.select(F.least("q", "other").alias("a"), F.greatest("q", "other").alias("b"))
+    for _ in range(MAX_WIDENINGS + 1):
+        if audit_passes(truth, search_graphs(graphs, asked, shards, math.ceil(max(1, n_asked) / QUERY_BLOCK), beam, least)):
+            found = search_graphs(graphs, nodes, shards, blocks, beam, least).union(audited)
             break
         beam *= 2
-    links = stage(search_graphs(graphs, nodes, shards, blocks, beam, least), "hnsw")
+    else:
+        every = block_pairs(nodes, nodes, max(MIN_SHARDS, blocks), blocks, least)
+        found = every.select(F.least("q", "other").alias("a"), F.greatest("q", "other").alias("b"))
+    links = stage(found.distinct(), "hnsw")
     both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     others = both.join(nodes.select(F.col("node").alias("b"), "n"), "b").groupBy("a").agg(F.sum("n").alias("others"))
     found = components(links).select("node", "component")

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from test_llm_words import plain_shingles
 
 from tallyfold.llm import hnsw, partenum
@@ -118,6 +119,48 @@ def test_near_vectors_agree_with_brute_force(spark):
     assert hnsw.near_duplicates(frame.limit(0)).count() == 0
 
 
+def spread_vectors(spark, groups):
+    """Vectors far from each other, and groups of the given sizes whose members are near but unequal."""
+    rng = np.random.default_rng(6)
+    v = [rng.normal(size=(1200, 24))] + [rng.normal(size=24) + rng.normal(scale=0.1, size=(n, 24)) for n in groups]
+    v = np.concatenate(v)
+    unit = v / np.linalg.norm(v, axis=1)[:, None]
+    near = unit @ unit.T >= 0.9
+    np.fill_diagonal(near, False)
+    return spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>"), near.sum(1)
+
+
+def blind(spark, most):
+    """A search that finds links of vectors with more than ``most`` links only, however wide the beam."""
+    real = hnsw.search_graphs
+
+    def search(graphs, queries, *args):
+        links = real(graphs, queries, *args)
+        both = links.union(links.select("b", "a"))
+        return links.join(both.groupBy("a").count().where(F.col("count") > most).select("a"), "a", "left_semi")
+
+    return search
+
+
+@pytest.mark.parametrize(("groups", "most"), [([2, 2, 2], 99), ([300, 2, 2, 2, 3], 5)])
+def test_no_search_passes_that_misses_small_groups(spark, monkeypatch, groups, most):
+    frame, expected = spread_vectors(spark, groups)
+    monkeypatch.setattr(hnsw, "search_graphs", blind(spark, most))
+    monkeypatch.setattr(hnsw, "MAX_WIDENINGS", 1)
+    monkeypatch.setattr(hnsw, "AUDIT_VECTORS", 16)
+    got = hnsw.near_duplicates(frame).toPandas().sort_values("vec_id")
+    assert got["n_links"].tolist() == expected.tolist()
+
+
+def test_audit_is_per_vector_and_size(spark):
+    big = [(q, o) for q in range(40) for o in range(40) if q != o]
+    truth = spark.createDataFrame(big + [(100, 101), (101, 100)], "q long, other long")
+    found = spark.createDataFrame([(a, b) for a, b in big if a < b], "a long, b long")
+    assert not hnsw.audit_passes(truth, found) and not hnsw.audit_passes(truth, found.limit(0))
+    assert hnsw.audit_passes(truth, found.union(spark.createDataFrame([(100, 101)], "a long, b long")))
+    assert hnsw.audit_passes(truth.limit(0), found)
+
+
 def test_graph_finds_what_is_near():
     rng = np.random.default_rng(5)
     base = rng.normal(size=(3000, 24)).astype(np.float32)
