@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyfold.llm import queries_models, queries_native, queries_similar, queries_sql
+from tallyfold.llm import queries_arrays, queries_models, queries_native, queries_similar, queries_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_nb_svm_quality": queries_models.op1_nb_svm_quality,
@@ -19,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc_transactions": queries_models.op8_warc_transactions,
     "op9_ngram_bayes_language": queries_models.op9_ngram_bayes_language,
     "op10_template_decontamination": queries_models.op10_template_decontamination,
+    "op13_binary_packing": queries_arrays.op13_binary_packing,
 }
 SQL: dict[str, str] = {
     "op3_partenum_join": queries_sql.JACCARD,
