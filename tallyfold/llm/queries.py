@@ -19,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc_transactions": queries_models.op8_warc_transactions,
     "op9_ngram_bayes_language": queries_models.op9_ngram_bayes_language,
     "op10_template_decontamination": queries_models.op10_template_decontamination,
+    "op11_prefix_trie": queries_arrays.op11_prefix_trie,
     "op13_binary_packing": queries_arrays.op13_binary_packing,
 }
 SQL: dict[str, str] = {
@@ -27,4 +28,5 @@ SQL: dict[str, str] = {
     "op5_hash_ring": queries_sql.RING,
     "op7_source_mix": queries_sql.MIX,
     "op8_warc_transactions": queries_sql.WARC,
+    "op11_prefix_trie": queries_sql.TRIE,
 }

