@@ -20,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_ngram_bayes_language": queries_models.op9_ngram_bayes_language,
     "op10_template_decontamination": queries_models.op10_template_decontamination,
     "op11_prefix_trie": queries_arrays.op11_prefix_trie,
+    "op12_jacobi_whitening": queries_arrays.op12_jacobi_whitening,
     "op13_binary_packing": queries_arrays.op13_binary_packing,
 }
 SQL: dict[str, str] = {

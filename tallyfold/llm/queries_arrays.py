@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.llm import packing, trie
+from tallyfold.llm import packing, trie, whitening
 from tallyfold.llm.parts import read
 
 
@@ -13,6 +13,10 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.prefix_trie(read(spark, sf_dir, "conversations"))
 
 
+def op12_jacobi_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(read(spark, sf_dir, "embeddings"))
+
+
 def op13_binary_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
