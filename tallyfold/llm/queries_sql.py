@@ -145,7 +145,7 @@ plan AS (
          xor(list_reduce([4294967295] || list_transform(regexp_extract_all(hex(encode(conv_id::VARCHAR)), '..'), lambda h: ('0x' || h)::BIGINT),
                          lambda c, v: xor(c // 256, t[1 + xor(c % 256, v)])), 4294967295) % 4 AS h
   FROM sizes, crc_table),
-cut AS (SELECT p.*, coalesce(least(h, s.n), 0) AS b FROM plan p LEFT JOIN sizes s ON s.conv_id = p.base),
+cut AS (SELECT p.*, least(h, coalesce(s.n, 0)) AS b FROM plan p LEFT JOIN sizes s ON s.conv_id = p.base),
 rebuilt AS (
   SELECT conv_id, nth - h + b AS depth, d, words FROM own JOIN cut USING (conv_id) WHERE nth > h
   UNION ALL

@@ -166,7 +166,7 @@ def rebuild(turns: DataFrame, block: int = 20, heads: int = 4) -> tuple[DataFram
         (F.col("conv_id") - F.col("conv_id") % block).alias("base"),
     )
     base = sizes.select(F.col("conv_id").alias("base"), F.col("n").alias("n_base"))
-    plan = plan.join(base, "base", "left").withColumn("b", F.coalesce(F.least("h", "n_base"), F.lit(0)))
+    plan = plan.join(base, "base", "left").withColumn("b", F.least("h", F.coalesce("n_base", F.lit(0))))
     plan = stage(plan.withColumn("len", F.col("b") + F.greatest(F.col("n") - F.col("h"), F.lit(0))), "plan")
     later = own.join(plan.select("conv_id", "h", "b", "len"), "conv_id").where("nth > h")
     opening = own.where((F.col("nth") < heads) & (F.col("conv_id") % block == 0)).withColumnRenamed("conv_id", "base")
