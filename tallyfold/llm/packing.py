@@ -6,89 +6,116 @@ the rest, longest first. Pieces of one length form a bucket; each piece is a seq
 
 from __future__ import annotations
 
+import json
 import math
+import re
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
+from tokenizers import Tokenizer
 
 from tallyfold.llm.parts import with_small
 from tallyfold.llm.words import release
 from tallyfold.runtime import stage
 
 MAX_LENGTH = 1024
-FLUSH_TOKENS = 1 << 19  # ids held before a batch is given away; a longer document is a batch alone
-CACHE_CHUNKS = 1 << 18  # chunks of text whose ids a task remembers
-CACHE_BYTES = 1 << 24
+FLUSH_CHARS = 1 << 18  # characters per batch that is given away
+SLICE_CHARS = 1 << 18  # a longer text is encoded in slices
+
+# How byte-level vocabularies split text and write bytes as characters.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+SHOWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]  # bytes written as themselves; the others from U+0100 on
+
+# What is surely a letter, a digit, a mark or white space to every engine of patterns.
+UNSURE = re.compile("[^\n\t -~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f\u0391-\u03a1\u03b1-\u03c9\u0410-\u044f\u2010-\u2015\u2018-\u201f\u2026\u20ac]")
+
 
+def plain(text: str) -> bool:
+    """Whether no character is in doubt and no run of white space (64) or of anything else (256) is very long."""
+    if UNSURE.search(text):
+        return False
+    blocks = (text[i : i + 128] for i in range(0, len(text) - 127, 128))
+    if not all(" " in b or "\n" in b for b in blocks):
+        return False
+    return not any(text[i : i + 32].isspace() for i in range(0, len(text) - 31, 32))
 
-def chunks(text: str) -> list[str]:
-    """Text cut before spaces that follow a letter, a digit or printable ASCII.
+
+def slices(text: str, limit: int = SLICE_CHARS) -> list[str]:
+    """Text cut, where it is longer than ``limit``, before spaces that follow a letter, a digit or printable ASCII.
 
     Byte-level BPE splits text by a pattern none of whose matches holds white space after anything else, and which looks ahead
-    only from white space. So each such place is a border of matches, and the chunks have the ids that the whole text has.
+    only from white space. So each such place is a border of matches, and the slices have the ids that the whole text has.
     """
-    out: list[str] = []
-    whole = True
-    for part in text.split(" "):
-        if out:
-            if whole:
-                out.append(" " + part)
-            else:
-                out[-1] += " " + part
+    out, at, look = [], 0, limit
+    while len(text) - at > limit:
+        cut = text.find(" ", at + look)
+        if cut < 0:
+            break
+        before = text[cut - 1]
+        if "!" <= before <= "~" or before.isalnum():
+            out.append(text[at:cut])
+            at, look = cut, limit
         else:
-            out.append(part)
-        whole = bool(part) and ("!" <= part[-1] <= "~" or part[-1].isalnum())
-    return out
-
-
-class ChunkEncoder:
-    """Token ids of texts; every distinct chunk is encoded once as long as it is remembered."""
+            look = cut - at + 1
+    return [*out, text[at:]]
+
+
+def byte_ranks(vocabulary: dict) -> dict[bytes, int] | None:
+    """Tokens as bytes with their ids, if ids are in the order of the merges and text is split in the usual way; else nothing."""
+    model, split = vocabulary["model"], vocabulary["pre_tokenizer"] or {}
+    usual = split.get("type") == "ByteLevel" and not split.get("add_prefix_space") and split.get("use_regex", True)
+    if model.get("type", "BPE") != "BPE" or vocabulary["normalizer"] or not usual:
+        return None
+    hidden = [b for b in range(256) if b not in SHOWN]
+    byte = {chr(b): b for b in SHOWN} | {chr(256 + i): b for i, b in enumerate(hidden)}
+    ids = model["vocab"]
+    pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    if any(ids[a + b] != 256 + i for i, (a, b) in enumerate(pairs)) or sorted(ids[c] for c in byte) != list(range(256)):
+        return None
+    special = {t["content"] for t in vocabulary["added_tokens"]}
+    return {bytes(byte[c] for c in t): i for t, i in ids.items() if t not in special}
+
+
+class Encoder:
+    """Token ids of whole texts under a vocabulary file of the tokenizers library.
+
+    Plain texts take the same merges by rank, which is several times faster; all others go through the tokenizers library.
+    Names of special tokens in a text are ordinary text.
+    """
 
     def __init__(self, vocabulary: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_str(vocabulary)
-        self.tokenizer.encode_special_tokens = True  # names of special tokens in a text are ordinary text
-        self.clear()
-
-    def clear(self) -> None:
-        self.index: dict[str, int] = {}
-        self.first = np.zeros(1, np.int64)
-        self.ids = np.zeros(0, np.uint32)
-        self.held = 0
-
-    def _learn(self, new: list[str]) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter(chain.from_iterable(found), np.uint32, int(lengths.sum()))
-        self.index.update(zip(new, range(len(self.index), len(self.index) + len(new))))
-        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(lengths)])
-        self.ids = np.concatenate([self.ids, flat])
-        self.held += sum(map(len, new))
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts, number of ids per text)."""
-        if len(self.index) > CACHE_CHUNKS or self.held > CACHE_BYTES:
-            self.clear()
-        cut = [chunks(t) for t in texts]
-        new = [c for c in dict.fromkeys(chain.from_iterable(cut)) if c not in self.index]
-        if new:
-            self._learn(new)
-        n = sum(map(len, cut))
-        codes = np.fromiter(map(self.index.__getitem__, chain.from_iterable(cut)), np.int64, n)
-        lengths = self.first[codes + 1] - self.first[codes]
-        ends = np.cumsum(lengths)
-        at = np.arange(ends[-1] if n else 0) + np.repeat(self.first[codes] - ends + lengths, lengths)
-        per_chunk = np.concatenate([[0], ends])
-        last = np.cumsum([len(row) for row in cut])
-        return self.ids[at], np.diff(per_chunk[np.concatenate([[0], last])])
+        self.vocabulary = vocabulary
+        ranks = byte_ranks(json.loads(vocabulary))
+        self.by_rank = ranks and tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.tokenizer: Tokenizer | None = None
+
+    def _whole(self, text: str) -> list[int]:
+        if self.by_rank and plain(text):
+            return self.by_rank.encode_ordinary(text)
+        if self.tokenizer is None:
+            self.tokenizer = Tokenizer.from_str(self.vocabulary)
+            self.tokenizer.encode_special_tokens = True
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
+    def encode(self, texts: list[str], end: list[int] | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, each followed by those of ``end``; number of ids per text)."""
+        parts: list[np.ndarray] = []
+        n = np.zeros(len(texts), np.int64)
+        tail = np.array(end or [], "<u4")
+        for i, text in enumerate(texts):
+            for one in slices(text):
+                parts.append(np.array(self._whole(one), "<u4"))
+                n[i] += len(parts[-1])
+            parts.append(tail)
+            n[i] += len(tail)
+        return np.concatenate(parts) if parts else np.zeros(0, "<u4"), n
 
 
 def piece_lengths(n: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
@@ -125,14 +152,12 @@ def pack(
     arrow = to_arrow_schema(schema)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = ChunkEncoder(vocabulary.value)
+        encoder = Encoder(vocabulary.value)
         task = TaskContext.get().partitionId()
         made = np.zeros(longest.bit_length(), np.int64)
 
         def give(keys: pa.Array, texts: list[str]) -> pa.RecordBatch:
-            body, n = encoder.encode(texts)
-            ids = np.insert(body, np.cumsum(n), end_id).astype("<u4")
-            n = n + 1
+            ids, n = encoder.encode(texts, [end_id])
             row, length = piece_lengths(n, longest)
             ends = np.cumsum(length)
             start = ends - length - (np.cumsum(n) - n)[row]
@@ -157,7 +182,7 @@ def pack(
             for i in range(len(texts)):
                 waiting.append(texts[i].as_py() or "")
                 held += len(waiting[-1])
-                if held >= FLUSH_TOKENS or i + 1 == len(texts):
+                if held >= FLUSH_CHARS or i + 1 == len(texts):
                     yield give(batch.column(0).slice(at, len(waiting)), waiting)
                     at, held, waiting = i + 1, 0, []
         release()

@@ -27,7 +27,7 @@ def tokenizer():
 @pytest.fixture(scope="module")
 def encoder():
     with open(VOCABULARY, encoding="utf-8") as file:
-        return packing.ChunkEncoder(file.read())
+        return packing.Encoder(file.read())
 
 
 SPACES = ["a  b", " \n b", "\t\t x", "é  à ", "x  y", "　 z", "a  b  ", "don't  'll 's", "<|endoftext|> x <|endoftext|>", "名前 は", "1 2  3", "a\x1c b", "a\x85 b", "🙂 🙂", "", " "]
@@ -35,12 +35,31 @@ SPACES = ["a  b", " \n b", "\t\t x", "é  à ", "x  y", "　 z", "a  b  ",
 
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.text(alphabet=" \n\t 　\x85ab1'.é名🙂", max_size=30) | st.sampled_from(SPACES), min_size=1, max_size=6))
-def test_chunks_have_the_ids_of_the_text(tokenizer, encoder, texts):
+def test_ids_are_those_of_the_library(tokenizer, encoder, texts):
+    texts = [*texts, " ".join(texts)]
     ids, n = encoder.encode(texts)
     whole = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
     assert n.tolist() == list(map(len, whole)) and ids.tolist() == [i for w in whole for i in w]
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from([*SPACES, "don't", "I'll", "x's", "naïve Wörter", "“quoted” — dash…", "Straße 12", "слово", "λόγος", "\n\n", "    ", "a" * 300, " " * 70, "!?!?", "e.g.,"]), max_size=30), st.integers(3, 40))
+def test_slices_have_the_ids_of_the_text(tokenizer, encoder, words, limit):
+    text = "".join(words)
+    cut = packing.slices(text, limit)
+    assert "".join(cut) == text
+    ids = [i for one in cut for i in encoder.encode([one])[0].tolist()]
+    assert ids == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_long_runs_and_plain_texts(tokenizer, encoder):
+    texts = ["x" * 100_000, " " * 100_000, "ab cd " * 50_000, "word " * 10 + "y" * 400 + " word", "\n" * 3000 + "a"]
+    for text in texts:
+        assert encoder.encode([text])[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert [packing.plain(t) for t in texts] == [False, False, True, False, False]
+    assert len(packing.slices(texts[2])) == 2 and len(packing.slices(texts[1])) == 1
+
+
 def test_pieces_cover_every_document(spark, tokenizer):
     long_text = " ".join(f"w{i}é" for i in range(9000))
     texts = [None, "", "one", long_text, "x" * 5000, "a b " * 700, "same", "same", *SPACES]
