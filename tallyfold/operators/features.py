@@ -312,7 +312,7 @@ def preprocessing(nums: list[str], cats: list[str], scaler: str = "robust", out:
 
 def feature_names(model, nums: list[str], cats: list[str]) -> list[str]:
     """Names of the assembled slots: numeric columns, then ``col_value`` per category."""
-    labels = next((s.labelsArray for s in _leaves(model) if hasattr(s, "labelsArray")), [])
+    labels = [values for s in _leaves(model) if hasattr(s, "labelsArray") for values in s.labelsArray]
     return [*nums, *[f"{c}_{v}" for c, values in zip(cats, labels) for v in values]]
 
 

@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from functools import partial, reduce
-
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyfold.operators.clean import top_k
-from tallyfold.plans.evaluate import Candidate, TableSpec, encode, fit_candidate, fold_frames, score_candidates
+from tallyfold.plans.evaluate import Candidate, fold_frames, score_candidates
+from tallyfold.plans.foldset import TableSpec, holdout_set
 from tallyfold.plans.models import fit_model, score_rows
-from tallyfold.runtime import run_jobs, stage
+from tallyfold.runtime import stage
 
 
 def soft_vote(scores: DataFrame, keys: list[str]) -> DataFrame:
@@ -33,16 +32,7 @@ def _wide(scores: DataFrame, names: list[str]) -> DataFrame:
 
 def base_scores(train: DataFrame, test: DataFrame, spec: TableSpec, bases: list[Candidate], seed: int = 42) -> DataFrame:
     """Score frame of the test rows from bases refitted on all training rows."""
-    columns = [c for c in train.columns if c in test.columns]
-    both = train.select(*columns, F.lit("train").alias("part")).unionByName(test.select(*columns, F.lit("test").alias("part")))
-    encoded, _ = encode(train, both, spec)
-
-    def one(c: Candidate) -> DataFrame:
-        model = fit_candidate(encoded.where("part = 'train'").select("key", "y", "features"), c, seed)
-        scored = score_rows(model, encoded.where("part = 'test'")).select("key", "y", "p", "label")
-        return scored.withColumn("model", F.lit(c.name))
-
-    return stage(reduce(lambda a, b: a.unionByName(b), run_jobs([partial(one, c) for c in bases])), "base_scores")
+    return score_candidates(holdout_set(train, test, spec), bases, seed=seed).select("key", "y", "p", "label", "model")
 
 
 def stacking(

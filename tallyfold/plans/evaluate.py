@@ -1,8 +1,8 @@
-"""Cross-validation, tuning and refitting on encoded folds.
+"""Cross-validation, tuning and refitting on folds.
 
-Preprocessing is refitted inside every fold and staged once per fold; all models of that fold share
-it. Fits run as Spark jobs from a small pool. Every scored row lands in one score frame, from which
-a single grouped aggregation gives the metrics of all models and folds.
+Preprocessing is refitted for every fold, all folds at once; rows are staged once and encoded when they are read. Logistic
+regressions of all candidates and folds are fitted together, other models as Spark jobs from a small pool. Scores go to one path,
+from which a single grouped aggregation gives the metrics of all models and folds: its plan does not grow with them.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 import math
 import random
 from dataclasses import dataclass, field
-from functools import partial, reduce
+from functools import partial
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -23,19 +23,10 @@ from tallyfold.operators.curves import ranking_metrics
 from tallyfold.operators.features import preprocessing
 from tallyfold.operators.metrics import binary_metrics
 from tallyfold.operators.resample import STRATEGIES, resample
+from tallyfold.plans.foldset import FoldSet, TableSpec, fold_set
+from tallyfold.plans.linear import batchable, fit_linear, score_linear
 from tallyfold.plans.models import fit_model, score_rows
-from tallyfold.runtime import run_jobs, stage
-
-
-@dataclass(frozen=True)
-class TableSpec:
-    """Which columns of a table are key, target and features."""
-
-    key: str
-    nums: tuple[str, ...]
-    cats: tuple[str, ...] = ()
-    y: str = "y"
-    scaler: str = "robust"
+from tallyfold.runtime import run_jobs, stage, stage_parts
 
 
 @dataclass(frozen=True)
@@ -77,24 +68,17 @@ def fit_candidate(train: DataFrame, c: Candidate, seed: int = 42):
     return fit_model(c.model, rebalance(train, c.sampling, seed), c.params, seed)
 
 
-def fold_frames(df: DataFrame, spec: TableSpec, k: int, repeats: int, seed: int = 42) -> list[DataFrame]:
+def fold_frames(df: DataFrame, spec: TableSpec, k: int, repeats: int, seed: int = 42) -> FoldSet:
     """One encoded frame per (repeat, fold) with ``part`` = 'train' or 'valid'."""
-    folds = stage(split.repeated_folds(df, [spec.key], spec.y, k, repeats, seed), "folds")
-
-    def one(repeat: int, fold: int) -> DataFrame:
-        rows = folds.where(F.col("repeat") == repeat).withColumn(
-            "part", F.when(F.col("fold") == fold, "valid").otherwise("train")
-        )
-        rows = rows.withColumn("fold", F.lit(fold))
-        return encode(rows.where("part = 'train'"), rows, spec)[0]
-
-    return run_jobs([partial(one, r, f) for r in range(1, repeats + 1) for f in range(1, k + 1)])
+    return fold_set(df, spec, k, repeats, seed)
 
 
 def score_candidates(
-    frames: list[DataFrame], candidates: list[Candidate], parts: tuple[str, ...] = ("valid",), seed: int = 42
+    folds: FoldSet, candidates: list[Candidate], parts: tuple[str, ...] = ("valid",), seed: int = 42
 ) -> DataFrame:
-    """Score frame (key, model, sampling, repeat, fold, part, y, p, label) of every candidate and fold."""
+    """Score frame (key, model, sampling, repeat, fold, part, y, p, label) of every candidate and fold. Staged."""
+    together = [c for c in candidates if batchable(folds, c)]
+    alone = [c for c in candidates if c not in together]
 
     def one(frame: DataFrame, c: Candidate) -> DataFrame:
         model = fit_candidate(frame.where("part = 'train'").select("key", "y", "features"), c, seed)
@@ -102,8 +86,10 @@ def score_candidates(
         scored = score_rows(model, rows, by=["part"]).select("key", "repeat", "fold", "part", "y", "p", "label")
         return scored.withColumns({"model": F.lit(c.name), "sampling": F.lit(c.sampling)})
 
-    scored = run_jobs([partial(one, frame, c) for c in candidates for frame in frames])
-    return stage(reduce(lambda a, b: a.unionByName(b), scored), "scores")
+    tasks = [partial(one, frame, c) for frame in folds for c in alone]
+    if together:
+        tasks.insert(0, lambda: score_linear(folds, fit_linear(folds, together), parts))
+    return stage_parts(tasks, "scores", folds.rows.sparkSession)
 
 
 def cross_validate(
@@ -295,8 +281,8 @@ def learning_curve(
     subsets = run_jobs(
         [partial(lambda f: stage(split.nested_subsets(f.where("part = 'train'"), ["key"], sizes, seed), "subsets"), f) for f in frames]
     )
-    scored = run_jobs([partial(one, f, i, s) for f, s in zip(frames, subsets) for i in range(len(sizes))])
-    scores = stage(reduce(lambda a, b: a.unionByName(b), scored), "curve")
+    tasks = [partial(one, f, i, s) for f, s in zip(frames, subsets) for i in range(len(sizes))]
+    scores = stage_parts(tasks, "curve", df.sparkSession)
     cells = binary_metrics(scores, ["size", "fold", "part"], only=(metric,))
     value = F.col(metric)
     rows = F.col("tp") + F.col("fp") + F.col("tn") + F.col("fn")

@@ -11,13 +11,14 @@ from tallyfold.operators.features import feature_names
 from tallyfold.operators.metrics import binary_metrics
 from tallyfold.operators.resample import STRATEGIES
 from tallyfold.operators.threshold import best_threshold, chosen_threshold, threshold_sweep
-from tallyfold.plans import ensemble, evaluate
+from tallyfold.plans import ensemble, evaluate, linear
 from tallyfold.plans.evaluate import Candidate, TableSpec
+from tallyfold.plans.foldset import holdout_set
 from tallyfold.plans.models import importance_table
 from tallyfold.plans.registry import query
-from tallyfold.plans.split_queries import SPLIT_SQL
+from tallyfold.plans.split_queries import SPLIT_SQL, folds_sql
 from tallyfold.runtime import lookup_join, stage
-from tallyfold.sources.tables import CENSUS_SQL, QUALITY_CATS, QUALITY_NUMS, census, quality
+from tallyfold.sources.tables import CENSUS_SQL, QUALITY_CATS, QUALITY_NUMS, census, metrics_sql, quality
 
 QUALITY = TableSpec("doc_id", QUALITY_NUMS, QUALITY_CATS)
 # Short settings: the same learners with fewer trees.
@@ -41,36 +42,125 @@ def test_scores(spark, sf_dir, c: Candidate):
 
 
 # Which rows are scored, and their class, is determined; scores are not. The queries say of every test row whether its score is
-# a probability and whether its label is the one that the score stands for.
-QUALITY_SPLIT_SQL = SPLIT_SQL.replace(
-    CENSUS_SQL, "census AS (SELECT doc_id AS id, quality AS y FROM labels JOIN documents USING (doc_id))"
-)
+# a probability and its label the one that the score stands for, and of the model whether it has learned: more training rows are
+# right than the larger class has, or, for a logistic regression, the gradient of its objective vanishes.
+QUALITY_CENSUS = "census AS (SELECT doc_id AS id, quality AS y FROM labels JOIN documents USING (doc_id))"
+QUALITY_SPLIT_SQL = SPLIT_SQL.replace(CENSUS_SQL, QUALITY_CENSUS)
 SCORED_SQL = f"WITH {QUALITY_SPLIT_SQL} SELECT id AS key, y, TRUE AS p_ok, TRUE AS label_ok FROM halves WHERE split = 'test'"
+LEARNED_SQL = SCORED_SQL.replace("AS label_ok", "AS label_ok, TRUE AS learned")
 
 
-def checked(scores):
+def checked(scores, *flags):
     """(key, y, p_ok, label_ok); label 1 stands for p > 0.5."""
     label_ok = F.col("label") == (F.col("p") > 0.5).cast("int")
-    return scores.select(F.col("key").cast("long").alias("key"), "y", F.col("p").between(0, 1).alias("p_ok"), label_ok.alias("label_ok"))
+    return scores.select(
+        F.col("key").cast("long").alias("key"), "y", F.col("p").between(0, 1).alias("p_ok"), label_ok.alias("label_ok"), *flags
+    )
 
 
-def checked_ranks(scores):
+def checked_ranks(scores, *flags):
     """The same for scores that are ranks of a margin: every row of label 1 ranks above every row of label 0."""
     top_of_0 = scores.where("label = 0").agg(F.max("p")).first()[0]
     label_ok = (F.col("label") == 0) | (F.col("p") > (top_of_0 or 0.0))
-    return scores.select(F.col("key").cast("long").alias("key"), "y", F.col("p").between(0, 1).alias("p_ok"), label_ok.alias("label_ok"))
+    return scores.select(
+        F.col("key").cast("long").alias("key"), "y", F.col("p").between(0, 1).alias("p_ok"), label_ok.alias("label_ok"), *flags
+    )
+
+
+def beats_majority(scores) -> bool:
+    """Whether more rows are labelled right than the larger class has."""
+    row = scores.agg(F.avg((F.col("y") == F.col("label")).cast("double")).alias("hit"), F.avg("y").alias("share")).first()
+    return row["hit"] > max(row["share"], 1 - row["share"])
 
 
 def _scores(c: Candidate, check=checked):
-    return lambda spark, sf_dir: check(test_scores(spark, sf_dir, c))
+    def run(spark, sf_dir):
+        train, test = quality_halves(spark, sf_dir)
+        scores = evaluate.score_candidates(holdout_set(train, test, QUALITY), [c], ("train", "valid"))
+        return check(scores.where("part = 'valid'"), F.lit(beats_majority(scores.where("part = 'train'"))).alias("learned"))
+
+    return run
+
 
+def at_optimum(folds, models, scores):
+    """(model, repeat, fold, optimal): the gradient, summed up anew from the scores of the training rows, vanishes."""
+    table = linear.gradient_table(folds, models, scores)
+    flat = F.max(F.abs("gradient") / F.greatest("terms", F.lit(1e-300)))
+    return table.groupBy("model", "repeat", "fold").agg((flat < 1e-6).alias("optimal"))
 
-query("lr_scores", SCORED_SQL)(_scores(LOGISTIC))
-query("rf_scores", SCORED_SQL)(_scores(FOREST))
-query("gbt_scores", SCORED_SQL)(_scores(BOOSTED))
-query("gbt_lgbm_like_scores", SCORED_SQL)(_scores(LEAFWISE))
-query("svc_like_scores", SCORED_SQL)(_scores(KERNEL, checked_ranks))
-query("mlp_scores", SCORED_SQL)(_scores(NETWORK))
+
+@query("lr_scores", LEARNED_SQL)
+def lr_scores(spark, sf_dir):
+    train, test = quality_halves(spark, sf_dir)
+    folds = holdout_set(train, test, QUALITY)
+    models = linear.fit_linear(folds, [LOGISTIC])
+    scores = stage(linear.score_linear(folds, models, ("train", "valid")), "scores")
+    optimal = at_optimum(folds, models, scores).first()["optimal"]
+    return checked(scores.where("part = 'valid'"), F.lit(optimal).alias("learned"))
+
+
+query("rf_scores", LEARNED_SQL)(_scores(FOREST))
+query("gbt_scores", LEARNED_SQL)(_scores(BOOSTED))
+query("gbt_lgbm_like_scores", LEARNED_SQL)(_scores(LEAFWISE))
+query("svc_like_scores", LEARNED_SQL)(_scores(KERNEL, checked_ranks))
+query("mlp_scores", LEARNED_SQL)(_scores(NETWORK))
+
+# Candidates of the optimum query: penalties from strong to weak, with and without class weights.
+REGRESSIONS = [
+    Candidate("LogisticRegression", {"C": c, "class_weight": w}, "none", f"C={c:g} {w or 'plain'}")
+    for c in (0.01, 1.0, 15.0) for w in (None, "balanced")
+]
+
+
+@query(
+    "lr_optimum",
+    f"""WITH {QUALITY_CENSUS}, {folds_sql(3, 2)},
+    m AS (SELECT unnest({[c.name for c in REGRESSIONS]}) AS model)
+    SELECT model, f.repeat, g.fold::INTEGER AS fold, count(*) FILTER (WHERE f.fold <> g.fold) AS n_train,
+           count(*) FILTER (WHERE f.fold = g.fold) AS n_valid, TRUE AS optimal
+    FROM folds f, range(1, 4) g(fold), m GROUP BY ALL""",
+)
+def lr_optimum(spark, sf_dir):
+    """Regressions of six settings on 3 x 2 folds, fitted and scored together: rows scored per fold, and the gradient's size."""
+    folds = evaluate.fold_frames(quality(spark, sf_dir), QUALITY, 3, 2)
+    models = linear.fit_linear(folds, REGRESSIONS)
+    scores = stage(linear.score_linear(folds, models, ("train", "valid")), "scores")
+    counts = scores.groupBy("model", "repeat", "fold").agg(
+        F.count(F.when(F.col("part") == "train", 1)).alias("n_train"), F.count(F.when(F.col("part") == "valid", 1)).alias("n_valid")
+    )
+    return lookup_join(counts, at_optimum(folds, models, scores), ["model", "repeat", "fold"], "inner")
+
+
+@query(
+    "out_of_fold",
+    f"""WITH {QUALITY_CENSUS}, {folds_sql(3, 2)},
+    m AS (SELECT unnest(['DummyMostFreq', 'LogisticRegression', 'RandomForest']) AS model)
+    SELECT model, id AS key, y, f.repeat, f.fold, TRUE AS p_ok FROM folds f, m""",
+)
+def out_of_fold(spark, sf_dir):
+    """Every row is scored once per model and repeat, by the fold that leaves it out."""
+    folds = evaluate.fold_frames(quality(spark, sf_dir), QUALITY, 3, 2)
+    scores = evaluate.score_candidates(folds, [DUMMY, LOGISTIC, FOREST])
+    return scores.select("model", F.col("key").cast("long").alias("key"), "y", "repeat", "fold", F.col("p").between(0, 1).alias("p_ok"))
+
+
+@query(
+    "cv_baseline",
+    f"""WITH {QUALITY_CENSUS}, {folds_sql(3, 2)},
+    top AS (
+      SELECT f.repeat, g.fold::INTEGER AS fold, (count(*) FILTER (WHERE y = 1) > count(*) FILTER (WHERE y = 0))::INTEGER AS label
+      FROM folds f JOIN range(1, 4) g(fold) ON f.fold <> g.fold GROUP BY ALL),
+    cells AS (
+      SELECT repeat, fold, count(*) FILTER (WHERE y = 1 AND label = 1) AS tp, count(*) FILTER (WHERE y = 0 AND label = 1) AS fp,
+             count(*) FILTER (WHERE y = 0 AND label = 0) AS tn, count(*) FILTER (WHERE y = 1 AND label = 0) AS fn
+      FROM folds JOIN top USING (repeat, fold) GROUP BY ALL)
+    SELECT 'DummyMostFreq' AS model, 3 AS n_splits, 2 AS n_repeats_cv, 'none' AS sampling_strategy, 0.5::DOUBLE AS roc_auc,
+           round((tp + fn)::DOUBLE / (tp + fp + tn + fn), 9) AS pr_auc, * EXCLUDE (tp, fp, tn, fn)
+    FROM ({metrics_sql("cells", "repeat, fold")})""",
+)
+def cv_baseline(spark, sf_dir):
+    """All metrics of the majority baseline over 3 x 2 folds."""
+    return rounded(evaluate.cv_results(quality(spark, sf_dir), QUALITY, [DUMMY], 3, 2))
 
 
 @query("quality_test_metrics")

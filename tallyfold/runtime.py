@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
+from functools import partial, reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -70,6 +70,24 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     return staged
 
 
+def stage_parts(tasks: Iterable[Callable[[], DataFrame]], name: str, spark: SparkSession) -> DataFrame:
+    """Write frames of one schema into one staged table, each as its own job from a small pool.
+
+    Reading the table is one scan, however many frames there were; a union would carry the plan of each.
+    """
+    path = new_stage_path(spark, name)
+
+    def write(i: int, task: Callable[[], DataFrame]) -> T.StructType:
+        frame = task()
+        frame.write.parquet(f"{path}/piece={i}")
+        return frame.schema
+
+    schemas = run_jobs([partial(write, i, task) for i, task in enumerate(tasks)])
+    staged = spark.read.schema(schemas[0]).parquet(path).select(*schemas[0].names)
+    staged._is_staged = True
+    return staged
+
+
 def staged_once(df: DataFrame, name: str = "stage") -> DataFrame:
     """``df`` itself if it is a staged table already."""
     return df if getattr(df, "_is_staged", False) else stage(df, name)
