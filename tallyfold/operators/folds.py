@@ -175,6 +175,28 @@ def _pick(long: DataFrame, brackets: DataFrame, cells: list[Cell], wanted: list[
     return {(r["column"], r["i"], r["rank"]): r["kept"] for r in hits.select("column", "kept", "w.i", "w.rank").collect()}
 
 
+def complement_hash_cuts(rows: DataFrame, hashes: dict, cells: list[Cell], wanted: list[tuple[str, int, int, int]]) -> dict[tuple[str, int], float]:
+    """The hash (a number in [0, 1)) at a rank of a complement: {(name, cell number): hash}, from one count of all cells.
+
+    ``hashes`` maps names to columns, null where a row takes no part; ``wanted`` has (name, cell number, rank from 0, rows of the
+    complement that take part). Hashes are spread evenly, so the rank says where to look.
+    """
+    if not wanted:
+        return {}
+    entries = F.array(*[F.struct(F.lit(n).alias("column"), h.alias("value")) for n, h in hashes.items()])
+    long = rows.select("folds", F.inline(entries)).where("value IS NOT NULL")
+    edges: dict[str, list[float]] = {}
+    for name, _, rank, n in wanted:
+        low, high = rank / n - 10 / math.sqrt(n), (rank + 1) / n + 10 / math.sqrt(n)
+        at = edges.setdefault(name, [low, high])
+        at[:] = [min(at[0], low), max(at[1], high)]
+    asked = [w[:3] for w in wanted]
+    picked = _pick(long, _small(rows.sparkSession, [(n, *e * 3) for n, e in edges.items()], EDGES), cells, asked)
+    if len(picked) < len(asked):
+        picked = _pick(long, _small(rows.sparkSession, [(n, *[-1.0, 2.0] * 3) for n in edges], EDGES), cells, asked)
+    return {(name, i): value for (name, i, _), value in picked.items()}
+
+
 def complement_categories(df: DataFrame, cols: list[str], cells: list[Cell]) -> dict[Cell, dict[str, tuple[str, list[str]]]]:
     """Per cell and column: the mode of the complement, the smallest on ties, and its categories in order.
 

@@ -88,7 +88,7 @@ def score_candidates(
 
     tasks = [partial(one, frame, c) for frame in folds for c in alone]
     if together:
-        tasks.insert(0, lambda: score_linear(folds, fit_linear(folds, together), parts))
+        tasks.insert(0, lambda: score_linear(folds, fit_linear(folds, together, seed), parts))
     return stage_parts(tasks, "scores", folds.rows.sparkSession)
 
 

@@ -21,8 +21,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from tallyfold.functions.scalars import hash_key, hash_uniform
 from tallyfold.operators.features import feature_names
-from tallyfold.operators.folds import Cell
+from tallyfold.operators.folds import Cell, complement_hash_cuts
 from tallyfold.plans.foldset import FoldSet
 from tallyfold.plans.models import model_params
 from tallyfold.runtime import local_frame, lookup_join, stage_parts
@@ -31,6 +32,7 @@ MAX_WIDTH = 512  # wider designs are fitted one by one
 HESSIAN_CELLS = 1 << 23  # numbers of all Hessians that one task holds; more models are fitted in turns
 BUCKETS = 16  # beyond four times as many tasks, their sums are added up in so many groups before they come to the driver
 ROWS = 4096
+SAMPLINGS = ("none", "random_undersample", "random_oversample")  # those that only decide how often a row counts
 STEP = 1e-10  # a model has arrived when no coefficient moves by more than this part of the largest
 
 
@@ -115,26 +117,60 @@ class LinearModel:
     c: float
     weights: tuple[float, float]  # of the classes 0 and 1
     beta: np.ndarray
+    rule: tuple | None = None  # what resampling makes of a row: ("keep", class, cut) or ("copy", class, copies of each, cut)
     loss: float = np.inf
     gradient: float = np.inf  # largest part of the gradient, as a share of what its terms add up to
     steps: int = 0
 
 
 def batchable(folds: FoldSet, candidate) -> bool:
-    """Whether a candidate is a logistic regression with the smooth penalty on the rows as they are."""
-    if candidate.model != "LogisticRegression" or candidate.sampling != "none" or folds.spec.scaler not in ("robust", "none"):
+    """Whether a candidate is a logistic regression with the smooth penalty on rows as they are, or on some of them or copies."""
+    if candidate.model != "LogisticRegression" or candidate.sampling not in SAMPLINGS or folds.spec.scaler not in ("robust", "none"):
         return False
     return model_params(candidate.model, candidate.params)["penalty"] == "l2" and design_of(folds).width <= MAX_WIDTH
 
 
-def _sums(folds: FoldSet, design: Design, models: list[LinearModel], betas: list[np.ndarray]) -> list[np.ndarray]:
+def _draws(seed: int) -> dict:
+    """The hashes by which :mod:`resample` keeps rows of the larger class and gives extra copies to rows of the smaller one."""
+    return {name: hash_uniform(hash_key(f"{seed}|{salt}", "key")) for name, salt in (("keep", "keep"), ("copy", "copies"))}
+
+
+def _rules(folds: FoldSet, counts: list[dict[int, int]], samplings: set[str], seed: int) -> dict[tuple[str, int], tuple]:
+    """How often a training row counts, per sampling strategy and cell; the cuts of all cells come from one count."""
+    if not samplings:
+        return {}
+    wanted, plans = [], {}
+    for i, n in enumerate(counts):
+        if len(n) != 2:
+            raise ValueError("rebalancing needs exactly two classes")
+        (small, label), (large, other) = sorted((v, y) for y, v in n.items())
+        if "random_undersample" in samplings:
+            wanted.append((f"keep{other}", i, small - 1, large))
+            plans["random_undersample", i] = ("keep", other, None)
+        if "random_oversample" in samplings:
+            whole, rest = divmod(large - small, small)
+            plans["random_oversample", i] = ("copy", label, whole, None if rest else -1.0)
+            wanted += [(f"copy{label}", i, rest - 1, small)] if rest else []
+    draws = _draws(seed)
+    hashes = {f"{name}{y}": F.when(F.col("y") == y, h) for name, h in draws.items() for y in (0, 1)}
+    cuts = complement_hash_cuts(folds.rows, {n: h for n, h in hashes.items() if n in {w[0] for w in wanted}}, folds.cells, wanted)
+    return {(s, i): (*p[:-1], cuts[f"{p[0]}{p[1]}", i] if p[-1] is None else p[-1]) for (s, i), p in plans.items()}
+
+
+def _sums(folds: FoldSet, design: Design, models: list[LinearModel], betas: list[np.ndarray], seed: int) -> list[np.ndarray]:
     """Per model: [loss, gradient, size of the gradient's terms, Hessian], flat, over its training rows."""
     cells = [m.cell for m in models]
     gamma = np.stack([design.maps[m.cell] @ b for m, b in zip(models, betas)], axis=1)
     weights = np.array([m.weights for m in models])
     cs = np.array([m.c for m in models])
+    rules = [m.rule for m in models]
     d = design.width
 
+    def times(rule: tuple, y: np.ndarray, batch: pa.RecordBatch) -> np.ndarray:
+        kind, label, *copies, cut = rule
+        low = batch.column(batch.schema.names.index(kind)).to_numpy(zero_copy_only=False) <= cut
+        return np.where(y == label, low if kind == "keep" else 1.0 + copies[0] + low, 1.0)
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((len(cells), 1 + 2 * d + d * d))
         for batch in batches:
@@ -146,6 +182,8 @@ def _sums(folds: FoldSet, design: Design, models: list[LinearModel], betas: list
                 margin = z @ gamma
                 for i, (repeat, fold) in enumerate(cells):
                     w = np.where(f[:, repeat - 1] != fold, cs[i] * weights[i][y], 0.0)
+                    if rules[i]:
+                        w *= times(rules[i], y, some)
                     t = margin[:, i]
                     p = 1.0 / (1.0 + np.exp(-np.clip(t, -700, 700)))
                     miss = w * (p - y)
@@ -163,7 +201,8 @@ def _sums(folds: FoldSet, design: Design, models: list[LinearModel], betas: list
         return pd.DataFrame({"bucket": pdf["bucket"].iloc[:1], "sums": [total.tobytes()]})
 
     kind = "bucket int, sums binary"
-    rows = folds.rows.select("y", "folds", *[F.col(f"`{c}`") for c in (*design.nums, *design.cats)])
+    drawn = _draws(seed) if any(rules) else {}
+    rows = folds.rows.select("y", "folds", *[F.col(f"`{c}`") for c in (*design.nums, *design.cats)], *[h.alias(n) for n, h in drawn.items()])
     sums = rows.mapInArrow(scan, kind)  # one row per task
     parts = (sums if rows.rdd.getNumPartitions() <= 4 * BUCKETS else sums.groupBy("bucket").applyInPandas(add, kind)).collect()
     summed = np.sum([np.frombuffer(r["sums"]) for r in sorted(parts)], axis=0).reshape(len(cells), -1)
@@ -182,11 +221,12 @@ def _look(design: Design, model: LinearModel, beta: np.ndarray, sums: np.ndarray
     return float(sums[0] + free @ free / 2), gradient, hessian, relative
 
 
-def fit_linear(folds: FoldSet, candidates: list, max_steps: int = 100) -> list[LinearModel]:
+def fit_linear(folds: FoldSet, candidates: list, seed: int = 42, max_steps: int = 100) -> list[LinearModel]:
     """Every candidate on every cell, at the optimum of C * sum(weight * loss) + |beta|^2 / 2 (intercept free).
 
     ``class_weight`` 'balanced' weighs a class by rows / (classes * rows of the class) of the training rows. Training rows of one
-    class give a model that is sure of it. ``max_iter`` bounds the Newton steps.
+    class give a model that is sure of it. Random over- and undersampling counts the rows that :func:`resample.resample` would
+    repeat or keep, without making them. ``max_iter`` bounds the Newton steps.
     """
     design = design_of(folds)
     classes = folds.rows.groupBy("y").agg(
@@ -194,12 +234,18 @@ def fit_linear(folds: FoldSet, candidates: list, max_steps: int = 100) -> list[L
     ).collect()
     models: list[LinearModel] = []
     width = len(design.names) + 1
+    counts = [{r["y"]: r["n"] - r[f"c{i}"] for r in classes if r["y"] in (0, 1) and r["n"] > r[f"c{i}"]} for i in range(len(folds.cells))]
+    rules = _rules(folds, counts, {c.sampling for c in candidates} - {"none"}, seed)
     for candidate in candidates:
         p = model_params(candidate.model, candidate.params)
         for i, cell in enumerate(folds.cells):
-            n = {r["y"]: r["n"] - r[f"c{i}"] for r in classes if r["y"] in (0, 1) and r["n"] > r[f"c{i}"]}
-            even = [sum(n.values()) / (len(n) * n[v]) if v in n else 0.0 for v in (0, 1)]
-            model = LinearModel(candidate.name, candidate.sampling, cell, float(p["C"]), tuple(even) if p["class_weight"] else (1.0, 1.0), np.zeros(width))
+            n = counts[i]
+            rule = rules.get((candidate.sampling, i))
+            if rule:  # both classes are as large as the one that is kept or copied
+                n = dict.fromkeys(n, max(n.values()) if rule[0] == "copy" else min(n.values()))
+            even = tuple(sum(n.values()) / (len(n) * n[v]) if v in n else 0.0 for v in (0, 1))
+            weights = even if p["class_weight"] else (1.0, 1.0)
+            model = LinearModel(candidate.name, candidate.sampling, cell, float(p["C"]), weights, np.zeros(width), rule)
             if len(n) < 2:
                 model.beta[-1], model.gradient = (np.inf if n and max(n) else -np.inf), 0.0
             else:
@@ -209,18 +255,18 @@ def fit_linear(folds: FoldSet, candidates: list, max_steps: int = 100) -> list[L
     at_once = max(1, HESSIAN_CELLS // design.width**2)
     limits = {c.name: min(max_steps, int(model_params(c.model, c.params)["max_iter"])) for c in candidates}
     for lo in range(0, len(todo), at_once):
-        _newton(folds, design, todo[lo : lo + at_once], limits)
+        _newton(folds, design, todo[lo : lo + at_once], limits, seed)
     return models
 
 
-def _newton(folds: FoldSet, design: Design, models: list[LinearModel], limits: dict[str, int]) -> None:
+def _newton(folds: FoldSet, design: Design, models: list[LinearModel], limits: dict[str, int], seed: int) -> None:
     trial = {id(m): m.beta.copy() for m in models}
     step: dict[int, np.ndarray] = {}
     slope: dict[int, float] = {}
     size = dict.fromkeys(trial, 1.0)
     active = list(models)
     while active:
-        seen = _sums(folds, design, active, [trial[id(m)] for m in active])
+        seen = _sums(folds, design, active, [trial[id(m)] for m in active], seed)
         rest = []
         for m, sums in zip(active, seen):
             key, beta = id(m), trial[id(m)]
@@ -295,6 +341,8 @@ def gradient_table(folds: FoldSet, models: list[LinearModel], scores: DataFrame)
     ``scores`` is a score frame with part 'train'. ``terms`` is what the gradient's terms add up to in size: a model is at its
     optimum where the gradient vanishes against it. Features are those that the cell's own pipeline encodes.
     """
+    if any(m.rule for m in models):
+        raise ValueError("the gradient is that of models on the rows as they are")
     spark = folds.rows.sparkSession
     facts = [(m.name, *m.cell, m.c, *m.weights) for m in models]
     given = local_frame(spark, facts, T._parse_datatype_string("model string, repeat int, fold int, c double, w0 double, w1 double"))
