@@ -1,16 +1,14 @@
-"""Exact k nearest neighbours as a pruned, blocked Spark join.
-
-Plan, following the pivot-based kNN join of the literature:
+"""Exact k nearest neighbours between blocks of a tree, in rounds.
 
 1. Equal vectors collapse to one, keeping the k+1 smallest keys: no other copy can be a neighbour.
-2. Vectors go to the cell of their nearest pivot. Pivots are a bounded, hash-chosen set of the
-   vectors, so dense regions get as many more pivots as they have more vectors.
-3. Each query searches its own cell, which gives it an upper bound on its k-th distance.
-4. It then visits exactly those other cells that the triangle inequality cannot rule out.
-
-A cell search is a cogroup of bounded blocks: cells are cut into ``BLOCK_ROWS`` base rows and as
-many query rows, so a cell with a third of the data becomes many tasks, and a task returns k+1
-candidates per query, never a pair list. Nothing is approximated.
+2. A tree of cuts, grown on a bounded sample, sends every vector to a leaf; a leaf's vectors are packed once, in blocks of
+   bounded size.
+3. Each block of queries searches its own leaf, which gives every query a bound on its k-th distance.
+4. It then visits, nearest first, the leaves that hold a ball which some of its queries cannot rule out, a few in each round: what
+   a round finds shrinks the bounds, and leaves that have fallen out of reach are never visited.
+
+A visit is one row that carries the queries in question, packed; a task compares bounded blocks and returns k+1 candidates per
+query. Nothing is approximated.
 """
 
 from __future__ import annotations
@@ -25,17 +23,20 @@ from pyspark.sql import functions as F
 from tallyfold.functions.scalars import hash_key
 from tallyfold.runtime import lookup_join, settle, stage
 
-BLOCK_ROWS = 4096
-MAX_PIVOTS = 8192
-# Pivot distances held at once per task.
-CHUNK_CELLS = 4_000_000
+BLOCK_ROWS = 1024
+LEAF_ROWS = 256  # rows that a leaf is meant to hold, as long as there are few enough leaves
+MAX_LEAVES = 4096
+SAMPLE_PER_LEAF = 16
+CHUNK_VISITS = 8  # visits of one leaf that a task compares with a block of it
+ROUNDS = (2, 8, MAX_LEAVES)  # leaves that a block of queries visits per round
+CHUNK_CELLS = 4_000_000  # numbers held at once per task
 # Distances are compared after rounding, so that equal ones tie and the key decides.
 DIGITS = 9
 
 
 def knn(
     queries: DataFrame, base: DataFrame, k: int, key: str = "id", vec: str = "vec",
-    n_pivots: int | None = None, block_rows: int = BLOCK_ROWS,
+    n_leaves: int | None = None, block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """(key, neighbour, rank, dist): the k nearest ``base`` rows of each query, itself excluded.
 
@@ -50,28 +51,14 @@ def knn(
     distinct_queries = stage(rows.groupBy("vec").agg(F.min("key").alias("qid")), "knn_queries")
 
     n_base = distinct_base.count()
-    m = n_pivots or int(min(MAX_PIVOTS, max(1, n_base**0.5 // 4)))
-    chosen = distinct_base.select("vec").orderBy(hash_key("pivot", F.col("vec").cast("string"))).limit(m).collect()
-    pivots = np.array([r["vec"] for r in chosen], dtype=float)
-    if not len(pivots):
+    if not n_base:
         return _empty(rows)
-
-    key_type = rows.schema["key"].dataType.simpleString()
-    cells = stage(_assign(distinct_base, pivots, f"vec array<double>, keys array<{key_type}>"), "knn_cells")
-    homes = stage(_assign(distinct_queries, pivots, f"vec array<double>, qid {key_type}"), "knn_homes")
-    local = stage(_search(homes.select("qid", "vec", "cell"), cells, keep, key_type, block_rows), "knn_local")
-    found = local
-    if len(pivots) > 1:
-        reach = local.groupBy("qid").agg(F.max("dist").alias("far"), F.count("*").alias("hits"))
-        bound = F.when(F.col("hits") >= keep, F.col("far")).otherwise(float("inf"))
-        radius = homes.join(reach, "qid", "left").select(
-            "qid", "vec", "cell", F.coalesce(bound, F.lit(float("inf"))).alias("radius")
-        )
-        probes = stage(_probes(radius, cells, pivots, key_type), "knn_probes")
-        found = local.unionByName(_search(probes, cells, keep, key_type, block_rows))
-    best = F.row_number().over(Window.partitionBy("qid").orderBy("dist", "neighbour"))
-    ranked = found.withColumn("rn", best).where(F.col("rn") <= keep)
-    lists = ranked.groupBy("qid").agg(F.sort_array(F.collect_list(F.struct("dist", "neighbour"))).alias("near"))
+    leaves = n_leaves or int(min(MAX_LEAVES, max(1, n_base // LEAF_ROWS)))
+    chosen = distinct_base.select("vec").orderBy(hash_key("leaf", F.col("vec").cast("string"))).limit(leaves * SAMPLE_PER_LEAF).collect()
+    tree = grow_tree(np.array([r["vec"] for r in chosen], dtype=float), leaves)
+    found, _ = search(distinct_queries, distinct_base, tree, keep, rows.schema["key"].dataType.simpleString(), block_rows)
+    pairs = F.explode(F.arrays_zip("qids", "near", "dist")).alias("q")
+    lists = found.select(pairs).select(F.col("q.qids").alias("qid"), F.arrays_zip(F.col("q.dist").alias("dist"), F.col("q.near").alias("neighbour")).alias("near"))
     own = rows.join(distinct_queries, "vec").select("key", "qid").join(lists, "qid")
     others = F.slice(F.filter("near", lambda c: c["neighbour"] != F.col("key")), 1, k)
     return own.select("key", F.posexplode(others).alias("pos", "c")).select(
@@ -83,106 +70,242 @@ def _empty(rows: DataFrame) -> DataFrame:
     return rows.select("key", F.col("key").alias("neighbour"), F.lit(0).alias("rank"), F.lit(0.0).alias("dist")).where("false")
 
 
+def grow_tree(sample: np.ndarray, leaves: int) -> list[tuple[np.ndarray, float, int, int]]:
+    """Nodes (direction, cut, left, right); a child below 0 is leaf ``-1 - child``.
+
+    A node is cut along the line from one far vector to another, at the widest gap in the middle half, as long as there are leaves
+    to fill; the sides get leaves by their share of the vectors.
+    """
+    nodes: list[tuple[np.ndarray, float, int, int]] = []
+    made = 0
+
+    def grow(at: np.ndarray, wanted: int) -> int:
+        nonlocal made
+        x = sample[at]
+        if wanted > 1 and len(x) > 1:
+            a = x[np.argmax(((x - x.mean(axis=0)) ** 2).sum(axis=1))]
+            b = x[np.argmax(((x - a) ** 2).sum(axis=1))]
+            line = (b - a) / max(float(np.linalg.norm(b - a)), 1e-300)
+            along = x @ line
+            sorted_along = np.sort(along)
+            first = len(x) // 4
+            gaps = np.diff(sorted_along[first : max(first + 2, len(x) - first)])
+            i = first + int(gaps.argmax())
+            cut = float((sorted_along[i] + sorted_along[i + 1]) / 2)
+            left = along < cut
+            if left.any() and not left.all():
+                nodes.append((line, cut, 0, 0))
+                here = len(nodes) - 1
+                share = min(wanted - 1, max(1, round(wanted * float(left.mean()))))
+                low, high = grow(at[left], share), grow(at[~left], wanted - share)
+                nodes[here] = (line, cut, low, high)
+                return here
+        made += 1
+        return -made
+
+    root = grow(np.arange(len(sample)), leaves)
+    return nodes if root >= 0 else []
+
+
+def _route(x: np.ndarray, tree: list[tuple[np.ndarray, float, int, int]]) -> np.ndarray:
+    leaf = np.zeros(len(x), np.int32)
+    todo = [(0, np.arange(len(x)))] if tree else []
+    while todo:
+        node, at = todo.pop()
+        line, cut, low, high = tree[node]
+        left = x[at] @ line < cut
+        for child, rows in ((low, at[left]), (high, at[~left])):
+            if child < 0:
+                leaf[rows] = -1 - child
+            elif len(rows):
+                todo.append((child, rows))
+    return leaf
+
+
 def _matrix(column: pd.Series) -> np.ndarray:
     return np.array(column.tolist(), dtype=float)
 
 
-def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Pairwise distances by differences (no cancellation), row by row to bound memory."""
-    out = np.empty((len(a), len(b)))
-    for i, row in enumerate(a):
-        gap = b - row
-        out[i] = np.sqrt(np.einsum("ij,ij->i", gap, gap))
-    return out
+def _packed(vectors: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(vectors).reshape(n, -1)
 
 
-def _chunks(batches: Iterator[pd.DataFrame], width: int) -> Iterator[pd.DataFrame]:
-    """Non-empty pieces of the batches, few enough rows that ``rows * width`` stays bounded."""
-    step = max(1, CHUNK_CELLS // width)
-    for pdf in batches:
-        for start in range(0, len(pdf), step):
-            yield pdf.iloc[start : start + step].reset_index(drop=True)
+def _pack(df: DataFrame, tree: list, names: str, schema: str, block_rows: int) -> DataFrame:
+    """Blocks of rows that share a leaf: (leaf, block, ``names``, vecs, centre). Staged.
 
+    A block has about ``block_rows`` rows, however many its leaf has.
+    """
+    kept = df.columns
 
-def _assign(df: DataFrame, pivots: np.ndarray, schema: str) -> DataFrame:
-    """Add the nearest pivot (``cell``) and the distance to it."""
+    def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pdf.assign(leaf=_route(_matrix(pdf["vec"]), tree)) if len(pdf) else pdf.assign(leaf=np.zeros(0, np.int32))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in _chunks(batches, len(pivots)):
-            d = _distances(_matrix(pdf["vec"]), pivots)
-            cell = d.argmin(axis=1)
-            yield pdf.assign(cell=cell, to_pivot=d[np.arange(len(pdf)), cell])
+    routed = stage(df.mapInPandas(route, f"{schema}, leaf int"), "routed")
+    # One row per leaf, at most MAX_LEAVES rows.
+    sizes = settle(routed.groupBy("leaf").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("blocks")))
+    dealt = lookup_join(routed, sizes, ["leaf"], "inner").withColumn("block", F.pmod(F.xxhash64("vec"), F.col("blocks")).cast("int"))
 
-    names = [part.split()[0] for part in schema.split(", ")]
-    return df.select(*names).mapInPandas(run, f"{schema}, cell int, to_pivot double")
+    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
+        x = _matrix(pdf["vec"])
+        centre = x.mean(axis=0)
+        one = {"leaf": [pdf["leaf"].iloc[0]], "block": [pdf["block"].iloc[0]], names: [pdf[names].tolist()], "vecs": [x.tobytes()]}
+        return pd.DataFrame({**one, "centre": [centre.tolist()]})
 
+    kind = next(part for part in schema.split(", ") if part.startswith(names + " ")).split(" ", 1)[1]
+    out = f"leaf int, block int, {names} array<{kind}>, vecs binary, centre array<double>"
+    return stage(dealt.select(*kept, "leaf", "block").groupBy("leaf", "block").applyInPandas(pack, out), "blocks")
 
-def _probes(radius: DataFrame, cells: DataFrame, pivots: np.ndarray, key_type: str) -> DataFrame:
-    """(qid, vec, cell) for every other cell that may hold a closer row."""
-    extent = {r["cell"]: (r["near"], r["far"]) for r in cells.groupBy("cell").agg(
-        F.min("to_pivot").alias("near"), F.max("to_pivot").alias("far")).collect()}
-    used = np.array([c in extent for c in range(len(pivots))])
-    near = np.array([extent.get(c, (0.0, 0.0))[0] for c in range(len(pivots))])
-    far = np.array([extent.get(c, (0.0, 0.0))[1] for c in range(len(pivots))])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in _chunks(batches, len(pivots)):
-            vec, home = _matrix(pdf["vec"]), pdf["cell"].to_numpy()
-            reach = pdf["radius"].to_numpy()[:, None] * (1 + 1e-9) + 2 * 10.0**-DIGITS
-            d = _distances(vec, pivots)
-            # Ball shell of the cell around its pivot, and the bisector between the two pivots.
-            open_cell = used & (d - far <= reach) & (near - d <= reach)
-            between = _distances(pivots[home], pivots)
-            own = d[np.arange(len(pdf)), home][:, None]
-            with np.errstate(divide="ignore", invalid="ignore"):
-                plane = np.where(between > 0, (d**2 - own**2) / (2 * between), 0.0)
-            open_cell &= plane <= reach + 1e-9 * (1 + np.abs(plane))
-            open_cell[np.arange(len(pdf)), home] = False
-            for start in range(0, len(pdf), 256):
-                i, c = np.nonzero(open_cell[start : start + 256])
-                yield pd.DataFrame(
-                    {"qid": pdf["qid"].to_numpy()[start + i], "vec": pdf["vec"].to_numpy()[start + i], "cell": c}
-                )
-
-    return radius.mapInPandas(run, f"qid {key_type}, vec array<double>, cell int")
-
-
-def _search(visits: DataFrame, cells: DataFrame, keep: int, key_type: str, block_rows: int) -> DataFrame:
-    """(qid, neighbour, dist): the ``keep`` nearest rows per query, cell and block."""
-
-    def parts(df: DataFrame, name: str) -> DataFrame:
-        return df.groupBy("cell").agg(F.ceil(F.count("*") / block_rows).cast("int").alias(name))
-
-    # One row per cell, at most MAX_PIVOTS rows.
-    sizes = settle(parts(cells, "blocks").join(parts(visits, "chunks"), "cell"))
-    base = (
-        lookup_join(cells, sizes, ["cell"], "inner")
-        .withColumn("block", F.pmod(F.xxhash64("vec"), F.col("blocks")).cast("int"))
-        .select("cell", "block", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), "vec", "keys")
-    )
-    asked = (
-        lookup_join(visits, sizes, ["cell"], "inner")
-        .withColumn("chunk", F.pmod(F.xxhash64("vec"), F.col("chunks")).cast("int"))
-        .select("cell", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "chunk", "qid", "vec")
+def search(
+    queries: DataFrame, base: DataFrame, tree: list, keep: int, key_type: str, block_rows: int = BLOCK_ROWS
+) -> tuple[DataFrame, list[DataFrame]]:
+    """(blocks of queries with the ``keep`` nearest base rows of each, the visits of every round).
+
+    ``queries`` has (vec, qid), ``base`` (vec, keys), both with distinct vectors. Visits are rows (leaf, qleaf, qblock, ...).
+    """
+    blocks = _pack(base, tree, "keys", f"vec array<double>, keys array<{key_type}>", block_rows)
+    asked = _pack(queries, tree, "qid", f"vec array<double>, qid {key_type}", block_rows).withColumnsRenamed(
+        {"leaf": "qleaf", "block": "qblock", "qid": "qids"}
     )
+    # A ball around each leaf; one row per leaf, at most MAX_LEAVES rows.
+    centres = {r["leaf"]: np.array(r["c"]) for r in blocks.groupBy("leaf").agg(F.min_by("centre", "block").alias("c")).collect()}
+    radius = _leaf_radii(blocks, centres)
+    leaf_ids = np.array(sorted(centres), np.int32)
+    middle = np.array([centres[i] for i in leaf_ids])
+    extent = np.array([radius[i] for i in leaf_ids])
+    state = f"qleaf int, qblock int, qids array<{key_type}>, vecs binary, near array<array<{key_type}>>, dist array<array<double>>, seen array<int>"
+    visit = "leaf int, qleaf int, qblock int, at array<int>, vecs binary"
+
+    def plan(step: int | None):
+        """Visits of the next ``step`` leaves within reach; without it, of the block's own leaf or the nearest one."""
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                for r in pdf.itertuples():
+                    x = _packed(r.vecs, len(r.qids))
+                    gap = np.maximum(np.stack([np.sqrt(((x - c) ** 2).sum(axis=1)) for c in middle], axis=1) - extent, 0.0)
+                    if step is None:
+                        own = np.flatnonzero(leaf_ids == r.qleaf)
+                        pick = own if len(own) else [int(gap.min(axis=0).argmin())]
+                        inside = np.ones((len(x), len(leaf_ids)), bool)
+                    else:
+                        reach = np.array([d[-1] if len(d) >= keep else np.inf for d in r.dist]) * (1 + 1e-9) + 2 * 10.0**-DIGITS
+                        inside = gap <= reach[:, None]
+                        open_leaf = inside.any(axis=0) & ~np.isin(leaf_ids, r.seen)
+                        order = np.argsort(gap.min(axis=0), kind="stable")
+                        pick = order[open_leaf[order]][:step]
+                    for j in pick:
+                        at = np.flatnonzero(inside[:, j])
+                        yield pd.DataFrame(
+                            {"leaf": [leaf_ids[j]], "qleaf": [r.qleaf], "qblock": [r.qblock], "at": [at.tolist()], "vecs": [x[at].tobytes()]}
+                        )
+
+        return run
+
+    def merge(key, old: pd.DataFrame, new: pd.DataFrame) -> pd.DataFrame:
+        r = old.iloc[0]
+        best = [list(zip(d, n)) for d, n in zip(r["dist"], r["near"])]
+        for v in new.itertuples():
+            for q, d, n in zip(v.at, v.dist, v.near):
+                best[q] += zip(d, n)
+        best = [sorted(b)[:keep] for b in best]
+        seen = sorted({*r["seen"], *new["leaf"].tolist()})
+        return pd.DataFrame({
+            "qleaf": [r["qleaf"]], "qblock": [r["qblock"]], "qids": [r["qids"]], "vecs": [r["vecs"]],
+            "near": [[[n for _, n in b] for b in best]], "dist": [[[d for d, _ in b] for b in best]], "seen": [seen],
+        })
+
+    nothing = F.transform("qids", lambda q: F.array().cast(f"array<{key_type}>"))
+    far = F.transform("qids", lambda q: F.array().cast("array<double>"))
+    now = asked.select("qleaf", "qblock", "qids", "vecs", nothing.alias("near"), far.alias("dist"), F.array().cast("array<int>").alias("seen"))
+    all_visits = []
+    for step in (None, *ROUNDS):
+        if step is not None and len(leaf_ids) == 1:
+            break
+        visits = stage(now.mapInPandas(plan(step), visit), "visits")
+        if step is not None and visits.isEmpty():
+            break
+        all_visits.append(visits)
+        by = ["qleaf", "qblock"]
+        found = _compare(visits, blocks, keep, key_type)
+        now = stage(now.groupBy(*by).cogroup(found.groupBy(*by)).applyInPandas(merge, state), "near")
+    return now, all_visits
+
+
+def _leaf_radii(blocks: DataFrame, centres: dict[int, np.ndarray]) -> dict[int, float]:
+    """The distance of a leaf's farthest vector from the leaf's centre."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            far = [
+                float(np.sqrt(((_packed(r.vecs, len(r.keys)) - centres[r.leaf]) ** 2).sum(axis=1).max())) for r in pdf.itertuples()
+            ]
+            yield pd.DataFrame({"leaf": pdf["leaf"], "far": far})
+
+    found = blocks.select("leaf", "keys", "vecs").mapInPandas(run, "leaf int, far double").groupBy("leaf").agg(F.max("far").alias("far"))
+    return {r["leaf"]: r["far"] * (1 + 1e-12) for r in found.collect()}
+
 
-    def nearest(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        qids, near, dist = [], [], []
-        if len(left) and len(right):
-            b, keys = _matrix(right["vec"]), right["keys"].to_numpy()
-            for qid, row in zip(left["qid"], _matrix(left["vec"])):
-                gap = b - row
-                d = np.round(np.sqrt(np.einsum("ij,ij->i", gap, gap)), DIGITS)
-                limit = np.partition(d, keep - 1)[keep - 1] if len(d) > keep else np.inf
-                close = np.nonzero(d <= limit)[0]
-                hits = sorted((d[i], key) for i in close for key in keys[i])[:keep]
-                qids += [qid] * len(hits)
-                dist += [h[0] for h in hits]
-                near += [h[1] for h in hits]
-        return pd.DataFrame({"qid": qids, "neighbour": near, "dist": dist})
-
-    by = ["cell", "block", "chunk"]
-    return (
-        asked.groupBy(*by).cogroup(base.groupBy(*by))
-        .applyInPandas(nearest, f"qid {key_type}, neighbour {key_type}, dist double")
+def nearest_of_block(x: np.ndarray, b: np.ndarray, keys: list, keep: int) -> tuple[list[list[float]], list[list]]:
+    """Distances and keys of the ``keep`` nearest rows of ``b`` for each row of ``x``.
+
+    One product of matrices rules most rows out, with room for its rounding; the others are measured by differences.
+    """
+    shift = b.mean(axis=0)
+    bc = b - shift
+    bb = (bc**2).sum(axis=1)
+    dist, near = [], []
+    step = max(1, CHUNK_CELLS // len(b))
+    for lo in range(0, len(x), step):
+        xc = x[lo : lo + step] - shift
+        xx = (xc**2).sum(axis=1)
+        rough = xx[:, None] + bb - 2.0 * (xc @ bc.T)
+        slack = 16 * np.finfo(float).eps * b.shape[1] * (np.sqrt(xx) + np.sqrt(bb.max())) ** 2
+        if len(b) > keep:
+            kth = np.maximum(np.partition(rough, keep - 1, axis=1)[:, keep - 1], 0.0) + slack
+            close = rough <= ((np.sqrt(kth) + 2 * 10.0**-DIGITS) ** 2 + slack)[:, None]
+        else:
+            close = np.ones(rough.shape, bool)
+        for i, row in enumerate(x[lo : lo + step]):
+            at = np.flatnonzero(close[i])
+            gap = b[at] - row
+            d = np.round(np.sqrt(np.einsum("ij,ij->i", gap, gap)), DIGITS)
+            hits = sorted((float(v), key) for v, j in zip(d, at) for key in keys[j])[:keep]
+            dist.append([h[0] for h in hits])
+            near.append([h[1] for h in hits])
+    return dist, near
+
+
+def _compare(visits: DataFrame, blocks: DataFrame, keep: int, key_type: str) -> DataFrame:
+    """(leaf, qleaf, qblock, at, near, dist): what each visit finds in each block of its leaf."""
+
+    def counted(df: DataFrame, name: str, rows: int) -> DataFrame:
+        return df.groupBy("leaf").agg(F.ceil(F.count("*") / rows).cast("int").alias(name))
+
+    # One row per leaf, at most MAX_LEAVES rows.
+    sizes = settle(counted(blocks, "parts", 1).join(counted(visits, "chunks", CHUNK_VISITS), "leaf"))
+    left = (
+        lookup_join(visits, sizes, ["leaf"], "inner").withColumn("chunk", F.pmod(F.xxhash64("qleaf", "qblock"), F.col("chunks")).cast("int"))
+        .select("leaf", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "chunk", "qleaf", "qblock", "at", "vecs")
     )
+    # A leaf's blocks are numbered anew: some numbers may have drawn no row.
+    numbered = blocks.select("leaf", "keys", "vecs", (F.row_number().over(Window.partitionBy("leaf").orderBy("block")) - 1).alias("part"))
+    right = lookup_join(numbered, sizes, ["leaf"], "inner").select(
+        "leaf", "part", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), "keys", "vecs"
+    )
+
+    def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(a) and len(b):
+            keys = [list(k) for k in b["keys"].iloc[0]]
+            body = _packed(b["vecs"].iloc[0], len(keys))
+            for r in a.itertuples():
+                dist, near = nearest_of_block(_packed(r.vecs, len(r.at)), body, keys, keep)
+                out.append((r.leaf, r.qleaf, r.qblock, list(r.at), near, dist))
+        return pd.DataFrame(out, columns=["leaf", "qleaf", "qblock", "at", "near", "dist"])
+
+    by = ["leaf", "part", "chunk"]
+    return left.groupBy(*by).cogroup(right.groupBy(*by)).applyInPandas(
+        run, f"leaf int, qleaf int, qblock int, at array<int>, near array<array<{key_type}>>, dist array<array<double>>"
+    )

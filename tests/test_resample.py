@@ -17,11 +17,11 @@ def points(spark, n=240, dim=3, copies=80):
     return x, y, spark.createDataFrame(rows, "key string, y int, vec array<double>")
 
 
-@pytest.mark.parametrize("pivots,block", [(1, 4096), (12, 4096), (12, 16)])
-def test_knn_equals_brute_force(spark, pivots, block):
+@pytest.mark.parametrize("leaves,block", [(1, 4096), (12, 4096), (12, 16)])
+def test_knn_equals_brute_force(spark, leaves, block):
     x, _, df = points(spark)
     got: dict[str, list] = {}
-    for r in neighbours.knn(df, df, 4, "key", "vec", n_pivots=pivots, block_rows=block).orderBy("key", "rank").collect():
+    for r in neighbours.knn(df, df, 4, "key", "vec", n_leaves=leaves, block_rows=block).orderBy("key", "rank").collect():
         got.setdefault(r["key"], []).append((r["dist"], r["neighbour"]))
     for i in range(len(x)):
         d = np.round(np.sqrt(((x - x[i]) ** 2).sum(axis=1)), 9)
@@ -29,6 +29,34 @@ def test_knn_equals_brute_force(spark, pivots, block):
         assert got[f"{i:04d}"] == want
 
 
+def test_clustered_vectors_visit_few_leaves(spark):
+    """Blocks of a cluster meet a small part of all leaves, and each visit is one row."""
+    rng = np.random.default_rng(2)
+    x = np.concatenate([rng.normal(size=(60, 8)) + 200 * c for c in rng.normal(size=(40, 8))])
+    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "qid long, vec array<double>")
+    tree = neighbours.grow_tree(x[rng.permutation(len(x))[:640]], 40)
+    base = df.select("vec", F.array("qid").alias("keys"))
+    found, visits = neighbours.search(df, base, tree, 3, "bigint", 512)
+    blocks = found.count()
+    met = sum(v.count() for v in visits)
+    leaves = len({r["leaf"] for v in visits for r in v.select("leaf").collect()})
+    assert leaves > 25 and met < 0.1 * blocks * leaves
+    for r in found.collect():
+        for q, dist, near in zip(r["qids"], r["dist"], r["near"]):
+            d = np.round(np.sqrt(((x - x[q]) ** 2).sum(axis=1)), 9)
+            assert list(zip(dist, near)) == sorted((float(v), j) for j, v in enumerate(d))[:3]
+
+
+def test_knn_of_odd_inputs(spark):
+    empty = spark.createDataFrame([], "key string, vec array<double>")
+    one = spark.createDataFrame([("a", [1.0, 2.0])], "key string, vec array<double>")
+    assert neighbours.knn(one, empty, 2, "key", "vec").count() == neighbours.knn(empty, one, 2, "key", "vec").count() == 0
+    assert neighbours.knn(one, one, 2, "key", "vec").count() == 0
+    far = spark.createDataFrame([(f"f{i}", [1e9 + i, -1e9]) for i in range(5)], "key string, vec array<double>")
+    rows = neighbours.knn(one, far, 2, "key", "vec", n_leaves=3).orderBy("rank").collect()
+    assert [r["neighbour"] for r in rows] == ["f0", "f1"]
+
+
 def test_unknown_strategy(spark):
     with pytest.raises(ValueError):
         resample.resample(points(spark)[2], "magic")
