@@ -24,7 +24,7 @@ from tallyfold.functions.scalars import hash_key
 from tallyfold.runtime import lookup_join, settle, stage
 
 BLOCK_ROWS = 1024
-LEAF_ROWS = 256  # rows that a leaf is meant to hold, as long as there are few enough leaves
+LEAF_ROWS = 1024  # rows that a leaf is meant to hold, as long as there are few enough leaves
 MAX_LEAVES = 4096
 SAMPLE_PER_LEAF = 16
 CHUNK_VISITS = 8  # visits of one leaf that a task compares with a block of it
