@@ -16,7 +16,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyfold.runtime import bounded_rows, lookup_join, settle, stage, staged_once
+from tallyfold.runtime import bounded_rows, lookup_join, settle, skewed_join, stage, staged_once
 
 # Up to this many rows one window per group is cheaper than bucketing.
 SINGLE_WINDOW_ROWS = 200_000
@@ -95,7 +95,7 @@ def average_rank(df: DataFrame, score: str, by: list[str] | None = None, out: st
     # The largest rank follows from the group size and the count of its largest score.
     top = counts.groupBy(*by).agg((F.sum("__n") - (F.max_by("__n", score) - 1) / 2).alias("__max"))
     scaled = _attach_totals(cum, top, by).select(*by, score, (rank / F.col("__max")).alias(out))
-    return lookup_join(df, scaled, [*by, score], "left", rows=counts.count())
+    return skewed_join(df, scaled, [*by, score], counts, "__n")
 
 
 def exact_percentiles(

@@ -20,6 +20,9 @@ MAX_LOOKUP_ROWS = 100_000
 # The same for its size: rows may be wide.
 MAX_LOOKUP_BYTES = 64 << 20
 
+# A key with at least one row in so many is joined apart from the others.
+HEAVY_SHARE = 1000
+
 _local_stage: dict[str, str] = {}
 _staged: dict[str, list[str]] = {}
 
@@ -139,6 +142,27 @@ def lookup_join(
     return null_safe_join(big, small, on, how, fits)
 
 
+def skewed_join(big: DataFrame, small: DataFrame, on: list[str], counts: DataFrame, n: str, limit: int = MAX_LOOKUP_ROWS) -> DataFrame:
+    """Left join of a per-key table whose keys may be very unevenly frequent in ``big``; null keys match null keys.
+
+    ``counts`` has one row per key with its rows ``n`` in ``big``. Keys that hold at least one row in HEAVY_SHARE, so at most
+    HEAVY_SHARE of them, are broadcast with their values; their rows find no partner in the shuffle join of the others and are
+    dealt out evenly. A table within ``limit`` rows is broadcast whole.
+    """
+    seen = counts.agg(F.count("*").alias("keys"), F.sum(n).alias("rows")).first()
+    if seen["keys"] <= limit:
+        return lookup_join(big, small, on, "left", limit, rows=seen["keys"])
+    heavy = counts.where(F.col(n) * HEAVY_SHARE >= seen["rows"]).select(*on)
+    known = null_safe_join(small, heavy, on, "left_semi")
+    values = [c for c in small.columns if c not in on]
+    marks = local_frame(big.sparkSession, known.collect(), known.schema).withColumnsRenamed({c: f"__heavy_{c}" for c in values})
+    marked = null_safe_join(big, marks.withColumn("__is_heavy", F.lit(True)), on, "left", broadcast=True)
+    apart = F.when(F.col("__is_heavy"), F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1 << 20)) + 1).otherwise(0)
+    joined = null_safe_join(marked.withColumn("__salt", apart), small.withColumn("__salt", F.lit(0).cast("long")), [*on, "__salt"], "left")
+    picked = [F.when(F.col("__is_heavy"), F.col(f"__heavy_{c}")).otherwise(F.col(c)).alias(c) for c in values]
+    return joined.select(*[F.col(f"`{c}`") for c in big.columns], *picked)
+
+
 def null_safe_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner", broadcast: bool = False) -> DataFrame:
     """Equi-join in which a null key is a key like any other; the key columns of ``big`` stay."""
     small = small.withColumnsRenamed({c: f"__on_{c}" for c in on})

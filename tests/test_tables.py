@@ -1,11 +1,13 @@
 """Order statistics, cleaning, splits and features."""
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from tallyfold import runtime
 from tallyfold.operators import clean, features, order, profile, split
 
 
@@ -134,3 +136,37 @@ def test_fitted_stages_can_be_saved(spark, rows, tmp_path):
     again = PipelineModel.load(str(tmp_path / "m"))
     a, b = (m.transform(rows.limit(5)).select("id", vector_to_array("features")).collect() for m in (model, again))
     assert a == b
+
+
+def test_join_of_uneven_keys(spark):
+    """One key holds a third of the rows: the result is whole and no task of the shuffle gets much more than the others."""
+    n = 30_000
+    df = spark.range(n).select(
+        "id", F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 1001 == 0, None).otherwise(F.col("id") % 9000).cast("long").alias("k"),
+        F.lit("x").alias("other"),
+    )
+    counts = df.groupBy("k").agg(F.count("*").alias("n"))
+    small = counts.select("k", (F.coalesce("k", F.lit(-1)) * 2).alias("v"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = runtime.skewed_join(df.repartition(4), small, ["k"], counts, "n", limit=10)
+        rows = joined.select("id", "k", "v", "other", F.spark_partition_id().alias("task")).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len({r["id"] for r in rows}) == len(rows) == n and joined.columns == ["id", "k", "other", "v"]
+    assert all(r["v"] == (-2 if r["k"] is None else r["k"] * 2) for r in rows)
+    sizes = sorted(pd.Series([r["task"] for r in rows]).value_counts())
+    assert len(sizes) == 4 and sizes[-1] <= 1.5 * sizes[len(sizes) // 2]
+
+
+def test_average_rank_with_a_hot_score(spark):
+    values = [0.5] * 400 + [i / 1000 for i in range(800)] + [None]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id long, s double")
+    counts = df.where("s IS NOT NULL").groupBy("s").agg(F.count("*").alias("n"))
+    ranks = pd.Series(values).rank()
+    got = {r["id"]: r["avg_rank"] for r in order.average_rank(df, "s").collect()}
+    assert all(got[i] == pytest.approx(ranks[i] / ranks.max()) for i in range(1200)) and got[1200] is None
+    apart = runtime.skewed_join(df, counts.select("s", "n"), ["s"], counts, "n", limit=10)
+    assert {r["id"]: r["n"] for r in apart.collect()} == {i: None if v is None else values.count(v) for i, v in enumerate(values)}
