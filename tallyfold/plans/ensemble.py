@@ -25,9 +25,9 @@ def top_bases(comparison: DataFrame, n: int, objective: str = "mcc") -> list[str
 
 def _wide(scores: DataFrame, names: list[str]) -> DataFrame:
     """One probability column per base model, assembled as ``features``."""
-    wide = scores.groupBy("key").pivot("model", names).agg(F.max("p"))
-    ys = scores.groupBy("key").agg(F.max("y").alias("y"))
-    return VectorAssembler(inputCols=names, outputCol="features").transform(wide.join(ys, "key")).select("key", "y", "features")
+    columns = [F.max(F.when(F.col("model") == name, F.col("p"))).alias(name) for name in names]
+    wide = scores.groupBy("key").agg(F.max("y").alias("y"), *columns)
+    return VectorAssembler(inputCols=names, outputCol="features").transform(wide).select("key", "y", "features")
 
 
 def base_scores(train: DataFrame, test: DataFrame, spec: TableSpec, bases: list[Candidate], seed: int = 42) -> DataFrame:
@@ -38,18 +38,20 @@ def base_scores(train: DataFrame, test: DataFrame, spec: TableSpec, bases: list[
 def stacking(
     train: DataFrame, test: DataFrame, spec: TableSpec, bases: list[Candidate], k: int = 5, seed: int = 42,
     meta: Candidate | None = None,
-) -> DataFrame:
-    """(key, y, p, label) of the test rows from a boosted meta-model.
+) -> tuple[DataFrame, DataFrame]:
+    """(key, y, p, label) of the test rows, and of the training rows, from a boosted meta-model.
 
-    The meta-model learns from out-of-fold probabilities; for prediction the bases are refitted on
-    all training rows.
+    The meta-model learns from out-of-fold probabilities, and the training rows are scored on them; for prediction the bases are
+    refitted on all training rows.
     """
     meta = meta or Candidate("GradientBoosting")
     names = [c.name for c in bases]
     held_out = score_candidates(fold_frames(train, spec, k, 1, seed), bases, seed=seed)
-    top = fit_model(meta.model, stage(_wide(held_out, names), "stacked"), meta.params, seed)
+    stacked = stage(_wide(held_out, names), "stacked")
+    top = fit_model(meta.model, stacked, meta.params, seed)
     rows = _wide(base_scores(train, test, spec, bases, seed), names)
-    return score_rows(top, rows).select("key", "y", "p", "label")
+    tested, learned = (score_rows(top, r).select("key", "y", "p", "label") for r in (rows, stacked))
+    return tested, learned
 
 
 def voting(train: DataFrame, test: DataFrame, spec: TableSpec, bases: list[Candidate], seed: int = 42) -> DataFrame:

@@ -224,16 +224,24 @@ def select_refit(spark, sf_dir):
     return rounded(binary_metrics(scores).withColumn("model", F.lit(chosen.name)))
 
 
-@query("soft_vote_scores", SCORED_SQL)
+@query("soft_vote_scores", LEARNED_SQL.replace("AS learned", "AS learned, TRUE AS mean_ok"))
 def soft_vote_scores(spark, sf_dir):
+    """The vote of two models; ``mean_ok`` says that it is the mean of what they say."""
     train, test = quality_halves(spark, sf_dir)
-    return checked(ensemble.voting(train, test, QUALITY, [LOGISTIC, FOREST]))
+    bases = [LOGISTIC, FOREST]
+    scores = evaluate.score_candidates(holdout_set(train, test, QUALITY), bases, ("train", "valid"))
+    votes = stage(ensemble.soft_vote(scores, ["key", "part"]), "votes")
+    one, other = (scores.where(F.col("model") == c.name).select("key", F.col("p").alias(f"p{i}")) for i, c in enumerate(bases))
+    tested = votes.where("part = 'valid'").join(one, "key").join(other, "key")
+    mean_ok = F.abs(F.col("p") - (F.col("p0") + F.col("p1")) / 2) < 1e-12
+    return checked(tested, F.lit(beats_majority(votes.where("part = 'train'"))).alias("learned"), mean_ok.alias("mean_ok"))
 
 
-@query("stacking", SCORED_SQL)
+@query("stacking", LEARNED_SQL)
 def stacking(spark, sf_dir):
     train, test = quality_halves(spark, sf_dir)
-    return checked(ensemble.stacking(train, test, QUALITY, [LOGISTIC, FOREST], 3, meta=BOOSTED))
+    tested, learned = ensemble.stacking(train, test, QUALITY, [LOGISTIC, FOREST], 3, meta=BOOSTED)
+    return checked(tested, F.lit(beats_majority(learned)).alias("learned"))
 
 
 @query("ensemble_decision")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyfold.operators import split, text
-from tallyfold.plans.model_queries import SCORED_SQL, checked
+from tallyfold.plans.model_queries import LEARNED_SQL, beats_majority, checked
 from tallyfold.plans.models import fit_model, score_rows
 from tallyfold.plans.registry import query
 from tallyfold.runtime import stage
@@ -84,7 +84,7 @@ def batch_classify(spark, sf_dir):
     return text.listing(text.classify(docs, text.lexicon_scorer(WORDS)), "doc_id")
 
 
-@query("text_scores", SCORED_SQL.replace("id AS key", "id AS doc_id"))
+@query("text_scores", LEARNED_SQL.replace("id AS key", "id AS doc_id"))
 def text_scores(spark, sf_dir):
     """A trained scorer: hashed words of the whole text, logistic regression on the quality label."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -93,5 +93,6 @@ def text_scores(spark, sf_dir):
     fitted = text.text_features().fit(rows.where("split = 'train'"))
     train = stage(fitted.transform(rows.where("split = 'train'")).select("y", "features"), "text_train")
     model = fit_model("LogisticRegression", train, {"max_iter": 50})
+    learned = F.lit(beats_majority(score_rows(model, train))).alias("learned")
     test = fitted.transform(rows.where("split = 'test'")).select("doc_id", "y", "features")
-    return checked(score_rows(model, test).withColumn("key", F.col("doc_id"))).withColumnRenamed("key", "doc_id")
+    return checked(score_rows(model, test).withColumn("key", F.col("doc_id")), learned).withColumnRenamed("key", "doc_id")
