@@ -14,6 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -65,7 +66,7 @@ class Design:
         marks = at + sum(map(len, self.slots))
         for j, (name, values) in enumerate(zip(self.cats, self.slots)):
             column = batch.column(batch.schema.names.index(name)).cast(pa.string())
-            code = pa.compute.index_in(column, value_set=pa.array(values, pa.string())).to_numpy(zero_copy_only=False)
+            code = pc.index_in(column, value_set=pa.array(values, pa.string())).to_numpy(zero_copy_only=False)
             known = ~np.isnan(code.astype(np.float64))
             z[np.flatnonzero(known), at + code[known].astype(np.int64)] = 1.0
             z[:, marks + j] = column.is_null().to_numpy(zero_copy_only=False)
