@@ -16,8 +16,12 @@ from tallyfold.runtime import stage
 
 # Two sets link when 100 * intersection >= PERCENT * union.
 PERCENT = 75
-# Partitions per level, as a multiple of the most differences two linked sets can have; the last level has one element each.
-LEVELS = (1.3, 2.0, 4.0)
+# First-level partitions per level, as a multiple of the fewest that leave one of two linked sets' with at most one difference;
+# on the last level every element stands alone.
+LEVELS = (1.2, 2.0, 4.0)
+# Schemes of at most so many differences (sets up to 126) cut a first-level partition into three and enumerate its three pairs of
+# second-level partitions; the others cut it into two and enumerate these, which takes a third less signatures.
+TRIPLE_DIFFERENCES = 36
 # A run is the sets that share one signature. Up to this many members it is compared pairwise, beyond by pivots.
 SHORT_RUN = 12
 # Signatures that one exchange partition should hold, and that a task holds before it passes them on.
@@ -28,8 +32,12 @@ PIECES = 8
 LONG_ROW = 10_000
 # Sets of a family that one task compares with as many others.
 BLOCK = 2_000
-# A signature's last bits name its scheme: size band and level.
+# A signature's last bits name its scheme: size band and level. So many of its other bits are exchanged, beside its bucket.
 SCHEME_BITS = 10
+HASH_BITS = 30
+# Bytes of an exchanged signature, and of the number that stands for a set beside it: the first half of its id.
+SIGNATURE_BYTES = (SCHEME_BITS + HASH_BITS) // 8
+NUMBER_BYTES = 4
 _SEEDS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 
 
@@ -46,15 +54,44 @@ def most_differences(size: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     return 2 * size * (100 - percent) // (100 + percent)
 
 
+def most_lost(k: np.ndarray, n1: np.ndarray, n2: int) -> np.ndarray:
+    """Most signatures of a set that ``k`` differences can spoil, with ``n1`` first-level partitions cut into ``n2`` each.
+
+    Of three pairs a first difference spoils two and another the third; of two single partitions each spoils one.
+    """
+    return 2 * np.minimum(k, n1) + np.maximum(0, k - n1) if n2 == 3 else k
+
+
+def _enumerate(sums: np.ndarray, part: np.ndarray, d: np.ndarray, n2: int) -> tuple[np.ndarray, np.ndarray]:
+    """(signature, set) of every subset of n2 - 1 second-level partitions of a first-level one that has elements.
+
+    ``sums`` are those of the elements that a set has in a second-level partition, in the order of sets and partitions.
+    """
+    if n2 == 2:
+        return sums + part * _SEEDS[0], d
+    outer, inner = part // np.uint64(n2), (part % np.uint64(n2)).astype(np.int64)
+    new = np.ones(len(d), bool)
+    new[1:] = (outer[1:] != outer[:-1]) | (d[1:] != d[:-1])
+    at, group = np.flatnonzero(new), np.cumsum(new) - 1
+    inside, present = np.zeros((len(at), n2), np.uint64), np.zeros((len(at), n2), bool)
+    inside[group, inner], present[group, inner] = sums, True
+    without = inside.sum(1)[:, None] - inside
+    label = (outer[at] * np.uint64(n2))[:, None] + np.arange(n2, dtype=np.uint64)
+    some = present.sum(1)[:, None] > present
+    return (without + label * _SEEDS[0])[some], np.broadcast_to(d[at][:, None], some.shape)[some]
+
+
 def signatures(h: np.ndarray, first: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray, np.ndarray]]]:
     """(signature, set, spares) of sorted 64-bit sets ``h[first[i]:first[i + 1]]``.
 
     Sets are compared within the scheme of the larger one's size band. Two linked sets of a scheme differ in at most k
-    elements. Elements are dealt into n > k partitions by their hash; what a set has in a partition is one signature. Two
-    linked sets agree in at least n - k partitions. Empty partitions are no signatures, so a set is done with a level
-    only if more than k of its partitions have elements: then one that both share is among them. Otherwise it takes
-    part in the next level as well, with more partitions; on the last one every element stands alone. Of a linked pair,
-    the set that is done first is found at its level, since the other one has signatures there too.
+    elements. Elements are dealt by their hash into n1 > k / 2 first-level partitions, so two linked sets differ in at most
+    one element somewhere; each is cut into n2 second-level partitions, and what a set has in n2 - 1 of them is one
+    signature, for every such subset. Subsets without elements are no signatures, so a set is done with a level only if it
+    has more of them than its differences to any set it may link with can spoil: then one that both share is among
+    them. Otherwise it takes part in the next level as well, with more partitions; on the last one every element stands
+    alone. Of a linked pair, the set that is done first is found at its level, since the other one has signatures there
+    too.
 
     ``spares`` lists (set, scheme, spare) for the levels that sets are done with: so many of the set's signatures there
     may be left out, and the rest still holds one that it shares with each set it links with.
@@ -74,45 +111,49 @@ def signatures(h: np.ndarray, first: np.ndarray, percent: int = PERCENT) -> tupl
         low = np.where(band > 0, ends[np.maximum(band - 1, 0)] + 1, 1)
         part_of = (sizes > 0) & (sizes * 100 >= low * percent) & (own + step < len(ends))
         k = most_differences(ends[band], percent)
-        todo = np.flatnonzero(part_of)
-        for level in range(len(LEVELS) + 1):
-            if not len(todo):
-                break
-            chosen = np.zeros(len(sizes), bool)
-            chosen[todo] = True
-            el = np.flatnonzero(chosen[owner])
-            d = owner[el]
-            with np.errstate(over="ignore"):
-                if level < len(LEVELS):
-                    n = np.maximum(k + 1, np.ceil(k * LEVELS[level]).astype(np.int64) + 1).astype(np.uint64)
-                    part = (top[el] * n[d]) >> np.uint64(32)
-                    new = np.ones(len(el), bool)
-                    new[1:] = (part[1:] != part[:-1]) | (d[1:] != d[:-1])
-                    at = np.flatnonzero(new)
-                    s = np.add.reduceat(mixed[el], at)
-                    s = s + part[at] * _SEEDS[0]
-                    d = d[at]
-                else:
-                    s = mixed[el]
-                scheme = (band[d] * 4 + level).astype(np.uint64)
-                s = mix(s + scheme * _SEEDS[1]) & ~scheme_mask | scheme
-            out_s.append(s)
-            out_d.append(d)
-            full = np.bincount(d, minlength=len(sizes))
-            done = full[todo] > k[todo]
-            ready = todo[done]
-            spares.append((ready, band[ready] * 4 + level, full[ready] - k[ready] - 1))
-            todo = todo[~done]
+        # The set itself differs less from those it may link with here, if it is small for the band.
+        k_own = (sizes + np.minimum(ends[band], sizes * 100 // percent)) * (100 - percent) // (100 + percent)
+        for n2 in (2, 3):
+            todo = np.flatnonzero(part_of & ((k <= TRIPLE_DIFFERENCES) == (n2 == 3)))
+            for level in range(len(LEVELS) + 1):
+                if not len(todo):
+                    break
+                chosen = np.zeros(len(sizes), bool)
+                chosen[todo] = True
+                el = np.flatnonzero(chosen[owner])
+                d = owner[el]
+                with np.errstate(over="ignore"):
+                    if level < len(LEVELS):
+                        n1 = np.ceil((k + 1) * LEVELS[level] / 2).astype(np.int64)
+                        n = (n1 * n2).astype(np.uint64)
+                        part = (top[el] * n[d]) >> np.uint64(32)
+                        new = np.ones(len(el), bool)
+                        new[1:] = (part[1:] != part[:-1]) | (d[1:] != d[:-1])
+                        at = np.flatnonzero(new)
+                        s, d = _enumerate(np.add.reduceat(mixed[el], at), part[at], d[at], n2)
+                        lost = most_lost(k_own, n1, n2)
+                    else:
+                        s, lost = mixed[el], k_own
+                    scheme = (band[d] * 4 + level).astype(np.uint64)
+                    s = mix(s + scheme * _SEEDS[1]) & ~scheme_mask | scheme
+                out_s.append(s)
+                out_d.append(d)
+                full = np.bincount(d, minlength=len(sizes))
+                done = full[todo] > lost[todo]
+                ready = todo[done]
+                spares.append((ready, band[ready] * 4 + level, full[ready] - lost[ready] - 1))
+                todo = todo[~done]
     return np.concatenate(out_s), np.concatenate(out_d), spares
 
 
 def parity_sketches(h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, first byte per set): bit i is the parity of the number of elements whose last bits are i.
 
-    The number of bits that differ between two sketches is at most the number of elements that the sets differ in.
+    The number of bits that differ between two sketches is at most the number of elements that the sets differ in. There is
+    at least one bit an element.
     """
     sizes = np.diff(first)
-    bits = 1 << np.maximum(6, np.ceil(np.log2(np.maximum(1, 2 * sizes))).astype(np.int64))
+    bits = 1 << np.maximum(6, np.ceil(np.log2(np.maximum(1, sizes))).astype(np.int64))
     base = np.concatenate([[0], np.cumsum(bits)])
     owner = np.repeat(np.arange(len(sizes)), sizes)
     at = base[owner] + (h & (bits[owner] - 1).astype(np.uint64)).astype(np.int64)
@@ -174,16 +215,19 @@ def describe_sets(docs: DataFrame, id_col: str, text_col: str, n: int) -> DataFr
 
 
 def signature_runs(docs: DataFrame, text_col: str, n: int, parts: int) -> DataFrame:
-    """(signature, members, sids): the sets of each signature that at least two different sets have.
+    """(signature, members, sets): the numbers of the sets of each signature that sets of at least two numbers have.
 
     A run of at most SHORT_RUN sets is one row, and rows with the same sets are not repeated; a longer one is as many rows as
     it needs.
 
-    Signatures are exchanged as packed arrays, one per target partition and flush, so that they cost 16 bytes each and
-    no row. Copies have the same set id and count once.
+    Signatures are exchanged as packed arrays, one per bucket and flush, without rows: five bytes of the signature, which
+    its bucket completes, and four for the set. Copies have the same number and count once. Different sets of one number are
+    told apart when numbers become set ids, and different signatures that look alike only bring sets together that are
+    then compared.
     """
 
     buckets = parts * PIECES
+    width = SIGNATURE_BYTES + NUMBER_BYTES
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -196,9 +240,13 @@ def signature_runs(docs: DataFrame, text_col: str, n: int, parts: int) -> DataFr
             order = np.argsort(bucket.astype(np.uint16) if buckets < 65536 else bucket, kind="stable")
             ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
             full = np.flatnonzero(np.diff(ends))
-            at = pa.py_buffer((np.append(ends[full], ends[-1]) * 8).astype(np.int32))
-            blobs = [pa.Array.from_buffers(pa.binary(), len(full), [None, at, pa.py_buffer(v[order])]) for v in (s, d)]
-            return pa.record_batch([pa.array(full), *blobs], ["bucket", "signatures", "sids"])
+            scheme = s & np.uint64((1 << SCHEME_BITS) - 1)
+            short = (s >> np.uint64(64 - HASH_BITS) << np.uint64(SCHEME_BITS)) | scheme
+            packed = np.empty((len(s), width), np.uint8)
+            packed[:, :SIGNATURE_BYTES] = short[order].view(np.uint8).reshape(-1, 8)[:, :SIGNATURE_BYTES]
+            packed[:, SIGNATURE_BYTES:] = d[order].view(np.uint8).reshape(-1, NUMBER_BYTES)
+            at = pa.py_buffer((np.append(ends[full], ends[-1]) * width).astype(np.int32))
+            return pa.record_batch([pa.array(full), pa.Array.from_buffers(pa.binary(), len(full), [None, at, pa.py_buffer(packed)])], ["bucket", "packed"])
 
         for batch in batches:
             for _, _, h, first, sid in _sets(batch, 0, n):
@@ -207,7 +255,7 @@ def signature_runs(docs: DataFrame, text_col: str, n: int, parts: int) -> DataFr
                 if not len(keep):
                     continue
                 s, d, _ = signatures(*_subset(h, first, keep))
-                held.append((s, sid[keep][d]))
+                held.append((s, (sid[keep] >> np.uint64(32)).astype(np.uint32)[d]))
                 count += len(s)
                 if count >= FLUSH:
                     yield flush()
@@ -218,8 +266,12 @@ def signature_runs(docs: DataFrame, text_col: str, n: int, parts: int) -> DataFr
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in batches:
-            for s, d in zip(batch.column(1), batch.column(2)):
-                pieces.append((np.frombuffer(s.as_buffer(), np.uint64).copy(), np.frombuffer(d.as_buffer(), np.uint64).copy()))
+            for bucket, packed in zip(batch.column(0).to_numpy(), batch.column(1)):
+                both = np.frombuffer(packed.as_buffer(), np.uint8).reshape(-1, width)
+                wide = np.zeros((len(both), 8), np.uint8)
+                wide[:, :SIGNATURE_BYTES] = both[:, :SIGNATURE_BYTES]
+                s = wide.view(np.uint64)[:, 0] | np.uint64(bucket) << np.uint64(8 * SIGNATURE_BYTES)
+                pieces.append((s, both[:, SIGNATURE_BYTES:].copy().view(np.uint32)[:, 0].astype(np.uint64)))
         if not pieces:
             return
         s, d = (np.concatenate(v) for v in zip(*pieces))
@@ -248,14 +300,14 @@ def signature_runs(docs: DataFrame, text_col: str, n: int, parts: int) -> DataFr
             ends = np.concatenate([[0], np.cumsum(m)])
             picked = d[np.repeat(a - ends[:-1], m) + np.arange(ends[-1])]
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(picked.view(np.int64)))
-            yield pa.record_batch([pa.array(s[a].view(np.int64)), pa.array(members[i : i + 20_000]), lists], ["signature", "members", "sids"])
+            yield pa.record_batch([pa.array(s[a].view(np.int64)), pa.array(members[i : i + 20_000]), lists], ["signature", "members", "sets"])
 
-    packed = docs.select(text_col).mapInArrow(pack, "bucket long, signatures binary, sids binary")
-    return packed.repartition(parts, "bucket").mapInArrow(meet, "signature long, members long, sids array<long>")
+    packed = docs.select(text_col).mapInArrow(pack, "bucket long, packed binary")
+    return packed.repartition(parts, "bucket").mapInArrow(meet, "signature long, members long, sets array<long>")
 
 
 def short_run_pairs(runs: DataFrame) -> DataFrame:
-    """Distinct (a, b), a < b, of the runs of at most SHORT_RUN members."""
+    """Distinct (a, b), a < b, of the numbers of sets in runs of at most SHORT_RUN members."""
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -270,23 +322,34 @@ def short_run_pairs(runs: DataFrame) -> DataFrame:
             both = np.unique(np.sort(np.concatenate(found), axis=1), axis=0)
             yield pa.record_batch([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
 
-    return runs.where(F.col("members") <= SHORT_RUN).select("sids").mapInArrow(pairs, "a long, b long").distinct()
+    return runs.where(F.col("members") <= SHORT_RUN).select("sets").mapInArrow(pairs, "a long, b long").distinct()
 
 
-def long_runs(runs: DataFrame, described: DataFrame) -> DataFrame:
+def long_runs(runs: DataFrame, sets: DataFrame) -> DataFrame:
     """(signature, sid) of the longer runs, without the sets that can spare all of theirs.
 
     A passage that many documents hold makes long runs of sets that have little else in common. A set with at most as many
     signatures in long runs as it may leave out (by scheme) still meets all its links in short runs, so it leaves.
     """
-    longer = runs.where(F.col("members") > SHORT_RUN).select("signature", F.explode("sids").alias("sid"))
-    longer = longer.withColumn("scheme", F.col("signature").bitwiseAND((1 << SCHEME_BITS) - 1).cast("int"))
+    longer = runs.where(F.col("members") > SHORT_RUN).select("signature", F.explode("sets").alias("number"))
+    longer = longer.join(sets.select("number", "sid"), "number").select(
+        "signature", "sid", F.col("signature").bitwiseAND((1 << SCHEME_BITS) - 1).cast("int").alias("scheme")
+    )
     counts = longer.groupBy("sid", "scheme").agg(F.count("*").alias("used"))
-    spares = described.select("sid", F.explode("spares").alias("s")).groupBy("sid", "s.scheme").agg(F.max("s.spare").alias("spare"))
-    bound = counts.join(spares, ["sid", "scheme"], "left").where("spare IS NULL OR used > spare").select("sid", "scheme")
+    of_scheme = F.filter("spares", lambda s: s["scheme"] == F.col("scheme"))
+    spare = F.coalesce(F.try_element_at(of_scheme, F.lit(1))["spare"], F.lit(-1))
+    bound = counts.join(sets.select("sid", "spares"), "sid").where(F.col("used") > spare).select("sid", "scheme")
     return longer.join(bound, ["sid", "scheme"]).select("signature", "sid")
 
 
+def with_ids(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b) of set ids for pairs of numbers, and the pairs of different sets that have the same number."""
+    one = lambda number, sid: sets.select(F.col("number").alias(number), F.col("sid").alias(sid))
+    met = pairs.join(one("a", "x"), "a").join(one("b", "y"), "b")
+    alike = one("a", "x").join(one("a", "y"), "a").where("x < y")
+    return met.select("x", "y").union(alike.select("x", "y"))
+
+
 def judge(pairs: DataFrame, sketches: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(a, b, maybe) of pairs of sets: whether their sketches leave a link possible."""
     one = lambda side: sketches.select(F.col("sid").alias(side), F.col("size").alias(f"n_{side}"), F.col("sketch").alias(f"k_{side}"))
@@ -354,16 +417,18 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     parts = max(8, int(total // PARTITION_SIGNATURES) + 1)
     runs = stage(signature_runs(docs, text_col, n, parts), "partenum")
     some = described.where("sid <> 0")
-    sketches = stage(some.groupBy("sid").agg(F.first("n_shingles").alias("size"), F.first("sketch").alias("sketch"), F.min("text_key").alias("text_key")), "partenum")
+    firsts = (F.first(c).alias(a) for c, a in (("n_shingles", "size"), ("sketch", "sketch"), ("spares", "spares")))
+    sketches = some.groupBy("sid").agg(*firsts, F.min("text_key").alias("text_key")).withColumn("number", F.shiftrightunsigned("sid", 32))
+    sketches = stage(sketches, "partenum")
     keys = sketches.select("sid", "text_key")
     ordered = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
 
-    longer = stage(long_runs(runs, some), "partenum")
+    longer = stage(long_runs(runs, sketches), "partenum")
     # The member that meets most others in long runs is closest to the middle of its family.
     central = longer.join(longer.groupBy("signature").agg(F.count("*").alias("n")), "signature").groupBy("sid").agg(F.sum("n").alias("met"))
     pivots = stage(longer.join(central, "sid").groupBy("signature").agg(F.max_by("sid", F.struct("met", "sid")).alias("pivot")), "partenum")
     stars = longer.join(pivots, "signature").where("sid <> pivot")
-    pairs = short_run_pairs(runs).union(stars.select(*ordered("sid", "pivot"))).distinct()
+    pairs = with_ids(short_run_pairs(runs), sketches).select(*ordered("x", "y")).union(stars.select(*ordered("sid", "pivot"))).distinct()
     judged = stage(judge(pairs, sketches), "partenum")
     links = stage(verify(judged.where("maybe").select("a", "b"), docs, keys, text_col, n), "partenum")
     if stars.limit(1).count():
