@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tallyfold.llm import mixing, partenum, quality, ring, templates
 from tallyfold.llm.parts import fold, repeat_rows, with_small
-from tallyfold.runtime import new_stage_path
+from tallyfold.runtime import new_stage_path, stage
 
 QUALITY_THRESHOLD = 0.3
 
@@ -24,7 +24,10 @@ def _free(docs: DataFrame, name: str) -> str:
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier, trained on the labelled ones outside the held-out fold, does not reject."""
+    """Documents that the quality classifier, trained on the labelled ones outside the held-out fold, does not reject.
+
+    A null text is scored as an empty one. Repeated rows have one score and stay or go together.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = quality.train(docs, labels, fold("doc_id", 5) != 0)
     name = _free(docs, "_quality")
@@ -34,7 +37,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of similar ones: the smallest id; of equal rows one. Texts without words all stay."""
-    found = partenum.jaccard_components(docs).select("doc_id", "text_key", "n_shingles", "first")
+    found = stage(partenum.jaccard_components(docs).select("doc_id", "text_key", "n_shingles", "first"), "similar")
     name = _free(docs, "_key")
     key = F.xxhash64("doc_id", "text_key")
     dropped = found.where("NOT first").select(key.alias(name)).distinct()
@@ -48,19 +51,25 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without benchmark items."""
+    """Documents without benchmark items; equal texts go together, null and empty ones stay."""
     leaks = templates.find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     name = _free(docs, "_key")
     keyed = docs.withColumn(name, F.xxhash64("text"))
-    return with_small(keyed, leaks.select(F.col("text_hash").alias(name)).distinct(), [name], "left_anti").select(*docs.columns)
+    leaked = stage(leaks.select(F.col("text_hash").alias(name)).distinct(), "leaks")
+    return with_small(keyed, leaked, [name], "left_anti").select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it whole: once per full epoch, and once more if at least half of it is sampled."""
+    """Each document as often as the mix takes it whole: once per full epoch, and once more if at least half of it is sampled.
+
+    Documents without words take nothing from a source's budget and are sampled by no one, so only full epochs hold them.
+    A null source is a source; repeated rows are taken as often as all of them together.
+    """
     mixed = mixing.mix(docs)
     times = F.col("epochs") + F.when((F.col("part") > 0) & (F.col("part") * 2 >= F.col("size")), 1).otherwise(0)
     name, many = _free(docs, "_key"), _free(docs, "_times")
     per_row = mixed.groupBy(F.xxhash64("doc_id", "source", "text_crc32").alias(name)).agg(F.sum(times).alias(many), F.count("*").alias("n"))
+    per_row = stage(per_row, "mix")
     keyed = docs.withColumn(name, F.xxhash64("doc_id", "source", F.crc32(F.coalesce("text", F.lit("")).cast("binary"))))
     if per_row.where("n > 1").limit(1).count():  # equal rows: one of them, as often as all together
         keyed = keyed.dropDuplicates([name])
