@@ -27,6 +27,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 def load_all() -> None:
     from tallyfold.plans import (  # noqa: F401
         cleaning_queries,
+        explain_queries,
         feature_queries,
         model_queries,
         profile_queries,
