@@ -23,6 +23,7 @@ from tallyfold.runtime import MAX_LOOKUP_ROWS, bounded_rows, local_frame, lookup
 
 RANGE_ROWS = 200_000  # distinct scores that one task pools at first
 MAX_RANGES = 9_000
+FAN = 8  # ranges whose blocks one task joins in the next round
 BLOCK = [
     T.StructField("lo", T.DoubleType()), T.StructField("hi", T.DoubleType()), T.StructField("n", T.LongType()), T.StructField("pos", T.LongType())
 ]
@@ -64,10 +65,10 @@ def isotonic_blocks(points: DataFrame, by: list[str] | None = None, range_rows:
     Rows (by..., lo, hi, n, pos, block, value, next_lo, next_value), blocks numbered from 1 by score; means are compared as
     fractions of counts, so equal ones share a block.
 
-    Points are cut into ranges of scores and pooled inside each; only the blocks that are left meet at the seams. Their means
-    are different fractions whose denominators add up to no more than the group's W rows, so there are at most about
-    0.9 * W^(2/3) of them in one range: the last task of a group with 10^9 rows holds below 10^6 blocks per range it could not
-    join, whatever the scores.
+    Points are cut into ranges of scores and pooled inside each; what is left is pooled again over FAN neighbouring ranges at a
+    time. Means of the blocks of one range of W rows are different fractions whose denominators add up to at most W, so there are at
+    most about 0.9 * W^(2/3) of them, whatever the scores. The last task meets FAN ranges: below 2 * 10^6 blocks for a group
+    of 10^9 rows.
     """
     by = list(by or [])
     keys = [points.schema[c] for c in by]
@@ -79,8 +80,14 @@ def isotonic_blocks(points: DataFrame, by: list[str] | None = None, range_rows:
         probs = [i / ranges for i in range(1, ranges)]
         cuts = points.agg(F.percentile_approx("score", probs, 2 * ranges)).first()[0]
         splits = [float("-inf"), *sorted(set(map(float, cuts))), float("inf")]
-        ranged = Bucketizer(splits=splits, inputCol="lo", outputCol="__range").transform(blocks)
-        blocks = ranged.groupBy(*by, "__range").applyInArrow(_in_arrow(_pooled, by), T.StructType([*keys, *BLOCK]))
+        blocks = Bucketizer(splits=splits, inputCol="lo", outputCol="__cut").transform(blocks)
+        blocks = blocks.withColumn("__range", F.col("__cut").cast("long")).drop("__cut")
+        inner = [*by, "__range"]
+        kind = T.StructType([*keys, T.StructField("__range", T.LongType()), *BLOCK])
+        while ranges > 1:
+            pooled = blocks.groupBy(*inner).applyInArrow(_in_arrow(_pooled, inner), kind)
+            blocks = pooled.withColumn("__range", F.floor(F.col("__range") / FAN))
+            ranges = math.ceil(ranges / FAN)
     whole = blocks.withColumn("__all", F.lit(0)).groupBy(*by, "__all")
     return whole.applyInArrow(_in_arrow(_placed, by), T.StructType([*keys, *BLOCK, *PLACE]))
 
