@@ -187,7 +187,11 @@ def platt_fit(points: DataFrame, by: list[str] | None = None, max_steps: int = 1
     kinds = T.StructType([*[keyed.schema[k] for k in keys], *[T.StructField(c, T.DoubleType()) for c in ("a", "b", "t0", "t1")]])
     while active:
         asked = [(*key, *map(float, state[key]["trial"]), *goal[key]) for key in active]
-        seen = lookup_join(keyed, local_frame(points.sparkSession, asked, kinds), keys, "inner").groupBy(*keys).agg(*_platt_sums())
+        if by:
+            tried = lookup_join(keyed, local_frame(points.sparkSession, asked, kinds), keys, "inner")
+        else:
+            tried = keyed.withColumns({c: F.lit(v) for c, v in zip(("a", "b", "t0", "t1"), asked[0][1:])})
+        seen = tried.groupBy(*keys).agg(*_platt_sums())
         for row in seen.collect():  # one row per group
             key = tuple(row[k] for k in keys)
             if _platt_step(state[key], row) or state[key]["steps"] >= max_steps:
@@ -240,8 +244,11 @@ def apply_platt(
     """Add ``out`` = sigmoid(a * score + b) of the row's group; null for null and NaN scores and groups without a fit."""
     by = list(by or [])
     given = params.select(*by, F.col("a").alias("__a"), F.col("b").alias("__b"))
-    keyed = (scores, given, by) if by else (scores.withColumn("__all", F.lit(0)), given.withColumn("__all", F.lit(0)), ["__all"])
-    joined = lookup_join(*keyed, "left")
+    if by:
+        joined = lookup_join(scores, given, by, "left")
+    else:
+        fit = bounded_rows(given, 1) or [{"__a": None, "__b": None}]
+        joined = scores.withColumns({c: F.lit(fit[0][c]).cast("double") for c in ("__a", "__b")})
     value = F.when(~F.isnan(F.col(p).cast("double")), sigmoid(F.col("__a") * F.col(p) + F.col("__b")))
     return joined.withColumn(out, value).select(*[F.col(f"`{c}`") for c in scores.columns if c != out], out)
 

@@ -70,9 +70,9 @@ def permutation_importance(
         return table.select(*by, F.col(metric).alias("value"))
 
     # A constant as the group, so that the baseline of an empty frame is no row.
-    base = measured(scorer(df.withColumn("__all", F.lit(0))), ["__all"])
-    values = measured(scorer(variants), ["__cell", "repeat"]).withColumn("__all", F.lit(0))
-    lost = lookup_join(values, base.withColumnRenamed("value", "baseline"), ["__all"], "inner")
+    base = bounded_rows(measured(scorer(df.withColumn("__all", F.lit(0))), ["__all"]), 1)
+    baseline = F.lit(base[0]["value"] if base else None).cast("double")
+    lost = measured(scorer(variants), ["__cell", "repeat"]).withColumn("baseline", baseline)
     names = local_frame(df.sparkSession, list(enumerate(features)), T._parse_datatype_string("__cell int, feature string"))
     drop = F.col("baseline") - F.col("value")
     return lookup_join(lost, names, ["__cell"], "inner").groupBy("feature").agg(
