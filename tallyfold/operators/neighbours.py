@@ -7,8 +7,9 @@
 4. It then visits, nearest first, the leaves that hold a ball which some of its queries cannot rule out, a few in each round: what
    a round finds shrinks the bounds, and leaves that have fallen out of reach are never visited.
 
-A visit is one row that carries the queries in question, packed; a task compares bounded blocks and returns k+1 candidates per
-query. Nothing is approximated.
+A visit is one row of three numbers. Blocks of near leaves form groups of bounded size, and a task compares one group of queries with
+one group of leaves: a vector is sent once to every group it meets, not once to every block. A task keeps the k+1 best of a query as it
+goes and returns those that beat what the query had. Nothing is approximated.
 """
 
 from __future__ import annotations
@@ -19,15 +20,17 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyfold.functions.scalars import hash_key
-from tallyfold.runtime import lookup_join, settle, stage
+from tallyfold.runtime import local_frame, lookup_join, release, stage
 
 BLOCK_ROWS = 1024
 LEAF_ROWS = 1024  # rows that a leaf is meant to hold, as long as there are few enough leaves
 MAX_LEAVES = 4096
 SAMPLE_PER_LEAF = 16
-CHUNK_VISITS = 8  # visits of one leaf that a task compares with a block of it
+GROUP_BLOCKS = 64  # blocks of queries, or of leaves, that a task holds at most
+GROUPS = 8  # groups that small tables are cut into, so that there are tasks enough
 ROUNDS = (2, 8, MAX_LEAVES)  # leaves that a block of queries visits per round
 CHUNK_CELLS = 4_000_000  # numbers held at once per task
 # Distances are compared after rounding, so that equal ones tie and the key decides.
@@ -130,10 +133,11 @@ def _packed(vectors: bytes, n: int) -> np.ndarray:
     return np.frombuffer(vectors).reshape(n, -1)
 
 
-def _pack(df: DataFrame, tree: list, names: str, schema: str, block_rows: int) -> DataFrame:
-    """Blocks of rows that share a leaf: (leaf, block, ``names``, vecs, centre). Staged.
+def _pack(df: DataFrame, tree: list, names: str, schema: str, block_rows: int) -> tuple[DataFrame, dict[int, tuple[int, int]]]:
+    """Blocks of rows that share a leaf: (leaf, block, ``names``, vecs, centre, grp), staged; per leaf its first and last group.
 
-    A block has about ``block_rows`` rows, however many its leaf has.
+    A block has about ``block_rows`` rows, however many its leaf has. Blocks are numbered along the tree, so that a group's are near
+    each other.
     """
     kept = df.columns
 
@@ -143,18 +147,29 @@ def _pack(df: DataFrame, tree: list, names: str, schema: str, block_rows: int) -
 
     routed = stage(df.mapInPandas(route, f"{schema}, leaf int"), "routed")
     # One row per leaf, at most MAX_LEAVES rows.
-    sizes = settle(routed.groupBy("leaf").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("blocks")))
+    found = sorted(routed.groupBy("leaf").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("blocks")).collect())
+    total = sum(r["blocks"] for r in found)
+    group = min(GROUP_BLOCKS, -(-total // GROUPS)) or 1
+    groups, rows, start = {}, [], 0
+    for r in found:
+        rows.append((r["leaf"], r["blocks"], start, group))
+        groups[r["leaf"]] = (start // group, (start + r["blocks"] - 1) // group)
+        start += r["blocks"]
+    sizes = local_frame(df.sparkSession, rows, T._parse_datatype_string("leaf int, blocks int, start int, size int"))
     dealt = lookup_join(routed, sizes, ["leaf"], "inner").withColumn("block", F.pmod(F.xxhash64("vec"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("grp", F.expr("(start + block) div size").cast("int"))
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
         x = _matrix(pdf["vec"])
         centre = x.mean(axis=0)
         one = {"leaf": [pdf["leaf"].iloc[0]], "block": [pdf["block"].iloc[0]], names: [pdf[names].tolist()], "vecs": [x.tobytes()]}
-        return pd.DataFrame({**one, "centre": [centre.tolist()]})
+        return pd.DataFrame({**one, "centre": [centre.tolist()], "grp": [pdf["grp"].iloc[0]]})
 
     kind = next(part for part in schema.split(", ") if part.startswith(names + " ")).split(" ", 1)[1]
-    out = f"leaf int, block int, {names} array<{kind}>, vecs binary, centre array<double>"
-    return stage(dealt.select(*kept, "leaf", "block").groupBy("leaf", "block").applyInPandas(pack, out), "blocks")
+    out = f"leaf int, block int, {names} array<{kind}>, vecs binary, centre array<double>, grp int"
+    blocks = stage(dealt.select(*kept, "leaf", "block", "grp").groupBy("leaf", "block").applyInPandas(pack, out), "blocks")
+    release(routed)
+    return blocks, groups
 
 
 def search(
@@ -164,75 +179,97 @@ def search(
 
     ``queries`` has (vec, qid), ``base`` (vec, keys), both with distinct vectors. Visits are rows (leaf, qleaf, qblock, ...).
     """
-    blocks = _pack(base, tree, "keys", f"vec array<double>, keys array<{key_type}>", block_rows)
-    asked = _pack(queries, tree, "qid", f"vec array<double>, qid {key_type}", block_rows).withColumnsRenamed(
-        {"leaf": "qleaf", "block": "qblock", "qid": "qids"}
-    )
+    blocks, groups = _pack(base, tree, "keys", f"vec array<double>, keys array<{key_type}>", block_rows)
+    packed, _ = _pack(queries, tree, "qid", f"vec array<double>, qid {key_type}", block_rows)
+    asked = packed.withColumnsRenamed({"leaf": "qleaf", "block": "qblock", "qid": "qids", "grp": "qgrp"})
     # A ball around each leaf; one row per leaf, at most MAX_LEAVES rows.
     centres = {r["leaf"]: np.array(r["c"]) for r in blocks.groupBy("leaf").agg(F.min_by("centre", "block").alias("c")).collect()}
     radius = _leaf_radii(blocks, centres)
     leaf_ids = np.array(sorted(centres), np.int32)
     middle = np.array([centres[i] for i in leaf_ids])
     extent = np.array([radius[i] for i in leaf_ids])
-    state = f"qleaf int, qblock int, qids array<{key_type}>, vecs binary, near array<array<{key_type}>>, dist array<array<double>>, seen array<int>"
-    visit = "leaf int, qleaf int, qblock int, at array<int>, vecs binary"
+    state = (
+        f"qleaf int, qblock int, qgrp int, qids array<{key_type}>, vecs binary, near array<array<{key_type}>>, "
+        "dist array<array<double>>, seen array<int>"
+    )
+    # Within which a query still looks: the distance of the last of its neighbours, if it has them all.
+    reach = F.transform("dist", lambda d: F.when(F.size(d) >= keep, F.element_at(d, -1)).otherwise(float("inf"))).alias("reach")
 
     def plan(step: int | None):
         """Visits of the next ``step`` leaves within reach; without it, of the block's own leaf or the nearest one."""
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for pdf in batches:
+                out = []
                 for r in pdf.itertuples():
-                    x = _packed(r.vecs, len(r.qids))
-                    gap = np.maximum(np.stack([np.sqrt(((x - c) ** 2).sum(axis=1)) for c in middle], axis=1) - extent, 0.0)
+                    gap = ball_gaps(_packed(r.vecs, len(r.reach)), middle, extent)
                     if step is None:
                         own = np.flatnonzero(leaf_ids == r.qleaf)
                         pick = own if len(own) else [int(gap.min(axis=0).argmin())]
-                        inside = np.ones((len(x), len(leaf_ids)), bool)
                     else:
-                        reach = np.array([d[-1] if len(d) >= keep else np.inf for d in r.dist]) * (1 + 1e-9) + 2 * 10.0**-DIGITS
-                        inside = gap <= reach[:, None]
-                        open_leaf = inside.any(axis=0) & ~np.isin(leaf_ids, r.seen)
+                        open_leaf = (gap <= _widened(r.reach)[:, None]).any(axis=0) & ~np.isin(leaf_ids, r.seen)
                         order = np.argsort(gap.min(axis=0), kind="stable")
                         pick = order[open_leaf[order]][:step]
-                    for j in pick:
-                        at = np.flatnonzero(inside[:, j])
-                        yield pd.DataFrame(
-                            {"leaf": [leaf_ids[j]], "qleaf": [r.qleaf], "qblock": [r.qblock], "at": [at.tolist()], "vecs": [x[at].tobytes()]}
-                        )
+                    out += [(leaf_ids[j], r.qleaf, r.qblock, r.qgrp, *groups[leaf_ids[j]]) for j in pick]
+                yield pd.DataFrame(out, columns=["leaf", "qleaf", "qblock", "qgrp", "low", "high"])
 
         return run
 
     def merge(key, old: pd.DataFrame, new: pd.DataFrame) -> pd.DataFrame:
         r = old.iloc[0]
         best = [list(zip(d, n)) for d, n in zip(r["dist"], r["near"])]
+        changed = set()
         for v in new.itertuples():
             for q, d, n in zip(v.at, v.dist, v.near):
                 best[q] += zip(d, n)
-        best = [sorted(b)[:keep] for b in best]
-        seen = sorted({*r["seen"], *new["leaf"].tolist()})
+                changed.add(q)
+        for q in changed:
+            best[q] = sorted(best[q])[:keep]
+        seen = sorted({*r["seen"], *(leaf for leaves in new["leaves"] for leaf in leaves)})
         return pd.DataFrame({
-            "qleaf": [r["qleaf"]], "qblock": [r["qblock"]], "qids": [r["qids"]], "vecs": [r["vecs"]],
+            "qleaf": [r["qleaf"]], "qblock": [r["qblock"]], "qgrp": [r["qgrp"]], "qids": [r["qids"]], "vecs": [r["vecs"]],
             "near": [[[n for _, n in b] for b in best]], "dist": [[[d for d, _ in b] for b in best]], "seen": [seen],
         })
 
     nothing = F.transform("qids", lambda q: F.array().cast(f"array<{key_type}>"))
     far = F.transform("qids", lambda q: F.array().cast("array<double>"))
-    now = asked.select("qleaf", "qblock", "qids", "vecs", nothing.alias("near"), far.alias("dist"), F.array().cast("array<int>").alias("seen"))
+    now = asked.select("qleaf", "qblock", "qgrp", "qids", "vecs", nothing.alias("near"), far.alias("dist"), F.array().cast("array<int>").alias("seen"))
     all_visits = []
     for step in (None, *ROUNDS):
         if step is not None and len(leaf_ids) == 1:
             break
-        visits = stage(now.mapInPandas(plan(step), visit), "visits")
+        looking = now.select("qleaf", "qblock", "qgrp", "vecs", reach, "seen")
+        visits = stage(looking.mapInPandas(plan(step), "leaf int, qleaf int, qblock int, qgrp int, low int, high int"), "visits")
         if step is not None and visits.isEmpty():
             break
         all_visits.append(visits)
         by = ["qleaf", "qblock"]
-        found = _compare(visits, blocks, keep, key_type)
-        now = stage(now.groupBy(*by).cogroup(found.groupBy(*by)).applyInPandas(merge, state), "near")
+        found = _compare(visits, looking, blocks, keep, key_type)
+        before, now = now, stage(now.groupBy(*by).cogroup(found.groupBy(*by)).applyInPandas(merge, state), "near")
+        release(before)
+    release(blocks)
+    release(packed)
     return now, all_visits
 
 
+def _widened(reach) -> np.ndarray:
+    return np.asarray(reach, dtype=float) * (1 + 1e-9) + 2 * 10.0**-DIGITS
+
+
+def ball_gaps(x: np.ndarray, middle: np.ndarray, extent: np.ndarray) -> np.ndarray:
+    """At most the distance of each row of ``x`` from each ball: the rounding of the product of matrices is taken off."""
+    shift = middle.mean(axis=0)
+    xc, mc = x - shift, middle - shift
+    xx, mm = (xc**2).sum(axis=1)[:, None], (mc**2).sum(axis=1)
+    square = xx + mm - 2.0 * (xc @ mc.T) - _slack(xx, mm, x.shape[1])
+    return np.maximum(np.sqrt(np.maximum(square, 0.0)) - extent, 0.0)
+
+
+def _slack(xx: np.ndarray, bb: np.ndarray, dim: int) -> np.ndarray:
+    """What rounding may add to a squared distance taken from a product of matrices, per row of ``xx``."""
+    return 16 * np.finfo(float).eps * (dim + 2) * (np.sqrt(xx) + np.sqrt(bb.max())) ** 2
+
+
 def _leaf_radii(blocks: DataFrame, centres: dict[int, np.ndarray]) -> dict[int, float]:
     """The distance of a leaf's farthest vector from the leaf's centre."""
 
@@ -247,65 +284,104 @@ def _leaf_radii(blocks: DataFrame, centres: dict[int, np.ndarray]) -> dict[int,
     return {r["leaf"]: r["far"] * (1 + 1e-12) for r in found.collect()}
 
 
-def nearest_of_block(x: np.ndarray, b: np.ndarray, keys: list, keep: int) -> tuple[list[list[float]], list[list]]:
-    """Distances and keys of the ``keep`` nearest rows of ``b`` for each row of ``x``.
+class Nearest:
+    """The ``keep`` nearest rows, of blocks that come one after the other, to each row of ``x``; none beyond its ``reach``.
 
-    One product of matrices rules most rows out, with room for its rounding; the others are measured by differences.
+    One product of matrices rules most rows out, with room for its rounding; the others are measured by differences. ``order`` of a row
+    decides between equal distances.
     """
-    shift = b.mean(axis=0)
-    bc = b - shift
-    bb = (bc**2).sum(axis=1)
-    dist, near = [], []
-    step = max(1, CHUNK_CELLS // len(b))
-    for lo in range(0, len(x), step):
-        xc = x[lo : lo + step] - shift
+
+    def __init__(self, x: np.ndarray, reach: np.ndarray, keep: int):
+        self.x, self.reach, self.keep = x, np.array(reach, dtype=float), keep
+        self.dist = np.full((len(x), keep), np.inf)
+        self.row = np.full((len(x), keep), -1)
+
+    def meet(self, b: np.ndarray, order: np.ndarray, first: int) -> None:
+        """Compare with the rows ``b``, numbered from ``first`` on."""
+        centre = b.mean(axis=0)
+        bc = b - centre
+        bb = (bc**2).sum(axis=1)
+        ball = np.sqrt(bb.max()) * (1 + 1e-12)
+        away = ball_gaps(self.x, centre[None], np.array([ball]))[:, 0]
+        at = np.flatnonzero(away <= _widened(self.reach))
+        step = max(1, CHUNK_CELLS // len(b))
+        for lo in range(0, len(at), step):
+            self._chunk(at[lo : lo + step], b, bc, bb, centre, order, first)
+
+    def _chunk(self, at, b, bc, bb, centre, order, first) -> None:
+        xc = self.x[at] - centre
         xx = (xc**2).sum(axis=1)
-        rough = xx[:, None] + bb - 2.0 * (xc @ bc.T)
-        slack = 16 * np.finfo(float).eps * b.shape[1] * (np.sqrt(xx) + np.sqrt(bb.max())) ** 2
-        if len(b) > keep:
-            kth = np.maximum(np.partition(rough, keep - 1, axis=1)[:, keep - 1], 0.0) + slack
-            close = rough <= ((np.sqrt(kth) + 2 * 10.0**-DIGITS) ** 2 + slack)[:, None]
-        else:
-            close = np.ones(rough.shape, bool)
-        for i, row in enumerate(x[lo : lo + step]):
-            at = np.flatnonzero(close[i])
-            gap = b[at] - row
-            d = np.round(np.sqrt(np.einsum("ij,ij->i", gap, gap)), DIGITS)
-            hits = sorted((float(v), key) for v, j in zip(d, at) for key in keys[j])[:keep]
+        slack = _slack(xx, bb, b.shape[1])
+        rough = np.column_stack([-2.0 * xc, np.ones(len(xc))]) @ np.column_stack([bc, bb]).T  # squared distance less xx
+        reach = self.reach[at]
+        unknown = np.flatnonzero(np.isinf(reach))
+        if len(unknown) and len(b) > self.keep:
+            kth = np.partition(rough[unknown], self.keep - 1, axis=1)[:, self.keep - 1] + xx[unknown]
+            reach[unknown] = np.sqrt(np.maximum(kth, 0.0) + slack[unknown])
+        limit = _widened(reach) ** 2 + slack - xx
+        i, j = np.nonzero(rough <= limit[:, None])
+        if not len(i):
+            return
+        gap = b[j] - self.x[at[i]]
+        d = np.round(np.sqrt(np.einsum("ij,ij->i", gap, gap)), DIGITS)
+        near = np.flatnonzero(d <= self.reach[at[i]])
+        i, j, d = i[near], j[near], d[near]
+        # The new ones of a row with those it had, by distance and order; the first ``keep`` stay.
+        met = np.unique(i)
+        had_i, had_k = np.nonzero(self.row[at[met]] >= 0)
+        rows = np.concatenate([met[had_i], i])
+        numbers = np.concatenate([self.row[at[met]][had_i, had_k], j + first])
+        dist = np.concatenate([self.dist[at[met]][had_i, had_k], d])
+        by = np.lexsort((order[numbers], dist, rows))
+        rows, numbers, dist = rows[by], numbers[by], dist[by]
+        place = np.arange(len(rows)) - np.searchsorted(rows, rows)
+        best = np.flatnonzero(place < self.keep)
+        self.row[at[rows[best]], place[best]] = numbers[best]
+        self.dist[at[rows[best]], place[best]] = dist[best]
+        self.reach[at] = np.minimum(self.reach[at], self.dist[at, -1])
+
+    def found(self, keys: list[list]) -> tuple[list[int], list[list[float]], list[list]]:
+        """Rows of ``x`` that met any, with distances and keys; a row of a block stands for all its ``keys``."""
+        at, dist, near = np.flatnonzero(self.row[:, 0] >= 0).tolist(), [], []
+        for i in at:
+            hits = sorted((d, key) for d, j in zip(self.dist[i].tolist(), self.row[i].tolist()) if j >= 0 for key in keys[j])[: self.keep]
             dist.append([h[0] for h in hits])
             near.append([h[1] for h in hits])
-    return dist, near
-
+        return at, dist, near
 
-def _compare(visits: DataFrame, blocks: DataFrame, keep: int, key_type: str) -> DataFrame:
-    """(leaf, qleaf, qblock, at, near, dist): what each visit finds in each block of its leaf."""
 
-    def counted(df: DataFrame, name: str, rows: int) -> DataFrame:
-        return df.groupBy("leaf").agg(F.ceil(F.count("*") / rows).cast("int").alias(name))
-
-    # One row per leaf, at most MAX_LEAVES rows.
-    sizes = settle(counted(blocks, "parts", 1).join(counted(visits, "chunks", CHUNK_VISITS), "leaf"))
-    left = (
-        lookup_join(visits, sizes, ["leaf"], "inner").withColumn("chunk", F.pmod(F.xxhash64("qleaf", "qblock"), F.col("chunks")).cast("int"))
-        .select("leaf", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "chunk", "qleaf", "qblock", "at", "vecs")
-    )
-    # A leaf's blocks are numbered anew: some numbers may have drawn no row.
-    numbered = blocks.select("leaf", "keys", "vecs", (F.row_number().over(Window.partitionBy("leaf").orderBy("block")) - 1).alias("part"))
-    right = lookup_join(numbered, sizes, ["leaf"], "inner").select(
-        "leaf", "part", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), "keys", "vecs"
-    )
+def _compare(visits: DataFrame, looking: DataFrame, blocks: DataFrame, keep: int, key_type: str) -> DataFrame:
+    """(qleaf, qblock, leaves, at, near, dist): what the visits of a block of queries find in each group of leaves."""
+    by = ["qgrp", "grp"]
+    met = visits.withColumn("grp", F.explode(F.sequence("low", "high")))
+    asks = met.groupBy("qleaf", "qblock", "qgrp", "grp").agg(F.sort_array(F.collect_set("leaf")).alias("leaves"))
+    needs = met.select("leaf", "grp", "qgrp").distinct()
+    tasks = max(1, met.select(*by).distinct().count())
+    # Both sides are dealt out anew by a given number: what counts is a task's work, not its bytes.
+    left = lookup_join(looking, asks, ["qleaf", "qblock", "qgrp"], "inner").select(*by, "qleaf", "qblock", "vecs", "reach", "leaves")
+    right = lookup_join(blocks.select("leaf", "grp", "block", "keys", "vecs"), needs, ["leaf", "grp"], "inner")
 
     def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         out = []
-        if len(a) and len(b):
-            keys = [list(k) for k in b["keys"].iloc[0]]
-            body = _packed(b["vecs"].iloc[0], len(keys))
-            for r in a.itertuples():
-                dist, near = nearest_of_block(_packed(r.vecs, len(r.at)), body, keys, keep)
-                out.append((r.leaf, r.qleaf, r.qblock, list(r.at), near, dist))
-        return pd.DataFrame(out, columns=["leaf", "qleaf", "qblock", "at", "near", "dist"])
-
-    by = ["leaf", "part", "chunk"]
+        b = b.sort_values(["leaf", "block"])
+        keys = [list(k) for own in b["keys"] for k in own]
+        firsts = np.cumsum([0, *b["keys"].map(len)])
+        # A row's place by its smallest key.
+        order = np.empty(len(keys), np.int64)
+        order[sorted(range(len(keys)), key=lambda i: keys[i][0])] = np.arange(len(keys))
+        bodies: dict[int, list] = {}
+        for leaf, vecs, first, n in zip(b["leaf"], b["vecs"], firsts, np.diff(firsts)):
+            bodies.setdefault(int(leaf), []).append((_packed(vecs, n), int(first)))
+        for r in a.itertuples():
+            nearest = Nearest(_packed(r.vecs, len(r.reach)), r.reach, keep)
+            for leaf in r.leaves:
+                for body, first in bodies.get(int(leaf), []):
+                    nearest.meet(body, order, first)
+            at, dist, near = nearest.found(keys)
+            out.append((r.qleaf, r.qblock, list(r.leaves), at, near, dist))
+        return pd.DataFrame(out, columns=["qleaf", "qblock", "leaves", "at", "near", "dist"])
+
+    left, right = left.repartition(tasks, *by), right.repartition(tasks, *by)
     return left.groupBy(*by).cogroup(right.groupBy(*by)).applyInPandas(
-        run, f"leaf int, qleaf int, qblock int, at array<int>, near array<array<{key_type}>>, dist array<array<double>>"
+        run, f"qleaf int, qblock int, leaves array<int>, at array<int>, near array<array<{key_type}>>, dist array<array<double>>"
     )

@@ -69,7 +69,7 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     path = new_stage_path(spark, name)
     df.write.parquet(path)
     staged = spark.read.schema(df.schema).parquet(path)
-    staged._is_staged = True
+    staged._is_staged, staged._stage_path = True, path
     return staged
 
 
@@ -98,15 +98,27 @@ def staged_once(df: DataFrame, name: str = "stage") -> DataFrame:
 
 def release_staged(spark: SparkSession) -> int:
     """Delete the tables this session staged; frames still reading them become invalid."""
-    jvm = spark.sparkContext._jvm
-    hadoop_conf = spark.sparkContext._jsc.hadoopConfiguration()
     paths = _staged.pop(spark.sparkContext.applicationId, [])
     for path in paths:
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(hadoop_conf).delete(target, True)
+        _delete(spark, path)
     return len(paths)
 
 
+def release(df: DataFrame) -> None:
+    """Delete a staged table that nothing will read any more; a frame that :func:`stage` did not return is left alone."""
+    path = getattr(df, "_stage_path", None)
+    if path is not None:
+        _delete(df.sparkSession, path)
+        known = _staged.get(df.sparkSession.sparkContext.applicationId, [])
+        if path in known:
+            known.remove(path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def bounded_rows(df: DataFrame, limit: int = MAX_LOOKUP_ROWS) -> list[Row] | None:
     """The rows of ``df`` if there are at most ``limit`` of them, else ``None``."""
     rows = getattr(df, "_local_rows", None)

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tallyfold import runtime
 from tallyfold.operators import neighbours, resample
 
 
@@ -47,6 +48,24 @@ def test_clustered_vectors_visit_few_leaves(spark):
             assert list(zip(dist, near)) == sorted((float(v), j) for j, v in enumerate(d))[:3]
 
 
+def test_vectors_are_sent_once_to_a_group(spark, monkeypatch):
+    """Without structure all leaves are visited: visits hold no vectors, steps that are done leave no tables behind, groups change nothing."""
+    monkeypatch.setattr(neighbours, "GROUP_BLOCKS", 3)
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(400, 24)).round(4)
+    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "qid long, vec array<double>")
+    tree = neighbours.grow_tree(x[rng.permutation(len(x))[:300]], 20)
+    before = len(runtime._staged.get(spark.sparkContext.applicationId, []))
+    found, visits = neighbours.search(df, df.select("vec", F.array("qid").alias("keys")), tree, 3, "bigint", 16)
+    assert sum(v.count() for v in visits) > 200
+    assert all(kind != "binary" and not kind.startswith("array") for v in visits for _, kind in v.dtypes)
+    assert len(runtime._staged[spark.sparkContext.applicationId]) - before <= len(visits) + 2
+    for r in found.collect():
+        for q, dist, near in zip(r["qids"], r["dist"], r["near"]):
+            d = np.round(np.sqrt(((x - x[q]) ** 2).sum(axis=1)), 9)
+            assert list(zip(dist, near)) == sorted((float(v), j) for j, v in enumerate(d))[:3]
+
+
 def test_knn_of_odd_inputs(spark):
     empty = spark.createDataFrame([], "key string, vec array<double>")
     one = spark.createDataFrame([("a", [1.0, 2.0])], "key string, vec array<double>")
