@@ -20,7 +20,7 @@ import warnings
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml import Model
 from pyspark.ml.classification import (
     GBTClassifier,
@@ -41,6 +41,7 @@ from tallyfold.operators.order import average_rank
 
 MAX_DEPTH = 30  # the deepest tree Spark ML grows
 FOURIER_FEATURES = 256
+PROJECTED_ROWS = 512  # rows projected at a time
 
 # Default parameters per model.
 DEFAULTS: dict[str, dict] = {
@@ -176,11 +177,17 @@ class FourierModel(Model):
 
     def project(self, dataset: DataFrame) -> DataFrame:
         weights, phases = self.weights, self.phases
-        scale = math.sqrt(2.0 / len(phases))
-
-        @F.pandas_udf(T.ArrayType(T.DoubleType()))
-        def fourier(x: pd.Series) -> pd.Series:
-            return pd.Series(list(scale * np.cos(np.stack(x.to_numpy()) @ weights + phases)))
+        scale, step = math.sqrt(2.0 / len(phases)), PROJECTED_ROWS
+
+        @F.arrow_udf(T.ArrayType(T.DoubleType()))
+        def fourier(x: pa.Array) -> pa.Array:
+            # One buffer for a batch, filled by slices: an array per row would take several times as much.
+            rows, width = len(x), len(phases)
+            given = x.flatten().to_numpy(zero_copy_only=False).reshape(rows, -1) if rows else np.zeros((0, len(weights)))
+            out = np.empty((rows, width))
+            for lo in range(0, rows, step):
+                out[lo : lo + step] = scale * np.cos(given[lo : lo + step] @ weights + phases)
+            return pa.ListArray.from_arrays(pa.array(np.arange(rows + 1) * width, pa.int32()), pa.array(out.ravel()))
 
         return dataset.withColumn("fourier", array_to_vector(fourier(vector_to_array("features"))))
 

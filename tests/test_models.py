@@ -1,7 +1,8 @@
 """Registry, search spaces, fitted models and their evaluation."""
 
+import numpy as np
 import pytest
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from tallyfold.operators.diagnose import ensemble_decision, fit_verdict
@@ -107,3 +108,16 @@ def test_verdicts(spark):
 def test_flagship_query(spark):
     row = quality_test_metrics(spark, "/root/testdata/sf0.001").first()
     assert 0 <= row["accuracy"] <= 1 and row["roc_auc"] is not None
+
+
+def test_fourier_features_are_made_by_slices(spark, monkeypatch):
+    """A batch is projected some rows at a time into one buffer; what comes out does not depend on the slices."""
+    monkeypatch.setattr(models, "PROJECTED_ROWS", 7)
+    rng = np.random.default_rng(4)
+    x, weights, phases = rng.normal(size=(50, 3)), rng.normal(size=(3, 5)), rng.uniform(size=5)
+    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "i int, x array<double>")
+    frame = df.repartition(2).select("i", array_to_vector("x").alias("features"))
+    made = models.FourierModel(weights, phases).project(frame)
+    for r in made.collect():
+        assert np.allclose(r["fourier"].toArray(), np.sqrt(2 / 5) * np.cos(x[r["i"]] @ weights + phases), rtol=0, atol=1e-14)
+    assert made.where("i < 0").count() == 0
