@@ -24,14 +24,16 @@ RANKING = ("roc_auc", "pr_auc")
 
 def hash_ranked(rows: DataFrame, h: Column, by: list[str], out: str) -> DataFrame:
     """Add the 1-based rank of a row by a hex hash within ``by``: rows are sorted per hash prefix, prefixes are counted."""
-    marked = rows.withColumns({"__h": h, "__prefix": F.substring(h, 1, PREFIX_DIGITS)})
+    marked = rows.withColumn("__prefix", F.conv(F.substring(h, 1, PREFIX_DIGITS), 16, 10).cast("int"))
     counts = marked.groupBy(*by, "__prefix").agg(F.count("*").alias("__n"))
     # At most 16^4 rows per group.
     before = Window.partitionBy(*by).orderBy("__prefix").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*by, "__prefix", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
-    ranked = lookup_join(marked, offsets, [*by, "__prefix"], "inner")
     rank = F.row_number().over(Window.partitionBy(*by, "__prefix").orderBy("__h"))
-    return ranked.withColumn(out, F.col("__before") + rank).drop("__h", "__prefix", "__before")
+    # The hash is longer than many a row: it is taken again where the rows have arrived, not sent with them.
+    ranked = marked.repartition(*by, "__prefix").withColumn("__h", h).withColumn("__rn", rank).drop("__h")
+    located = lookup_join(ranked, offsets, [*by, "__prefix"], "inner")
+    return located.withColumn(out, F.col("__before") + F.col("__rn")).drop("__prefix", "__before", "__rn")
 
 
 def permuted_features(df: DataFrame, key: list[str], features: list[str], repeats: int = 5, seed: int = 42) -> DataFrame:

@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tallyfold.functions.scalars import hash_key
 from tallyfold.operators import calibrate, explain
 from tallyfold.operators.metrics import probability_metrics
 
@@ -188,3 +189,18 @@ def test_explanations_of_nothing(spark):
     assert explain.permutation_importance(empty, ["id"], ["x", "c"], scorer, "mcc", 2).count() == 0
     assert explain.partial_dependence(empty, ["x", "m", "c"], scorer).count() == 0
     assert explain.partial_dependence(empty, ["x", "m", "c"], scorer, {"x": [1.0]}).count() == 0
+
+
+def test_ranks_by_hash_without_sending_hashes(spark):
+    """Ranks are those of the sorted hashes; what is exchanged to rank rows holds no hash."""
+    rows = spark.range(500).selectExpr("id", "id % 2 as part")
+    h = hash_key("7|take", "part", "id")
+    ranked = explain.hash_ranked(rows, h, ["part"], "rank")
+    want = {}
+    for part in (0, 1):
+        own = sorted((r["h"], r["id"]) for r in rows.where(F.col("part") == part).select("id", h.alias("h")).collect())
+        want |= {key: i + 1 for i, (_, key) in enumerate(own)}
+    assert {r["id"]: r["rank"] for r in ranked.collect()} == want
+    plan = ranked._jdf.queryExecution().optimizedPlan().toString()
+    assert "AS __h#" in plan and "RepartitionByExpression" in plan
+    assert "AS __h#" not in plan[plan.index("RepartitionByExpression") :]
