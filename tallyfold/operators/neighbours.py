@@ -22,8 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyfold.functions.scalars import hash_key
-from tallyfold.runtime import local_frame, lookup_join, release, stage
+from tallyfold.runtime import local_frame, lookup_join, release, reread, stage
 
 BLOCK_ROWS = 1024
 LEAF_ROWS = 1024  # rows that a leaf is meant to hold, as long as there are few enough leaves
@@ -51,15 +50,17 @@ def knn(
     copies = base.select(F.col(key).alias("key"), F.col(vec).alias("vec")).withColumn("rn", first).where(F.col("rn") <= keep)
     distinct_base = stage(copies.groupBy("vec").agg(F.sort_array(F.collect_list("key")).alias("keys")), "knn_base")
     rows = queries.select(F.col(key).alias("key"), F.col(vec).alias("vec"))
-    distinct_queries = stage(rows.groupBy("vec").agg(F.min("key").alias("qid")), "knn_queries")
+    same = queries is base
+    smallest = F.element_at("keys", 1).alias("qid")
+    distinct_queries = distinct_base.select("vec", smallest) if same else stage(rows.groupBy("vec").agg(F.min("key").alias("qid")), "knn_queries")
 
     n_base = distinct_base.count()
     if not n_base:
         return _empty(rows)
     leaves = n_leaves or int(min(MAX_LEAVES, max(1, n_base // LEAF_ROWS)))
-    chosen = distinct_base.select("vec").orderBy(hash_key("leaf", F.col("vec").cast("string"))).limit(leaves * SAMPLE_PER_LEAF).collect()
+    chosen = distinct_base.select("vec").orderBy(F.xxhash64(F.lit("leaf"), "vec")).limit(leaves * SAMPLE_PER_LEAF).collect()
     tree = grow_tree(np.array([r["vec"] for r in chosen], dtype=float), leaves)
-    found, _ = search(distinct_queries, distinct_base, tree, keep, rows.schema["key"].dataType.simpleString(), block_rows)
+    found, _ = search(None if same else distinct_queries, distinct_base, tree, keep, rows.schema["key"].dataType.simpleString(), block_rows)
     pairs = F.explode(F.arrays_zip("qids", "near", "dist")).alias("q")
     lists = found.select(pairs).select(F.col("q.qids").alias("qid"), F.arrays_zip(F.col("q.dist").alias("dist"), F.col("q.near").alias("neighbour")).alias("near"))
     own = rows.join(distinct_queries, "vec").select("key", "qid").join(lists, "qid")
@@ -173,14 +174,18 @@ def _pack(df: DataFrame, tree: list, names: str, schema: str, block_rows: int) -
 
 
 def search(
-    queries: DataFrame, base: DataFrame, tree: list, keep: int, key_type: str, block_rows: int = BLOCK_ROWS
+    queries: DataFrame | None, base: DataFrame, tree: list, keep: int, key_type: str, block_rows: int = BLOCK_ROWS
 ) -> tuple[DataFrame, list[DataFrame]]:
     """(blocks of queries with the ``keep`` nearest base rows of each, the visits of every round).
 
-    ``queries`` has (vec, qid), ``base`` (vec, keys), both with distinct vectors. Visits are rows (leaf, qleaf, qblock, ...).
+    ``queries`` has (vec, qid), ``base`` (vec, keys), both with distinct vectors. Without ``queries`` the base rows ask, by their first
+    key, and are packed once. Visits are rows (leaf, qleaf, qblock, ...).
     """
     blocks, groups = _pack(base, tree, "keys", f"vec array<double>, keys array<{key_type}>", block_rows)
-    packed, _ = _pack(queries, tree, "qid", f"vec array<double>, qid {key_type}", block_rows)
+    if queries is None:
+        packed = reread(blocks).withColumn("keys", F.transform("keys", lambda own: own[0])).withColumnRenamed("keys", "qid")
+    else:
+        packed, _ = _pack(queries, tree, "qid", f"vec array<double>, qid {key_type}", block_rows)
     asked = packed.withColumnsRenamed({"leaf": "qleaf", "block": "qblock", "qid": "qids", "grp": "qgrp"})
     # A ball around each leaf; one row per leaf, at most MAX_LEAVES rows.
     centres = {r["leaf"]: np.array(r["c"]) for r in blocks.groupBy("leaf").agg(F.min_by("centre", "block").alias("c")).collect()}

@@ -7,6 +7,10 @@ Every random choice is a hash of the row key, so results do not depend on partit
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+from functools import cached_property
+from threading import Lock
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -75,21 +79,29 @@ def undersample(df: DataFrame, key: str = "key", y: str = "y", seed=42) -> DataF
     return df.where((F.col(y) == label) | (h <= F.lit(row["cuts"][0])))
 
 
-def majority_share(df: DataFrame, label: int, k: int) -> DataFrame:
+# Each step below that needs neighbours takes a table ``near`` (key, neighbour, rank) with at least its k of them, or searches.
+
+
+def _nearest(near: DataFrame | None, queries: DataFrame, base: DataFrame, k: int) -> DataFrame:
+    return knn(queries, base, k, "key", "vec") if near is None else near.where(F.col("rank") <= k)
+
+
+def majority_share(df: DataFrame, label: int, k: int, near: DataFrame | None = None) -> DataFrame:
     """(key, others): how many of a minority row's k nearest rows belong to the other class."""
-    minority = df.where(F.col("y") == label)
-    near = knn(minority, df, k, "key", "vec")
+    near = _nearest(near, df.where(F.col("y") == label), df, k)
     classes = df.select(F.col("key").alias("neighbour"), "y")
     return near.join(classes, "neighbour").groupBy("key").agg(F.sum((F.col("y") != label).cast("long")).alias("others"))
 
 
-def interpolated(minority: DataFrame, seeds: DataFrame, total: int, seed, k: int = SMOTE_K) -> DataFrame:
+def interpolated(
+    minority: DataFrame, seeds: DataFrame, total: int, seed, k: int = SMOTE_K, near: DataFrame | None = None
+) -> DataFrame:
     """(key, seed_key, copy, neighbour, u, vec): points between a seed row and one of its neighbours.
 
     ``seeds`` has ``(key, vec, copies)``, ``total`` copies in all. Neighbour lists are built once per seed row; the copies are
-    exploded afterwards, so the join does not grow with the number of synthetic rows.
+    exploded afterwards, so the join does not grow with the number of synthetic rows. ``near`` may hold rows that are no seeds.
     """
-    near = knn(seeds, minority, k, "key", "vec")
+    near = _nearest(near, seeds, minority, k)
     points = minority.select(F.col("key").alias("neighbour"), F.col("vec").alias("nvec"))
     lists = near.join(points, "neighbour").groupBy("key").agg(
         F.sort_array(F.collect_list(F.struct("rank", "neighbour", "nvec"))).alias("near")
@@ -122,19 +134,20 @@ def _check_rows(small: int, k: int) -> None:
         raise ValueError(f"{small} minority rows are too few for {k} neighbours")
 
 
-def smote_rows(df: DataFrame, seed=42, k: int = SMOTE_K) -> DataFrame:
+def smote_rows(df: DataFrame, seed=42, k: int = SMOTE_K, near: DataFrame | None = None) -> DataFrame:
     """Synthetic minority rows up to parity."""
     label, small, large = class_sizes(df)
     _check_rows(small, k)
     minority = df.where(F.col("y") == label)
-    return interpolated(minority, _spread(minority, large - small, small, seed), large - small, seed, k)
+    near = _nearest(near, minority, minority, k)
+    return interpolated(minority, _spread(minority, large - small, small, seed), large - small, seed, k, near)
 
 
-def adasyn_counts(df: DataFrame, k: int = SMOTE_K) -> DataFrame:
+def adasyn_counts(df: DataFrame, k: int = SMOTE_K, near_all: DataFrame | None = None) -> DataFrame:
     """(key, others, copies): synthetic rows in proportion to the majority share nearby, half-even rounded."""
     label, small, large = class_sizes(df)
     _check_rows(small, k)
-    shares = settle(majority_share(df, label, k))
+    shares = settle(majority_share(df, label, k, near_all))
     total = shares.agg(F.sum("others")).first()[0]
     if not total:
         raise ValueError("no minority row has a majority neighbour")
@@ -142,32 +155,39 @@ def adasyn_counts(df: DataFrame, k: int = SMOTE_K) -> DataFrame:
     return lookup_join(df.where(F.col("y") == label), shares, ["key"], "inner").withColumn("copies", copies)
 
 
-def adasyn_rows(df: DataFrame, seed=42, k: int = SMOTE_K) -> DataFrame:
+def adasyn_rows(
+    df: DataFrame, seed=42, k: int = SMOTE_K, near: DataFrame | None = None, near_all: DataFrame | None = None
+) -> DataFrame:
     label, small, large = class_sizes(df)
-    return interpolated(df.where(F.col("y") == label), stage(adasyn_counts(df, k), "adasyn"), large - small, seed, k)
+    seeds = stage(adasyn_counts(df, k, near_all), "adasyn")
+    return interpolated(df.where(F.col("y") == label), seeds, large - small, seed, k, near)
 
 
-def danger_rows(df: DataFrame, k: int = BORDER_K) -> DataFrame:
+def danger_rows(df: DataFrame, k: int = BORDER_K, near_all: DataFrame | None = None) -> DataFrame:
     """Minority rows whose k neighbours are at least half, but not all, of the other class."""
     label = class_sizes(df)[0]
-    shares = majority_share(df, label, k).where((F.col("others") * 2 >= k) & (F.col("others") < k))
+    shares = majority_share(df, label, k, near_all).where((F.col("others") * 2 >= k) & (F.col("others") < k))
     return df.where(F.col("y") == label).join(shares, "key", "left_semi")
 
 
-def borderline_rows(df: DataFrame, seed=42, k: int = SMOTE_K, border_k: int = BORDER_K) -> DataFrame:
+def borderline_rows(
+    df: DataFrame, seed=42, k: int = SMOTE_K, border_k: int = BORDER_K,
+    near: DataFrame | None = None, near_all: DataFrame | None = None,
+) -> DataFrame:
     """Synthetic rows seeded by danger rows only; none if there are no danger rows."""
     label, small, large = class_sizes(df)
     _check_rows(small, k)
-    danger = stage(danger_rows(df, border_k), "danger")
+    danger = stage(danger_rows(df, border_k, near_all), "danger")
     n = danger.count()
     minority = df.where(F.col("y") == label)
     seeds = _spread(danger, large - small, n, seed) if n else danger.withColumn("copies", F.lit(0))
-    return interpolated(minority, seeds, large - small, seed, k)
+    return interpolated(minority, seeds, large - small, seed, k, near)
 
 
-def tomek_links(df: DataFrame) -> DataFrame:
+def tomek_links(df: DataFrame, near: DataFrame | None = None) -> DataFrame:
     """(key, other): rows of different classes that are each other's nearest row, both directions."""
-    near = stage(knn(df, df, 1, "key", "vec").select("key", "neighbour"), "nearest")
+    near = _nearest(near, df, df, 1).select("key", "neighbour")
+    near = stage(near, "nearest")
     back = near.select(F.col("key").alias("neighbour"), F.col("neighbour").alias("key"))
     mutual = near.join(back, ["key", "neighbour"])
     classes = df.select("key", "y")
@@ -178,9 +198,9 @@ def tomek_links(df: DataFrame) -> DataFrame:
     )
 
 
-def drop_tomek(df: DataFrame, both: bool = False) -> DataFrame:
+def drop_tomek(df: DataFrame, both: bool = False, near: DataFrame | None = None) -> DataFrame:
     """Remove the majority member of each link, or both members."""
-    links = tomek_links(df).select("key")
+    links = tomek_links(df, near).select("key")
     if both:
         return df.join(links, "key", "left_anti")
     label = class_sizes(df)[0]
@@ -188,9 +208,9 @@ def drop_tomek(df: DataFrame, both: bool = False) -> DataFrame:
     return df.join(doomed, "key", "left_anti")
 
 
-def drop_enn(df: DataFrame, k: int = ENN_K) -> DataFrame:
+def drop_enn(df: DataFrame, k: int = ENN_K, near: DataFrame | None = None) -> DataFrame:
     """Remove every row, of either class, that has a neighbour of another class among its k."""
-    near = knn(df, df, k, "key", "vec")
+    near = _nearest(near, df, df, k)
     own = df.select("key", "y")
     other = own.select(F.col("key").alias("neighbour"), F.col("y").alias("other_y"))
     doomed = near.join(own, "key").join(other, "neighbour").where("y <> other_y").select("key")
@@ -201,26 +221,80 @@ def _with_synthetic(df: DataFrame, rows: DataFrame, label: int) -> DataFrame:
     return df.unionByName(rows.select("key", F.lit(label).cast(df.schema["y"].dataType).alias("y"), "vec"))
 
 
+SMOTE_FAMILY = frozenset(("smote", "smote_tomek", "smote_enn"))
+
+
+class Resampler:
+    """Several of :data:`STRATEGIES` on the same ``(key, y, vec)`` rows; threads may ask for different ones at once.
+
+    Neighbours and synthetic rows that more than one of ``strategies`` needs are made once and staged, neighbours with the largest k.
+    """
+
+    def __init__(self, df: DataFrame, strategies: Iterable[str], seed=42):
+        self.df, self.seed, self.strategies = _string_keys(df), seed, frozenset(strategies)
+        for strategy in self.strategies - set(STRATEGIES):
+            raise ValueError(f"unknown sampling strategy {strategy!r}; choose one of {STRATEGIES}")
+        self._made: dict[str, DataFrame] = {}
+        self._locks = {name: Lock() for name in ("near", "near_all", "grown", "near_grown")}
+
+    def _part(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        with self._locks[name]:
+            if name not in self._made:
+                self._made[name] = stage(make(), name)
+            return self._made[name]
+
+    @cached_property
+    def label(self) -> int:
+        return class_sizes(self.df)[0]
+
+    def _near(self) -> DataFrame | None:
+        """The SMOTE_K nearest minority rows of minority rows, if more than one step needs them."""
+        minority = self.df.where(F.col("y") == self.label)
+        users = [bool(self.strategies & SMOTE_FAMILY), "adasyn" in self.strategies, "borderline_smote" in self.strategies]
+        return self._part("near", lambda: knn(minority, minority, SMOTE_K, "key", "vec")) if sum(users) > 1 else None
+
+    def _near_all(self) -> DataFrame | None:
+        """The BORDER_K nearest rows of minority rows."""
+        if not {"adasyn", "borderline_smote"} <= self.strategies:
+            return None
+        minority = self.df.where(F.col("y") == self.label)
+        return self._part("near_all", lambda: knn(minority, self.df, max(SMOTE_K, BORDER_K), "key", "vec"))
+
+    def _grown(self) -> DataFrame:
+        return self._part("grown", lambda: _with_synthetic(self.df, smote_rows(self.df, self.seed, near=self._near()), self.label))
+
+    def _near_grown(self) -> DataFrame | None:
+        if not {"smote_tomek", "smote_enn"} <= self.strategies:
+            return None
+        grown = self._grown()
+        return self._part("near_grown", lambda: knn(grown, grown, max(1, ENN_K), "key", "vec"))
+
+    def rows(self, strategy: str) -> DataFrame:
+        """The rows after one of the strategies."""
+        if strategy not in self.strategies:
+            raise ValueError(f"{strategy!r} is none of the planned strategies")
+        df, seed = self.df, self.seed
+        if strategy == "none":
+            return df
+        if strategy == "random_undersample":
+            return undersample(df, seed=seed)
+        if strategy == "random_oversample":
+            copies = oversample_copies(df, seed=seed)
+            named = copies.select(F.concat_ws("#", "key", "copy").alias("key"), "y", "vec")
+            return df.unionByName(named)
+        if strategy == "tomek":
+            return drop_tomek(df)
+        if strategy == "smote_tomek":
+            return drop_tomek(self._grown(), both=True, near=self._near_grown())
+        if strategy == "smote_enn":
+            return drop_enn(self._grown(), near=self._near_grown())
+        if strategy == "smote":
+            return self._grown()
+        makers = {"adasyn": adasyn_rows, "borderline_smote": borderline_rows}
+        made = makers[strategy](df, seed, near=self._near(), near_all=self._near_all())
+        return stage(_with_synthetic(df, made, self.label), "resampled")
+
+
 def resample(df: DataFrame, strategy: str, seed=42) -> DataFrame:
     """Apply one of :data:`STRATEGIES` to ``(key, y, vec)`` training rows."""
-    if strategy not in STRATEGIES:
-        raise ValueError(f"unknown sampling strategy {strategy!r}; choose one of {STRATEGIES}")
-    df = _string_keys(df)
-    if strategy == "none":
-        return df
-    if strategy == "random_undersample":
-        return undersample(df, seed=seed)
-    if strategy == "random_oversample":
-        copies = oversample_copies(df, seed=seed)
-        named = copies.select(F.concat_ws("#", "key", "copy").alias("key"), "y", "vec")
-        return df.unionByName(named)
-    if strategy == "tomek":
-        return drop_tomek(df)
-    label = class_sizes(df)[0]
-    makers = {"adasyn": adasyn_rows, "borderline_smote": borderline_rows}
-    grown = stage(_with_synthetic(df, makers.get(strategy, smote_rows)(df, seed), label), "resampled")
-    if strategy == "smote_tomek":
-        return drop_tomek(grown, both=True)
-    if strategy == "smote_enn":
-        return drop_enn(grown)
-    return grown
+    return Resampler(df, (strategy,), seed).rows(strategy)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 import random
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 from functools import partial
 
@@ -22,7 +23,7 @@ from tallyfold.operators.clean import best_row
 from tallyfold.operators.curves import ranking_metrics
 from tallyfold.operators.features import preprocessing
 from tallyfold.operators.metrics import binary_metrics
-from tallyfold.operators.resample import STRATEGIES, resample
+from tallyfold.operators.resample import STRATEGIES, Resampler
 from tallyfold.plans.foldset import FoldSet, TableSpec, fold_set
 from tallyfold.plans.linear import batchable, fit_linear, score_linear
 from tallyfold.plans.models import fit_model, score_rows
@@ -53,19 +54,23 @@ def encode(train: DataFrame, apply_to: DataFrame, spec: TableSpec) -> tuple[Data
     return stage(encoded, "encoded"), fitted
 
 
-def rebalance(train: DataFrame, strategy: str, seed: int = 42) -> DataFrame:
-    """Resample encoded training rows; vectors go through arrays, as interpolation needs."""
+def resampler(train: DataFrame, strategies: Iterable[str], seed: int = 42) -> Resampler:
+    """Strategies on encoded training rows; vectors go through arrays, as interpolation needs."""
+    return Resampler(stage(train.select("key", "y", vector_to_array("features").alias("vec")), "to_resample"), strategies, seed)
+
+
+def rebalance(train: DataFrame, strategy: str, seed: int = 42, planned: Resampler | None = None) -> DataFrame:
+    """Resample encoded training rows, by ``planned`` if several strategies share them."""
     if strategy not in STRATEGIES:
         raise ValueError(f"unknown sampling strategy {strategy!r}")
     if strategy == "none":
         return train
-    rows = stage(train.select("key", "y", vector_to_array("features").alias("vec")), "to_resample")
-    out = resample(rows, strategy, seed)
+    out = (planned or resampler(train, (strategy,), seed)).rows(strategy)
     return stage(out.select("key", "y", array_to_vector("vec").alias("features")), "balanced")
 
 
-def fit_candidate(train: DataFrame, c: Candidate, seed: int = 42):
-    return fit_model(c.model, rebalance(train, c.sampling, seed), c.params, seed)
+def fit_candidate(train: DataFrame, c: Candidate, seed: int = 42, planned: Resampler | None = None):
+    return fit_model(c.model, rebalance(train, c.sampling, seed, planned), c.params, seed)
 
 
 def fold_frames(df: DataFrame, spec: TableSpec, k: int, repeats: int, seed: int = 42) -> FoldSet:
@@ -80,13 +85,20 @@ def score_candidates(
     together = [c for c in candidates if batchable(folds, c)]
     alone = [c for c in candidates if c not in together]
 
-    def one(frame: DataFrame, c: Candidate) -> DataFrame:
-        model = fit_candidate(frame.where("part = 'train'").select("key", "y", "features"), c, seed)
+    frames = list(folds) if alone else []
+    trains = [frame.where("part = 'train'").select("key", "y", "features") for frame in frames]
+    # What the strategies share is made once per fold.
+    samplings = {c.sampling for c in alone} - {"none"}
+    planned = run_jobs([partial(resampler, t, samplings, seed) for t in trains]) if samplings else [None] * len(frames)
+
+    def one(i: int, c: Candidate) -> DataFrame:
+        frame = frames[i]
+        model = fit_candidate(trains[i], c, seed, planned[i])
         rows = frame.where(F.col("part").isin(*parts))
         scored = score_rows(model, rows, by=["part"]).select("key", "repeat", "fold", "part", "y", "p", "label")
         return scored.withColumns({"model": F.lit(c.name), "sampling": F.lit(c.sampling)})
 
-    tasks = [partial(one, frame, c) for frame in folds for c in alone]
+    tasks = [partial(one, i, c) for c in alone for i in range(len(frames))]
     if together:
         tasks.insert(0, lambda: score_linear(folds, fit_linear(folds, together, seed), parts))
     return stage_parts(tasks, "scores", folds.rows.sparkSession)

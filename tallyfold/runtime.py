@@ -73,6 +73,11 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     return staged
 
 
+def reread(staged: DataFrame) -> DataFrame:
+    """A table of :func:`stage` as a frame of its own, which can be joined with the first."""
+    return staged.sparkSession.read.schema(staged.schema).parquet(staged._stage_path)
+
+
 def stage_parts(tasks: Iterable[Callable[[], DataFrame]], name: str, spark: SparkSession) -> DataFrame:
     """Write frames of one schema into one staged table, each as its own job from a small pool.
 

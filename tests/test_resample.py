@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tallyfold import runtime
 from tallyfold.operators import neighbours, resample
+from tallyfold.plans import evaluate
 
 
 def points(spark, n=240, dim=3, copies=80):
@@ -127,3 +128,30 @@ def test_none_is_identity(spark):
     _, _, df = points(spark)
     assert resample.resample(df, "none").exceptAll(df).count() == 0
     assert resample.resample(df, "none").agg(F.count("*")).first()[0] == 240
+
+
+def test_strategies_share_their_neighbours(spark, monkeypatch):
+    """All strategies of a fold take four searches, and give what each gives alone."""
+    _, _, df = points(spark, copies=20)
+    searches = []
+    knn = resample.knn
+    monkeypatch.setattr(resample, "knn", lambda q, b, k, *names: searches.append(k) or knn(q, b, k, *names))
+    alone = {s: sorted(resample.resample(df, s).collect()) for s in resample.STRATEGIES}
+    assert len(searches) == 10
+    searches.clear()
+    planned = resample.Resampler(df, resample.STRATEGIES)
+    together = dict(zip(resample.STRATEGIES, runtime.run_jobs([lambda s=s: sorted(planned.rows(s).collect()) for s in resample.STRATEGIES])))
+    assert len(searches) == 4 and together == alone
+
+
+def test_folds_share_searches(spark, monkeypatch):
+    """Candidates that differ in their sampling alone do not search again in the same fold."""
+    _, y, df = points(spark, copies=20)
+    table = df.select(F.col("key").alias("id"), "y", *[F.col("vec")[i].alias(f"x{i}") for i in range(3)])
+    searches = []
+    knn = resample.knn
+    monkeypatch.setattr(resample, "knn", lambda q, b, k, *names: searches.append(k) or knn(q, b, k, *names))
+    tried = [evaluate.Candidate("LogisticRegression", {"max_iter": 5}, s, s) for s in ("smote", "smote_tomek", "smote_enn")]
+    scores = evaluate.score_candidates(evaluate.fold_frames(table, evaluate.TableSpec("id", ("x0", "x1", "x2")), 2, 1), tried)
+    assert scores.count() == 3 * len(y)
+    assert len(searches) == 2 * 2
