@@ -149,13 +149,28 @@ def _laid_out(ids: np.ndarray, first: np.ndarray, most: int):
     return target, begins, doc, np.concatenate([[0], np.cumsum(length)[:-1]]), length
 
 
-def _gates(model: dict, x: np.ndarray, h: np.ndarray):
-    a = h @ model["u"]
-    zr = 0.5 * (1 + np.tanh(0.5 * (x[:, : 2 * HIDDEN] + a[:, : 2 * HIDDEN])))
+def _window(offset: np.ndarray, length: np.ndarray, t0: int, t1: int) -> tuple[np.ndarray, np.ndarray]:
+    """The steps of a window one after the other: (first row of each step and the end, token of each row). Longer lanes come first."""
+    live = np.searchsorted(-length, -np.arange(t0, t1))
+    return np.concatenate([[0], np.cumsum(live)]), np.concatenate([offset[:n] + t for n, t in zip(live, range(t0, t1))])
+
+
+def _gates(u: np.ndarray, x: np.ndarray, h: np.ndarray):
+    a = h @ u
+    zr = x[:, : 2 * HIDDEN] + a[:, : 2 * HIDDEN]
+    zr *= 0.5
+    np.tanh(zr, out=zr)
+    zr += 1
+    zr *= 0.5
     z, r = zr[:, :HIDDEN], zr[:, HIDDEN:]
     an = a[:, 2 * HIDDEN :]
-    n = np.tanh(x[:, 2 * HIDDEN :] + r * an)
-    return z, r, an, n, n + z * (h - n)
+    n = r * an
+    n += x[:, 2 * HIDDEN :]
+    np.tanh(n, out=n)
+    after = h - n
+    after *= z
+    after += n
+    return zr, an, n, after
 
 
 def _log_softmax_pick(logits: np.ndarray, pick: np.ndarray, safe: bool) -> np.ndarray:
@@ -163,7 +178,36 @@ def _log_softmax_pick(logits: np.ndarray, pick: np.ndarray, safe: bool) -> np.nd
         logits -= logits.max(1, keepdims=True)
     chosen = logits[np.arange(len(pick)), pick]
     np.exp(logits, out=logits)
-    return chosen - np.log(logits.sum(1))
+    return chosen - np.log(_row_sums(logits))
+
+
+def _small_weights(model: dict) -> list[bool]:
+    """Whether no logit of a class, or of a word in it, can overflow: states lie between -1 and 1."""
+    return [max(np.abs(model[w]).sum(axis).max(initial=0), np.abs(model[b]).max(initial=0)) < 40 for w, b, axis in (("wc", "bc", 0), ("ww", "bw", 1))]
+
+
+def _by_class(cls: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(rows whose class has words of its own, by class; where each class begins)."""
+    short = cls.astype(np.uint8 if CLASSES + TAIL_CLASSES <= 256 else np.int64)  # small numbers are sorted by counting
+    ends = np.concatenate([[0], np.cumsum(np.bincount(cls, minlength=CLASSES)[:CLASSES])])
+    return np.argsort(short, kind="stable")[: ends[-1]], ends
+
+
+def _row_sums(x: np.ndarray) -> np.ndarray:
+    return x @ np.ones(x.shape[1], x.dtype)
+
+
+def _error(logits: np.ndarray, pick: np.ndarray, scale: np.float32, safe: bool) -> tuple[np.ndarray, float]:
+    """(``scale`` times the gradient of the loss by the logits, in their place; the loss)."""
+    if not safe:
+        logits -= logits.max(1, keepdims=True)
+    at = np.arange(len(pick))
+    chosen = logits[at, pick]
+    np.exp(logits, out=logits)
+    sums = _row_sums(logits)
+    logits *= (scale / sums)[:, None]
+    logits[at, pick] -= scale
+    return logits, float((np.log(sums) - chosen).sum())
 
 
 def log_probs(model: dict, states: np.ndarray, target: np.ndarray) -> np.ndarray:
@@ -171,18 +215,22 @@ def log_probs(model: dict, states: np.ndarray, target: np.ndarray) -> np.ndarray
 
     States lie between -1 and 1, so where all weights are small no logit can overflow and its maximum need not be found.
     """
-    safe = [max(np.abs(model[w]).sum(axis).max(initial=0), np.abs(model[b]).max(initial=0)) < 40 for w, b, axis in (("wc", "bc", 0), ("ww", "bw", 1))]
+    safe = _small_weights(model)
     k, per = len(model["rank"]), model["per"]
     head = target < k
     cls = np.where(head, target // per, CLASSES + target - k)
-    out = _log_softmax_pick(states @ model["wc"] + model["bc"], cls, safe[0]).astype(np.float64)
-    rows = np.flatnonzero(head)
-    rows = rows[np.argsort(cls[rows], kind="stable")]
-    ends = np.searchsorted(cls[rows], np.arange(CLASSES + 1))
+    logits = states @ model["wc"]
+    logits += model["bc"]
+    out = _log_softmax_pick(logits, cls, safe[0]).astype(np.float64)
+    rows, ends = _by_class(cls)
+    states, target, word = states[rows], target[rows], np.empty(len(rows))
     for c in np.flatnonzero(np.diff(ends)):
-        part = rows[ends[c] : ends[c + 1]]
+        part = slice(ends[c], ends[c + 1])
         lo, hi = c * per, min((c + 1) * per, k)
-        out[part] += _log_softmax_pick(states[part] @ model["ww"][lo:hi].T + model["bw"][lo:hi], target[part] - lo, safe[1])
+        logits = states[part] @ model["ww"][lo:hi].T
+        logits += model["bw"][lo:hi]
+        word[part] = _log_softmax_pick(logits, target[part] - lo, safe[1])
+    out[rows] += word
     return out
 
 
@@ -198,17 +246,13 @@ def score_tokens(model: dict, ids: np.ndarray, first: np.ndarray) -> np.ndarray:
     source[begins] = len(model["wx"]) - 1  # what stands before a text
     h = np.zeros((len(length), HIDDEN), np.float32)
     for t0 in range(0, int(length[0]), SCORE_WINDOW):
-        states, places = [], []
-        for t in range(t0, min(t0 + SCORE_WINDOW, int(length[0]))):
-            live = int(np.searchsorted(-length, -t))  # lanes longer than t come first
-            at = offset[:live] + t
-            now = h[:live]
-            now[begins[at]] = 0
-            h[:live] = _gates(model, model["wx"][source[at]], now)[-1]
-            states.append(h[:live].copy())
-            places.append(at)
-        places = np.concatenate(places)
-        total += np.bincount(doc[places], log_probs(model, np.concatenate(states), target[places]), docs)
+        starts, places = _window(offset, length, t0, min(t0 + SCORE_WINDOW, int(length[0])))
+        x = model["wx"][source[places]]
+        keep = (~begins[places]).astype(np.float32)[:, None]
+        states = np.empty((len(places), HIDDEN), np.float32)
+        for lo, hi in zip(starts[:-1], starts[1:]):
+            h = states[lo:hi] = _gates(model["u"], x[lo:hi], h[: hi - lo] * keep[lo:hi])[-1]
+        total += np.bincount(doc[places], log_probs(model, states, target[places]), docs)
     return total
 
 
@@ -232,33 +276,28 @@ class Learner:
         k, per = len(m["rank"]), m["per"]
         head = target < k
         cls = np.where(head, target // per, CLASSES + target - k)
-        logits = states @ m["wc"] + m["bc"]
-        p = np.exp(logits - logits.max(1, keepdims=True))
-        p /= p.sum(1, keepdims=True)
-        loss = -np.log(p[np.arange(len(cls)), cls] + 1e-30).sum()
-        p[np.arange(len(cls)), cls] -= 1
-        p *= scale
+        safe = _small_weights(m)
+        logits = states @ m["wc"]
+        logits += m["bc"]
+        p, loss = _error(logits, cls, scale, safe[0])
         d = p @ m["wc"].T
         grads = [("wc", states.T @ p, None), ("bc", p.sum(0), None)]
-        rows = np.flatnonzero(head)
-        rows = rows[np.argsort(cls[rows], kind="stable")]
-        ends = np.searchsorted(cls[rows], np.arange(CLASSES + 1))
+        rows, ends = _by_class(cls)
+        states, target, d_word = states[rows], target[rows], np.empty((len(rows), HIDDEN), np.float32)
         for c in np.flatnonzero(np.diff(ends)):
-            part = rows[ends[c] : ends[c + 1]]
+            part = slice(ends[c], ends[c + 1])
             span = slice(c * per, min((c + 1) * per, k))
             s = states[part]
-            logits = s @ m["ww"][span].T + m["bw"][span]
-            q = np.exp(logits - logits.max(1, keepdims=True))
-            q /= q.sum(1, keepdims=True)
-            pick = target[part] - span.start
-            loss -= np.log(q[np.arange(len(part)), pick] + 1e-30).sum()
-            q[np.arange(len(part)), pick] -= 1
-            q *= scale
-            d[part] += q @ m["ww"][span]
+            logits = s @ m["ww"][span].T
+            logits += m["bw"][span]
+            q, more = _error(logits, target[part] - span.start, scale, safe[1])
+            loss += more
+            d_word[part] = q @ m["ww"][span]
             grads += [("ww", q.T @ s, span), ("bw", q.sum(0), span)]
+        d[rows] += d_word
         for key, g, span in grads:
             self._move(key, g, span)
-        return d, float(loss)
+        return d, loss
 
     def fit(self, ids: np.ndarray, first: np.ndarray) -> float:
         m = self.m
@@ -274,36 +313,39 @@ class Learner:
         h = np.zeros((len(length), HIDDEN), np.float32)
         loss = 0.0
         for t0 in range(0, int(length[0]), self.window):
-            tape, states, places = [], [], []
-            for t in range(t0, min(t0 + self.window, int(length[0]))):
-                live = int(np.searchsorted(-length, -t))
-                at = offset[:live] + t
-                keep = ~begins[at]
-                before = h[:live] * keep[:, None]
-                z, r, an, n, after = _gates(m, m["wx"][source[at]], before)
-                tape.append((live, at, keep, before, z, r, an, n))
-                h[:live] = after
-                states.append(after)
-                places.append(at)
-            d_out, part = self._output(np.concatenate(states), target[np.concatenate(places)])
+            starts, places = _window(offset, length, t0, min(t0 + self.window, int(length[0])))
+            rows = source[places]
+            x = m["wx"][rows]
+            keep = (~begins[places]).astype(np.float32)[:, None]
+            before, zr, an, n, states = (np.empty((len(places), w * HIDDEN), np.float32) for w in (1, 2, 1, 1, 1))
+            now = h
+            for lo, hi in zip(starts[:-1], starts[1:]):
+                before[lo:hi] = now[: hi - lo] * keep[lo:hi]
+                zr[lo:hi], an[lo:hi], n[lo:hi], states[lo:hi] = _gates(m["u"], x[lo:hi], before[lo:hi])
+                now = states[lo:hi]
+                h[: hi - lo] = now
+            d_out, part = self._output(states, target[places])
             loss += part
-            starts = np.cumsum([0, *(len(s) for s in states)])
-            d_u, d_x, rows = np.zeros_like(m["u"]), [], []
+            # What a step's error is multiplied by does not depend on the error: all steps at once.
+            z, r = zr[:, :HIDDEN], zr[:, HIDDEN:]
+            by_n = (1 - z) * (1 - n * n)
+            by_z = (before - n) * z * (1 - z)
+            by_r = an * r * (1 - r)
+            d_x, d_a = np.empty_like(x), np.empty_like(x)
             carried = np.zeros_like(h)
-            for i in range(len(tape) - 1, -1, -1):
-                live, at, keep, before, z, r, an, n = tape[i]
-                d = d_out[starts[i] : starts[i + 1]] + carried[:live]
-                d_n = d * (1 - z) * (1 - n * n)
-                d_z = d * (before - n) * z * (1 - z)
-                d_r = d_n * an * r * (1 - r)
-                d_a = np.concatenate([d_z, d_r, d_n * r], 1)
-                d_u += before.T @ d_a
-                d_x.append(np.concatenate([d_z, d_r, d_n], 1))
-                rows.append(source[at])
-                carried[:live] = (d * z + d_a @ m["u"].T) * keep[:, None]
-            self._move("u", np.clip(d_u, -1, 1))
-            rows, d_x = np.concatenate(rows), np.concatenate(d_x)
-            order = np.argsort(rows, kind="stable")
+            for lo, hi in zip(starts[-2::-1], starts[:0:-1]):
+                d = d_out[lo:hi] + carried[: hi - lo]
+                d_n = np.multiply(d, by_n[lo:hi], out=d_x[lo:hi, 2 * HIDDEN :])
+                a = d_a[lo:hi]
+                np.multiply(d, by_z[lo:hi], out=a[:, :HIDDEN])
+                np.multiply(d_n, by_r[lo:hi], out=a[:, HIDDEN : 2 * HIDDEN])
+                np.multiply(d_n, r[lo:hi], out=a[:, 2 * HIDDEN :])
+                d *= z[lo:hi]
+                d += a @ m["u"].T
+                np.multiply(d, keep[lo:hi], out=carried[: hi - lo])
+            d_x[:, : 2 * HIDDEN] = d_a[:, : 2 * HIDDEN]
+            self._move("u", np.clip(before.T @ d_a, -1, 1))
+            order = np.argsort(rows.astype(np.uint16) if len(m["wx"]) <= 1 << 16 else rows, kind="stable")
             used, at = np.unique(rows[order], return_index=True)
             self._move("wx", np.clip(np.add.reduceat(d_x[order], at), -1, 1), used)
         return loss

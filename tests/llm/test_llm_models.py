@@ -239,3 +239,20 @@ def test_learners_are_averaged_in_groups(spark, monkeypatch):
     for k in gru.TRAINED:
         assert found[0][k] == pytest.approx(found[1][k], abs=1e-5)
         assert np.isfinite(found[0][k]).all()
+
+
+def test_windows_and_classes_are_laid_out_at_once():
+    """All steps of a window come in one array, words of a class in one slice; what that gives equals a product per token."""
+    length, offset = np.array([5, 3, 3, 1]), np.array([0, 5, 8, 11])
+    starts, places = gru._window(offset, length, 1, 4)
+    assert starts.tolist() == [0, 3, 6, 7] and places.tolist() == [1, 6, 9, 2, 7, 10, 3]
+    cls = np.array([40, 3, 0, 33, 3, 31, 0])
+    rows, ends = gru._by_class(cls)
+    assert rows.tolist() == [2, 6, 1, 4, 5] and ends[[0, 1, 4, gru.CLASSES]].tolist() == [0, 2, 4, 5]
+    logits = np.random.default_rng(0).normal(size=(6, 9)).astype(np.float32) * 3
+    pick = np.array([0, 8, 3, 3, 1, 2])
+    p = np.exp(logits.astype(float))
+    p /= p.sum(1, keepdims=True)
+    for safe in (True, False):
+        error, loss = gru._error(logits.copy(), pick, np.float32(0.5), safe)
+        assert np.allclose(error, 0.5 * (p - np.eye(9)[pick]), atol=1e-6) and loss == pytest.approx(-np.log(p[np.arange(6), pick]).sum(), rel=1e-5)
