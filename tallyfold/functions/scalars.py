@@ -75,16 +75,28 @@ def _horner(coefs, x: Column) -> Column:
     return acc
 
 
-def probit(p) -> Column:
-    """Inverse normal CDF for 0 < p < 1, as codegen-friendly arithmetic."""
+def probit_argument(p) -> Column:
+    """What the rational functions of :func:`probit` take: of the tail that ``p`` lies in, or of the centre."""
     p = _col(p)
-    r = (p - 0.5) * (p - 0.5)
-    centre = _horner(PROBIT_CENTRE_NUM, r) * (p - 0.5) / _horner(PROBIT_CENTRE_DEN, r)
-    lower = F.sqrt(F.lit(-2.0) * F.log(p))
-    upper = F.sqrt(F.lit(-2.0) * F.log(F.lit(1.0) - p))
-    left = _horner(PROBIT_TAIL_NUM, lower) / _horner(PROBIT_TAIL_DEN, lower)
-    right = -_horner(PROBIT_TAIL_NUM, upper) / _horner(PROBIT_TAIL_DEN, upper)
-    return F.when(p < PROBIT_TAIL, left).when(p > 1.0 - PROBIT_TAIL, right).otherwise(centre)
+
+    def tail(share: Column) -> Column:
+        return F.sqrt(F.lit(-2.0) * F.log(share))
+
+    centre = (p - 0.5) * (p - 0.5)
+    return F.when(p < PROBIT_TAIL, tail(p)).when(p > 1.0 - PROBIT_TAIL, tail(F.lit(1.0) - p)).otherwise(centre)
+
+
+def probit(p, argument=None) -> Column:
+    """Inverse normal CDF for 0 < p < 1, as codegen-friendly arithmetic.
+
+    ``argument`` names a column that holds :func:`probit_argument`. It stands in the formula twenty times: without a column of its
+    own, or with the result used more than once, the generated method is too long for the JVM to compile.
+    """
+    p = _col(p)
+    x = probit_argument(p) if argument is None else _col(argument)
+    centre = _horner(PROBIT_CENTRE_NUM, x) * (p - 0.5) / _horner(PROBIT_CENTRE_DEN, x)
+    tail = _horner(PROBIT_TAIL_NUM, x) / _horner(PROBIT_TAIL_DEN, x)
+    return F.when(p < PROBIT_TAIL, tail).when(p > 1.0 - PROBIT_TAIL, -tail).otherwise(centre)
 
 
 def _col(c) -> Column:

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyfold.functions.scalars import clip, probit
+from tallyfold.functions.scalars import clip, probit, probit_argument
 from tallyfold.operators.clean import mode_values
 from tallyfold.operators.order import exact_percentiles, ordered_cumsum
 from tallyfold.operators.profile import q
@@ -203,12 +203,14 @@ def quantile_position(x: Column, first: float, final: float) -> Column:
     )
 
 
-def normal_score(p: Column) -> Column:
-    """Normal quantile of a probability, tails clipped."""
-    return (
-        F.when(p <= TAIL, -TAIL_QUANTILE).when(p >= 1 - TAIL, TAIL_QUANTILE)
-        .otherwise(clip(probit(p), -TAIL_QUANTILE, TAIL_QUANTILE))
+def with_normal_score(df: DataFrame, p: str, out: str) -> DataFrame:
+    """Add ``out``: the normal quantile of a probability, tails clipped. Steps that are used more than once are columns."""
+    stepped = df.withColumn("__arg", probit_argument(p)).withColumn("__z", probit(p, "__arg"))
+    score = (
+        F.when(F.col(p) <= TAIL, -TAIL_QUANTILE).when(F.col(p) >= 1 - TAIL, TAIL_QUANTILE)
+        .otherwise(clip(F.col("__z"), -TAIL_QUANTILE, TAIL_QUANTILE))
     )
+    return stepped.withColumn(out, score)
 
 
 class QuantileNormalModel(_ColumnModel):
@@ -230,7 +232,7 @@ class QuantileNormalModel(_ColumnModel):
             position = quantile_position(F.col("__x"), points[0], points[-1])
             # The position is its own column: the normal map refers to it many times.
             out = lookup_join(out, table, ["__bucket"], "left").withColumn("__p", position)
-            out = out.withColumn(c, normal_score(F.col("__p"))).select(*[q(n) for n in names])
+            out = with_normal_score(out, "__p", c).select(*[q(n) for n in names])
         return out
 
 

@@ -1,5 +1,8 @@
 """Order statistics, cleaning, splits and features."""
 
+import re
+from statistics import NormalDist
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -170,3 +173,17 @@ def test_average_rank_with_a_hot_score(spark):
     assert all(got[i] == pytest.approx(ranks[i] / ranks.max()) for i in range(1200)) and got[1200] is None
     apart = runtime.skewed_join(df, counts.select("s", "n"), ["s"], counts, "n", limit=10)
     assert {r["id"]: r["n"] for r in apart.collect()} == {i: None if v is None else values.count(v) for i, v in enumerate(values)}
+
+
+def test_normal_scores_are_compiled(spark, capsys):
+    """The JVM compiles no method of more than 8,000 bytes; the normal quantile must not be generated as one."""
+    p = np.array([0.0, 1e-8, 1e-5, 0.01, 0.024, 0.3, 0.5, 0.8, 0.976, 0.99, 1 - 1e-5, 1.0])
+    rows = spark.createDataFrame([(float(v),) for v in p], "p double").unionByName(spark.sql("SELECT CAST(NULL AS DOUBLE) AS p"))
+    out = features.with_normal_score(rows, "p", "z")
+    got = [r["z"] for r in out.collect()]
+    inverse = NormalDist().inv_cdf
+    want = [inverse(min(max(v, features.TAIL), 1 - features.TAIL)) for v in p]
+    assert got[-1] is None and np.allclose(got[:-1], want, atol=1e-5)
+    features.with_normal_score(spark.range(9, numPartitions=1).select((F.col("id") / 8).alias("p")), "p", "z").explain("codegen")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) < 8000
