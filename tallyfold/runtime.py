@@ -163,16 +163,23 @@ def skewed_join(big: DataFrame, small: DataFrame, on: list[str], counts: DataFra
     """Left join of a per-key table whose keys may be very unevenly frequent in ``big``; null keys match null keys.
 
     ``counts`` has one row per key with its rows ``n`` in ``big``. Keys that hold at least one row in HEAVY_SHARE, so at most
-    HEAVY_SHARE of them, are broadcast with their values; their rows find no partner in the shuffle join of the others and are
-    dealt out evenly. A table within ``limit`` rows is broadcast whole.
+    HEAVY_SHARE of them, are broadcast with their values. Where they hold most rows, these stay where they are and only the others are
+    shuffled, at the price of a second scan; else they find no partner in the shuffle join of the others and are dealt out evenly. A
+    table within ``limit`` rows is broadcast whole.
     """
     seen = counts.agg(F.count("*").alias("keys"), F.sum(n).alias("rows")).first()
     if seen["keys"] <= limit:
         return lookup_join(big, small, on, "left", limit, rows=seen["keys"])
-    heavy = counts.where(F.col(n) * HEAVY_SHARE >= seen["rows"]).select(*on)
+    frequent = counts.where(F.col(n) * HEAVY_SHARE >= seen["rows"])
+    heavy = frequent.select(*on)
     known = null_safe_join(small, heavy, on, "left_semi")
     values = [c for c in small.columns if c not in on]
     marks = local_frame(big.sparkSession, known.collect(), known.schema).withColumnsRenamed({c: f"__heavy_{c}" for c in values})
+    if 2 * (frequent.agg(F.sum(n)).first()[0] or 0) > seen["rows"]:
+        names = [F.col(f"`{c}`") for c in big.columns]
+        apart = null_safe_join(big, marks, on, "inner", broadcast=True)
+        rest = null_safe_join(null_safe_join(big, marks, on, "left_anti", broadcast=True), small, on, "left")
+        return rest.select(*names, *values).unionByName(apart.select(*names, *[F.col(f"__heavy_{c}").alias(c) for c in values]))
     marked = null_safe_join(big, marks.withColumn("__is_heavy", F.lit(True)), on, "left", broadcast=True)
     apart = F.when(F.col("__is_heavy"), F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1 << 20)) + 1).otherwise(0)
     joined = null_safe_join(marked.withColumn("__salt", apart), small.withColumn("__salt", F.lit(0).cast("long")), [*on, "__salt"], "left")

@@ -187,3 +187,17 @@ def test_normal_scores_are_compiled(spark, capsys):
     features.with_normal_score(spark.range(9, numPartitions=1).select((F.col("id") / 8).alias("p")), "p", "z").explain("codegen")
     sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
     assert sizes and max(sizes) < 8000
+
+
+def test_rows_of_heavy_keys_stay_where_they_are(spark):
+    """Where heavy keys hold most rows, a null one among them, only the other rows are shuffled, and nothing is lost."""
+    n = 6_000
+    key = F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 3 == 1, None).otherwise(F.col("id") + 10).cast("long")
+    df = spark.range(n).select("id", key.alias("k"), F.lit("x").alias("other"))
+    counts = df.groupBy("k").agg(F.count("*").alias("n"))
+    small = counts.where("k IS NULL OR k <> 11").select("k", (F.coalesce("k", F.lit(-1)) * 2).alias("v"))
+    joined = runtime.skewed_join(df, small, ["k"], counts, "n", limit=10)
+    rows = joined.collect()
+    assert len({r["id"] for r in rows}) == len(rows) == n and joined.columns == ["id", "k", "other", "v"]
+    assert all(r["v"] == (None if r["k"] == 11 else -2 if r["k"] is None else r["k"] * 2) for r in rows)
+    assert "Union" in joined._jdf.queryExecution().optimizedPlan().toString()
