@@ -31,7 +31,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = quality.train(docs, labels, fold("doc_id", 5) != 0)
     name = _free(docs, "_quality")
-    scored = quality.score(docs, model, docs.columns, out=name)
+    scored = quality.with_score(docs, model, name)
     return scored.where(F.col(name) >= QUALITY_THRESHOLD).select(*docs.columns)
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyfold.llm.parts import components, with_small
-from tallyfold.llm.words import mix, shingle_sets, split_words, text_slices
+from tallyfold.llm.words import mix, release, shingle_sets, split_words, text_slices
 from tallyfold.runtime import stage
 
 # Two sets link when 100 * intersection >= PERCENT * union.
@@ -262,36 +262,42 @@ def signature_runs(docs: DataFrame, text_col: str, n: int, parts: int) -> DataFr
                     count = 0
         if count:
             yield flush()
+        release()
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces: list[tuple[np.ndarray, np.ndarray]] = []
+        pieces: dict[int, list[np.ndarray]] = {}
         for batch in batches:
-            for bucket, packed in zip(batch.column(0).to_numpy(), batch.column(1)):
-                both = np.frombuffer(packed.as_buffer(), np.uint8).reshape(-1, width)
-                wide = np.zeros((len(both), 8), np.uint8)
-                wide[:, :SIGNATURE_BYTES] = both[:, :SIGNATURE_BYTES]
-                s = wide.view(np.uint64)[:, 0] | np.uint64(bucket) << np.uint64(8 * SIGNATURE_BYTES)
-                pieces.append((s, both[:, SIGNATURE_BYTES:].copy().view(np.uint32)[:, 0].astype(np.uint64)))
-        if not pieces:
-            return
-        s, d = (np.concatenate(v) for v in zip(*pieces))
-        pieces.clear()
-        order = np.lexsort((d, s))
-        s, d = s[order], d[order]
-        new = np.ones(len(s), bool)
-        new[1:] = (s[1:] != s[:-1]) | (d[1:] != d[:-1])
-        s, d = s[new], d[new]
-        at = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
-        size = np.diff(np.append(at, len(s)))
-        short = np.flatnonzero((size > 1) & (size <= SHORT_RUN))
-        with np.errstate(over="ignore"):  # near copies share many signatures: each short list of members is passed on once
-            lists = np.add.reduceat(mix(d), at)[short]
-        short = short[np.unique(lists, return_index=True)[1]]
-        yield from rows(s, d, at[short], size[short])
-        chunks = [(k, lo) for k in np.flatnonzero(size > SHORT_RUN) for lo in range(0, size[k], LONG_ROW)]
-        if chunks:
-            k, lo = np.array(chunks).T
-            yield from rows(s, d, at[k] + lo, np.minimum(size[k] - lo, LONG_ROW), size[k])
+            for bucket, packed in zip(batch.column(0).to_pylist(), batch.column(1)):
+                pieces.setdefault(bucket, []).append(np.frombuffer(packed.as_buffer(), np.uint8).reshape(-1, width))
+        passed = np.zeros(0, np.uint64)  # hashes of the short lists of members so far
+        while pieces:  # a signature's members are all in one bucket, and one bucket at a time is unpacked
+            bucket, parts = pieces.popitem()
+            both = np.concatenate(parts)
+            wide = np.zeros((len(both), 8), np.uint8)
+            wide[:, :SIGNATURE_BYTES] = both[:, :SIGNATURE_BYTES]
+            s = wide.view(np.uint64)[:, 0] | np.uint64(bucket) << np.uint64(8 * SIGNATURE_BYTES)
+            d = both[:, SIGNATURE_BYTES:].copy().view(np.uint32)[:, 0].astype(np.uint64)
+            del parts, both, wide
+            order = np.lexsort((d, s))
+            s, d = s[order], d[order]
+            new = np.ones(len(s), bool)
+            new[1:] = (s[1:] != s[:-1]) | (d[1:] != d[:-1])
+            s, d = s[new], d[new]
+            at = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
+            size = np.diff(np.append(at, len(s)))
+            short = np.flatnonzero((size > 1) & (size <= SHORT_RUN))
+            with np.errstate(over="ignore"):  # near copies share many signatures: each short list of members is passed on once
+                lists = np.add.reduceat(mix(d), at)[short]
+            lists, first = np.unique(lists, return_index=True)
+            fresh = ~np.isin(lists, passed)
+            passed = np.concatenate([passed, lists[fresh]])
+            short = short[first[fresh]]
+            yield from rows(s, d, at[short], size[short])
+            chunks = [(k, lo) for k in np.flatnonzero(size > SHORT_RUN) for lo in range(0, size[k], LONG_ROW)]
+            if chunks:
+                k, lo = np.array(chunks).T
+                yield from rows(s, d, at[k] + lo, np.minimum(size[k] - lo, LONG_ROW), size[k])
+        release()
 
     def rows(s: np.ndarray, d: np.ndarray, at: np.ndarray, n: np.ndarray, members: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
         members = n if members is None else members

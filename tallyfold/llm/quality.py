@@ -187,3 +187,19 @@ def score(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text"
             yield pa.record_batch([*batch.columns[: len(keep)], pa.array(scores)], schema.names)
 
     return inner.mapInArrow(run, schema)
+
+
+def with_score(docs: DataFrame, model: Model, out: str, text_col: str = "text", bits: int = BITS) -> DataFrame:
+    """``docs`` with its score as the column ``out``. Only texts go to Python and only scores come back: rows wait where they are."""
+    shared = docs.sparkSession.sparkContext.broadcast(vars(model))
+
+    @F.arrow_udf("double")
+    def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        net = Model(**shared.value)
+        for text in texts:
+            scores = np.zeros(len(text))
+            for row, end, data, offsets in text_slices(text):
+                scores[row:end] = _score(net, data, offsets, bits)
+            yield pa.array(scores)
+
+    return docs.withColumn(out, run(F.col(f"`{text_col}`")))

@@ -3,13 +3,14 @@
 import base64
 import hashlib
 
+import numpy as np
 import pytest
 from compare import compare, connect
 from pyspark.sql import functions as F
 from test_llm_similar import links_of, made_texts, plain_components
 
 import corpus_pipeline
-from tallyfold.llm import queries, templates, warc
+from tallyfold.llm import quality, queries, templates, warc
 from tallyfold.llm.parts import read
 
 SF = "/root/testdata/sf0.001"
@@ -159,6 +160,17 @@ def test_pipeline_stages(spark):
     assert len(placed) == mixed.count() and placed.groupby("shard").size().agg(lambda s: s.max() - s.min()) <= 1
 
 
+def test_quality_stage_sends_no_rows_back(spark):
+    """Texts go to Python, scores come back: whole rows do not."""
+    docs = read(spark, SF, "documents").limit(20)
+    model = quality.Model(np.linspace(-1, 1, 1 << quality.BITS, dtype=np.float32), 0.1, 1.0, 0.2)
+    scored = quality.with_score(docs, model, "s")
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "MapInArrow" not in plan
+    got = {r["doc_id"]: r["s"] for r in scored.collect()}
+    assert got == {r["doc_id"]: r["score"] for r in quality.score(docs, model, ["doc_id"]).collect()}
+
+
 def test_pipeline_runs(spark):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "similar", "leaks", "mix", "shards"]
     docs = read(spark, SF, "documents")

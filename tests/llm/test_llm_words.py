@@ -1,6 +1,7 @@
 """The vectorised words, shingles and hashes agree with plain Python."""
 
 import re
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -8,6 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tallyfold.llm import langid
+from tallyfold.llm.quality import indicators
 from tallyfold.llm.words import ngram_hashes, shingle_sets, split_words, text_slices
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -59,3 +61,16 @@ def test_letters_of_other_scripts():
     assert first.tolist() == [0, 6, 7]
     for _, at in langid.ngram_buckets(c, first):
         assert np.all(at < len(c))
+
+
+def test_slices_bound_the_memory_of_a_worker():
+    """A slice's arrays are many times as large as its texts: two tasks of an executor hold those of one slice each."""
+    data = pa.array(["word and other words " * 100] * 2_000)
+    peak = 0
+    for _, _, buffer, offsets in text_slices(data):
+        split_words(buffer, offsets)  # makes the table of powers, which stays
+        tracemalloc.start()
+        indicators(buffer, offsets)
+        peak = max(peak, tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert 0 < peak < 30 << 20
