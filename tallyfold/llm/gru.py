@@ -21,14 +21,16 @@ TAIL_CLASSES = 32  # the other words are dealt into, by spelling
 HIDDEN = 16
 LANES = 512  # documents side by side
 WINDOW = 32  # steps of backpropagation; states are carried from one window to the next
-SCORE_WINDOW = 128  # the same in scoring
+SCORE_WINDOW = 256  # the same in scoring
 KNOWN = 1 << 18  # words whose counts every task holds; rarer ones are looked up by a join
+CLASS_ROWS = 2_048  # rows whose class logits are made at once, so that they stay in a core's cache
 FLUSH = 4_000_000
 # The network starts on a bounded sample of training documents, in one task, and then goes on in every partition over all
 # training documents; the partitions' weights are averaged, MERGE of them at a time.
 WARM_TOKENS = 1_500_000
 WARM_DOCS = 4_000
 MERGE = 64
+WARM_PART, TRAIN_PART = 150_000, 300_000  # tokens that are trained on at once
 TRAIN_LANES = 128
 WIDE_LANES, WIDE_WINDOW = 256, 64  # where there are more tokens than in the sample
 TRAIN_PIECE = 512  # tokens
@@ -94,7 +96,7 @@ def new_model(head: np.ndarray, counts: np.ndarray, tail: np.ndarray, seed: int
     offset[:CLASSES][np.arange(CLASSES) * per >= k] = -30.0  # a class without words has no chance
     order = np.argsort(head)
     return {
-        "sorted": head[order], "rank": order.astype(np.int32), "per": per,
+        "sorted": head[order], "starts": prefix_starts(head[order]), "rank": order.astype(np.int32), "per": per,
         "wx": rng.normal(0, 0.1, (k + TAIL_CLASSES + 1, 3 * HIDDEN)).astype(np.float32),
         "u": rng.normal(0, 1 / math.sqrt(HIDDEN), (HIDDEN, 3 * HIDDEN)).astype(np.float32),
         "wc": np.zeros((HIDDEN, CLASSES + TAIL_CLASSES), np.float32), "bc": offset.astype(np.float32),
@@ -105,19 +107,34 @@ def new_model(head: np.ndarray, counts: np.ndarray, tail: np.ndarray, seed: int
 TRAINED = ("wx", "u", "wc", "bc", "ww", "bw")
 
 
-def lookup(table: np.ndarray, h: np.ndarray) -> np.ndarray:
-    """Places of hashes in a sorted table, -1 for those that are not in it."""
-    if not len(table):
-        return np.full(len(h), -1)
-    at = np.minimum(np.searchsorted(table, h), len(table) - 1)
-    return np.where(table[at] == h, at, -1)
+def prefix_starts(table: np.ndarray) -> np.ndarray:
+    """For each value of the first bits, of which there are about four times as many as hashes, its first place in a sorted table; the end last."""
+    bits = max(1, len(table).bit_length() + 2)
+    return np.append(np.searchsorted(table, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)), len(table)).astype(np.int32)
+
+
+def lookup(table: np.ndarray, h: np.ndarray, starts: np.ndarray | None = None) -> np.ndarray:
+    """Places of hashes in a sorted table, -1 for those that are not in it. Few hashes of the table share their first bits, so few are compared."""
+    starts = prefix_starts(table) if starts is None else starts
+    prefix = (h >> np.uint64(65 - (len(starts) - 1).bit_length())).astype(np.int32)
+    at, end = starts[prefix], starts[prefix + 1]
+    out = np.full(len(h), -1, np.int32)
+    left = np.flatnonzero(at < end)
+    at, end, h = at[left], end[left], h[left]
+    while len(left):
+        hit = table[at] == h
+        out[left[hit]] = at[hit]
+        at += 1
+        more = np.flatnonzero(~hit & (at < end))
+        left, at, end, h = left[more], at[more], end[more], h[more]
+    return out
 
 
 def symbols(model: dict, h: np.ndarray, cls: np.ndarray) -> np.ndarray:
     """Input and target numbers: head words by rank, then tail classes."""
     if not len(model["rank"]):
         return cls.astype(np.int32)
-    at = lookup(model["sorted"], h)
+    at = lookup(model["sorted"], h, model["starts"])
     return np.where(at >= 0, model["rank"][at], len(model["rank"]) + cls.astype(np.int32)).astype(np.int32)
 
 
@@ -197,6 +214,14 @@ def _row_sums(x: np.ndarray) -> np.ndarray:
     return x @ np.ones(x.shape[1], x.dtype)
 
 
+def _column_sums(x: np.ndarray) -> np.ndarray:
+    return np.ones(len(x), x.dtype) @ x
+
+
+def _blocks(n: int) -> Iterator[slice]:
+    return (slice(lo, lo + CLASS_ROWS) for lo in range(0, n, CLASS_ROWS))
+
+
 def _error(logits: np.ndarray, pick: np.ndarray, scale: np.float32, safe: bool) -> tuple[np.ndarray, float]:
     """(``scale`` times the gradient of the loss by the logits, in their place; the loss)."""
     if not safe:
@@ -277,11 +302,17 @@ class Learner:
         head = target < k
         cls = np.where(head, target // per, CLASSES + target - k)
         safe = _small_weights(m)
-        logits = states @ m["wc"]
-        logits += m["bc"]
-        p, loss = _error(logits, cls, scale, safe[0])
-        d = p @ m["wc"].T
-        grads = [("wc", states.T @ p, None), ("bc", p.sum(0), None)]
+        d, loss = np.empty_like(states), 0.0
+        d_wc, d_bc = np.zeros_like(m["wc"]), np.zeros_like(m["bc"])
+        for part in _blocks(len(target)):
+            logits = states[part] @ m["wc"]
+            logits += m["bc"]
+            p, more = _error(logits, cls[part], scale, safe[0])
+            loss += more
+            d[part] = p @ m["wc"].T
+            d_wc += states[part].T @ p
+            d_bc += _column_sums(p)
+        grads = [("wc", d_wc, None), ("bc", d_bc, None)]
         rows, ends = _by_class(cls)
         states, target, d_word = states[rows], target[rows], np.empty((len(rows), HIDDEN), np.float32)
         for c in np.flatnonzero(np.diff(ends)):
@@ -293,7 +324,7 @@ class Learner:
             q, more = _error(logits, target[part] - span.start, scale, safe[1])
             loss += more
             d_word[part] = q @ m["ww"][span]
-            grads += [("ww", q.T @ s, span), ("bw", q.sum(0), span)]
+            grads += [("ww", q.T @ s, span), ("bw", _column_sums(q), span)]
         d[rows] += d_word
         for key, g, span in grads:
             self._move(key, g, span)
@@ -345,9 +376,9 @@ class Learner:
                 np.multiply(d, keep[lo:hi], out=carried[: hi - lo])
             d_x[:, : 2 * HIDDEN] = d_a[:, : 2 * HIDDEN]
             self._move("u", np.clip(before.T @ d_a, -1, 1))
-            order = np.argsort(rows.astype(np.uint16) if len(m["wx"]) <= 1 << 16 else rows, kind="stable")
-            used, at = np.unique(rows[order], return_index=True)
-            self._move("wx", np.clip(np.add.reduceat(d_x[order], at), -1, 1), used)
+            used = np.flatnonzero(np.bincount(rows, minlength=len(m["wx"])))
+            sums = np.stack([np.bincount(rows, column, len(m["wx"]))[used] for column in d_x.T], 1).astype(np.float32)
+            self._move("wx", np.clip(sums, -1, 1), used)
         return loss
 
 
@@ -388,7 +419,7 @@ def train(docs: DataFrame, use: Column, model: dict, id_col: str = "doc_id", tex
 
     def warm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         learner = Learner({k: v.copy() if isinstance(v, np.ndarray) else v for k, v in base.items()})
-        parts = [p for batch in batches for p in _ids(base, batch.column(0))]
+        parts = list(_gathered((p for batch in batches for p in _ids(base, batch.column(0))), WARM_PART))
         seen = 0
         for _ in range(6):
             for ids, first in parts:
@@ -409,17 +440,10 @@ def train(docs: DataFrame, use: Column, model: dict, id_col: str = "doc_id", tex
     def go_on(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         start = shared.value
         learner = Learner({k: v.copy() if isinstance(v, np.ndarray) else v for k, v in start.items()}, RATE / 4, WIDE_LANES, WIDE_WINDOW)
-        seen, held, size = 0, [], 0
-        for batch in batches:
-            for part in _ids(start, batch.column(0)):
-                held.append(part)
-                size += len(part[0])
-                if size >= 300_000:
-                    learner.fit(*_joined(held))
-                    seen, held, size = seen + size, [], 0
-        if size:
-            learner.fit(*_joined(held))
-            seen += size
+        seen = 0
+        for ids, first in _gathered((p for batch in batches for p in _ids(start, batch.column(0))), TRAIN_PART):
+            learner.fit(ids, first)
+            seen += len(ids)
         if seen:
             yield _pack(learner.m, seen)
 
@@ -445,6 +469,19 @@ def _mean(base: dict, weighted: Iterable[tuple[int, bytes]]) -> dict:
     return base if not total else base | {k: (sums[k] / total).astype(np.float32) for k in TRAINED}
 
 
+def _gathered(parts: Iterable[tuple[np.ndarray, np.ndarray]], least: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Slices joined until they have at least so many tokens; the last one may have less."""
+    held, size = [], 0
+    for part in parts:
+        held.append(part)
+        size += len(part[0])
+        if size >= least:
+            yield _joined(held)
+            held, size = [], 0
+    if size:
+        yield _joined(held)
+
+
 def _joined(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     base = np.cumsum([0, *(len(ids) for ids, _ in parts)])
     first = np.concatenate([f[:-1] + b for (_, f), b in zip(parts, base)] + [base[-1:]])
@@ -478,28 +515,33 @@ def score_documents(docs: DataFrame, use: Column, id_col: str = "doc_id", text_c
     known = np.argsort(top_h)
     per_class = np.log10(tail_n + 0.5 * (tail_v + 1))
     base_total = math.log10(n + 0.5 * (v + 1))
-    shared = spark.sparkContext.broadcast({"model": model, "h": top_h[known], "n": top_n[known], "head": np.isin(top_h[known], head)})
+    rank = np.empty(len(top_h), np.int32)
+    rank[by_count] = np.arange(len(top_h))
+    shared = spark.sparkContext.broadcast({"model": model, "h": top_h[known], "starts": prefix_starts(top_h[known]), "n": top_n[known], "rank": rank[known]})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         box = shared.value
-        net, known_h, known_log, is_head = box["model"], box["h"], np.log10(box["n"] + 0.5), box["head"]
+        net, known_h, starts, rank = box["model"], box["h"], box["starts"], np.append(box["rank"], KNOWN)
+        # The last entries are for words that are not known.
+        known_base = np.append(np.log10(box["n"] + 0.5) - base_total, 0.0)
+        known_tail = np.where(rank < len(net["rank"]), 0.0, np.append(np.log10(box["n"] + 0.5), 0.0))
         row_id = TaskContext.get().partitionId() << 40
         for batch in batches:
             ids, firsts, out = [], [], []
             for row, end, data, offsets in text_slices(batch.column(1)):
                 h, c, first = tokens(split_words(data, offsets))
-                at = lookup(known_h, h)
+                at = lookup(known_h, h, starts)
                 hit = at >= 0
                 doc = np.repeat(np.arange(end - row), np.diff(first))
-                value = np.where(hit, known_log[at] if len(known_log) else 0.0, 0.0)
                 docs_here = end - row
-                base = np.bincount(doc, np.where(hit, value - base_total, 0.0), docs_here)
-                tail = hit & ~(is_head[at] if len(is_head) else False)
-                word = np.bincount(doc, np.where(tail, value - per_class[c], 0.0), docs_here)
+                place = rank[at]
+                base = np.bincount(doc, known_base[at], docs_here)
+                tail = np.flatnonzero(hit & (place >= len(net["rank"])))
+                word = np.bincount(doc[tail], known_tail[at[tail]] - per_class[c[tail]], docs_here)
                 rare = np.flatnonzero(~hit)
                 lists = [pa.ListArray.from_arrays(pa.array(np.searchsorted(rare, first), pa.int32()), pa.array(x[rare])) for x in (h.view(np.int64), c.astype(np.int32))]
                 out.append((np.diff(first), np.bincount(doc, hit, docs_here).astype(np.int64), base, word, *lists))
-                ids.append(symbols(net, h, c))
+                ids.append(np.where(place < len(net["rank"]), place, len(net["rank"]) + c.astype(np.int32)))
                 firsts.append(first)
             if not out:
                 continue

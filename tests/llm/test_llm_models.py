@@ -256,3 +256,16 @@ def test_windows_and_classes_are_laid_out_at_once():
     for safe in (True, False):
         error, loss = gru._error(logits.copy(), pick, np.float32(0.5), safe)
         assert np.allclose(error, 0.5 * (p - np.eye(9)[pick]), atol=1e-6) and loss == pytest.approx(-np.log(p[np.arange(6), pick]).sum(), rel=1e-5)
+
+
+def test_few_words_of_a_table_share_their_first_bits():
+    """A word is looked for among the few that share its first bits, whether it is there or not."""
+    rng = np.random.default_rng(4)
+    table = np.unique(rng.integers(0, 2**64, 5_000, np.uint64))
+    starts = gru.prefix_starts(table)
+    assert np.diff(starts).max() <= 8 and starts[-1] == len(table)
+    asked = np.concatenate([table[::3], rng.integers(0, 2**64, 3_000, np.uint64), np.array([0, 2**64 - 1], np.uint64)])
+    places = {int(h): i for i, h in enumerate(table)}
+    for some in (table, table[:1], table[:0]):
+        expected = [i if i < len(some) else -1 for i in (places.get(int(h), -1) for h in asked)]
+        assert gru.lookup(some, asked).tolist() == expected
