@@ -8,8 +8,9 @@
    a round finds shrinks the bounds, and leaves that have fallen out of reach are never visited.
 
 A visit is one row of three numbers. Blocks of near leaves form groups of bounded size, and a task compares one group of queries with
-one group of leaves: a vector is sent once to every group it meets, not once to every block. A task keeps the k+1 best of a query as it
-goes and returns those that beat what the query had. Nothing is approximated.
+one group of leaves. Where few groups meet, a vector is sent to every group it meets; else each side is dealt out once, a partition per
+group, and the tasks are the product of the partitions, so that the disk holds one copy of each side, however many groups there are. A
+task keeps the k+1 best of a query as it goes and returns those that beat what the query had. Nothing is approximated.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ MAX_LEAVES = 4096
 SAMPLE_PER_LEAF = 16
 GROUP_BLOCKS = 64  # blocks of queries, or of leaves, that a task holds at most
 GROUPS = 8  # groups that small tables are cut into, so that there are tasks enough
+MAX_SENT = 4  # copies of both sides together that an exchange may hold; the product of partitions holds two
+REACH_BLOCKS = 4096  # blocks of queries up to which their bounds are broadcast
 ROUNDS = (2, 8, MAX_LEAVES)  # leaves that a block of queries visits per round
 CHUNK_CELLS = 4_000_000  # numbers held at once per task
 # Distances are compared after rounding, so that equal ones tie and the key decides.
@@ -51,8 +54,7 @@ def knn(
     distinct_base = stage(copies.groupBy("vec").agg(F.sort_array(F.collect_list("key")).alias("keys")), "knn_base")
     rows = queries.select(F.col(key).alias("key"), F.col(vec).alias("vec"))
     same = queries is base
-    smallest = F.element_at("keys", 1).alias("qid")
-    distinct_queries = distinct_base.select("vec", smallest) if same else stage(rows.groupBy("vec").agg(F.min("key").alias("qid")), "knn_queries")
+    distinct_queries = None if same else stage(rows.groupBy("vec").agg(F.min("key").alias("qid")), "knn_queries")
 
     n_base = distinct_base.count()
     if not n_base:
@@ -60,16 +62,28 @@ def knn(
     leaves = n_leaves or int(min(MAX_LEAVES, max(1, n_base // LEAF_ROWS)))
     chosen = distinct_base.select("vec").orderBy(F.xxhash64(F.lit("leaf"), "vec")).limit(leaves * SAMPLE_PER_LEAF).collect()
     tree = grow_tree(np.array([r["vec"] for r in chosen], dtype=float), leaves)
-    found, _ = search(None if same else distinct_queries, distinct_base, tree, keep, rows.schema["key"].dataType.simpleString(), block_rows)
+    asks = stage(_first_copies(rows, distinct_base, keep), "asks") if same else rows.join(distinct_queries, "vec").select("key", "qid")
+    found, _ = search(distinct_queries, distinct_base, tree, keep, rows.schema["key"].dataType.simpleString(), block_rows)
     pairs = F.explode(F.arrays_zip("qids", "near", "dist")).alias("q")
     lists = found.select(pairs).select(F.col("q.qids").alias("qid"), F.arrays_zip(F.col("q.dist").alias("dist"), F.col("q.near").alias("neighbour")).alias("near"))
-    own = rows.join(distinct_queries, "vec").select("key", "qid").join(lists, "qid")
+    own = asks.join(lists, "qid")
     others = F.slice(F.filter("near", lambda c: c["neighbour"] != F.col("key")), 1, k)
     return own.select("key", F.posexplode(others).alias("pos", "c")).select(
         F.col("key").alias(key), F.col("c.neighbour").alias("neighbour"), (F.col("pos") + 1).alias("rank"), F.col("c.dist").alias("dist")
     )
 
 
+def _first_copies(rows: DataFrame, distinct: DataFrame, keep: int) -> DataFrame:
+    """(key, qid): every row with the smallest key of its vector; only vectors with more copies than ``keys`` can hold are joined."""
+    smallest = F.element_at("keys", 1).alias("qid")
+    listed = distinct.select(F.explode("keys").alias("key"), smallest)
+    full = distinct.where(F.size("keys") >= keep)
+    if full.select("keys").isEmpty():
+        return listed
+    others = rows.join(full.select("vec", "keys", smallest), "vec").where(~F.array_contains("keys", F.col("key")))
+    return listed.unionByName(others.select("key", "qid"))
+
+
 def _empty(rows: DataFrame) -> DataFrame:
     return rows.select("key", F.col("key").alias("neighbour"), F.lit(0).alias("rank"), F.lit(0.0).alias("dist")).where("false")
 
@@ -179,9 +193,10 @@ def search(
     """(blocks of queries with the ``keep`` nearest base rows of each, the visits of every round).
 
     ``queries`` has (vec, qid), ``base`` (vec, keys), both with distinct vectors. Without ``queries`` the base rows ask, by their first
-    key, and are packed once. Visits are rows (leaf, qleaf, qblock, ...).
+    key, and are packed once. Tables that :func:`stage` made are deleted when they are packed. Visits are rows (leaf, qleaf, qblock, ...).
     """
     blocks, groups = _pack(base, tree, "keys", f"vec array<double>, keys array<{key_type}>", block_rows)
+    release(base)
     if queries is None:
         packed = reread(blocks).withColumn("keys", F.transform("keys", lambda own: own[0])).withColumnRenamed("keys", "qid")
     else:
@@ -193,10 +208,7 @@ def search(
     leaf_ids = np.array(sorted(centres), np.int32)
     middle = np.array([centres[i] for i in leaf_ids])
     extent = np.array([radius[i] for i in leaf_ids])
-    state = (
-        f"qleaf int, qblock int, qgrp int, qids array<{key_type}>, vecs binary, near array<array<{key_type}>>, "
-        "dist array<array<double>>, seen array<int>"
-    )
+    state = f"qleaf int, qblock int, qids array<{key_type}>, near array<array<{key_type}>>, dist array<array<double>>, seen array<int>"
     # Within which a query still looks: the distance of the last of its neighbours, if it has them all.
     reach = F.transform("dist", lambda d: F.when(F.size(d) >= keep, F.element_at(d, -1)).otherwise(float("inf"))).alias("reach")
 
@@ -232,23 +244,27 @@ def search(
             best[q] = sorted(best[q])[:keep]
         seen = sorted({*r["seen"], *(leaf for leaves in new["leaves"] for leaf in leaves)})
         return pd.DataFrame({
-            "qleaf": [r["qleaf"]], "qblock": [r["qblock"]], "qgrp": [r["qgrp"]], "qids": [r["qids"]], "vecs": [r["vecs"]],
+            "qleaf": [r["qleaf"]], "qblock": [r["qblock"]], "qids": [r["qids"]],
             "near": [[[n for _, n in b] for b in best]], "dist": [[[d for d, _ in b] for b in best]], "seen": [seen],
         })
 
     nothing = F.transform("qids", lambda q: F.array().cast(f"array<{key_type}>"))
     far = F.transform("qids", lambda q: F.array().cast("array<double>"))
-    now = asked.select("qleaf", "qblock", "qgrp", "qids", "vecs", nothing.alias("near"), far.alias("dist"), F.array().cast("array<int>").alias("seen"))
+    now = asked.select("qleaf", "qblock", "qids", nothing.alias("near"), far.alias("dist"), F.array().cast("array<int>").alias("seen"))
+    by = ["qleaf", "qblock"]
+    vectors = asked.select(*by, "qgrp", "vecs")
+    # Vectors stay in their blocks; what the rounds change comes to them.
+    looking = asked.select(*by, "qgrp", "vecs", F.transform("qids", lambda q: F.lit(float("inf"))).alias("reach"), F.array().cast("array<int>").alias("seen"))
     all_visits = []
     for step in (None, *ROUNDS):
         if step is not None and len(leaf_ids) == 1:
             break
-        looking = now.select("qleaf", "qblock", "qgrp", "vecs", reach, "seen")
+        if step is not None:
+            looking = lookup_join(vectors, now.select(*by, reach, "seen"), by, "inner", REACH_BLOCKS)
         visits = stage(looking.mapInPandas(plan(step), "leaf int, qleaf int, qblock int, qgrp int, low int, high int"), "visits")
         if step is not None and visits.isEmpty():
             break
         all_visits.append(visits)
-        by = ["qleaf", "qblock"]
         found = _compare(visits, looking, blocks, keep, key_type)
         before, now = now, stage(now.groupBy(*by).cogroup(found.groupBy(*by)).applyInPandas(merge, state), "near")
         release(before)
@@ -357,14 +373,14 @@ class Nearest:
 
 def _compare(visits: DataFrame, looking: DataFrame, blocks: DataFrame, keep: int, key_type: str) -> DataFrame:
     """(qleaf, qblock, leaves, at, near, dist): what the visits of a block of queries find in each group of leaves."""
-    by = ["qgrp", "grp"]
+    by, ask = ["qgrp", "grp"], ["qleaf", "qblock", "qgrp"]
     met = visits.withColumn("grp", F.explode(F.sequence("low", "high")))
-    asks = met.groupBy("qleaf", "qblock", "qgrp", "grp").agg(F.sort_array(F.collect_set("leaf")).alias("leaves"))
+    asks = met.groupBy(*ask, "grp").agg(F.sort_array(F.collect_set("leaf")).alias("leaves"))
     needs = met.select("leaf", "grp", "qgrp").distinct()
-    tasks = max(1, met.select(*by).distinct().count())
-    # Both sides are dealt out anew by a given number: what counts is a task's work, not its bytes.
-    left = lookup_join(looking, asks, ["qleaf", "qblock", "qgrp"], "inner").select(*by, "qleaf", "qblock", "vecs", "reach", "leaves")
-    right = lookup_join(blocks.select("leaf", "grp", "block", "keys", "vecs"), needs, ["leaf", "grp"], "inner")
+    counts = {"pairs": by, "asks": [*ask, "grp"], "asking": ask, "needs": ["leaf", "grp", "qgrp"], "needed": ["leaf", "grp"]}
+    size = met.agg(*[F.count_distinct(*c).alias(n) for n, c in counts.items()], F.max("qgrp").alias("qlast"), F.max("grp").alias("last")).first()
+    bodies = blocks.select("leaf", "grp", "block", "keys", "vecs")
+    out = f"qleaf int, qblock int, leaves array<int>, at array<int>, near array<array<{key_type}>>, dist array<array<double>>"
 
     def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -378,15 +394,47 @@ def _compare(visits: DataFrame, looking: DataFrame, blocks: DataFrame, keep: int
         for leaf, vecs, first, n in zip(b["leaf"], b["vecs"], firsts, np.diff(firsts)):
             bodies.setdefault(int(leaf), []).append((_packed(vecs, n), int(first)))
         for r in a.itertuples():
+            here = [int(leaf) for leaf in r.leaves if int(leaf) in bodies]
+            if not here:
+                continue
             nearest = Nearest(_packed(r.vecs, len(r.reach)), r.reach, keep)
-            for leaf in r.leaves:
-                for body, first in bodies.get(int(leaf), []):
+            for leaf in here:
+                for body, first in bodies[leaf]:
                     nearest.meet(body, order, first)
             at, dist, near = nearest.found(keys)
-            out.append((r.qleaf, r.qblock, list(r.leaves), at, near, dist))
+            out.append((r.qleaf, r.qblock, here, at, near, dist))
         return pd.DataFrame(out, columns=["qleaf", "qblock", "leaves", "at", "near", "dist"])
 
+    if size["pairs"] and size["asks"] / size["asking"] + size["needs"] / size["needed"] > MAX_SENT:
+        return _product(looking, bodies, met, size["qlast"] + 1, size["last"] + 1).mapInPandas(
+            lambda batches: (run(*_sides(r)) for pdf in batches for r in pdf.itertuples()), out
+        )
+    # Both sides are dealt out anew by a given number: what counts is a task's work, not its bytes.
+    tasks = max(1, size["pairs"])
+    left = lookup_join(looking, asks, ask, "inner").select(*by, "qleaf", "qblock", "vecs", "reach", "leaves")
+    right = lookup_join(bodies, needs, ["leaf", "grp"], "inner")
     left, right = left.repartition(tasks, *by), right.repartition(tasks, *by)
-    return left.groupBy(*by).cogroup(right.groupBy(*by)).applyInPandas(
-        run, f"qleaf int, qblock int, leaves array<int>, at array<int>, near array<array<{key_type}>>, dist array<array<double>>"
-    )
+    return left.groupBy(*by).cogroup(right.groupBy(*by)).applyInPandas(run, out)
+
+
+ASKING, ASKED = ["qleaf", "qblock", "vecs", "reach", "leaves"], ["leaf", "block", "keys", "vecs"]
+
+
+def _product(looking: DataFrame, bodies: DataFrame, met: DataFrame, qgroups: int, groups: int) -> DataFrame:
+    """One row per pair of groups that meet, each group whole: lists ``a_*`` of its blocks of queries, ``b_*`` of its blocks of leaves.
+
+    A group is a partition by its number, so no two share one, and the join without keys reads the partitions pair by pair.
+    """
+    ask = ["qleaf", "qblock", "qgrp"]
+    wanted = met.groupBy(*ask).agg(F.sort_array(F.collect_set("leaf")).alias("leaves"), F.collect_set("grp").alias("grps"))
+    left = lookup_join(looking, wanted, ask, "inner").repartitionById(qgroups, F.col("qgrp")).groupBy("qgrp")
+    left = left.agg(F.collect_list(F.struct(*ASKING)).alias("a"), F.array_distinct(F.flatten(F.collect_list("grps"))).alias("grps"))
+    right = lookup_join(bodies, met.select("leaf", "grp").distinct(), ["leaf", "grp"], "inner").repartitionById(groups, F.col("grp"))
+    right = right.groupBy("grp").agg(F.collect_list(F.struct(*ASKED)).alias("b"))
+    pairs = left.join(right.hint("shuffle_replicate_nl"), F.array_contains("grps", F.col("grp")))
+    return pairs.select(*[F.col(f"a.{c}").alias(f"a_{c}") for c in ASKING], *[F.col(f"b.{c}").alias(f"b_{c}") for c in ASKED])
+
+
+def _sides(r) -> tuple[pd.DataFrame, pd.DataFrame]:
+    """A row of :func:`_product` as the blocks of its two groups."""
+    return tuple(pd.DataFrame({c: list(getattr(r, f"{side}_{c}")) for c in names}) for side, names in (("a", ASKING), ("b", ASKED)))

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from functools import partial, reduce
+from threading import Lock
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -23,6 +25,11 @@ MAX_LOOKUP_BYTES = 64 << 20
 # A key with at least one row in so many is joined apart from the others.
 HEAVY_SHARE = 1000
 
+# Shuffle files otherwise stay until the driver happens to collect its garbage.
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+_writing: list[str | None] = []
+_writing_lock = Lock()
 _local_stage: dict[str, str] = {}
 _staged: dict[str, list[str]] = {}
 
@@ -59,6 +66,26 @@ def new_stage_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Writes started inside delete their shuffle files when they are done; the caller's setting comes back with the last of them."""
+    with _writing_lock:
+        if not _writing:
+            _writing.append(spark.conf.get(DROP_SHUFFLES, None))
+            spark.conf.set(DROP_SHUFFLES, "true")
+        else:
+            _writing.append(None)
+    try:
+        yield
+    finally:
+        with _writing_lock:
+            if len(_writing) > 1:
+                _writing.pop()
+            else:
+                before = _writing.pop()
+                spark.conf.unset(DROP_SHUFFLES) if before is None else spark.conf.set(DROP_SHUFFLES, before)
+
+
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -67,7 +94,8 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     """
     spark = df.sparkSession
     path = new_stage_path(spark, name)
-    df.write.parquet(path)
+    with shuffles_dropped(spark):
+        df.write.parquet(path)
     staged = spark.read.schema(df.schema).parquet(path)
     staged._is_staged, staged._stage_path = True, path
     return staged

@@ -1,5 +1,7 @@
 """Neighbour join against brute force, and the properties of every sampling strategy."""
 
+import time
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -67,6 +69,43 @@ def test_vectors_are_sent_once_to_a_group(spark, monkeypatch):
             assert list(zip(dist, near)) == sorted((float(v), j) for j, v in enumerate(d))[:3]
 
 
+@pytest.mark.parametrize("sent", [0, 4, 10**9])
+def test_each_side_is_dealt_out_once(spark, monkeypatch, sent):
+    """Where most groups meet, groups are partitions and tasks their product; either way the nearest rows are the same."""
+    monkeypatch.setattr(neighbours, "GROUP_BLOCKS", 3)
+    monkeypatch.setattr(neighbours, "MAX_SENT", sent)
+    products = []
+    product = neighbours._product
+    monkeypatch.setattr(neighbours, "_product", lambda *args: products.append(1) or product(*args))
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(300, 24)).round(4)
+    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "id long, vec array<double>")
+    got: dict[int, list] = {}
+    for r in neighbours.knn(df, df, 3, n_leaves=12, block_rows=16).orderBy("id", "rank").collect():
+        got.setdefault(r["id"], []).append((r["dist"], r["neighbour"]))
+    for i in range(len(x)):
+        d = np.round(np.sqrt(((x - x[i]) ** 2).sum(axis=1)), 9)
+        assert got[i] == sorted((float(v), j) for j, v in enumerate(d) if j != i)[:3]
+    assert bool(products) == (sent < 10**9)
+
+
+def test_staged_writes_leave_no_shuffle_files(spark):
+    files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+    setting = spark.conf.get(runtime.DROP_SHUFFLES, None)
+
+    def shuffled() -> int:
+        return sum(files.getAllFiles().apply(i).getName().startswith("shuffle_") for i in range(files.getAllFiles().size()))
+
+    before = shuffled()
+    staged = runtime.stage(spark.range(10_000).groupBy((F.col("id") % 97).alias("k")).count(), "counts")
+    for _ in range(50):
+        if shuffled() <= before:
+            break
+        time.sleep(0.2)
+    assert shuffled() <= before
+    assert staged.count() == 97 and spark.conf.get(runtime.DROP_SHUFFLES, None) == setting
+
+
 def test_knn_of_odd_inputs(spark):
     empty = spark.createDataFrame([], "key string, vec array<double>")
     one = spark.createDataFrame([("a", [1.0, 2.0])], "key string, vec array<double>")
