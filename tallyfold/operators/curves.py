@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from tallyfold.operators.order import SINGLE_WINDOW_ROWS, ordered_cumsum
 from tallyfold.runtime import lookup_join, settle, stage
 
+# Shuffled bytes of distinct scores per task: some 400,000 of them, whose hash map stays small and does not spill.
+STEP_BYTES = "4m"
+
 
 def score_steps(
     scores: DataFrame, by: list[str] | None = None, y: str = "y", p: str = "p",
@@ -20,7 +23,7 @@ def score_steps(
     by = list(by or [])
     one = stage(scores.where(F.col(p).isNotNull()).groupBy(*by, F.col(p).alias("score")).agg(
         F.sum(F.col(y).cast("long")).alias("pos"), F.sum((1 - F.col(y)).cast("long")).alias("neg")
-    ), "steps")
+    ), "steps", STEP_BYTES)
     steps = ordered_cumsum(one, "score", ["pos", "neg"], by, True, leads, single_window_rows)
     totals = settle(one.groupBy(*by).agg(F.sum("pos").alias("p_all"), F.sum("neg").alias("n_all")))
     if by:

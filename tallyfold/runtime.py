@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
-from contextlib import contextmanager
+from contextlib import contextmanager, nullcontext
 from functools import partial, reduce
 from threading import Lock
 
@@ -27,9 +27,10 @@ HEAVY_SHARE = 1000
 
 # Shuffle files otherwise stay until the driver happens to collect its garbage.
 DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+PARTITION_BYTES = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 
-_writing: list[str | None] = []
-_writing_lock = Lock()
+_held: dict[str, list[str | None]] = {}
+_held_lock = Lock()
 _local_stage: dict[str, str] = {}
 _staged: dict[str, list[str]] = {}
 
@@ -67,34 +68,33 @@ def new_stage_path(spark: SparkSession, name: str) -> str:
 
 
 @contextmanager
-def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
-    """Writes started inside delete their shuffle files when they are done; the caller's setting comes back with the last of them."""
-    with _writing_lock:
-        if not _writing:
-            _writing.append(spark.conf.get(DROP_SHUFFLES, None))
-            spark.conf.set(DROP_SHUFFLES, "true")
-        else:
-            _writing.append(None)
+def held(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A setting for the writes started inside; the caller's comes back with the last of several that overlap."""
+    with _held_lock:
+        outer = _held.setdefault(key, [])
+        outer.append(None if outer else spark.conf.get(key, None))
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        with _writing_lock:
-            if len(_writing) > 1:
-                _writing.pop()
+        with _held_lock:
+            if len(outer) > 1:
+                outer.pop()
             else:
-                before = _writing.pop()
-                spark.conf.unset(DROP_SHUFFLES) if before is None else spark.conf.set(DROP_SHUFFLES, before)
+                before = outer.pop()
+                spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
-def stage(df: DataFrame, name: str = "stage") -> DataFrame:
+def stage(df: DataFrame, name: str = "stage", partition_bytes: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Used where a frame feeds several jobs: it cuts the lineage, survives executor loss and, unlike
-    a checkpointed RDD, keeps column pruning and size statistics.
+    a checkpointed RDD, keeps column pruning and size statistics. Its shuffle files are deleted when it is written.
+    ``partition_bytes`` is the size up to which adaptive execution joins small partitions of its exchanges.
     """
     spark = df.sparkSession
     path = new_stage_path(spark, name)
-    with shuffles_dropped(spark):
+    with held(spark, DROP_SHUFFLES, "true"), held(spark, PARTITION_BYTES, partition_bytes) if partition_bytes else nullcontext():
         df.write.parquet(path)
     staged = spark.read.schema(df.schema).parquet(path)
     staged._is_staged, staged._stage_path = True, path

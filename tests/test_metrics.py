@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from tallyfold import runtime
 from tallyfold.functions.confusion import LABEL_METRICS
 from tallyfold.operators import curves, metrics, threshold
 
@@ -105,3 +106,21 @@ def test_threshold_compare_columns(spark):
     best = threshold.best_threshold(threshold.threshold_sweep(df, by=["model"]), ["model"])
     table = threshold.threshold_compare(df, best, ["model"])
     assert {r["metric"] for r in table.collect()} == set(LABEL_METRICS)
+
+
+def test_distinct_scores_are_counted_in_small_partitions(spark, monkeypatch):
+    """A task collapses a bounded part of the scores, however few cores there are; the caller's setting stays."""
+    monkeypatch.setattr(curves, "STEP_BYTES", "1m")
+    written = []
+    monkeypatch.setattr(curves, "stage", lambda *args: written.append(runtime.stage(*args)) or written[-1])
+    before = spark.conf.get("spark.sql.shuffle.partitions"), spark.conf.get(runtime.PARTITION_BYTES)
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        x = F.xxhash64("id")
+        scores = spark.range(2_000_000).select((x % 2 == 0).cast("int").alias("y"), F.rand(3).alias("p"))
+        area = curves.roc_area(scores).first()["area"]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before[0])
+    assert len(written[0].inputFiles()) > spark.sparkContext.defaultParallelism + 4
+    assert spark.conf.get(runtime.PARTITION_BYTES) == before[1]
+    assert abs(area - 0.5) < 0.01
