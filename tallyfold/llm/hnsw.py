@@ -1,25 +1,42 @@
-"""Embedding near-duplicates by hierarchical navigable small-world graphs, one per shard."""
+"""Embedding near-duplicates by hierarchical navigable small-world graphs, one per shard.
+
+A shard is one row: its vectors and its graph, packed. Shards meet as a product of partitions, a shard in each, so an exchange holds one
+copy of every vector however many shards there are. Two shards that meet ask each other, and what they find leaves the task as a count
+and one edge per vector, not as pairs.
+"""
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyfold.llm.parts import components
-from tallyfold.runtime import stage
+from tallyfold.runtime import local_frame, lookup_join, release, stage
 
 COSINE = 0.9
 NEIGHBOURS = 12  # per node and layer; twice as many on the lowest one
 BUILD_BEAM = 48
 FIRST_BEAM = 32
-# Vectors in one graph; at least MIN_SHARDS graphs are made, so that work on small tables is spread as well.
-SHARD_ROWS = 8_192
+# Vectors in one graph, and their bytes in single precision; at least MIN_SHARDS graphs are made, so that work on small tables is spread
+# as well.
+SHARD_ROWS = 65_536
+SHARD_BYTES = 16 << 20
 MIN_SHARDS = 6
-QUERY_BLOCK = 4_096
+# A beam takes one step for so many of its places at once.
+BEAM_STEP = 32
+# Queries searched at once, and the places of their beams; products of vectors, and links, that are held at once.
+SEARCH_ROWS = 256
+SEARCH_CELLS = 1 << 21
+COMPARE_CELLS = 1 << 23
+PAIR_ROWS = 1 << 20
+# The sample of the audit is cut from this many values of a node's last bits.
+DRAWS = 1 << 40
 # Audit: so many vectors, taken by hash, are compared with all others, and four times as many until AUDIT_LINKED of them have a link.
 # AUDIT_OTHERS of those shall not have the commonest number of links, or one vector in AUDIT_PART is compared. Beams are doubled
 # until this share of the links of a vector is found, on average over all and over those with about as many links.
@@ -70,15 +87,22 @@ class Graph:
         seen = np.zeros((len(q), len(self.base)), bool)
         at, col = np.nonzero(open_)
         seen[at, ids[at, col]] = True
-        live = rows
+        live, step = rows, max(1, beam // BEAM_STEP)
         while len(live):
-            best = np.where(open_[live], sims[live], -np.inf).argmax(1)
-            node = ids[live, best]
-            open_[live, best] = False
-            near = self.links[layer][node]
+            score = np.where(open_[live], sims[live], -np.inf)
+            best = score.argmax(1)[:, None] if step == 1 else np.argpartition(-score, step - 1, axis=1)[:, :step]
+            is_open = np.take_along_axis(score, best, 1) > -np.inf
+            node = ids[live[:, None], best]
+            open_[live[:, None], best] = False
+            near = np.where(is_open[:, :, None], self.links[layer][node], -1).reshape(len(live), -1)
             fresh = (near >= 0) & ~seen[live[:, None], np.maximum(near, 0)]
-            # A node can stand twice among the neighbours of none: lists hold distinct ids.
+            # A node can stand twice among the neighbours of several, but of none: lists hold distinct ids.
             r, c = np.nonzero(fresh)
+            if step > 1:
+                _, first = np.unique(r * len(self.base) + near[r, c], return_index=True)
+                r, c = r[first], c[first]
+                fresh[:] = False
+                fresh[r, c] = True
             seen[live[r], near[r, c]] = True
             s = np.full(near.shape, -np.inf, np.float32)
             s[r, c] = np.einsum("ed,ed->e", q[live[r]], self.base[near[r, c]])
@@ -160,110 +184,234 @@ class Graph:
             links[t[:, None], np.arange(chosen.shape[1])] = chosen
 
 
-def _unit(rows: pd.Series) -> tuple[np.ndarray, np.ndarray]:
-    v = np.stack(rows.to_numpy()).astype(np.float64)
+def _unit(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    # Scaled by the largest component first: squares of very small or large numbers stay in range.
+    v = x.astype(np.float64)
+    v /= np.abs(v).max(1)[:, None]
     v /= np.sqrt((v * v).sum(1))[:, None]
     return v, v.astype(np.float32)
 
 
-def build_graphs(nodes: DataFrame) -> DataFrame:
-    """(dim, shard, position, node, v, level, links) of one graph per dimension and shard."""
+def shard_layout(nodes: DataFrame) -> tuple[DataFrame, int]:
+    """(``nodes`` with their shard, the number of shards). A shard's vectors of one length are bounded by SHARD_ROWS and SHARD_BYTES;
+    lengths that few vectors have share a shard's number."""
+    counts = sorted(tuple(r) for r in nodes.groupBy("dim").count().collect())  # one row per length
+    even = max(1, math.ceil(sum(n for _, n in counts) / MIN_SHARDS))
+    rows, shards, room = [], 0, 0.0
+    for dim, n in counts:
+        most = max(1, min(even, SHARD_ROWS, SHARD_BYTES // (4 * dim)))
+        parts = math.ceil(n / most)
+        if parts > 1 or n / most > room:
+            shards, room = shards + parts, 1.0 if parts == 1 else 0.0
+        room -= n / most if parts == 1 else 0.0
+        rows.append((dim, parts, shards - parts))
+    sizes = local_frame(nodes.sparkSession, rows, T._parse_datatype_string("dim int, parts int, start int"))
+    shard = F.col("start") + F.pmod(F.xxhash64("node", F.lit(2)), F.col("parts")).cast("int")
+    return lookup_join(nodes, sizes, ["dim"], "inner").withColumn("shard", shard).drop("parts", "start"), max(1, shards)
+
+
+PACKED = "dim int, shard int, nodes binary, copies binary, v binary, level binary, links array<binary>"
+
+
+def _packed(pdf: pd.DataFrame, with_graph: bool) -> pd.DataFrame:
+    pdf = pdf.sort_values("node")
+    x = np.stack(pdf["v"].to_numpy())
+    level, links = b"", []
+    if with_graph:
+        graph = Graph(_unit(x)[1]).build()
+        level, narrow = graph.level.astype(np.int8).tobytes(), np.uint16 if len(x) < 1 << 16 else np.int32
+        links = [(layer[graph.level >= k] + 1).astype(narrow).tobytes() for k, layer in enumerate(graph.links)]
+    one = {"dim": pdf["dim"].iloc[0], "shard": pdf["shard"].iloc[0], "nodes": pdf["node"].to_numpy(np.int64).tobytes(), "copies": pdf["n"].to_numpy(np.int64).tobytes()}
+    return pd.DataFrame([{**one, "v": x.tobytes(), "level": level, "links": links}])
+
+
+def _pack(nodes: DataFrame, shards: int, with_graph: bool) -> DataFrame:
+    dealt = nodes.select("dim", "shard", "node", "n", "v").repartitionById(shards, F.col("shard"))
+    return dealt.groupBy("dim", "shard").applyInPandas(lambda pdf: _packed(pdf, with_graph), PACKED)
+
+
+def build_graphs(nodes: DataFrame, shards: int) -> DataFrame:
+    """(dim, shard, nodes, copies, v, level, links): one row per dimension and shard, with the graph of its vectors."""
+    return _pack(nodes, shards, True)
+
+
+class Shard:
+    """A packed row: ids and copies of its vectors by position, unit vectors, and the graph if it has one."""
+
+    def __init__(self, dim: int, nodes: bytes, v: bytes, copies: bytes = b"", level: bytes = b"", links: list[bytes] = ()):
+        self.nodes, self.copies = np.frombuffer(nodes, np.int64), np.frombuffer(copies, np.int64)
+        n = len(self.nodes)
+        self.exact, self.single = _unit(np.frombuffer(v, np.float32 if len(v) == 4 * n * dim else np.float64).reshape(n, dim))
+        if not level:
+            return
+        self.graph = Graph(self.single)
+        self.graph.level = np.frombuffer(level, np.int8).astype(int)
+        self.graph.width = [2 * NEIGHBOURS if k == 0 else NEIGHBOURS for k in range(len(links))]
+        self.graph.links = [np.full((n, w), -1, np.int32) for w in self.graph.width]
+        for k, layer in enumerate(links):
+            here = np.flatnonzero(self.graph.level >= k)
+            one = np.frombuffer(layer, np.uint16 if n < 1 << 16 else np.int32).reshape(len(here), -1)
+            self.graph.links[k][here] = one.astype(np.int32) - 1
+        self.graph.entry = int(self.graph.level.argmax())
+
+    def _checked(self, asked: Shard, x: np.ndarray, y: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+        other = asked.nodes[x] != self.nodes[y]
+        x, y = x[other], y[other]
+        good, some = np.zeros(len(x), bool), max(1, COMPARE_CELLS // self.exact.shape[1])
+        for lo in range(0, len(x), some):
+            part = slice(lo, lo + some)
+            good[part] = np.einsum("ed,ed->e", asked.exact[x[part]], self.exact[y[part]]) >= least
+        return x[good], y[good]
+
+    def search(self, asked: Shard, beam: int, least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Links (position in ``asked``, position here) that the graph finds. A query whose beam is full of links is asked again with
+        twice the beam, until its last result is no link or the beam holds the shard. Similarities found in single precision are
+        computed again in double precision."""
+        todo, wide = np.arange(len(asked.nodes)), min(beam, len(self.nodes))
+        while len(todo):
+            again, some = [], max(1, min(SEARCH_ROWS, SEARCH_CELLS // wide))
+            for lo in range(0, len(todo), some):
+                at = todo[lo : lo + some]
+                ids, sims = self.graph.search(asked.single[at], wide)
+                full = (sims[:, -1] >= least - 1e-4) & (wide < len(self.nodes))
+                r, c = np.nonzero((sims >= least - 1e-4) & ~full[:, None])
+                yield self._checked(asked, at[r], ids[r, c], least)
+                again.append(at[full])
+            todo, wide = np.concatenate(again), min(2 * wide, len(self.nodes))
+
+    def compare(self, asked: Shard, least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """All links (position in ``asked``, position here), by products of matrices."""
+        some = max(1, COMPARE_CELLS // len(self.nodes))
+        for lo in range(0, len(asked.nodes), some):
+            r, c = np.nonzero(asked.single[lo : lo + some] @ self.single.T >= least - 1e-4)
+            yield self._checked(asked, lo + r, c, least)
+
+
+def _product(left: DataFrame, right: DataFrame, lefts: int, rights: int, both_ways: bool) -> DataFrame:
+    """Pairs of shards of one dimension, columns ``a_*`` and ``b_*``; each of two different ones once unless ``both_ways``.
+
+    A shard is a partition by its number, and the join reads the partitions pair by pair.
+    """
+    sides = [
+        df.repartitionById(n, F.col("shard")).select(*[F.col(c).alias(f"{side}_{c}") for c in df.columns])
+        for df, n, side in ((left, lefts, "a"), (right, rights, "b"))
+    ]
+    on = F.col("a_dim") == F.col("b_dim")
+    return sides[0].join(sides[1].hint("shuffle_replicate_nl"), on if both_ways else on & (F.col("a_shard") <= F.col("b_shard")))
 
-    def build(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("node").reset_index(drop=True)
-        graph = Graph(_unit(pdf["v"])[1]).build()
-        pdf["position"] = np.arange(len(pdf), dtype=np.int32)
-        pdf["level"] = graph.level.astype(np.int32)
-        pdf["links"] = [[layer[i].tolist() for layer in graph.links[: graph.level[i] + 1]] for i in range(len(pdf))]
-        return pdf[["dim", "shard", "position", "node", "v", "level", "links"]]
 
-    schema = "dim int, shard int, position int, node long, v array<double>, level int, links array<array<int>>"
-    return nodes.select("dim", "shard", "node", "v").groupBy("dim", "shard").applyInPandas(build, schema)
+def _side(r, side: str, *names: str) -> Shard:
+    return Shard(**{c: getattr(r, f"{side}_{c}") for c in ("dim", "nodes", "v", *names)})
 
 
-def search_graphs(graphs: DataFrame, queries: DataFrame, shards: int, blocks: int, beam: int, least: float) -> DataFrame:
-    """Pairs (a, b), a < b, with cosine >= ``least`` that the queries find in any shard's graph.
+def search_graphs(graphs: DataFrame, asked: DataFrame, shards: int, asked_shards: int, beam: int, least: float) -> DataFrame:
+    """Pairs (a, b), a < b, with cosine >= ``least`` that packed queries find in any shard's graph."""
 
-    A query whose beam is full of links is asked again with twice the beam, until its last result is no link or the beam
-    holds the shard. Similarities found in single precision are computed again in double precision.
-    """
-    left = graphs.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    right = queries.select(
-        F.col("dim").alias("d"), F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("s"), F.pmod(F.xxhash64("node", F.lit(1)), F.lit(blocks)).cast("int").alias("bl"),
-        F.col("node").alias("q"), F.col("v").alias("w"),
-    )
-
-    def find(g: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
-        out = [np.zeros((0, 2), np.int64)]
-        if len(g) and len(q):
-            g = g.sort_values("position")
-            exact, single = _unit(g["v"])
-            graph = Graph(single)
-            graph.level = g["level"].to_numpy()
-            top = int(graph.level.max())
-            graph.width = [2 * NEIGHBOURS if k == 0 else NEIGHBOURS for k in range(top + 1)]
-            graph.links = [np.full((len(g), w), -1, np.int32) for w in graph.width]
-            for i, lists in enumerate(g["links"]):
-                for k, one in enumerate(lists):
-                    graph.links[k][i] = one
-            graph.entry = int(graph.level.argmax())
-            names, asked = g["node"].to_numpy(), q["q"].to_numpy()
-            exact_q, single_q = _unit(q["w"])
-            for lo in range(0, len(q), 256):
-                todo, wide = np.arange(lo, min(lo + 256, len(q))), min(beam, len(g))
-                while len(todo):
-                    ids, sims = graph.search(single_q[todo], wide)
-                    full = (sims[:, -1] >= least - 1e-4) & (wide < len(g))
-                    r, c = np.nonzero((sims >= least - 1e-4) & ~full[:, None])
-                    x, y = todo[r], ids[r, c]
-                    good = np.einsum("ed,ed->e", exact_q[x], exact[y]) >= least
-                    out.append(np.stack([asked[x[good]], names[y[good]]], 1))
-                    todo, wide = todo[full], min(2 * wide, len(g))
-        both = np.sort(np.concatenate(out), axis=1)
-        both = np.unique(both[both[:, 0] != both[:, 1]], axis=0)
-        return pd.DataFrame({"a": both[:, 0], "b": both[:, 1]})
-
-    grouped = left.groupBy("dim", "shard", "block").cogroup(right.groupBy("d", "s", "bl"))
-    return grouped.applyInPandas(find, "a long, b long").distinct()
-
-
-def block_pairs(nodes: DataFrame, asked: DataFrame, blocks: int, asked_blocks: int, least: float) -> DataFrame:
-    """Links (q, other) from ``asked`` to all nodes, by blocks of matrix products in double precision."""
-    block = lambda n, seed: F.pmod(F.xxhash64("node", F.lit(seed)), F.lit(n)).cast("int")
-    left = nodes.select("dim", "node", "v", block(blocks, 4).alias("block"), F.explode(F.sequence(F.lit(0), F.lit(asked_blocks - 1))).alias("part"))
-    right = asked.select(
-        F.col("dim").alias("d"), F.col("node").alias("q"), F.col("v").alias("w"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("bl"), block(asked_blocks, 5).alias("p")
-    )
-
-    def compare(g: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
-        out = [np.zeros((0, 2), np.int64)]
-        if len(g) and len(q):
-            names, asking = g["node"].to_numpy(), q["q"].to_numpy()
-            base, single = _unit(g["v"])
-            exact_q, single_q = _unit(q["w"])
-            for lo in range(0, len(q), 512):
-                r, c = np.nonzero(single_q[lo : lo + 512] @ single.T >= least - 1e-4)
-                good = np.einsum("ed,ed->e", exact_q[lo + r], base[c]) >= least
-                out.append(np.stack([asking[lo + r[good]], names[c[good]]], 1))
-        pairs = np.concatenate(out)
-        pairs = pairs[pairs[:, 0] != pairs[:, 1]]
-        return pd.DataFrame({"q": pairs[:, 0], "other": pairs[:, 1]})
-
-    grouped = left.groupBy("dim", "block", "part").cogroup(right.groupBy("d", "bl", "p"))
-    return grouped.applyInPandas(compare, "q long, other long")
-
-
-def audit_links(nodes: DataFrame, total: int, least: float) -> tuple[DataFrame, DataFrame, int]:
-    """(links (q, other) of a sample of nodes, the sample, its size at most): grown until enough of it has a link, to all nodes if need be."""
+    def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for r in pdf.itertuples():
+                q, g = _side(r, "a"), _side(r, "b", "level", "links")
+                for x, y in g.search(q, beam, least):
+                    both = np.unique(np.sort(np.stack([q.nodes[x], g.nodes[y]], 1), axis=1), axis=0)
+                    yield pd.DataFrame({"a": both[:, 0], "b": both[:, 1]})
+
+    pairs = _product(asked.select("dim", "shard", "nodes", "v"), graphs.select("dim", "shard", "nodes", "v", "level", "links"), asked_shards, shards, True)
+    return pairs.mapInPandas(find, "a long, b long").distinct()
+
+
+def block_pairs(graphs: DataFrame, asked: DataFrame, shards: int, asked_shards: int, least: float) -> DataFrame:
+    """Links (q, other) from packed queries to all nodes, by blocks of matrix products in double precision."""
+
+    def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for r in pdf.itertuples():
+                q, g = _side(r, "a"), _side(r, "b")
+                for x, y in g.compare(q, least):
+                    yield pd.DataFrame({"q": q.nodes[x], "other": g.nodes[y]})
+
+    columns = ["dim", "shard", "nodes", "v"]
+    return _product(asked.select(*columns), graphs.select(*columns), asked_shards, shards, True).mapInPandas(find, "q long, other long")
+
+
+def _roots(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``root`` (of every node its own root) with the trees of a[i] and b[i] joined."""
+    while True:
+        low, high = np.minimum(root[a], root[b]), np.maximum(root[a], root[b])
+        apart = low != high
+        if not apart.any():
+            return root
+        a, b = a[apart], b[apart]
+        np.minimum.at(root, high[apart], low[apart])
+        while (root[root] != root).any():
+            root = root[root]
+
+
+def merged_links(s: Shard, t: Shard, chunks: Iterator[tuple[np.ndarray, np.ndarray]], cut: int) -> Iterator[pd.DataFrame]:
+    """(a, b, others) of the distinct links among ``chunks`` (position in s, position in t): for every node a that has one the copies of
+    all nodes it links with, and a node b that links lead to; with ``others`` 0 the links a < b of nodes below ``cut`` themselves."""
+    n, wide = len(s.nodes), len(t.nodes)
+    kind = np.uint32 if n * wide <= 1 << 32 else np.uint64
+    keys = np.concatenate([np.zeros(0, kind), *((x.astype(np.int64) * wide + y).astype(kind) for x, y in chunks)])
+    keys.sort()
+    keys = keys[np.concatenate([[True], keys[1:] != keys[:-1]])] if len(keys) else keys
+    if not len(keys):
+        return
+    names, copies = np.concatenate([s.nodes, t.nodes]), np.concatenate([s.copies, t.copies])
+    others, root = np.zeros(n + wide, np.int64), np.arange(n + wide)
+    for lo in range(0, len(keys), PAIR_ROWS):
+        x, y = (k.astype(np.int64) for k in divmod(keys[lo : lo + PAIR_ROWS], kind(wide)))
+        y += n
+        np.add.at(others, x, copies[y])
+        np.add.at(others, y, copies[x])
+        root = _roots(root, x, y)
+        drawn = np.minimum(names[x] & (DRAWS - 1), names[y] & (DRAWS - 1)) < cut
+        ends = np.sort(np.stack([names[x[drawn]], names[y[drawn]]], 1), axis=1)
+        yield pd.DataFrame({"a": ends[:, 0], "b": ends[:, 1], "others": np.zeros(len(ends), np.int64)})
+    at = np.flatnonzero(others)
+    yield pd.DataFrame({"a": names[at], "b": names[root[at]], "others": others[at]})
+
+
+def graph_links(graphs: DataFrame, shards: int, beam: int | None, least: float, cut: int) -> DataFrame:
+    """(a, b, others) of every two shards, see :func:`merged_links`: what they find when each asks the other's graph, or without a beam
+    all links by blocks."""
+
+    def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for r in pdf.itertuples():
+                same = r.a_shard == r.b_shard
+                s = _side(r, "a", "copies", "level", "links")
+                t = s if same else _side(r, "b", "copies", "level", "links")
+                asks = (lambda g, q: g.compare(q, least)) if beam is None else (lambda g, q: g.search(q, beam, least))
+                yield from merged_links(s, t, _met(s, t, asks), cut)
+
+    return _product(graphs, graphs, shards, shards, False).mapInPandas(find, "a long, b long, others long")
+
+
+def _met(s: Shard, t: Shard, asks) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Links (position in s, position in t), both sides asking; the smaller position first if both are one shard."""
+    for x, y in asks(t, s):
+        yield (np.minimum(x, y), np.maximum(x, y)) if s is t else (x, y)
+    if s is not t:
+        for y, x in asks(s, t):
+            yield x, y
+
+
+def audit_links(nodes: DataFrame, graphs: DataFrame, shards: int, total: int, least: float) -> tuple[DataFrame, DataFrame, int, int]:
+    """(links (q, other) of a sample of nodes, the packed sample, its shards, the cut below which the sample was drawn): grown until enough
+    of it has a link, to all nodes if need be."""
     size = min(AUDIT_VECTORS, total)
     while True:
-        share = F.pmod(F.xxhash64("node", F.lit(3)), F.lit(1 << 40)) < (size << 40) // max(1, total)
-        asked = nodes.where(share) if size < total else nodes
-        truth = stage(block_pairs(nodes, asked, max(MIN_SHARDS, math.ceil(total / QUERY_BLOCK)), math.ceil(max(1, size) / QUERY_BLOCK), least), "hnsw")
+        cut = size * DRAWS // max(1, total)
+        parts = max(1, math.ceil(shards * size / max(1, total)))
+        asked = nodes.where(F.pmod("node", F.lit(DRAWS)) < cut).withColumn("shard", F.floor(F.col("shard") * parts / shards).cast("int"))
+        asked = stage(_pack(asked, parts, False), "hnsw")
+        truth = stage(block_pairs(graphs, asked, shards, parts, least), "hnsw")
         counts = truth.groupBy("q").count().groupBy(F.floor(F.log2("count")).alias("size")).count().toPandas()["count"]
         linked, others = counts.sum(), counts.sum() - counts.max() if len(counts) else 0
         if size >= total or linked >= AUDIT_LINKED and (others >= AUDIT_OTHERS or size * AUDIT_PART >= total):
-            return truth, asked, size
+            return truth, asked, parts, cut
+        release(asked)
+        release(truth)
         size = min(4 * size, total)
 
 
@@ -286,36 +434,45 @@ def near_duplicates(
     and count as links of each other, so one vector that fills a third of the table costs one node. Every node is asked
     in every shard; the beam is widened until an audit of a sample against all vectors finds AUDIT_RECALL of a vector's
     links, and if no beam does, all vectors are compared by blocks. Links of the audit are kept. component_id is the smallest id that links reach; kept marks the row that has it.
+    The disk holds each vector three times at most: as a node, in its shard, and in one exchange.
     """
     v = F.transform(F.col(vector_col), lambda x: x.cast("double"))
     ok = F.col("v").isNotNull() & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
-    rows = vectors.select(F.col(id_col).alias("vec_id"), v.alias("v"))
-    # Scaled by the largest component first: squares of very small or large numbers stay in range.
+    # Single precision is kept as it is; tasks widen the numbers again.
+    single = dict(vectors.dtypes).get(vector_col) == "array<float>"
+    rows = vectors.select(F.col(id_col).alias("vec_id"), v.alias("v"), (F.col(vector_col) if single else v).alias("x"))
     peak = F.array_max(F.transform("v", F.abs))
-    valid = rows.where(ok & (F.size("v") > 0)).where(peak > 0).select("vec_id", F.transform("v", lambda x: x / peak + F.lit(0.0)).alias("v"))
-    named = valid.withColumn("node", F.xxhash64("v"))
+    valid = rows.where(ok & (F.size("v") > 0)).where(peak > 0)
+    # A node is a direction: numbers over the largest of them, which the outer transform works out once.
+    scaled = F.transform(F.array(peak), lambda p: F.transform("v", lambda x: x / p + F.lit(0.0)))[0]
+    named = valid.select("vec_id", F.col("x").alias("v"), F.xxhash64(scaled).alias("node"))
     nodes = named.groupBy("node").agg(F.first("v").alias("v"), F.count("*").alias("n"), F.min("vec_id").alias("least"))
     nodes = stage(nodes.withColumn("dim", F.size("v")), "hnsw")
     total = nodes.count()
-    shards = max(MIN_SHARDS, math.ceil(total / SHARD_ROWS))
-    blocks = max(1, math.ceil(total / QUERY_BLOCK))
-    nodes = nodes.withColumn("shard", F.pmod(F.xxhash64("node", F.lit(2)), F.lit(shards)).cast("int"))
-    graphs = stage(build_graphs(nodes), "hnsw")
-    truth, asked, n_asked = audit_links(nodes, total, least)
-    audited = truth.select(F.least("q", "other").alias("a"), F.greatest("q", "other").alias("b"))
+    sizes = stage(nodes.select("node", "n", "least"), "hnsw")
+    dealt, shards = shard_layout(nodes)
+    graphs = stage(build_graphs(dealt, shards), "hnsw")
+    truth, asked, asked_shards, cut = audit_links(dealt, graphs, shards, total, least)
+    release(nodes)
     for _ in range(MAX_WIDENINGS + 1):
-        if audit_passes(truth, search_graphs(graphs, asked, shards, math.ceil(max(1, n_asked) / QUERY_BLOCK), beam, least)):
-            found = search_graphs(graphs, nodes, shards, blocks, beam, least).union(audited)
+        if audit_passes(truth, search_graphs(graphs, asked, shards, asked_shards, beam, least)):
             break
         beam *= 2
     else:
-        every = block_pairs(nodes, nodes, max(MIN_SHARDS, blocks), blocks, least)
-        found = every.select(F.least("q", "other").alias("a"), F.greatest("q", "other").alias("b"))
-    links = stage(found.distinct(), "hnsw")
-    both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    others = both.join(nodes.select(F.col("node").alias("b"), "n"), "b").groupBy("a").agg(F.sum("n").alias("others"))
-    found = components(links).select("node", "component")
-    known = nodes.select("node", "n", "least").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        beam, cut = None, 0
+    release(asked)
+    found = stage(graph_links(graphs, shards, beam, least, cut), "hnsw")
+    release(graphs)
+    edges, others = found.where("others > 0").select("a", "b"), found.where("others > 0").select("a", "others")
+    if cut:  # links of the audit that neither end found
+        audited = truth.select(F.least("q", "other").alias("a"), F.greatest("q", "other").alias("b")).distinct()
+        lost = stage(audited.join(found.where("others = 0").select("a", "b"), ["a", "b"], "left_anti"), "hnsw")
+        ends = lost.union(lost.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        edges = edges.union(lost)
+        others = others.union(ends.join(sizes.select(F.col("node").alias("b"), F.col("n").alias("others")), "b").select("a", "others"))
+    others = others.groupBy("a").agg(F.sum("others").alias("others"))
+    found = components(edges).select("node", "component")
+    known = sizes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     names = known.groupBy("component").agg(F.min("least").alias("component_id"))
     known = known.join(names, "component").join(others.select(F.col("a").alias("node"), "others"), "node", "left")
     known = known.select("node", (F.coalesce("others", F.lit(0)) + F.col("n") - 1).alias("n_links"), "component_id")

@@ -204,3 +204,68 @@ def test_graph_finds_what_is_near():
     best = np.sort(q @ base.T, axis=1)[:, ::-1][:, :10]
     assert (sims[:, :10] >= best - 1e-5).mean() > 0.9
     assert (np.diff(sims, axis=1) <= 0).all() and (ids[:, 0] == np.arange(0, 3000, 30)).all()
+
+
+def test_no_table_grows_with_shards_or_pairs(spark, monkeypatch):
+    monkeypatch.setattr(hnsw, "SHARD_ROWS", 60)
+    monkeypatch.setattr(hnsw, "AUDIT_VECTORS", 16)
+    monkeypatch.setattr(hnsw, "AUDIT_LINKED", 2)
+    monkeypatch.setattr(hnsw, "AUDIT_OTHERS", 0)
+    rng = np.random.default_rng(8)
+    v = np.concatenate([rng.normal(size=(300, 24)), rng.normal(size=24) + rng.normal(scale=0.1, size=(120, 24))])
+    unit = v / np.linalg.norm(v, axis=1)[:, None]
+    near = unit @ unit.T >= 0.9
+    np.fill_diagonal(near, False)
+    plans, rows, real = [], [], hnsw.stage
+
+    def stage(df, *args):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        staged = real(df, *args)
+        rows.append(staged.count())
+        return staged
+
+    monkeypatch.setattr(hnsw, "stage", stage)
+    frame = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>")
+    got = hnsw.near_duplicates(frame).toPandas().sort_values("vec_id")
+    assert got["n_links"].tolist() == near.sum(1).tolist()
+    assert not any("Generate" in plan for plan in plans)  # no vector is sent to many shards
+    assert max(rows) < near.sum() // 4  # nor is a group's every pair kept
+
+
+def test_vectors_of_many_lengths_and_single_precision(spark, monkeypatch):
+    monkeypatch.setattr(hnsw, "SHARD_BYTES", 2048)
+    rng = np.random.default_rng(9)
+    centres = {dim: rng.normal(size=(6, dim)) for dim in (3, 8, 9, 16)}
+    v = [(centres[dim][k % 6] + rng.normal(scale=0.12, size=dim)).astype(np.float32) for dim in centres for k in range(9 * dim)]
+    v += [v[0], 2 * v[0], v[-1], -v[-1]]
+    unit = [x.astype(float) / np.linalg.norm(x.astype(float)) for x in v]
+    near = np.array([[len(a) == len(b) and a @ b >= 0.9 for b in unit] for a in unit])
+    np.fill_diagonal(near, False)
+    expected = plain_components(len(v), zip(*np.nonzero(near)))
+    for kind in ("float", "double"):
+        frame = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], f"vec_id long, embedding array<{kind}>")
+        got = hnsw.near_duplicates(frame).toPandas().sort_values("vec_id")
+        assert got["n_links"].tolist() == near.sum(1).tolist()
+        assert got["component_id"].tolist() == expected
+
+
+def test_links_found_from_both_ends_count_once(monkeypatch):
+    monkeypatch.setattr(hnsw, "PAIR_ROWS", 2)
+    s, t = (hnsw.Shard(2, np.array(ids).tobytes(), np.ones((3, 2)).tobytes(), np.array(n).tobytes()) for ids, n in (([1, 2, 3], [1, 1, 5]), ([10, 20, 30], [2, 1, 1])))
+    chunks = [(np.array([0, 0, 2]), np.array([0, 1, 2])), (np.array([0, 1]), np.array([1, 1]))]
+    found = [tuple(r) for pdf in hnsw.merged_links(s, t, iter(chunks), 3) for r in pdf.itertuples(index=False)]
+    assert sorted(r for r in found if r[2] == 0) == [(1, 10, 0), (1, 20, 0), (2, 20, 0)]
+    assert {a: n for a, _, n in found if n} == {1: 3, 2: 1, 3: 1, 10: 1, 20: 2, 30: 5}
+    assert {a: b for a, b, n in found if n} == {1: 1, 2: 1, 10: 1, 20: 1, 3: 3, 30: 3}
+
+
+def test_wide_beams_find_what_single_steps_find(monkeypatch):
+    rng = np.random.default_rng(10)
+    base = np.concatenate([rng.normal(size=(1500, 24)), rng.normal(size=24) + rng.normal(scale=0.1, size=(500, 24))]).astype(np.float32)
+    base /= np.linalg.norm(base, axis=1)[:, None]
+    graph = hnsw.Graph(base).build()
+    ids, sims = graph.search(base[::20], 256)
+    assert all(len(set(row)) == 256 for row in ids)  # no node twice
+    monkeypatch.setattr(hnsw, "BEAM_STEP", 1 << 20)
+    _, single = graph.search(base[::20], 256)
+    assert (sims >= 0.9).sum(1).tolist() == (single >= 0.9).sum(1).tolist()
